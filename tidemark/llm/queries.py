@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import quality, toxicity
 from .bpe import encode_digests
 from .common import table
 from .pii import scan_pii
@@ -24,6 +26,17 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_pii(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), chosen=~toxicity.held_out(F.col("doc_id")))
+    return toxicity.score_toxicity(docs, model)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -35,6 +48,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii": op2_pii,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op8_sharding": op8_sharding,
     "op10_byte_bpe": op10_byte_bpe,
 }
