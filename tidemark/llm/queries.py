@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from . import quality, toxicity
 from .bpe import encode_digests
 from .common import table
+from .decontaminate import find_benchmark_items
+from .near_dup import near_duplicates
 from .pii import scan_pii
 from .secret_scan import scan_secrets
 from .sharding import shard_documents
@@ -37,10 +39,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_benchmark_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
@@ -50,7 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op8_sharding": op8_sharding,
+    "op9_near_dup": op9_near_dup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
@@ -73,6 +85,17 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN a USING (r)
 """
 
+_LEAKS = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+s AS (SELECT DISTINCT doc_id, r, array_to_string(w[j:j+4], ' ') AS g FROM (SELECT doc_id, r, w, unnest(range(1, len(w) - 3)) AS j FROM d WHERE len(w) >= 5)),
+t AS (SELECT DISTINCT item_id, array_to_string(w[j:j+4], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS j FROM i WHERE len(w) >= 5)),
+n AS (SELECT item_id, count(*) AS size FROM t GROUP BY item_id),
+h AS (SELECT doc_id, r, item_id, count(*) AS shared FROM s JOIN t USING (g) GROUP BY doc_id, r, item_id)
+SELECT doc_id, item_id, shared, size FROM h JOIN n USING (item_id) WHERE shared >= 0.8 * size
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_decontamination": _LEAKS,
     "op1_secret_scan": _SECRETS,
 }
