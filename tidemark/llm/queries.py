@@ -16,6 +16,7 @@ from .near_dup import near_duplicates
 from .pii import scan_pii
 from .secret_scan import scan_secrets
 from .sharding import shard_documents
+from .suffix_dedup import remove_repeats
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -43,6 +44,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_near_dup": op9_near_dup,
     "op10_byte_bpe": op10_byte_bpe,
