@@ -12,6 +12,7 @@ from . import quality, toxicity
 from .bpe import encode_digests
 from .common import table
 from .decontaminate import find_benchmark_items
+from .fuzzy_passages import fuzzy_passages
 from .near_dup import near_duplicates
 from .pii import scan_pii
 from .secret_scan import scan_secrets
@@ -44,6 +45,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op6_fuzzy_passages": op6_fuzzy_passages,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_near_dup": op9_near_dup,

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import digest, slices, text_bytes, whole_text
-from .textkit import U, mix, span_hashes
+from .textkit import U, least_of, mix, span_hashes
 
 SPAN = 50
 GRAM = 16
@@ -65,15 +65,6 @@ def unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
     return out
 
 
-def _least(x: np.ndarray, width: int) -> np.ndarray:
-    """The least of each ``width`` neighbours."""
-    n, have, acc = len(x) - width + 1, 1, x
-    while have * 2 <= width:
-        acc = np.minimum(acc[:-have], acc[have:])
-        have *= 2
-    return np.minimum(acc[:n], acc[width - have : width - have + n])
-
-
 def blocks(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each anchor with windows: its hash, the first and the last window start, and its text."""
     none = np.zeros(0, np.int64)
@@ -86,7 +77,7 @@ def blocks(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     h = mix(h)
     # The place in the low bits makes the first of equal hashes the least.
     place = np.arange(len(h), dtype=U) & U(2**28 - 1)
-    low = _least((h & ~U(2**28 - 1)) | place, SPAN - GRAM + 1) & U(2**28 - 1)
+    low = least_of((h & ~U(2**28 - 1)) | place, SPAN - GRAM + 1) & U(2**28 - 1)
     left = np.repeat(offsets[1:], np.diff(offsets))[: len(low)] - np.arange(len(low))
     windows = np.flatnonzero(left >= SPAN)
     if not len(windows):

@@ -102,3 +102,12 @@ def occurrences(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     at = np.flatnonzero(new)
     return h[at], np.diff(np.append(at, len(h))), np.searchsorted(d[at], np.arange(len(bounds)))
+
+
+def least_of(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` neighbours."""
+    n, have, acc = len(x) - width + 1, 1, x
+    while have * 2 <= width:
+        acc = np.minimum(acc[:-have], acc[have:])
+        have *= 2
+    return np.minimum(acc[:n], acc[width - have : width - have + n])
