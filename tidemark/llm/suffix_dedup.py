@@ -36,7 +36,7 @@ from .textkit import U, least_of, mix, span_hashes
 SPAN = 50
 GRAM = 16
 #: Bytes of text for each bucket and part.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 #: Texts from which an anchor's windows are dealt out one by one.
 HOT = 3000
 LAST = 2**63 - 1
@@ -65,8 +65,21 @@ def unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
     return out
 
 
-def blocks(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each anchor with windows: its hash, the first and the last window start, and its text."""
+def blocks(raw: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each anchor with windows: its hash, the first and the last window start, and its text. Texts are taken about
+    ``limit`` bytes at a time, as the work needs some hundred bytes for each."""
+    parts, d = [], 0
+    while True:
+        e = min(max(int(np.searchsorted(offsets, offsets[d] + limit, side="right")) - 1, d + 1), len(offsets) - 1)
+        h, first, last, text = _blocks(raw[offsets[d] : offsets[e]], offsets[d : e + 1] - offsets[d])
+        parts.append((h, first + offsets[d], last + offsets[d], text + d))
+        if e >= len(offsets) - 1:
+            break
+        d = e
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _blocks(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     none = np.zeros(0, np.int64)
     if len(raw) < SPAN:
         return none.view(U), none, none, none
@@ -130,7 +143,7 @@ def _anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for batch in slices(batches, rows=4096):
+        for batch in slices(batches, rows=2048, limit=2 << 20):
             raw, offsets = text_bytes(batch.column("text"))
             h, _, _, text = blocks(raw, offsets)
             keys = _text_keys(batch.column("digest"))
