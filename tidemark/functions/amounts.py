@@ -36,8 +36,8 @@ def report_date(day: Column, lag_days: int) -> Column:
 def month_index(ym: Column) -> Column:
     """Months since year 0 of a YYYYMM string; null if it is none."""
     s = ym.cast("string")
-    good = s.rlike("^[0-9]{6}$") & F.substring(s, 5, 2).cast("int").between(1, 12)
-    return F.when(good, F.substring(s, 1, 4).cast("int") * 12 + F.substring(s, 5, 2).cast("int") - 1)
+    good = s.rlike("^[0-9]{6}$") & F.substring(s, 5, 2).try_cast("int").between(1, 12)
+    return F.when(good, F.substring(s, 1, 4).try_cast("int") * 12 + F.substring(s, 5, 2).try_cast("int") - 1)
 
 
 def month_of(day: Column) -> Column:
@@ -64,7 +64,7 @@ def months_to_completion(move_in_ym: Column, day: Column) -> Column:
     """Calendar months from a date to YYYYMM (its first six characters); the month is not range-checked, the result may be
     negative; null if there are not six digits or no date."""
     s = F.substring(move_in_ym.cast("string"), 1, 6)
-    ahead = (F.substring(s, 1, 4).cast("int") - F.year(day)) * 12 + F.substring(s, 5, 2).cast("int") - F.month(day)
+    ahead = (F.substring(s, 1, 4).try_cast("int") - F.year(day)) * 12 + F.substring(s, 5, 2).try_cast("int") - F.month(day)
     return F.when(s.rlike("^[0-9]{6}$"), ahead)
 
 
