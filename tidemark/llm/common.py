@@ -65,7 +65,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches, rows: int = 512, limit: int = 4 << 20, column: str = "text"):
+def slices(batches, rows: int = 512, limit: int = 1 << 20, column: str = "text"):
     """Cuts batches so that each part holds few bytes of text; a single longer text is a part of its own."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from .common import labelled, slices, text_bytes
 from .textkit import U, grams, is_space, mix, span_hashes, words
 
-CELLS = 1 << 15
+CELLS = 1 << 14
 TRAIN_ROWS = 6000
+TRAIN_PARTS = 6
 KEEP_AT = 0.5
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
@@ -48,7 +49,7 @@ def _cells(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.nd
     starts, ends, bounds = words(raw, offsets)
     h = span_hashes(raw, starts, ends)
     pairs, _, at = grams(h, bounds, 2)
-    out = [((h >> U(49)).astype(np.int64), bounds), ((mix(pairs) >> U(49)).astype(np.int64), at)]
+    out = [((h >> U(50)).astype(np.int64), bounds), ((mix(pairs) >> U(50)).astype(np.int64), at)]
     x = raw.astype(np.uint32)
     for k in (3, 4):
         n = max(len(x) - k + 1, 0)
@@ -56,7 +57,7 @@ def _cells(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.nd
         for j in range(k):
             code = code * np.uint32(0x01000193) + x[j : j + n]
         code = (code ^ (code >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-        cell = ((code ^ (code >> np.uint32(13))) >> np.uint32(17)).astype(np.int64) + CELLS
+        cell = ((code ^ (code >> np.uint32(13))) >> np.uint32(18)).astype(np.int64) + CELLS
         left = np.repeat(offsets[1:], np.diff(offsets))[:n] - np.arange(n)
         keep = np.flatnonzero(left >= k)
         out.append((cell[keep], np.searchsorted(keep, offsets)))
@@ -100,7 +101,9 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, label: str
     rows = labelled(docs, labels, label, bound).withColumnRenamed(label, "label")
     coded = rows.mapInArrow(_vectors, "doc_id long, label int, idx array<int>, val array<double>")
     vector = F.udf(lambda i, v: SparseVector(2 * CELLS, i, v), VectorUDT())
-    data = coded.select((F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).alias("apart"), F.col("label").cast("double"), vector("idx", "val").alias("features")).persist()
+    data = coded.select((F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).alias("apart"), F.col("label").cast("double"), vector("idx", "val").alias("features"))
+    # Few partitions: each one sends its gradient (2 * CELLS numbers) at every step.
+    data = data.repartition(TRAIN_PARTS).persist()
     try:
         seen = {(r["apart"], r["label"]) for r in data.groupBy("apart", "label").count().collect()}
         if len({y for apart, y in seen if not apart}) < 2:

@@ -46,7 +46,7 @@ def features(word: str) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, rows=2000, limit=8 << 20):
+    for batch in slices(batches, rows=2000, limit=4 << 20):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, y in zip(texts_of(batch), batch.column("label").to_pylist(), strict=True):
             seen[y].update({f for w in set(_WORD.findall(text.lower())) for f in features(w)})
