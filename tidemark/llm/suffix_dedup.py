@@ -35,8 +35,8 @@ from .textkit import U, least_of, mix, span_hashes
 
 SPAN = 50
 GRAM = 16
-#: Bytes of text for each bucket and part.
-PART_BYTES = 4 << 20
+#: Bytes of text for each part, and for each bucket of anchors.
+PART_BYTES, BUCKET_BYTES = 1 << 20, 4 << 20
 #: Texts from which an anchor's windows are dealt out one by one.
 HOT = 3000
 LAST = 2**63 - 1
@@ -65,7 +65,7 @@ def unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
     return out
 
 
-def blocks(raw: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def blocks(raw: np.ndarray, offsets: np.ndarray, limit: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each anchor with windows: its hash, the first and the last window start, and its text. Texts are taken about
     ``limit`` bytes at a time, as the work needs some hundred bytes for each."""
     parts, d = [], 0
@@ -142,14 +142,15 @@ def _anchors(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-        for batch in slices(batches, rows=2048, limit=2 << 20):
+        size, fresh = 0, _Fresh()
+        for batch in slices(batches, rows=2048):
+            batch = fresh.of(batch)
             raw, offsets = text_bytes(batch.column("text"))
             h, _, _, text = blocks(raw, offsets)
             keys = _text_keys(batch.column("digest"))
             held.append((_bucket(h, buckets), (h << _TEXT_BITS) | keys[text] if len(h) else h))
             size += len(raw)
-            if size > 64 << 20:
+            if size > 32 << 20:
                 yield from flush(held)
                 held, size = [], 0
         yield from flush(held)
@@ -245,6 +246,19 @@ def previous_windows(body: np.ndarray, windows: np.ndarray, doc: np.ndarray) ->
     return out
 
 
+def _together(rows: np.ndarray, kin: np.ndarray, weight: np.ndarray, limit: int = 100_000) -> Iterator[np.ndarray]:
+    """Rows sorted by kin, in parts of about ``limit`` weight that do not cut a kin."""
+    if not len(rows):
+        return
+    ends = np.flatnonzero(np.append(kin[rows][1:] != kin[rows][:-1], True)) + 1
+    total = np.cumsum(weight[rows])[ends - 1]
+    begin, used = 0, 0
+    while begin < len(rows):
+        i = max(int(np.searchsorted(total, used + limit, side="right")) - 1, int(np.searchsorted(ends, begin, side="right")))
+        yield rows[begin : ends[i]]
+        begin, used = int(ends[i]), int(total[i])
+
+
 def _found(key: tuple, table: pa.Table) -> pa.Table:
     """Window starts with an earlier document: (text of a part, from, to), by part."""
     kinds = (np.int64, np.uint8, np.uint32, np.uint8, np.uint32, np.uint32, np.int64, np.uint32)
@@ -267,9 +281,11 @@ def _found(key: tuple, table: pa.Table) -> pa.Table:
     later = low > first[block]
     # Blocks that differ but share an anchor meet in suffix order.
     _, kin, many = np.unique(tag[rep], return_inverse=True, return_counts=True)
-    apart = np.flatnonzero(many[kin.reshape(-1)] > 1)
+    kin = kin.reshape(-1)
+    kindred = np.flatnonzero(many[kin] > 1)
+    kindred = kindred[np.argsort(kin[kindred], kind="stable")]
     partial: dict[int, list[tuple[int, int]]] = {}
-    if len(apart):
+    for apart in _together(kindred, kin, width):
         w = width[apart]
         of = np.repeat(apart, w)
         nth = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
@@ -320,43 +336,57 @@ def _judge(key: tuple, texts: pa.Table, found: pa.Table) -> pa.Table:
     return pa.table({"digest": digests, "low": pa.array(low), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(np.diff(sums[offsets])), "n_spans": pa.array(np.diff(spans[offsets])), "kept_sha256": pa.array(sha, pa.string())})
 
 
-def text_parts(docs: DataFrame, parts: int, hot: DataFrame) -> DataFrame:
-    """part, digest, doc_id and text; of a text with very many copies only the rows of its first document, of others each
-    task keeps one row for each text."""
+class _Fresh:
+    """Drops rows whose text a task has had already from a document as early; what it remembers is bounded."""
+
+    def __init__(self) -> None:
+        self.seen: dict[bytes, int] = {}
+
+    def of(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for d, i in zip(batch.column("digest").to_pylist(), batch.column("doc_id").to_pylist(), strict=True):
+            good = self.seen.get(d, LAST + 1) > i
+            if good:
+                if len(self.seen) > 500_000:
+                    self.seen.clear()
+                self.seen[d] = i
+            keep.append(good)
+        return batch.filter(pa.array(keep, pa.bool_()))
+
+
+def texts_once(docs: DataFrame, hot: DataFrame) -> DataFrame:
+    """digest, doc_id and text; of a text with very many copies only the rows of its first document."""
+    keyed = docs.select(digest(whole_text()).alias("digest"), F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), whole_text().alias("text"))
+    many = F.broadcast(hot.select(F.col("digest").alias("_hot"), "low"))
+    return keyed.join(many, F.col("digest") == F.col("_hot"), "left").where("low IS NULL OR low = doc_id").select("digest", "doc_id", "text")
+
+
+def text_parts(texts: DataFrame, parts: int) -> DataFrame:
+    """The texts with their part as ``key``; each task keeps one row for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        for batch in slices(batches, rows=4096, limit=8 << 20):
-            keep = []
-            for d, i in zip(batch.column("digest").to_pylist(), batch.column("doc_id").to_pylist(), strict=True):
-                good = seen.get(d, LAST + 1) > i
-                if good:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    seen[d] = i
-                keep.append(good)
-            batch = batch.filter(pa.array(keep, pa.bool_()))
+        fresh = _Fresh()
+        for batch in slices(batches, rows=4096, limit=4 << 20):
+            batch = fresh.of(batch)
             part = ((_text_keys(batch.column("digest")) * U(parts)) >> _TEXT_BITS).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *batch.columns], names=["key", *batch.schema.names])
 
-    keyed = docs.select(digest(whole_text()).alias("digest"), F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), whole_text().alias("text"))
-    many = F.broadcast(hot.select(F.col("digest").alias("_hot"), "low"))
-    few = keyed.join(many, F.col("digest") == F.col("_hot"), "left").where("low IS NULL OR low = doc_id").select("digest", "doc_id", "text")
-    return few.mapInArrow(run, "key int, digest binary, doc_id long, text string")
+    return texts.mapInArrow(run, "key int, digest binary, doc_id long, text string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row of ``docs`` (doc_id, text)."""
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("_id"), digest(whole_text()).alias("digest"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    parts = max(1, -(-(size["b"] or 0) // PART_BYTES))
+    parts, buckets = (max(1, -(-(size["b"] or 0) // n)) for n in (PART_BYTES, BUCKET_BYTES))
     # Fewer than 10,000 texts can have more than a ten-thousandth of all rows.
     many = F.col("n") > max(50, size["n"] // 10_000)
     hot = rows.groupBy("digest").agg(F.min("_id").alias("low"), F.count(F.lit(1)).alias("n")).where(many)
-    texts = text_parts(docs, parts, hot)
-    anchors = texts.select("digest", "text").mapInArrow(_anchors(parts), BLOBS)
+    once = texts_once(docs, hot)
+    texts = text_parts(once, parts)
+    anchors = once.mapInArrow(_anchors(buckets), BLOBS)
     shared = anchors.groupBy("key").applyInArrow(_shared(parts), BLOBS)
-    meeting = texts.groupBy("key").cogroup(shared.groupBy("key")).applyInArrow(_meet(parts), BLOBS)
+    meeting = texts.groupBy("key").cogroup(shared.groupBy("key")).applyInArrow(_meet(buckets), BLOBS)
     found = meeting.groupBy("key").applyInArrow(_found, BLOBS)
     judged = texts.groupBy("key").cogroup(found.groupBy("key")).applyInArrow(_judge, JUDGED)
     first = F.col("_id") == F.col("low")

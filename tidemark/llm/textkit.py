@@ -33,8 +33,21 @@ def _upto(n: int) -> None:
             _inverses = np.cumprod(np.concatenate([np.ones(1, U), np.full(n, _INVERSE, U)]))
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each span; equal bytes give equal hashes wherever they stand."""
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
+    """A hash of the bytes of each span; equal bytes give equal hashes wherever they stand. Starts rise. Long input is taken
+    about ``limit`` bytes at a time."""
+    if len(raw) <= limit:
+        return _span_hashes(raw, starts, ends)
+    out, i = np.empty(len(starts), U), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + limit)))
+        low = starts[i]
+        out[i:j] = _span_hashes(raw[low : ends[i:j].max()], starts[i:j] - low, ends[i:j] - low)
+        i = j
+    return out
+
+
+def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     _upto(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, U)
     np.cumsum(_SYMBOL[raw] * _powers[: len(raw)], out=sums[1:])
