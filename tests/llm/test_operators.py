@@ -250,7 +250,7 @@ def test_best_fit_takes_the_tightest_bin():
 
 
 def test_near_duplicates(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "ALL_PAIRS", 3)  # so that buckets with leaders occur
+    monkeypatch.setattr(near_dup, "ALL_PAIRS", 3)  # so that buckets with leaders and crowds occur
     base = prose(7, 200)
     texts = [" ".join(base)] + [" ".join(base[: 9 * i] + [f"new{i}"] + base[9 * i + 1 :]) for i in range(1, 12)]
     texts += [" ".join(prose(8, 200)), " ".join(prose(8, 200)), "", None, "a b", "a b", "one two three four five", "one two three four six"]
@@ -291,3 +291,42 @@ def test_bpe(spark):
     assert {r["word"]: r["ids"] for r in folded.collect()} == {w: ref.encode_ordinary(w) for w in words}
     long = b"abcabcabd" * 40
     assert bpe._merge_long(long, ranks) == ref._encode_single_piece(long)
+
+
+def test_crowds_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK", 8)
+    base, texts = prose(9, 150), []
+    for i in range(60):
+        w = list(base)
+        for k in range(i % 7):
+            w[(i * 31 + k * 47) % 150] = f"edit{i}x{k}"
+        texts.append(" ".join(w))
+    bag = [Counter(tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)) for t in texts]
+    similar = {(i, j) for i in range(60) for j in range(i) if (c := sum((bag[i] & bag[j]).values())) >= 0.8 * (sum(bag[i].values()) + sum(bag[j].values()) - c)}
+    docs = docs_of(spark, enumerate(texts))
+    names = {r["d"]: r["doc_id"] for r in docs.select("doc_id", near_dup.digest(F.col("text")).alias("d")).collect()}
+    keyed = docs.select(near_dup.digest(F.col("text")).alias("digest")).distinct()
+    bags = near_dup.bags_of(docs, keyed)
+    for root in (F.col("digest"), F.when(F.substring("digest", 1, 1) < F.unhex(F.lit("A0")), F.unhex(F.lit("00"))).otherwise(F.col("digest"))):
+        many = keyed.select(F.lit(1).alias("key"), "digest", root.alias("root"))
+        start = {r["digest"]: r["root"] for r in many.collect()}
+        links = [(r["a"], r["b"]) for r in near_dup.crowd_links(many, bags).collect()]
+        assert all((max(names[a], names[b]), min(names[a], names[b])) in similar for a, b in links)
+
+        def classes(edges, start=start):
+            up = {d: d for d in start}
+
+            def top(d):
+                while up[d] != d:
+                    d = up[d]
+                return d
+
+            first: dict = {}
+            for d, r in start.items():
+                up[top(d)] = top(first.setdefault(bytes(r), d))
+            for a, b in edges:
+                up[top(a)] = top(b)
+            return sorted(sorted(names[d] for d in start if top(d) == t) for t in {top(d) for d in start})
+
+        by_id = {i: d for d, i in names.items()}
+        assert classes(links) == classes([(by_id[i], by_id[j]) for i, j in similar if i in by_id and j in by_id])
