@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import digest, whole_text
+from .common import digest, stored, whole_text
 
 FINE = 500
 BUNDLES = 250
@@ -144,6 +144,7 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     placed = level([(i["bytes"], i["item"]) for i in items], shards)
     spark = docs.sparkSession
     bins = spark.createDataFrame(sorted(placed.items()), "item string, shard int")
-    homes = groups.select("_text", name.alias("item")).join(F.broadcast(bins), "item").select("_text", "shard")
+    # Stored, so that both sides of the next join are plain exchanges and adaptive execution can split a hot text.
+    homes = stored(groups.select("_text", name.alias("item")).join(F.broadcast(bins), "item").select("_text", "shard"), "homes")
     out = numbered(rows.join(homes, "_text"), "shard", [F.col("doc_id"), F.col("_text")], n, shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
