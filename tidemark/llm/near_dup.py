@@ -7,8 +7,9 @@ share a slot's value with the probability of their weighted Jaccard similarity,
 order and only up to the time by which the slots are full, so a text costs about its shingles plus m log m points.
 
 BANDS bands of ROWS slots put texts into buckets. A bucket of few texts gives all its pairs. In a larger one every text is
-paired with LEADERS leaders of that bucket (other ones in each band); texts that no leader matches form the bucket of the
-next round, until none is left. Pairs are then checked by exact overlap of the multisets, and links joined to classes.
+paired with LEADERS leaders of the bucket. Pairs are checked by exact overlap of the multisets, and links joined to classes.
+Buckets that are then still of several classes are compared whole, in blocks of bounded size: every text with every text of
+another class.
 
 Equal texts are one text here and are never paired; they share the class of their text. A null text counts as empty. A text
 of one to four words has one shingle; one without words is only in a class with equal texts.
@@ -31,6 +32,7 @@ BANDS, ROWS = 25, 5
 SIMILAR = 0.8
 ALL_PAIRS = 12
 LEADERS = 2
+CHUNK = 128
 
 
 def bag_minhash(hashes: np.ndarray, counts: np.ndarray, bounds: np.ndarray, m: int) -> np.ndarray:
@@ -83,7 +85,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, rows=1024, limit=2 << 20):
+    for batch in slices(batches, rows=1024):
         sets = occurrences(*shingles(*text_bytes(batch.column("text"))))
         keys = band_keys(bag_minhash(*sets, BANDS * ROWS))
         filled = np.diff(sets[2]) > 0
@@ -92,7 +94,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The multiset of a text as a sorted set: each further occurrence of a shingle counts as another element."""
-    for batch in slices(batches, rows=1024, limit=2 << 20):
+    for batch in slices(batches, rows=1024):
         h, n, bounds = occurrences(*shingles(*text_bytes(batch.column("text"))))
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         each = mix(np.repeat(h, n) + mix(nth.astype(U)))
@@ -115,12 +117,15 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of digests whose texts have a weighted Jaccard similarity of at least SIMILAR."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+def bags_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """digest and multiset of the texts of ``docs`` whose digest is wanted; stored."""
     keyed = docs.select(digest(whole_text()).alias("digest"), "text")
     texts = keyed.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
-    bags = stored(texts.mapInArrow(_expanded, "digest binary, bag binary"), "bags")
+    return stored(texts.mapInArrow(_expanded, "digest binary, bag binary"), "bags")
+
+
+def verified(bags: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of digests whose texts have a weighted Jaccard similarity of at least SIMILAR."""
     one = lambda x: bags.select(F.col("digest").alias(x), F.col("bag").alias(f"bag_{x}"))
     return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "bag_a", "bag_b").mapInArrow(_similar, "a binary, b binary")
 
@@ -129,70 +134,141 @@ def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def all_pairs(members: DataFrame) -> DataFrame:
+    """All pairs within buckets of at most ALL_PAIRS members."""
+    few = members.groupBy("key").agg(F.sort_array(F.collect_list("digest")).alias("d"))
+    within = few.select(F.posexplode("d").alias("i", "x"), "d").select("x", F.explode(F.slice("d", F.col("i") + 2, F.lit(ALL_PAIRS))).alias("y"))
+    return within.select(*_ordered(F.col("x"), F.col("y")))
+
+
+def leaders(many: DataFrame) -> DataFrame:
+    """Each member of a bucket (key, digest, rank) with the at most LEADERS leaders of the bucket; a leader is the first by rank
+    of its part of the bucket."""
+    first = many.groupBy("key", F.pmod(F.xxhash64("digest"), F.lit(LEADERS)).alias("part")).agg(F.min(F.struct("rank", "digest")).alias("first"))
+    lead = first.groupBy("key").agg(F.collect_list("first.digest").alias("leaders"))
+    return many.join(lead, "key").select("digest", F.explode("leaders").alias("leader")).where("digest <> leader")
+
+
+def _block(key: tuple, table: pa.Table) -> pa.Table:
+    """Links between the texts of two chunks, or within one: as many as join what belongs together. The common elements of all
+    pairs are one product of two matrices, text by element."""
+    table = table.sort_by("digest")
+    names, side = table.column("digest").to_pylist(), table.column("side").to_numpy()
+    bags = [np.frombuffer(b, U) for b in table.column("bag").to_pylist()]
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    sizes = np.array([len(b) for b in bags], np.int64)
+    out: list[tuple[bytes, bytes]] = []
+    if len(left) and len(right):
+        x, y = (np.concatenate([bags[i] for i in rows]) for rows in (left, right))
+        elements = np.intersect1d(np.unique(x), np.unique(y), assume_unique=True)
+
+        common = np.zeros((len(left), len(right)), np.float32)
+        for low in range(0, len(elements), 20_000):
+            some = elements[low : low + 20_000]
+
+            def matrix(rows: np.ndarray, some: np.ndarray = some) -> np.ndarray:
+                m = np.zeros((len(rows), len(some)), np.float32)
+                for r, i in enumerate(rows):
+                    at = np.minimum(np.searchsorted(some, bags[i]), len(some) - 1)
+                    m[r, at[some[at] == bags[i]]] = 1
+                return m
+
+            common += matrix(left) @ matrix(right).T
+        union = sizes[left][:, None] + sizes[right][None, :] - common
+        up = list(range(len(names)))
+
+        def top(i: int) -> int:
+            while up[i] != i:
+                up[i] = up[up[i]]
+                i = up[i]
+            return i
+
+        for r, c in zip(*np.nonzero(common >= SIMILAR * union), strict=True):
+            i, j = int(left[r]), int(right[c])
+            if names[i] != names[j] and top(i) != top(j):
+                up[top(i)] = top(j)
+                out.append((min(names[i], names[j]), max(names[i], names[j])))
+    return pa.table({"a": pa.array([o[0] for o in out], pa.binary()), "b": pa.array([o[1] for o in out], pa.binary())})
+
+
+def crowd_links(many: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links between texts of different classes that share crowded buckets. ``many``: key, digest, root (class so far).
+
+    Buckets that share texts make a crowd. A crowd is cut into chunks of about CHUNK texts: large classes have chunks of their
+    own, the rest is mixed. Every two chunks meet in one block but those of one class, so all pairs of texts of different
+    classes are compared exactly, and what is emitted is at most a link a text and block.
+    """
+    # A bucket is named by its least text, a text by the least of its buckets; only names that differ are edges.
+    star = many.groupBy("key").agg(F.min("digest").alias("b"))
+    firsts = stored(many.join(star, "key").select("digest", "b").distinct(), "firsts")
+    low = firsts.groupBy("digest").agg(F.min("b").alias("low"))
+    edges = firsts.join(low, "digest").where("b <> low").select(F.col("low").alias("a"), "b").distinct()
+    roots = components(edges, "crowds").select(F.col("node").alias("low"), "root")
+    crowd = low.join(roots, "low", "left").select("digest", F.coalesce("root", "low").alias("crowd"))
+    texts = stored(crowd.join(many.select("digest", "root").distinct(), "digest"), "crowd-texts")
+    sizes = texts.groupBy("crowd", "root").agg(F.count(F.lit(1)).alias("n"))
+    own = F.when(F.col("n") >= CHUNK, F.col("root"))
+    groups = sizes.groupBy("crowd", own.alias("own")).agg(F.sum("n").alias("n"))
+    keyed = texts.join(sizes, ["crowd", "root"]).select("digest", "crowd", own.alias("own"))
+    same = (F.col("k.crowd") == F.col("g.crowd")) & F.col("k.own").eqNullSafe(F.col("g.own"))
+    nth = F.pmod(F.xxhash64("k.digest"), F.ceil(F.col("g.n") / CHUNK))
+    placed = stored(keyed.alias("k").join(groups.alias("g"), same).select("k.digest", "k.crowd", "k.own", F.xxhash64("k.crowd", "k.own", nth).alias("chunk")), "chunks")
+    chunks = placed.select("crowd", "own", "chunk").distinct()
+    x, y = chunks.alias("x"), chunks.alias("y")
+    apart = F.col("x.own").isNull() | F.col("y.own").isNull() | (F.col("x.own") != F.col("y.own"))
+    blocks = x.join(y, (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.chunk") <= F.col("y.chunk")) & apart).select(F.col("x.chunk").alias("one"), F.col("y.chunk").alias("two"))
+    blocks = stored(blocks, "blocks")
+    inside = blocks.where("one = two").select(F.col("one").alias("chunk"), "one", "two", F.lit(2).alias("side"))
+    across = blocks.where("one <> two")
+    sent = inside.unionByName(across.select(F.col("one").alias("chunk"), "one", "two", F.lit(0).alias("side"))).unionByName(across.select(F.col("two").alias("chunk"), "one", "two", F.lit(1).alias("side")))
+    bagged = placed.select("chunk", "digest").join(bags, "digest")
+    return sent.join(bagged, "chunk").groupBy("one", "two").applyInArrow(_block, "a binary, b binary")
+
+
 def links_of(docs: DataFrame) -> DataFrame:
-    """Links (a, b) between the digests of different texts of ``docs`` (text) that are similar."""
+    """Links (a, b) between the digests of different texts of ``docs`` (text) that are similar: as many as make up the classes."""
     signed = docs.select(digest(whole_text()).alias("digest"), "text").mapInArrow(_sign, "digest binary, keys array<bigint>")
     signed = signed.groupBy("digest").agg(F.first("keys").alias("keys"))
     members = stored(signed.select("digest", F.explode("keys").alias("key")), "bands")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(members.join(sizes, "key"), "buckets")
-    few = shared.where(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list("digest")).alias("d"))
-    within = few.select(F.posexplode("d").alias("i", "x"), "d").select("x", F.explode(F.slice("d", F.col("i") + 2, F.lit(ALL_PAIRS))).alias("y"))
-    pairs = within.select(*_ordered(F.col("x"), F.col("y")))
-    many = shared.where(F.col("n") > ALL_PAIRS).select("key", "digest")
-    links, first = None, True
-    while True:
-        led = leaders(many) if not first or not many.isEmpty() else None
-        if led is not None:
-            pairs = led.select(*_ordered(F.col("digest"), F.col("leader"))).unionByName(pairs) if first else led.select(*_ordered(F.col("digest"), F.col("leader")))
-        found = stored(verified(docs, stored(pairs.distinct(), "pairs")), "links")
-        links = found if links is None else links.unionByName(found)
-        if led is None:
-            return links
-        # Members that no leader of their bucket matched are the bucket of the next round; leaders have met all others.
-        met = led.select("key", "digest", "leader", *_ordered(F.col("digest"), F.col("leader")))
-        linked = met.join(found, ["a", "b"], "left_semi").select("key", "digest")
-        led_by = met.select("key", F.col("leader").alias("digest"))
-        many = stored(many.join(linked.unionByName(led_by).distinct(), ["key", "digest"], "left_anti"), "rest")
-        many = many.join(many.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key", "left_semi")
-        if many.isEmpty():
-            return links
-        first = False
-
-
-def leaders(many: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's leaders but itself; a leader is the first of its part in a hashed order."""
-    rank = F.struct(F.xxhash64("digest", "key").alias("rank"), "digest")
-    first = many.groupBy("key", F.pmod(F.xxhash64("digest"), F.lit(LEADERS)).alias("part")).agg(F.min(rank).alias("first"))
-    lead = first.groupBy("key").agg(F.collect_list("first.digest").alias("leaders"))
-    return many.join(lead, "key").select("key", "digest", F.explode("leaders").alias("leader")).where("digest != leader")
+    bags = bags_of(docs, shared.select("digest").distinct())
+    few, large = shared.where(F.col("n") <= ALL_PAIRS), shared.where(F.col("n") > ALL_PAIRS).select("key", "digest", "n")
+    # Leaders are texts with the most company over all bands: what the others are copies of, if anything.
+    company = large.groupBy("digest").agg((-F.sum("n")).alias("rank"))
+    many = stored(large.join(company, "digest").select("key", "digest", "rank"), "many")
+    pairs = all_pairs(few).unionByName(leaders(many).select(*_ordered(F.col("digest"), F.col("leader")))).distinct()
+    links = stored(verified(bags, pairs), "links")
+    if many.isEmpty():
+        return links
+    roots = components(links).withColumnRenamed("node", "digest")
+    rest = stored(many.join(roots, "digest", "left").select("key", "digest", F.coalesce("root", "digest").alias("root")), "rest")
+    mixed = rest.groupBy("key").agg(F.count_distinct("root").alias("classes")).where("classes > 1")
+    mixed = stored(rest.join(mixed.select("key"), "key"), "mixed")
+    return links if mixed.isEmpty() else links.unionByName(stored(crowd_links(mixed, bags), "crowd-links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, n_links and n_copies for every row of ``docs`` (doc_id, text).
+    """doc_id, class_id, n_texts and n_copies for every row of ``docs`` (doc_id, text).
 
-    class_id is the least doc_id of the class (null where the class has none), n_links the number of links of the row's
-    text to other texts, n_copies the number of rows with the same text.
+    class_id is the least doc_id of the class (null where the class has none), n_texts the number of different texts in the
+    class, n_copies the number of rows with the row's text.
     """
     rows = docs.select("doc_id", "text")
-    links = stored(links_of(rows), "links")
-    roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n_links"))
+    roots = components(links_of(rows))
     texts = rows.select("doc_id", digest(whole_text()).alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n_copies"))
-    linked = degree.join(roots.withColumnRenamed("node", "digest"), "digest")
-    classed = texts.join(linked, "digest", "left").select("digest", "low", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "digest").alias("root"))
+    classed = texts.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "low", "n_copies", F.coalesce("root", "digest").alias("root"))
     classed = stored(classed, "classes")
-    ids = classed.groupBy("root").agg(F.min("low").alias("class_id"))
-    named = classed.join(ids, "root").select("digest", "class_id", "n_links", "n_copies")
-    return rows.select("doc_id", digest(whole_text()).alias("digest")).join(named, "digest").select("doc_id", "class_id", "n_links", "n_copies")
+    ids = classed.groupBy("root").agg(F.min("low").alias("class_id"), F.count(F.lit(1)).alias("n_texts"))
+    named = stored(classed.join(ids, "root").select("digest", "class_id", "n_texts", "n_copies"), "named")
+    return rows.select("doc_id", digest(whole_text()).alias("digest")).join(named, "digest").select("doc_id", "class_id", "n_texts", "n_copies")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each class of near duplicates: of the text of the least doc_id one row with that doc_id (of the least text
     if several have it). Rows without a doc_id come last."""
     rows = docs.select("doc_id", "text")
-    links = stored(links_of(rows), "links")
-    roots = components(links)
+    roots = components(links_of(rows))
     order = lambda i: F.struct(F.col(i).isNull().alias("none"), F.col(i).alias("id"), "digest")
     texts = rows.select("doc_id", digest(whole_text()).alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("low"))
     classed = texts.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "low", F.coalesce("root", "digest").alias("root"))
