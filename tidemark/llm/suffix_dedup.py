@@ -102,7 +102,8 @@ def _blocks(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     at = np.flatnonzero(new)
     first, last = windows[at], windows[np.append(at[1:], len(windows)) - 1]
     anchor = first + ((low[at] - first) & (2**28 - 1))
-    return h[anchor], first, last, text[at]
+    # An anchor's hash is the least of many: mixed again, it is spread evenly over the buckets.
+    return mix(h[anchor]), first, last, text[at]
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
