@@ -190,6 +190,42 @@ def test_fuzzy_passages(spark):
     assert fuzzy_passages.fuzzy_passages(docs_of(spark, []).limit(0)).count() == 0
 
 
+def verbatim(u: list[str], v: list[str], least: int = 50):
+    """All stretches (from, to) of u of ``least`` words or more that stand in v too, by brute force over the diagonals."""
+    for d in range(-len(v) + 1, len(u)):
+        run = 0
+        for i in range(max(d, 0), min(len(u), len(v) + d) + 1):
+            if i < min(len(u), len(v) + d) and u[i] == v[i - d]:
+                run += 1
+                continue
+            if run >= least:
+                yield i - run, i
+            run = 0
+
+
+def covered(rows, a: int, b: int) -> bool:
+    """Whether the stretch is within the union of the passages, less three words at either end."""
+    got = {i for r in rows for i in range(r["start_word"], r["end_word"])}
+    return set(range(a + 3, b - 3)) <= got
+
+
+def test_several_fuzzy_passages_of_one_pair(spark):
+    gaps, texts = [(0, 0), (10, 10), (30, 30), (60, 40), (100, 100), (150, 240), (240, 240)], []
+    for k, (m, n) in enumerate(gaps):
+        one, two = prose(300 + k, 60), prose(400 + k, 60)
+        texts += [prose(500 + k, 40) + one + prose(600 + k, m) + two, one + prose(700 + k, n) + two + prose(800 + k, 30)]
+    texts += [prose(900, 250) + prose(901, 100) + prose(902, 60), prose(900, 250) + prose(903, 100) + prose(902, 60)]
+    rows = fuzzy_passages.fuzzy_passages(docs_of(spark, enumerate(map(" ".join, texts)))).collect()
+    for low in range(1, len(texts), 2):
+        mine = [r for r in rows if r["doc_id"] == low]
+        assert {r["src_doc_id"] for r in mine} == {low - 1}
+        found = list(verbatim(texts[low], texts[low - 1]))
+        assert found and all(covered(mine, a, b) for a, b in found), low
+        for r in mine:
+            assert r["n_equal"] >= 0.8 * max(r["end_word"] - r["start_word"], r["src_end_word"] - r["src_start_word"])
+    assert not [r for r in rows if r["doc_id"] % 2 == 0]
+
+
 def brute_suffix(rows):
     first, out = {}, {}
     for i, t in sorted(rows, key=lambda r: r[0]):
