@@ -226,6 +226,24 @@ def test_several_fuzzy_passages_of_one_pair(spark):
     assert not [r for r in rows if r["doc_id"] % 2 == 0]
 
 
+def test_fuzzy_passages_from_later_documents(spark):
+    a, b, c, d = (prose(1000 + k, 30) for k in range(4))
+    texts = [prose(1100 + k, 70) + half + prose(1200 + k, 70) for k, half in enumerate([a, b, a, b, a, b, c, d])]
+    texts += [prose(1300, 40) + a + b + prose(1301, 40), a + b + prose(1302, 40)]  # two halves from many documents
+    texts += [prose(1303, 20) + c + d, prose(1304, 90) + c + d]
+    one = prose(1305, 80)
+    two = [w if i < 40 or i % 3 else f"b{i}" for i, w in enumerate(one)]  # less than 0.8 of the first
+    three = [w if i >= 40 or i % 3 else f"c{i}" for i, w in enumerate(two)]
+    texts += [one, two + prose(1306, 40), prose(1307, 60) + three[30:] + prose(1308, 20), prose(1309, 30) + three[30:]]
+    rows = fuzzy_passages.fuzzy_passages(docs_of(spark, enumerate(map(" ".join, texts)))).collect()
+    for low in range(len(texts)):
+        mine = [r for r in rows if r["doc_id"] == low]
+        for src in range(low):
+            assert all(covered(mine, i, j) for i, j in verbatim(texts[low], texts[src])), (low, src)
+    assert {(9, 8), (11, 10)} <= {(r["doc_id"], r["src_doc_id"]) for r in rows}
+    assert len({(r["doc_id"], r["src_doc_id"], r["start_word"], r["src_start_word"]) for r in rows}) == len(rows)
+
+
 def brute_suffix(rows):
     first, out = {}, {}
     for i, t in sorted(rows, key=lambda r: r[0]):
