@@ -159,3 +159,20 @@ def test_matrix_refuses_ratios(spark):
     labels = spark.createDataFrame([(1,)], "id int")
     with pytest.raises(ValueError, match="label"):
         features.feature_matrix(labels, "id", [labels.withColumn("premium_ratio", F.lit(1))])
+
+
+def test_spearman_ranks_part_by_part(spark):
+    rows = [((i * 37 % 101) / 4.0, (i * 53 % 97) // 3 if i % 11 else None) for i in range(200)]
+    good = [r for r in rows if r[1] is not None]
+    rank = lambda xs: [sum(y < x for y in xs) + (sum(y == x for y in xs) + 1) / 2 for x in xs]
+    x, y = (rank([r[k] for r in good]) for k in (0, 1))
+    mx, my = sum(x) / len(x), sum(y) / len(y)
+    want = sum((a - mx) * (b - my) for a, b in zip(x, y)) / (sum((a - mx) ** 2 for a in x) * sum((b - my) ** 2 for b in y)) ** 0.5
+    df = spark.createDataFrame(rows, "a double, b long")
+    for size in ({}, {"rows_a_part": 7}, {"rows_a_part": 1}):
+        got = evaluate.spearman(df, "a", "b", **size)
+        assert (got.first()["n"], round(got.first()["spearman"], 9)) == (len(good), round(want, 9))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        if size:  # several parts: no window over all values
+            assert not [w for w in ("windowspecdefinition(a#", "windowspecdefinition(b#") if w in plan]
+    assert evaluate.spearman(df.limit(0), "a", "b").first()["n"] == 0

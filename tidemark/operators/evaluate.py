@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+RANK_PARTS = 1000
 
 def time_split(rows: DataFrame, day: str, val: float = 0.15, test: float = 0.15) -> DataFrame:
     """Rows with ``split``: train, val or test, the oldest, middle and newest days. A day is never cut: it belongs to where the
@@ -37,14 +38,23 @@ def premium_by_bucket(rows: DataFrame, rate: str, ratio: str, edges: list[float]
     return good.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.percentile(ratio, 0.5).alias("median_ratio"))
 
 
-def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
-    """Rank correlation; equal values share their mean rank. Ranks come from counts of distinct values, so that one task holds
-    the different values and not the rows."""
-    good = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+def _mean_ranks(values: DataFrame, c: str, rows_a_part: int) -> DataFrame:
+    """Mean rank of each distinct value: they are cut into parts by approximate quantiles, at most RANK_PARTS, and ranked in
+    each part from where its predecessors end, so that no task holds all of them."""
+    n = values.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+    cuts = n.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(c, [i / RANK_PARTS for i in range(1, RANK_PARTS)], 10 * RANK_PARTS).alias("at")).first()
+    parts = max(1, min(RANK_PARTS, -(-cuts["n"] // rows_a_part)))
+    edges = sorted({cuts["at"][RANK_PARTS * i // parts - 1] for i in range(1, parts)})
+    part = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(c))) if edges else F.lit(0)
+    cut = n.withColumn("_part", part)
+    ahead = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begin = cut.groupBy("_part").agg(F.sum("_n").alias("_n")).select("_part", ahead(Window.orderBy("_part")).alias("_from"))
+    inside = cut.withColumn("_before", ahead(Window.partitionBy("_part").orderBy(c)))
+    return inside.join(F.broadcast(begin), "_part").select(c, (F.col("_from") + F.col("_before") + (F.col("_n") + 1) / 2).alias(f"_r_{c}"))
 
-    def ranks(c: str) -> DataFrame:
-        n = good.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        before = F.coalesce(F.sum("_n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return n.select(c, (before + (F.col("_n") + 1) / 2).alias(f"_r_{c}"))
 
-    return good.join(ranks(a), a).join(ranks(b), b).agg(F.count(F.lit(1)).alias("n"), F.corr(f"_r_{a}", f"_r_{b}").alias("spearman"))
+def spearman(rows: DataFrame, a: str, b: str, rows_a_part: int = 20_000) -> DataFrame:
+    """Rank correlation; equal values share their mean rank. Ranks come from counts of distinct values, part by part."""
+    good = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    ranks = [_mean_ranks(good, c, rows_a_part) for c in (a, b)]
+    return good.join(ranks[0], a).join(ranks[1], b).agg(F.count(F.lit(1)).alias("n"), F.corr(f"_r_{a}", f"_r_{b}").alias("spearman"))
