@@ -71,6 +71,9 @@ def test_redaction(spark):
     got = {r["doc_id"]: r for r in secret_scan.redact_secrets(docs_of(spark, enumerate(SECRETS)).withColumn("n_chars", F.length("text").cast("long"))).collect()}
     assert got[0]["text"] == "[SECRET] x".replace("[SECRET] x", '[SECRET]" x') and got[0]["n_chars"] == len(got[0]["text"])
     assert got[5]["text"] == "" and got[6]["text"] is None and got[1]["text"] == SECRETS[1]
+    clash = docs_of(spark, [*enumerate(SECRETS), (0, SECRETS[0])]).select("*", *[F.col("doc_id").alias(c) for c in ("findings", "_findings", "blob", "content", "a.b")])
+    left = secret_scan.redact_secrets(clash)
+    assert left.columns == clash.columns and left.where("doc_id = findings AND doc_id = _findings AND doc_id = blob AND `a.b` = doc_id").count() == len(SECRETS) + 1
 
 
 PII = ["mail a.b@c-d.example.com, x@y @z a@b.c@d.e", "1.2.3.4 999.1.1.1 1.2.3 01.2.3.4.5.6.7.8 12.3.4.255", "4111 1111 1111 1111 and 4111-1111-1111-1112 4", "+1 (131) 555-7634 on +12 +1 5 +49 30 12345678.", "https://a.b/c?d=1). mailto:x@y.zz", "é😀 a@b.cc", "", None]
@@ -97,13 +100,32 @@ def test_pii(spark, sf_dir):
     for i, t in enumerate(texts):
         want = pii_base(t or "")
         assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), (i, want, got[i]["spans"])
-        assert ",".join(s for s in got[i]["spans"].split(",") if not s.startswith("url")) == want
+        assert ",".join(s for s in got[i]["spans"].split(",") if not s.startswith(("url", "account", "iban"))) == want
+        assert got[i]["n_spans"] == len([s for s in got[i]["spans"].split(",") if s])
     assert got[4]["n_url"] == 2 and pii.scan_pii(docs_of(spark, []).limit(0)).count() == 0
 
 
+def test_accounts_after_cues(spark):
+    good = "GB82 WEST 1234 5698 7654 32"
+    texts = [f"IBAN: {good}.", "IBAN: GB83 WEST 1234 5698 7654 32", "Account no. 12345678, next", "my account is open 12345678", "accounts 12345678 no", "Passport X1234567", "SSN 078-05-1120", "account 12345", "subaccount 12345678", "x" * 100_000 + " acct# 00112233"]
+    rows = [*enumerate(texts), (0, texts[0]), (20, None), (21, "")]
+    got = pii.scan_pii(docs_of(spark, rows).withColumn("spans", F.lit(1)).withColumn("n_email", F.lit(2))).collect()
+    assert len(got) == len(rows)
+    found = {r["doc_id"]: [tuple(s.split(":")) for s in r["spans"].split(",") if s.startswith(("acc", "iban"))] for r in got}
+    cut = {i: [(k, texts[i][int(a) : int(b)]) for k, a, b in v] for i, v in found.items() if v}
+    assert cut == {0: [("iban", good)], 1: [("account", good.replace("82", "83", 1))], 2: [("account", "12345678")], 5: [("account", "X1234567")], 6: [("account", "078-05-1120")], 9: [("account", "00112233")]}
+
+
 def test_base_counts(spark):
-    texts = ["a b c a b c x", "line\nline\n \n\nline é#\x0b$", "", None, "w " * 60, " ".join(prose(1, 80)), "é" * 3]
-    got = {r["doc_id"]: r for r in quality.score_quality(docs_of(spark, enumerate(texts)), None).collect()}
+    thue = "a"
+    while len(thue) < 4096:
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    other = thue.translate(str.maketrans("ab", "ba"))  # equal under any polynomial hash modulo 2^64
+    texts = ["a b c a b c x", "line\nline\n \n\nline é#\x0b$", "", None, "w " * 60, " ".join(prose(1, 80)), "é" * 3, f"{thue}\n{other}", f"{thue} x {thue} {other} x {other}", "\n".join(["long line here"] * 20_000), "z" * 3_000_000 + " " + "z" * 3_000_000]
+    docs = docs_of(spark, [*enumerate(texts), (0, texts[0])]).withColumn("label", F.lit(1)).withColumn("kept", F.lit(2))
+    scored = quality.score_quality(docs, None).collect()
+    assert len(scored) == len(texts) + 1 and quality.score_quality(docs.limit(0), None).count() == 0
+    got = {r["doc_id"]: r for r in scored}
     for i, t in enumerate(texts):
         w, seen, dup = WORD.findall(t or ""), set(), 0
         for line in (t or "").split("\n"):
@@ -140,6 +162,12 @@ def test_quality_and_toxicity_learn(spark):
     assert rows[held[[labels[i][2] for i in held].index(1)]][1][a:b] in ("grumblefoo", "snarkbar")
     assert quality.fit(docs, known.limit(0)) is None and toxicity.fit(docs, known.limit(0)) is None
     assert toxicity.score_toxicity(docs_of(spark, [(1, None), (None, "")]), None).count() == 2
+    model = toxicity.fit(docs, known, chosen=train)
+    odd = [(1, None), (None, ""), (2, "İİİ grumblefoo grumblefoo İ"), (2, "İİİ grumblefoo grumblefoo İ"), (3, "quiet " * 50_000 + "grumblefoo")]
+    odd = toxicity.score_toxicity(docs_of(spark, odd).withColumn("score", F.lit(1)).withColumn("label", F.lit(2)), model).collect()
+    assert len(odd) == 5 and all(0 <= r["score"] <= 1 for r in odd) and len({r["score"] for r in odd if r["doc_id"] == 2}) == 1
+    assert {r["toxic_spans"] for r in odd if r["doc_id"] == 2} <= {"4:14,15:25", "4:14", "15:25"} and odd[4]["toxic_spans"] in ("300000:300010", "")
+    assert quality.keep_good(docs.withColumn("kept", F.lit(1)).withColumn("p_quality", F.lit("x")), quality.fit(docs, known)).columns == ["doc_id", "text", "kept", "p_quality"]
 
 
 def test_marginals_equal_the_whole_chain():
@@ -167,14 +195,17 @@ def test_decontamination(spark):
     got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_benchmark_items(docs, items).collect())
     assert got == [(0, 1), (0, 1), (3, 2), (6, 1)]
     assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()) == [1, 2, 4, 5]
+    clash = docs.select("*", *[F.col("doc_id").alias(c) for c in ("digest", "doc", "_digest", "a b")])
+    left = decontaminate.drop_contaminated(clash, items)
+    assert left.columns == clash.columns and all(r["digest"] == r["doc"] == r["_digest"] == r["a b"] == r["doc_id"] for r in left.collect())
     assert decontaminate.find_benchmark_items(docs, items.limit(0)).count() == 0
     assert decontaminate.find_benchmark_items(docs.limit(0), items).count() == 0
 
 
-def test_signatures_miss_nothing():
-    for n in range(1, 200):
-        part = 1 << (n - 1).bit_length()
-        k = max(1, part - -(-part * 8 // 10) + 1)
+def test_signatures_miss_nothing(spark):
+    shingled = spark.range(1, 200).selectExpr("id AS item", "5 AS width", "CAST(id AS INT) AS size", "transform(sequence(1L, id), x -> x) AS hashes")
+    for r in decontaminate.signatures(shingled).groupBy("item").count().collect():
+        n, k = r["item"], r["count"]
         need = -(-n * 8 // 10)
         assert k > n - need or k >= n  # more signature shingles than a containing document can lack
 
@@ -244,6 +275,48 @@ def test_fuzzy_passages_from_later_documents(spark):
     assert len({(r["doc_id"], r["src_doc_id"], r["start_word"], r["src_start_word"]) for r in rows}) == len(rows)
 
 
+def test_pieces_in_other_documents_hide_no_passage(spark):
+    """A verbatim passage is found whatever earlier, other and later documents hold pieces of it."""
+    p = prose(1400, 95)
+    pieces = [prose(1500 + k, 60) + p[a : a + 35] + prose(1600 + k, 60) for k, a in enumerate((0, 15, 30, 45, 60))]
+    longer = [prose(1520 + k, 60) + p[a : a + 49] + prose(1620 + k, 60) for k, a in enumerate(range(0, 47, 6))]
+    two = [prose(1700, 30) + p + prose(1701, 90), prose(1702, 60) + p + prose(1703, 20)]
+    short = prose(1410, 50)
+    around = [prose(1540 + k, 40) + short[a : a + 40] + prose(1640 + k, 40) for k, a in enumerate((0, 3, 7, 10))]
+    texts = pieces + longer + two + around + [prose(1704, 25) + short + prose(1705, 40), prose(1706, 70) + short] + pieces[::-1]
+    texts += [prose(1707, 80) + p[:70] + ["x"] + p[:70]]  # twice in one text
+    texts = [x + [f"end{i}"] for i, x in enumerate(texts)]
+    docs = docs_of(spark, [(i, " ".join(x)) for i, x in enumerate(texts)] + [(3, " ".join(texts[3]))])
+    rows = fuzzy_passages.fuzzy_passages(docs.withColumn("digest", F.lit(1)).withColumn("low", F.lit(2))).collect()
+    for low in range(len(texts)):
+        mine = [r for r in rows if r["doc_id"] == low]
+        for src in range(low):
+            assert all(covered(mine, i, j) for i, j in verbatim(texts[low], texts[src])), (low, src)
+        assert all(r["src_doc_id"] < low for r in mine)
+    assert [(r["start_word"], r["end_word"]) for r in rows if (r["doc_id"], r["src_doc_id"]) == (14, 13)] == [(60, 155)]
+
+
+def test_fuzzy_passages_of_repeated_ids(spark):
+    p, q = prose(1800, 80), prose(1801, 80)
+    rows = [(5, p + prose(1810, 50)), (5, q + prose(1811, 50)), (2, prose(1812, 30) + q), (9, prose(1813, 20) + p), (5, prose(1814, 10) + p)]
+    got = fuzzy_passages.fuzzy_passages(docs_of(spark, [(i, " ".join(x)) for i, x in rows])).collect()
+    assert {(r["doc_id"], r["src_doc_id"]) for r in got} == {(5, 2), (9, 5)}
+    assert all(r["end_word"] - r["start_word"] >= 80 and r["n_equal"] >= 80 for r in got)
+    assert [r["start_word"] for r in got if r["doc_id"] == 9] and {(r["start_word"], r["src_start_word"]) for r in got if r["doc_id"] == 5} == {(0, 30)}
+
+
+def test_recall_of_edited_passages(spark):
+    """Of passages of 100 words with a tenth of the words replaced at random places, at least nine tenths are found."""
+    import random
+
+    rng, texts, n = random.Random(5), [], 60
+    for k in range(n):
+        p = prose(2000 + k, 100)
+        texts += [prose(2100 + k, 30) + p, [f"e{k}x{i}" if rng.random() < 0.1 else w for i, w in enumerate(p)] + prose(2200 + k, 30)]
+    got = fuzzy_passages.fuzzy_passages(docs_of(spark, enumerate(map(" ".join, texts)))).collect()
+    assert sum(any((r["doc_id"], r["src_doc_id"]) == (2 * k + 1, 2 * k) and r["end_word"] - r["start_word"] >= 80 for r in got) for k in range(n)) >= 0.9 * n
+
+
 def brute_suffix(rows):
     first, out = {}, {}
     for i, t in sorted(rows, key=lambda r: r[0]):
@@ -277,6 +350,21 @@ def test_suffix_dedup(spark, monkeypatch, part, hot):
     assert suffix_dedup.remove_repeats(docs_of(spark, []).limit(0)).count() == 0
 
 
+def test_longest_previous_factors():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n = int(rng.integers(1, 50))
+        rows = rng.integers(0, 3, (5, 50)).astype(np.uint8)[rng.integers(0, 5, n)]
+        rows[rng.random(n) < 0.3, 40] = 9
+        value = rng.integers(0, 6, n)
+        got = suffix_dedup.longest_previous_factors(rows, value)
+        for i in range(n):
+            lengths = [50 if (rows[i] == rows[j]).all() else int((rows[i] != rows[j]).argmax()) for j in range(n) if value[j] < value[i]]
+            assert got[i] == max(lengths, default=0)
+
+
 def test_sharding(spark):
     rows = [(i, "x" * (i * 37 % 200)) for i in range(900)] + [(1000 + i, "same") for i in range(300)] + [(None, None), (5, "")]
     got = sharding.shard_documents(docs_of(spark, rows), 8).collect()
@@ -289,6 +377,8 @@ def test_sharding(spark):
     sizes = [sum(r["size"] for r in rs) for rs in by.values()]
     assert max(sizes) - min(sizes) <= max(300 * 20, 0.02 * sum(sizes))
     assert all(r["text_crc32"] == zlib.crc32(("x" * (r["doc_id"] * 37 % 200)).encode()) for r in got if r["doc_id"] is not None and r["doc_id"] < 900 and r["size"] > 16)
+    clash = docs_of(spark, [(i % 7, "t" * (i % 5)) for i in range(60)]).select("*", *[F.lit(0).alias(c) for c in ("size", "shard", "slot", "item", "_text", "_part")])
+    assert sorted((r["shard"], r["slot"]) for r in sharding.shard_documents(clash, 3).collect()) == sorted((r["shard"], r["slot"]) for r in sharding.shard_documents(clash.select("doc_id", "text"), 3).collect())
     assert sharding.shard_documents(docs_of(spark, []).limit(0)).count() == 0
 
 
@@ -303,6 +393,17 @@ def test_best_fit_takes_the_tightest_bin():
     assert sharding.best_fit_decreasing(items, 3, 60) == want
 
 
+def test_one_is_kept_of_rows_with_ties(spark):
+    rows = [(1, "same text here", 5), (1, "same text here", 3), (2, "same text here", 1), (None, "", 0), (None, None, 1), (7, "b", 2), (7, "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").select("*", *[F.col("n").alias(c) for c in ("digest", "low", "order", "_digest", "row", "Root")])
+    for parts in (1, 3):
+        kept = near_dup.keep_one(docs.repartition(parts))
+        got = kept.collect()
+        assert kept.columns == docs.columns and all(r["digest"] == r["low"] == r["order"] == r["_digest"] == r["row"] == r["n"] for r in got)
+        assert sorted((r["doc_id"] or 0, r["n"]) for r in got) == [(0, 0), (1, 3), (7, 2)]
+    assert near_dup.keep_one(docs.limit(0)).count() == 0
+
+
 def test_near_duplicates(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "ALL_PAIRS", 3)  # so that buckets with leaders and crowds occur
     base = prose(7, 200)
@@ -338,6 +439,9 @@ def test_bpe(spark):
         ids = ref.encode_ordinary(t or "")
         assert got[i]["n_tokens"] == len(ids) and got[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
+    again = bpe.encode_digests(docs_of(spark, [(1, texts[0]), (1, texts[0])]).withColumn("ids", F.lit(0)).withColumn("n_tokens", F.lit(0)), path, P.PATTERN).collect()
+    assert len(again) == 2 and {r["ids_sha256"] for r in again} == {got[0]["ids_sha256"]}
+    assert bpe.encode_digests(docs_of(spark, []).limit(0), path, P.PATTERN).count() == 0
     back = bpe.decode_ids(bpe.encode_ids(docs_of(spark, enumerate(texts)), path, P.PATTERN), path)
     assert {r["doc_id"]: r["text"] for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
     words = sorted(set(bpe.encoder(path, P.PATTERN).words.findall(texts[0] + texts[7])))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -17,10 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one below the warehouse, which
+    they share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
@@ -39,6 +39,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch sent to a Python worker, where the session has Spark's default (64 MB).
+BATCH_BYTES = 4 << 20
+
+
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded bytes, so that long texts cost tasks little memory."""
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(name) in ("67108864b", "64MB", "67108864"):
+        conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it none of the columns of ``df`` (whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (a stored table) with a broadcast hint if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-_BASE = U(0x9E3779B97F4A7C55)
-_INVERSE = U(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
-_powers = np.ones(1, U)
-_inverses = np.ones(1, U)
+#: Two primes and a base for each: hashes modulo a prime have no texts that collide whatever the base, as those modulo 2^64 do.
+_PRIMES = (2147483647, 2147483629)
+_BASES = (1103515245, 1812433253)
+_powers = [np.ones(1, U), np.ones(1, U)]
+_inverses = [np.ones(1, U), np.ones(1, U)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -21,21 +22,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_SYMBOL = mix(np.arange(1, 257, dtype=U))
+def _geometric(base: int, prime: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo a prime."""
+    out = np.ones(1, U)
+    while len(out) < n:
+        out = np.concatenate([out, out * U(pow(base, len(out), prime)) % U(prime)])
+    return out[:n]
 
 
 def _upto(n: int) -> None:
-    global _powers, _inverses
-    if len(_powers) < n:
-        n = max(n, 1 << 20)
-        with np.errstate(over="ignore"):
-            _powers = np.cumprod(np.concatenate([np.ones(1, U), np.full(n, _BASE, U)]))
-            _inverses = np.cumprod(np.concatenate([np.ones(1, U), np.full(n, _INVERSE, U)]))
+    if len(_powers[0]) < n:
+        n = max(n, 1 << 18) + 1
+        for i, (base, prime) in enumerate(zip(_BASES, _PRIMES, strict=True)):
+            _powers[i] = _geometric(base, prime, n)
+            _inverses[i] = _geometric(pow(base, -1, prime), prime, n)
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
-    """A hash of the bytes of each span; equal bytes give equal hashes wherever they stand. Starts rise. Long input is taken
-    about ``limit`` bytes at a time."""
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int = 1 << 18) -> np.ndarray:
+    """A 62-bit polynomial hash, mixed, of the bytes of each span; equal bytes give equal hashes wherever they stand. Starts
+    rise. Long input is taken about ``limit`` bytes at a time."""
     if len(raw) <= limit:
         return _span_hashes(raw, starts, ends)
     out, i = np.empty(len(starts), U), 0
@@ -48,10 +53,14 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: in
 
 
 def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _upto(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, U)
-    np.cumsum(_SYMBOL[raw] * _powers[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _inverses[starts] + (ends - starts).astype(U))
+    n = len(raw)
+    _upto(n + 1)
+    symbols, sums, parts = raw.astype(U) + U(1), np.zeros(n + 1, U), []
+    for power, inverse, prime in zip(_powers, _inverses, map(U, _PRIMES), strict=True):
+        terms = symbols * power[:n]  # below 2^40, so that a sum of 2^20 fits
+        np.cumsum(terms if n <= 1 << 20 else terms % prime, out=sums[1:])
+        parts.append((sums[ends] - sums[starts]) % prime * inverse[starts] % prime)
+    return mix((parts[0] << U(31) | parts[1]) + mix((ends - starts).astype(U)))
 
 
 def is_space(raw: np.ndarray) -> np.ndarray:
