@@ -9,10 +9,12 @@ order and only up to the time by which the slots are full, so a text costs about
 BANDS bands of ROWS slots put texts into buckets. A bucket of few texts gives all its pairs. In a larger one every text is
 paired with LEADERS leaders of the bucket. Pairs are checked by exact overlap of the multisets, and links joined to classes.
 Buckets that are then still of several classes are compared whole, in blocks of bounded size: every text with every text of
-another class.
+another class whose bag is no smaller or larger than SIMILAR allows.
 
 Equal texts are one text here and are never paired; they share the class of their text. A null text counts as empty. A text
-of one to four words has one shingle; one without words is only in a class with equal texts.
+of one to four words has one shingle; one without words is only in a class with equal texts. Texts of any length count whole;
+repeated rows are copies like any other; an empty table gives no rows. Only doc_id and text are read; :func:`keep_one` returns
+all columns, whatever their names, and of rows equal in text and doc_id the one whose other columns come first as JSON.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest, slices, stored, text_bytes, whole_text
+from .common import arrow_map, broadcast_if_small, digest, fresh, slices, stored, text_bytes, whole_text
 from .components import components
 from .textkit import U, mix, occurrences, shingles
 
@@ -33,6 +35,8 @@ SIMILAR = 0.8
 ALL_PAIRS = 12
 LEADERS = 2
 CHUNK = 128
+#: Digests up to which a side is broadcast (about 16 MB); beyond it the join shuffles.
+BROADCAST_ROWS = 500_000
 
 
 def bag_minhash(hashes: np.ndarray, counts: np.ndarray, bounds: np.ndarray, m: int) -> np.ndarray:
@@ -85,7 +89,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, rows=1024):
+    for batch in slices(batches, rows=1024, limit=1 << 19):
         sets = occurrences(*shingles(*text_bytes(batch.column("text"))))
         keys = band_keys(bag_minhash(*sets, BANDS * ROWS))
         filled = np.diff(sets[2]) > 0
@@ -93,13 +97,23 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The multiset of a text as a sorted set: each further occurrence of a shingle counts as another element."""
-    for batch in slices(batches, rows=1024):
+    """The multiset of a text as a sorted set: each further occurrence of a shingle counts as another element. A task gives a
+    text's bag once, as far as the bounded list of those it had goes."""
+    had: set[bytes] = set()
+    for batch in slices(batches, rows=1024, limit=1 << 18):
+        new = []
+        for d in batch.column("digest").to_pylist():
+            new.append(d not in had)
+            had.add(d)
+        if len(had) > 200_000:
+            had.clear()
+        batch = batch.filter(pa.array(new, pa.bool_()))
         h, n, bounds = occurrences(*shingles(*text_bytes(batch.column("text"))))
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         each = mix(np.repeat(h, n) + mix(nth.astype(U)))
         at = np.concatenate([[0], np.cumsum(n)])[bounds]
-        yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array([np.sort(each[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["digest", "bag"])
+        bags = pa.array([np.sort(each[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(np.diff(at).astype(np.int32)), bags], names=["digest", "size", "bag"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,16 +132,17 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bags_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """digest and multiset of the texts of ``docs`` whose digest is wanted; stored."""
-    keyed = docs.select(digest(whole_text()).alias("digest"), "text")
-    texts = keyed.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
-    return stored(texts.mapInArrow(_expanded, "digest binary, bag binary"), "bags")
+    """digest, size and multiset of the texts of ``docs`` whose digest is wanted (a stored table); stored. Bags are made where
+    the texts are read, and each task sends those of its different texts only."""
+    keyed = docs.select(digest(whole_text()).alias("digest"), "text").join(broadcast_if_small(wanted, BROADCAST_ROWS), "digest", "left_semi")
+    bags = arrow_map(keyed, _expanded, "digest binary, size int, bag binary")
+    return stored(bags.groupBy("digest").agg(F.first("size").alias("size"), F.first("bag").alias("bag")), "bags")
 
 
 def verified(bags: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of digests whose texts have a weighted Jaccard similarity of at least SIMILAR."""
     one = lambda x: bags.select(F.col("digest").alias(x), F.col("bag").alias(f"bag_{x}"))
-    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "bag_a", "bag_b").mapInArrow(_similar, "a binary, b binary")
+    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "bag_a", "bag_b").transform(lambda df: arrow_map(df, _similar, "a binary, b binary"))
 
 
 def _ordered(x: Column, y: Column) -> list[Column]:
@@ -194,9 +209,10 @@ def _block(key: tuple, table: pa.Table) -> pa.Table:
 def crowd_links(many: DataFrame, bags: DataFrame) -> DataFrame:
     """Links between texts of different classes that share crowded buckets. ``many``: key, digest, root (class so far).
 
-    Buckets that share texts make a crowd. A crowd is cut into chunks of about CHUNK texts: large classes have chunks of their
-    own, the rest is mixed. Every two chunks meet in one block but those of one class, so all pairs of texts of different
-    classes are compared exactly, and what is emitted is at most a link a text and block.
+    Buckets that share texts make a crowd. A crowd is parted by the size of the bags, in steps that similar texts cannot skip,
+    and each part cut into chunks of about CHUNK texts: large classes have chunks of their own, the rest is mixed. Every two
+    chunks of the same or neighbouring sizes meet in one block but those of one class, so all pairs of texts of different
+    classes that can be similar are compared exactly, and what is emitted is at most a link a text and block.
     """
     # A bucket is named by its least text, a text by the least of its buckets; only names that differ are edges.
     star = many.groupBy("key").agg(F.min("digest").alias("b"))
@@ -205,34 +221,39 @@ def crowd_links(many: DataFrame, bags: DataFrame) -> DataFrame:
     edges = firsts.join(low, "digest").where("b <> low").select(F.col("low").alias("a"), "b").distinct()
     roots = components(edges, "crowds").select(F.col("node").alias("low"), "root")
     crowd = low.join(roots, "low", "left").select("digest", F.coalesce("root", "low").alias("crowd"))
-    texts = stored(crowd.join(many.select("digest", "root").distinct(), "digest"), "crowd-texts")
-    sizes = texts.groupBy("crowd", "root").agg(F.count(F.lit(1)).alias("n"))
+    # A little wider than SIMILAR asks for, so that rounding puts no similar texts two steps apart.
+    step = F.floor(F.log("size") / np.log(1.01 / SIMILAR)).cast("int")
+    texts = crowd.join(many.select("digest", "root").distinct(), "digest").join(bags.select("digest", step.alias("step")), "digest")
+    texts = stored(texts, "crowd-texts")
+    sizes = texts.groupBy("crowd", "step", "root").agg(F.count(F.lit(1)).alias("n"))
     own = F.when(F.col("n") >= CHUNK, F.col("root"))
-    groups = sizes.groupBy("crowd", own.alias("own")).agg(F.sum("n").alias("n"))
-    keyed = texts.join(sizes, ["crowd", "root"]).select("digest", "crowd", own.alias("own"))
-    same = (F.col("k.crowd") == F.col("g.crowd")) & F.col("k.own").eqNullSafe(F.col("g.own"))
+    groups = sizes.groupBy("crowd", "step", own.alias("own")).agg(F.sum("n").alias("n"))
+    keyed = texts.join(sizes, ["crowd", "step", "root"]).select("digest", "crowd", "step", own.alias("own"))
+    same = (F.col("k.crowd") == F.col("g.crowd")) & (F.col("k.step") == F.col("g.step")) & F.col("k.own").eqNullSafe(F.col("g.own"))
     nth = F.pmod(F.xxhash64("k.digest"), F.ceil(F.col("g.n") / CHUNK))
-    placed = stored(keyed.alias("k").join(groups.alias("g"), same).select("k.digest", "k.crowd", "k.own", F.xxhash64("k.crowd", "k.own", nth).alias("chunk")), "chunks")
-    chunks = placed.select("crowd", "own", "chunk").distinct()
-    x, y = chunks.alias("x"), chunks.alias("y")
+    placed = stored(keyed.alias("k").join(groups.alias("g"), same).select("k.digest", "k.crowd", "k.step", "k.own", F.xxhash64("k.crowd", "k.step", "k.own", nth).alias("chunk")), "chunks")
+    chunks = placed.select("crowd", "step", "own", "chunk").distinct()
+    x, y = chunks.alias("x"), chunks.withColumn("near", F.explode(F.array(F.col("step"), F.col("step") + 1))).alias("y")
+    # Of two chunks of one step the lesser comes first; of neighbouring steps the one of the larger.
+    once = (F.col("x.step") != F.col("y.step")) | (F.col("x.chunk") <= F.col("y.chunk"))
     apart = F.col("x.own").isNull() | F.col("y.own").isNull() | (F.col("x.own") != F.col("y.own"))
-    blocks = x.join(y, (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.chunk") <= F.col("y.chunk")) & apart).select(F.col("x.chunk").alias("one"), F.col("y.chunk").alias("two"))
+    blocks = x.join(y, (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.step") == F.col("y.near")) & once & apart).select(F.col("x.chunk").alias("one"), F.col("y.chunk").alias("two"))
     blocks = stored(blocks, "blocks")
     inside = blocks.where("one = two").select(F.col("one").alias("chunk"), "one", "two", F.lit(2).alias("side"))
     across = blocks.where("one <> two")
     sent = inside.unionByName(across.select(F.col("one").alias("chunk"), "one", "two", F.lit(0).alias("side"))).unionByName(across.select(F.col("two").alias("chunk"), "one", "two", F.lit(1).alias("side")))
-    bagged = placed.select("chunk", "digest").join(bags, "digest")
+    bagged = placed.select("chunk", "digest").join(bags.select("digest", "bag"), "digest")
     return sent.join(bagged, "chunk").groupBy("one", "two").applyInArrow(_block, "a binary, b binary")
 
 
 def links_of(docs: DataFrame) -> DataFrame:
     """Links (a, b) between the digests of different texts of ``docs`` (text) that are similar: as many as make up the classes."""
-    signed = docs.select(digest(whole_text()).alias("digest"), "text").mapInArrow(_sign, "digest binary, keys array<bigint>")
+    signed = arrow_map(docs.select(digest(whole_text()).alias("digest"), "text"), _sign, "digest binary, keys array<bigint>")
     signed = signed.groupBy("digest").agg(F.first("keys").alias("keys"))
     members = stored(signed.select("digest", F.explode("keys").alias("key")), "bands")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(members.join(sizes, "key"), "buckets")
-    bags = bags_of(docs, shared.select("digest").distinct())
+    bags = bags_of(docs, stored(shared.select("digest").distinct(), "wanted"))
     few, large = shared.where(F.col("n") <= ALL_PAIRS), shared.where(F.col("n") > ALL_PAIRS).select("key", "digest", "n")
     # Leaders are texts with the most company over all bands: what the others are copies of, if anything.
     company = large.groupBy("digest").agg((-F.sum("n")).alias("rank"))
@@ -272,8 +293,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     order = lambda i: F.struct(F.col(i).isNull().alias("none"), F.col(i).alias("id"), "digest")
     texts = rows.select("doc_id", digest(whole_text()).alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("low"))
     classed = texts.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "low", F.coalesce("root", "digest").alias("root"))
-    best = classed.groupBy("root").agg(F.min(order("low")).alias("best")).select(F.col("best.digest").alias("_digest"), F.col("best.id").alias("_low"))
+    name, low, order_of = fresh(docs, "digest", "low", "order")
+    best = classed.groupBy("root").agg(F.min(order("low")).alias("best")).select(F.col("best.digest").alias(name), F.col("best.id").alias(low))
     best = stored(best, "kept")
-    keyed = docs.withColumn("_digest", digest(whole_text()))
-    same = (keyed["_digest"] == best["_digest"]) & keyed["doc_id"].eqNullSafe(best["_low"])
-    return keyed.join(best, same, "left_semi").dropDuplicates(["_digest"]).select(*docs.columns)
+    keyed = docs.withColumn(name, digest(whole_text()))
+    same = (keyed[name] == best[name]) & keyed["doc_id"].eqNullSafe(best[low])
+    left = keyed.join(best, same, "left_semi")
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")], F.lit(0)))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = left.withColumn(order_of, others).groupBy(name).agg(F.min_by(row, order_of).alias("row"))
+    return first.select("row.*")
