@@ -10,7 +10,10 @@ meet the documents' shingles in one join, which gives the candidates; their text
 the candidate items counted.
 
 An item of one to four words has one shingle, all its words, looked for among the documents' shingles of that many words. An
-item without words is found nowhere; a null or empty text contains nothing. Equal texts are searched once.
+item without words is found nowhere; a null or empty text contains nothing, and neither does anything in an empty table. Texts
+of any length are searched whole, equal ones once; repeated rows get the findings of their text, a row each. Items with one id
+and different texts are items of their own. Only doc_id and text are read; :func:`drop_contaminated` returns all columns,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest, stored, whole_text
+from .common import broadcast_if_small, digest, fresh, stored, whole_text
 
 CONTAINED = 0.8
 WIDTH = 5
@@ -55,8 +58,7 @@ def signatures(shingled: DataFrame) -> DataFrame:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """With a broadcast hint if the table is stored and its rows are few."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return broadcast_if_small(df, BROADCAST_ROWS)
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -79,10 +81,12 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     wanted = _small(stored(candidates.select("doc").distinct(), "candidate-docs"))
     texts = docs.select(digest(whole_text()).alias("doc"), "text").join(wanted, "doc", "left_semi").groupBy("doc").agg(F.first("text").alias("text"))
     again = texts.select("doc", words_of(whole_text()).alias("w"))
-    full = _small(stored(shingled.select("item", "width", F.explode("hashes").alias("hash")), "item-shingles"))
-    hits = exploded(again).join(full, ["width", "hash"]).groupBy("doc", "item").agg(F.count_distinct("hash").alias("shared"))
+    # The shingles of each candidate pair's item meet those of its document: no item is met that is no candidate there.
+    asked = candidates.join(shingled.select("item", "width", F.explode("hashes").alias("hash")), "item")
+    asked = broadcast_if_small(stored(asked, "asked"), BROADCAST_ROWS // 5)
+    hits = exploded(again).join(asked, ["doc", "width", "hash"]).groupBy("doc", "item").agg(F.count_distinct("hash").alias("shared"))
     sized = shingled.select("item", "item_id", "size")
-    return hits.join(candidates, ["doc", "item"], "left_semi").join(sized, "item").where(F.col("shared") >= F.col("size") * CONTAINED).select("doc", "item_id", F.col("shared").cast("long").alias("shared"), F.col("size").cast("long").alias("size"))
+    return hits.join(sized, "item").where(F.col("shared") >= F.col("size") * CONTAINED).select("doc", "item_id", F.col("shared").cast("long").alias("shared"), F.col("size").cast("long").alias("size"))
 
 
 def find_benchmark_items(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -94,5 +98,6 @@ def find_benchmark_items(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text contains no item."""
-    found = _small(stored(contaminated(docs.select("text"), items).select(F.col("doc").alias("_doc")).distinct(), "contaminated"))
-    return docs.withColumn("_doc", digest(whole_text())).join(found, "_doc", "left_anti").select(*docs.columns)
+    (name,) = fresh(docs, "digest")
+    found = _small(stored(contaminated(docs.select("text"), items).select(F.col("doc").alias(name)).distinct(), "contaminated"))
+    return docs.withColumn(name, digest(whole_text())).join(found, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
