@@ -5,7 +5,9 @@ rule versions that it was scanned with and the findings. A run scans only pairs
 does not have, appends them, and joins the findings of the current rules back to every version. A text that occurs in
 many rows, in any number of runs, is scanned once for each rule version.
 
-Offsets are code points, the end is exclusive. A null text counts as empty; an empty text has no findings.
+Offsets are code points, the end is exclusive. A null text counts as empty; an empty text has no findings. Texts of any length
+are scanned whole; repeated rows get the findings of their text, a row each; of matches that start at one place the kinds stand
+in the order of the rules; an empty table gives no rows. Columns of the given tables may have any names.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, whole_text
+from .common import fresh, new_path, stored, whole_text
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,9 @@ RULES = (
     Rule("hex", 1, "[0-9a-f]{16,}", 0, 16),
 )
 
+#: Blobs with findings, and findings, up to which they are broadcast (some 10 MB); beyond it the join shuffles.
+BROADCAST_ROWS = 100_000
+
 LEDGER = "blob binary, rules array<string>, findings array<struct<start:int,rule:int,stop:int,key:string>>"
 
 
@@ -100,20 +105,25 @@ def findings_of(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULE
     return merged.select("blob", F.sort_array(named).alias("findings"))
 
 
-def join_back(versions: DataFrame, content: Column, findings: DataFrame) -> DataFrame:
-    """Every version with the findings of its blob (an empty array if none). A blob with very many versions is split by
-    adaptive execution, since the other side has one row for it."""
+def join_back(versions: DataFrame, content: Column, findings: DataFrame, name: str) -> DataFrame:
+    """Every version with the findings of its blob as column ``name`` (an empty array if none). The findings are stored and
+    counted: few are broadcast, and with many both sides are plain exchanges, so that adaptive execution splits a blob
+    with very many versions (the other side has one row for it)."""
     none = F.array().cast("array<struct<start:int,rule:int,stop:int>>")
-    keyed = versions.withColumn("_blob", F.unhex(F.sha2(content.cast("binary"), 256)))
-    found = findings.select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings"))
-    return keyed.join(found, "_blob", "left").withColumn("_findings", F.coalesce("_findings", none)).drop("_blob")
+    (key,) = fresh(versions.withColumn(name, F.lit(None)), "blob")
+    found = stored(findings.select(F.col("blob").alias(key), F.col("findings").alias(name)), "findings")
+    n = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(name)).alias("spans")).first()
+    if n["n"] <= BROADCAST_ROWS and (n["spans"] or 0) <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    keyed = versions.withColumn(key, F.unhex(F.sha2(content.cast("binary"), 256)))
+    return keyed.join(found, key, "left").withColumn(name, F.coalesce(name, none)).drop(key)
 
 
-def report(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def report(found: DataFrame, name: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts for each kind, the spans as kind:start:end joined by commas, and their SHA-256."""
-    count = lambda i: F.size(F.filter("_findings", lambda f: f["rule"] == i)).cast("long")
+    count = lambda i: F.size(F.filter(name, lambda f: f["rule"] == i)).cast("long")
     kinds = F.array(*[F.lit(r.kind) for r in rules])
-    spans = F.array_join(F.transform("_findings", lambda f: F.concat_ws(":", F.element_at(kinds, f["rule"] + 1), f["start"], f["stop"])), ",")
+    spans = F.array_join(F.transform(name, lambda f: F.concat_ws(":", F.element_at(kinds, f["rule"] + 1), f["start"], f["stop"])), ",")
     return found.select("doc_id", *[count(i).alias(f"n_{r.kind}") for i, r in enumerate(rules)], F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 
 
@@ -134,15 +144,16 @@ def scan_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule,
     spark = docs.sparkSession
     versions = docs.select("doc_id", whole_text().alias("content"))
     ledger = update_ledger(spark, versions, F.col("content"), ledger, rules)
-    return report(join_back(versions, F.col("content"), findings_of(spark, ledger, rules)), rules)
+    return report(join_back(versions, F.col("content"), findings_of(spark, ledger, rules), "findings"), "findings", rules)
 
 
 def redact_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with secrets in text replaced; n_chars, where there is one, is that of the new text. A null text stays null."""
     spark = docs.sparkSession
     ledger = update_ledger(spark, docs, whole_text(), ledger, rules)
-    found = join_back(docs, whole_text(), findings_of(spark, ledger, rules))
-    out = found.withColumn("text", redacted(F.col("text"), F.col("_findings")))
+    (name,) = fresh(docs, "findings")
+    found = join_back(docs, whole_text(), findings_of(spark, ledger, rules), name)
+    out = found.withColumn("text", redacted(F.col("text"), F.col(name)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_findings") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.size(name) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
