@@ -1,22 +1,24 @@
 """Exact substring de-duplication of bytes: a byte goes if a SPAN-byte string over it also starts in an earlier document.
 
-In suffix order, the earlier occurrence that agrees longest with a position stands at its previous or next smaller position
-(the longest-previous-factor array). Here only factors of SPAN bytes matter, so suffixes are cut to SPAN bytes: equal ones
-are neighbours, and a position has a previous factor of SPAN bytes exactly if a smaller document stands in its run. Sorting
-all suffixes of a corpus would move SPAN times its bytes; instead suffixes meet only where an equal one can exist:
+In suffix order, the earlier occurrence that agrees longest with a position stands at its previous or next smaller position;
+the length of that agreement is the position's longest previous factor. Here only factors of SPAN bytes matter, so suffixes
+are cut to SPAN bytes, and a position goes whose longest previous factor has them all. Sorting all suffixes of a corpus would
+move SPAN times its bytes; instead suffixes meet only where an equal one can exist:
 
 1. Anchors. Each SPAN-byte window has an anchor: of its 16-byte strings the one of least hash. Equal windows have equal
    anchors at equal places. The windows of one anchor are neighbours and make up a block. Hashes of anchors, one for about
    17 bytes, go to buckets; a bucket tells which of them occur in more than one text.
 2. Blocks of such anchors, the bytes of their windows, meet in buckets by anchor (each window on its own, by its hash, if an
    anchor occurs in very many texts, so that no bucket holds a hot one). A bucket sorts the windows of its differing blocks
-   in suffix order and finds those with an earlier document in their run.
+   in suffix order and computes the longest previous factors from previous and next smaller documents. Blocks that are
+   equal to the last byte are one block of the sort, named by its first document.
 3. The windows found go back to their texts, which drop the bytes under them.
 
 Equal texts are one text throughout: its first document is judged, later copies lose all bytes if there are SPAN of them.
 Buckets and parts are as many as the bytes of the corpus ask for. Matches never cross documents and are judged on the input.
-A null text counts as empty; texts shorter than SPAN bytes lose nothing. Rows with one doc_id do not count as earlier than
-each other. A null doc_id comes after all others.
+A null text counts as empty; texts shorter than SPAN bytes lose nothing; longer ones are judged whole. Rows with one doc_id do
+not count as earlier than each other; each repeated row gets the result of its text. A null doc_id comes after all others. An
+empty table gives no rows. Only doc_id and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -233,20 +235,42 @@ def _meet(buckets: int):
     return run
 
 
-def previous_windows(body: np.ndarray, windows: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which windows (starts in ``body``) have an equal one of a smaller document: in suffix order, cut to SPAN bytes, the
-    least document of the run of equal suffixes is the previous smaller position of all the others."""
-    suffixes = np.lib.stride_tricks.sliding_window_view(body, SPAN)[windows]
+def _smaller_before(value: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For each place of a suffix order the common prefix with its previous smaller value (0 if there is none).
+
+    ``lcp`` is the common prefix of each suffix with the one before it. A place looks at its neighbour, and as long as what
+    it looks at is not smaller it goes on to what that looks at, all places at once: what lies between is no smaller either.
+    Where no prefix is left it stops."""
+    at, common = np.arange(len(value)) - 1, lcp.copy()
+    common[:1] = 0
+    todo = np.flatnonzero((common > 0) & (value[np.maximum(at, 0)] >= value))
+    while len(todo):
+        via = at[todo]
+        common[todo], at[todo] = np.minimum(common[todo], common[via]), at[via]
+        todo = todo[(common[todo] > 0) & (value[np.maximum(at[todo], 0)] >= value[todo])]
+    return common
+
+
+def longest_previous_factors(suffixes: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The longest previous factor (cut to SPAN) of each suffix (a row of SPAN bytes): its common prefix with the previous or the
+    next suffix in order that has a smaller value."""
     order = np.argsort(np.ascontiguousarray(suffixes).view(f"S{SPAN}").reshape(-1), kind="stable")
-    ordered = suffixes[order]
-    fresh = np.append(True, (ordered[1:] != ordered[:-1]).any(1))
-    run = np.cumsum(fresh) - 1
-    least = np.minimum.reduceat(doc[order], np.flatnonzero(fresh))
-    out = np.zeros(len(windows), bool)
-    out[order] = least[run] < doc[order]
+    ordered, v = suffixes[order], value[order]
+    differ = ordered[1:] != ordered[:-1]
+    lcp = np.zeros(len(order) + 1, np.int64)
+    lcp[1:-1] = np.where(differ.any(1), differ.argmax(1), SPAN)
+    before = _smaller_before(v, lcp[:-1])
+    after = _smaller_before(v[::-1], lcp[1:][::-1])[::-1]
+    out = np.zeros(len(order), np.int64)
+    out[order] = np.maximum(before, after)
     return out
 
 
+def previous_windows(body: np.ndarray, windows: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which windows (starts in ``body``) have a longest previous factor, of a smaller document, of SPAN bytes."""
+    return longest_previous_factors(np.lib.stride_tricks.sliding_window_view(body, SPAN)[windows], doc) >= SPAN
+
+
 def _together(rows: np.ndarray, kin: np.ndarray, weight: np.ndarray, limit: int = 100_000) -> Iterator[np.ndarray]:
     """Rows sorted by kin, in parts of about ``limit`` weight that do not cut a kin."""
     if not len(rows):
