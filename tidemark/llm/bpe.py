@@ -3,7 +3,8 @@
 Words are the matches of a pre-tokenising pattern, encoded one by one. Each task keeps the ids of the words that it has
 seen in a bounded table, so a word is merged once for each task and not for each occurrence. ``encode_with_functions`` is
 the same fold in Spark's higher-order functions over a literal rank map; it is exact, but too slow for whole corpora (see
-the README), so the Arrow form is the main path. A null text counts as empty; an empty text has no ids.
+the README), so the Arrow form is the main path. A null text counts as empty; an empty text has no ids. Texts of any length are
+encoded whole, repeated rows each on its own; an empty table gives no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import arrow_map, slices, texts_of
 
 #: Distinct words whose ids a task keeps.
 KEPT_WORDS = 400_000
@@ -128,7 +129,7 @@ def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 decoded.append(hashlib.sha256(decode(coded)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return arrow_map(docs.select("doc_id", "text"), run, SCHEMA)
 
 
 def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -140,7 +141,7 @@ def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [[int(i) for i in s.split(",")] if (s := ids_of(e.encode(text))) else [] for text in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>")
 
 
 def decode_ids(coded: DataFrame, path: str) -> DataFrame:

@@ -6,7 +6,9 @@ of them), and the smaller ones are first dealt by hash into shards * BUNDLES bun
 size enter the tightest bin that still has room for them; bins are kept in a balanced tree ordered by remaining capacity.
 Where an item fits no bin (a single group larger than the capacity) it takes the emptiest bin.
 
-A null text has 0 bytes. Repeated rows are rows like any other. An empty table gives no rows.
+A null text has 0 bytes and is of one group with empty ones. Repeated rows are rows like any other, with slots of their own. Texts
+of any length count whole. Rows equal in doc_id and text are alike in all that is returned, so ties have no effect. An empty
+table gives no rows. Only doc_id and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations

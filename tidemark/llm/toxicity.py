@@ -9,8 +9,10 @@
    marginals are those of the whole chain.
 4. The largest marginal, the sum and the share of marginals make the score by a logistic map fitted on the same sample.
 
-Only the text enters a score. A null text counts as empty; an empty text gets the score of a text without evidence. Without
-labels of both classes every score is 0.
+Only the text enters a score. A null text counts as empty; an empty text gets the score of a text without evidence. Texts of
+any length are scored whole. Repeated rows and equal doc_ids are scored row by row, so equal texts have equal scores; an empty
+table gives no rows. Of labels that contradict each other the larger holds; without labels of both classes every score is 0.
+Only doc_id and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled, slices, texts_of
+from .common import arrow_map, labelled, slices, texts_of
 
 TRAIN_ROWS = 10_000
 LEXICON = 3000
@@ -41,6 +43,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def tokens(text: str) -> list[str]:
+    """The words of a text in lower case; where lower case has more letters than the text, each word is cut before."""
+    low = text.lower()
+    return _WORD.findall(low) if len(low) == len(text) else [w.lower() for w in _WORD.findall(text)]
+
+
 def features(word: str) -> list[str]:
     return ["=" + word] + [word[:k] for k in range(3, 8) if len(word) > k]
 
@@ -49,7 +57,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, rows=2000, limit=4 << 20):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, y in zip(texts_of(batch), batch.column("label").to_pylist(), strict=True):
-            seen[y].update({f for w in set(_WORD.findall(text.lower())) for f in features(w)})
+            seen[y].update({f for w in set(tokens(text)) for f in features(w)})
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([c[f] for f in names], pa.int64()) for c in seen]], names=["feature", "clean", "toxic"])
 
@@ -59,7 +67,7 @@ def lexicon_of(rows: DataFrame) -> list[str]:
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
         return []
-    counts = rows.select("text", "label").mapInArrow(_count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = arrow_map(rows.select("text", "label"), _count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log(((F.col("toxic") + 0.1) / (n[1] + 1)) / ((F.col("clean") + 0.5) / (n[0] + 1)))
     best = counts.where(F.col("toxic") >= max(3, n[1] // 400)).select("feature", (odds * F.sqrt("toxic")).alias("gain"), odds.alias("odds")).where(F.col("odds") >= math.log(8))
     return [r["feature"] for r in best.orderBy(F.desc("gain"), "feature").limit(LEXICON).collect()]
@@ -154,7 +162,7 @@ class Field:
         return out
 
     def summary(self, text: str) -> tuple[list[tuple[int, float]], list[float], int]:
-        words = _WORD.findall(text.lower())
+        words = tokens(text)
         active = self.active(words)
         return active, self.marginals(len(words), active), len(words)
 
@@ -176,7 +184,7 @@ def _windows(index: dict[str, int]):
         for batch in slices(batches, rows=2000):
             rows: list[tuple] = []
             for text, y in zip(texts_of(batch), batch.column("label").to_pylist(), strict=True):
-                words = _WORD.findall(text.lower())
+                words = tokens(text)
                 ids = {i: got for i, w in enumerate(words) if (got := [index[f] for f in features(w) if f in index])}
                 centres = sorted(ids)[:: max(1, -(-len(ids) // (WINDOWS_A_TEXT - 1)))] + [len(words) // 2]
                 for c in centres if words else []:
@@ -285,7 +293,7 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int, toxic_span
 
 def score_toxicity(docs: DataFrame, model: Field | None) -> DataFrame:
     """doc_id, held_out, score, predicted and the offsets of words that are likelier toxic than not (start:end in code
-    points of the lower-cased text, joined by commas) for every row of ``docs``."""
+    points of the text, joined by commas) for every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=4096):
@@ -297,9 +305,10 @@ def score_toxicity(docs: DataFrame, model: Field | None) -> DataFrame:
                     continue
                 active, p, n = model.summary(text)
                 scores.append(model.score(p, n))
+                low = text.lower()
                 hot = {i for (i, _), q in zip(active, p, strict=True) if q >= 0.5}
-                spans.append(",".join(f"{m.start()}:{m.end()}" for i, m in enumerate(_WORD.finditer(text.lower())) if i in hot) if hot else "")
+                spans.append(",".join(f"{m.start()}:{m.end()}" for i, m in enumerate(_WORD.finditer(text if len(low) != len(text) else low)) if i in hot) if hot else "")
             flags = [int(s >= FLAG_AT) for s in scores]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array(flags, pa.int32()), pa.array(spans, pa.string())], names=["doc_id", "held_out", "score", "predicted", "toxic_spans"])
 
-    return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(run, SCHEMA)
+    return arrow_map(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), run, SCHEMA)
