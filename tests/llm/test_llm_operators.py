@@ -284,15 +284,19 @@ def test_pieces_in_other_documents_hide_no_passage(spark):
     short = prose(1410, 50)
     around = [prose(1540 + k, 40) + short[a : a + 40] + prose(1640 + k, 40) for k, a in enumerate((0, 3, 7, 10))]
     texts = pieces + longer + two + around + [prose(1704, 25) + short + prose(1705, 40), prose(1706, 70) + short] + pieces[::-1]
-    texts += [prose(1707, 80) + p[:70] + ["x"] + p[:70]]  # twice in one text
+    texts += [prose(1707, 80) + p[10:40] + prose(1708, 60) + p]  # seeds of the passage stand earlier in its text
+    texts += [["w"] * 3000, prose(1709, 60) * 40, ["w"] * 2000 + prose(1709, 60) * 30]
     texts = [x + [f"end{i}"] for i, x in enumerate(texts)]
     docs = docs_of(spark, [(i, " ".join(x)) for i, x in enumerate(texts)] + [(3, " ".join(texts[3]))])
     rows = fuzzy_passages.fuzzy_passages(docs.withColumn("digest", F.lit(1)).withColumn("low", F.lit(2))).collect()
     for low in range(len(texts)):
         mine = [r for r in rows if r["doc_id"] == low]
         for src in range(low):
-            assert all(covered(mine, i, j) for i, j in verbatim(texts[low], texts[src])), (low, src)
+            if low < len(texts) - 3:
+                assert all(covered(mine, i, j) for i, j in verbatim(texts[low], texts[src])), (low, src)
         assert all(r["src_doc_id"] < low for r in mine)
+    last = len(texts) - 1
+    assert {r["src_doc_id"] for r in rows if r["doc_id"] == last} == {last - 1, last - 2}
     assert [(r["start_word"], r["end_word"]) for r in rows if (r["doc_id"], r["src_doc_id"]) == (14, 13)] == [(60, 155)]
 
 
