@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 def spark():
     from pyspark.sql import SparkSession
 
-    conf = {"spark.master": "local[4]", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.ui.showConsoleProgress": "false"}
+    conf = {"spark.master": "local[4]", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="spark-")}
     session = SparkSession.builder.config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -33,29 +33,33 @@ def comp_window_stats(labels: DataFrame, comps: DataFrame, lag_days: int = 30, w
     """Labels (region, prediction_date, ...) with n_comps, comp_avg and comp_median of the sales (region, deal_date, price) of
     their region from window_days to lag_days before.
 
-    The statistics hang on (region, prediction_date) alone and are computed once for each. Count and average come from a
-    frame over daily sums, whose rows are the days of a region whatever the number of sales. A median needs the sales: they
-    meet the dates in an equi-join on (region, stretch of days), so a region is spread over its stretches. ``median`` is
-    exact, approx or None.
+    The statistics hang on (region, prediction_date) alone and are computed once for each, by a frame over the days of a region:
+    count and average from daily sums, the median from daily arrays of prices (a frame holds those of window_days - lag_days
+    + 1 days). No pair of a date and a sale is formed. ``median`` is exact or None.
     """
-    keys = labels.select("region", "prediction_date").distinct()
-    stats = comp_window_frame(keys, comps, lag_days, window_days)
-    if median:
-        how = F.percentile("price", 0.5) if median == "exact" else F.percentile_approx("price", 0.5)
-        pairs = window_pairs(keys, comps, lag_days, window_days)
-        middle = pairs.groupBy("region", "prediction_date").agg(how.alias("comp_median"))
-        stats = stats.join(middle, ["region", "prediction_date"], "left")
+    stats = comp_window_frame(labels.select("region", "prediction_date"), comps, lag_days, window_days, median is not None)
     return labels.join(stats, ["region", "prediction_date"], "left").withColumn("n_comps", F.coalesce("n_comps", F.lit(0).cast("long")))
 
 
-def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int) -> DataFrame:
-    """n_comps and comp_avg of each (region, prediction_date), by a range frame over daily sums."""
-    daily = comps.where(F.col("price").isNotNull()).groupBy("region", F.col("deal_date").alias("day")).agg(F.count("price").alias("n"), F.sum("price").alias("s"))
-    asked = keys.select("region", F.col("prediction_date").alias("day")).distinct()
-    rows = daily.select("region", "day", "n", "s", F.lit(False).alias("asked")).unionByName(asked.select("region", "day", F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("s"), F.lit(True).alias("asked")))
+def _middle(prices: Column) -> Column:
+    """The median of an array: its middle element, or the mean of the middle two; null if it is empty."""
+    ordered = F.sort_array(prices)
+    n = F.size(prices)
+    return (F.get(ordered, F.floor((n - 1) / 2).cast("int")) * 0.5 + F.get(ordered, F.floor(n / 2).cast("int")) * 0.5)
+
+
+def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int, median: bool = False) -> DataFrame:
+    """n_comps and comp_avg of each (region, prediction_date), by a range frame over daily sums; with ``median`` also
+    comp_median, from daily arrays of prices."""
+    prices = [F.collect_list("price").alias("p")] if median else []
+    daily = comps.where(F.col("price").isNotNull()).groupBy("region", F.col("deal_date").alias("day")).agg(F.count("price").alias("n"), F.sum("price").alias("s"), *prices)
+    asked = keys.select("region", F.col("prediction_date").alias("day"), F.lit(True).alias("asked")).distinct()
+    rows = daily.withColumn("asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
     frame = Window.partitionBy("region").orderBy(_day(F.col("day"))).rangeBetween(-window_days, -lag_days)
-    got = rows.select("region", "day", "asked", F.coalesce(F.sum("n").over(frame), F.lit(0)).alias("n_comps"), F.sum("s").over(frame).alias("_s"))
-    return got.where("asked").select("region", F.col("day").alias("prediction_date"), "n_comps", F.try_divide("_s", "n_comps").alias("comp_avg"))
+    lists = [F.collect_list("p").over(frame).alias("_p")] if median else []
+    got = rows.select("region", "day", "asked", F.coalesce(F.sum("n").over(frame), F.lit(0)).alias("n_comps"), F.sum("s").over(frame).alias("_s"), *lists)
+    middle = [_middle(F.flatten("_p")).alias("comp_median")] if median else []
+    return got.where("asked").select("region", F.col("day").alias("prediction_date"), "n_comps", F.try_divide("_s", "n_comps").alias("comp_avg"), *middle)
 
 
 def window_pairs(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int) -> DataFrame:

@@ -47,6 +47,23 @@ def within(points: DataFrame, ref: DataFrame, radius_m: float, point_id: str, va
     return met.where(F.col("dist_m") <= radius_m).select(point_id, *values, "dist_m")
 
 
+def sales_near(rows: DataFrame, comps: DataFrame, radius_m: float, row_id: str, lag_days: int, window_days: int, max_lat: float = 66.0) -> DataFrame:
+    """row_id with, for each place and day of usable sales within radius and window, their number n, sum s, dist_m and age.
+
+    Sales are first summed up by place and day, as distance and age hang on those alone. Both sides meet in an equi-join on
+    cell and stretch of days, so that no sale of another time is compared.
+    """
+    steps, span = _steps(radius_m, max_lat), max(1, window_days - lag_days + 1)
+    day = F.unix_date("prediction_date")
+    p = _cells(rows.where("lat IS NOT NULL AND lon IS NOT NULL").select(row_id, "lat", "lon", "prediction_date"), steps, around=True)
+    p = p.withColumn("_t", F.explode(F.sequence(F.floor((day - window_days) / span), F.floor((day - lag_days) / span))))
+    daily = comps.where("lat IS NOT NULL AND lon IS NOT NULL AND price IS NOT NULL").groupBy("lat", "lon", "deal_date").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("s"))
+    r = _cells(daily, steps, around=False).withColumnsRenamed({"lat": "_lat", "lon": "_lon"}).withColumn("_t", F.floor(F.unix_date("deal_date") / span))
+    met = p.join(r, ["_y", "_x", "_t"]).withColumn("age", F.datediff("prediction_date", "deal_date")).where((F.col("age") >= lag_days) & (F.col("age") <= window_days))
+    near = met.withColumn("dist_m", haversine_m(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))).where(F.col("dist_m") <= radius_m)
+    return near.select(row_id, "n", "s", "dist_m", "age")
+
+
 def radius_count(points: DataFrame, ref: DataFrame, radii_m: list[int], point_id: str, prefix: str) -> DataFrame:
     """Points with the number of reference points within each radius, the edge included."""
     hits = within(points, ref, max(radii_m), point_id, []).groupBy(point_id).agg(*[F.count_if(F.col("dist_m") <= r).alias(f"{prefix}_within_{r}m") for r in radii_m])
@@ -92,14 +109,13 @@ def comp_matrix(rows: DataFrame, comps: DataFrame, row_id: str, radii_m: list[in
 
     One join at the widest radius and window; all other cells of the matrix are conditional sums over it.
     """
-    usable = (F.date_add("deal_date", lag_days) <= F.col("prediction_date")) & (F.col("deal_date") >= F.date_sub("prediction_date", max(windows)))
-    met = within(rows, comps, max(radii_m), row_id, ["deal_date", "price"]).join(rows.select(row_id, "prediction_date"), row_id).where(usable)
-    age, weight = F.datediff("prediction_date", "deal_date"), 1 / (F.col("dist_m") + 1)
+    met = sales_near(rows, comps, max(radii_m), row_id, lag_days, max(windows))
+    weight = 1 / (F.col("dist_m") + 1)
     cells = []
     for r in radii_m:
         for w in windows:
-            here = (F.col("dist_m") <= r) & (age <= w) & F.col("price").isNotNull()
-            cells += [F.count_if(here).alias(f"n_{r}m_{w}d"), F.try_divide(F.sum(F.when(here, F.col("price") * weight)), F.sum(F.when(here, weight))).alias(f"price_{r}m_{w}d")]
+            here = (F.col("dist_m") <= r) & (F.col("age") <= w)
+            cells += [F.sum(F.when(here, F.col("n"))).alias(f"n_{r}m_{w}d"), F.try_divide(F.sum(F.when(here, F.col("s") * weight)), F.sum(F.when(here, F.col("n") * weight))).alias(f"price_{r}m_{w}d")]
     out = rows.join(met.groupBy(row_id).agg(*cells), row_id, "left")
     counts = [f"n_{r}m_{w}d" for r in radii_m for w in windows]
     out = out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
@@ -113,7 +129,6 @@ def comp_matrix(rows: DataFrame, comps: DataFrame, row_id: str, radii_m: list[in
 
 def weighted_comp_price(rows: DataFrame, comps: DataFrame, row_id: str, radius_m: int, window_days: int, lag_days: int) -> DataFrame:
     """Rows with comp_price: the mean price of usable sales within radius and window, weighted by 1 / (distance + 1 m)."""
-    usable = (F.date_add("deal_date", lag_days) <= F.col("prediction_date")) & (F.col("deal_date") >= F.date_sub("prediction_date", window_days))
-    met = within(rows, comps, radius_m, row_id, ["deal_date", "price"]).join(rows.select(row_id, "prediction_date"), row_id).where(usable & F.col("price").isNotNull())
+    met = sales_near(rows, comps, radius_m, row_id, lag_days, window_days)
     weight = 1 / (F.col("dist_m") + 1)
-    return rows.join(met.groupBy(row_id).agg((F.sum(F.col("price") * weight) / F.sum(weight)).alias("comp_price")), row_id, "left")
+    return rows.join(met.groupBy(row_id).agg((F.sum(F.col("s") * weight) / F.sum(F.col("n") * weight)).alias("comp_price")), row_id, "left")
