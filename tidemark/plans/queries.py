@@ -292,10 +292,18 @@ def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lookup cache: some of the parcel addresses and keywords that the rows ask for, hit or missed by a hash."""
     named = resolve._addresses(_asked(spark, sf_dir), bound(spark, sf_dir, "districts"), "sigungu_code", "dong", "jibun", "complex_name", False)
     asked = named.select(F.lit("parcel").alias("method"), F.col("_parcel").alias("query")).union(named.select(F.lit("keyword"), "_keyword")).where("query IS NOT NULL").distinct()
-    h = F.pmod(F.crc32(F.col("query").cast("binary")), F.lit(1000))
+    h = F.conv(F.substring(F.md5(F.col("query").cast("binary")), 1, 6), 16, 10).cast("int") % 1000
     return asked.where(h % 4 != 3).select("method", "query", F.when(h % 4 == 0, "miss").otherwise("ok").alias("status"), (33 + h / 200).alias("lat"), (124 + h / 150).alias("lon"))
 
 
+_FOUND = """CAST('0x' || substring(md5({0}), 1, 6) AS INTEGER) % 1000"""
+_PLACED = f"""{_LAYERS}, r AS (SELECT row_id, arg_min(code, t.layer) AS legal_code FROM t JOIN u ON u.sigungu_code = own AND u.layer = t.layer AND u.key = t.key GROUP BY row_id),
+z AS (SELECT ad.*, CASE WHEN regexp_matches(jibun, '^(산\\s*)?[0-9]+(-[0-9]+)?$') THEN a.name || ' ' || CASE WHEN jibun LIKE '산%' THEN '산 ' || trim(substring(jibun, 2)) ELSE jibun END END AS parcel,
+  trim(concat_ws(' ', city, trim(regexp_replace(regexp_replace(complex_name, '\\([^)]*\\)', ' ', 'g'), '\\s+', ' ', 'g')))) AS word
+  FROM addresses ad LEFT JOIN r USING (row_id) LEFT JOIN a ON a.code = legal_code LEFT JOIN city ON city.sigungu_code = ad.sigungu_code),
+h AS (SELECT *, {_FOUND.format("parcel")} AS hp, {_FOUND.format("word")} AS hk FROM z),
+g AS (SELECT *, CASE WHEN hp % 4 IN (1, 2) THEN 'parcel' WHEN hk % 4 IN (1, 2) THEN 'keyword' ELSE 'none' END AS geocode_precision, CASE WHEN hp % 4 IN (1, 2) THEN hp WHEN hk % 4 IN (1, 2) THEN hk END AS hit FROM h)"""
+
 _BORROW = "b AS (SELECT 'Complex' || CAST(point_id % 40 AS VARCHAR) AS base, arg_min(lat, point_id) AS lat, arg_min(lon, point_id) AS lon FROM points WHERE lat IS NOT NULL GROUP BY ALL)"
 
 
@@ -319,31 +327,37 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(resolve.centroids(placed), 6, "lat", "lon")
 
 
-@query()
+@query(f"""WITH {_PLACED}, w AS (SELECT row_id, sigungu_code AS sgg, split_part(complex_name, ' ', 2) AS nr, coalesce(CASE WHEN length(tok) > 1 THEN regexp_replace(tok, '[읍면동리가]$', '') ELSE tok END, '') AS stem, hp, hk FROM (SELECT *, list_extract(string_split(dong, ' '), -1) AS tok FROM g)),
+b AS (SELECT sgg, nr, arg_min(lat, point_id) AS lat, arg_min(lon, point_id) AS lon FROM w JOIN points ON point_id = row_id WHERE lat IS NOT NULL GROUP BY ALL),
+c AS (SELECT w.*, CASE WHEN hp % 4 IN (1, 2) THEN 'parcel' WHEN b.lat IS NOT NULL THEN 'borrow' WHEN hk % 4 IN (1, 2) THEN 'keyword' ELSE 'none' END AS how,
+  CASE WHEN hp % 4 IN (1, 2) THEN 33 + hp / 200 WHEN b.lat IS NOT NULL THEN b.lat WHEN hk % 4 IN (1, 2) THEN 33 + hk / 200 END AS y, CASE WHEN hp % 4 IN (1, 2) THEN 124 + hp / 150 WHEN b.lat IS NOT NULL THEN b.lon WHEN hk % 4 IN (1, 2) THEN 124 + hk / 150 END AS x FROM w LEFT JOIN b USING (sgg, nr)),
+d AS (SELECT sgg, stem, avg(y) AS y, avg(x) AS x FROM c WHERE y IS NOT NULL GROUP BY ALL), s AS (SELECT sgg, avg(y) AS y, avg(x) AS x FROM c WHERE y IS NOT NULL GROUP BY ALL)
+SELECT row_id, round(coalesce(c.y, d.y, s.y), 6) AS lat, round(coalesce(c.x, d.x, s.x), 6) AS lon, CASE WHEN c.y IS NULL AND coalesce(d.y, s.y) IS NOT NULL THEN 'centroid' ELSE how END AS geocode_precision
+FROM c LEFT JOIN d USING (sgg, stem) LEFT JOIN s USING (sgg)""", "districts", "addresses", "points")
 def geocode_label_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = bound(spark, sf_dir, "points").where("point_id % 5 = 0").join(_asked(spark, sf_dir).select("row_id", "sigungu_code", "complex_name"), F.col("row_id") == F.col("point_id"))
+    p = bound(spark, sf_dir, "points").join(_asked(spark, sf_dir).select("row_id", "sigungu_code", "complex_name"), F.col("row_id") == F.col("point_id"))
     borrow = resolve.borrow_index(p, "complex_name", "sigungu_code", "point_id", normalise=False)
     got = resolve.geocode_labels(_asked(spark, sf_dir).select("row_id", "region_code", "dong", "jibun", "complex_name"), bound(spark, sf_dir, "districts"), _lookup(spark, sf_dir), borrow, normalise=False)
     return _rounded(got.select("row_id", "lat", "lon", "geocode_precision"), 6, "lat", "lon")
 
 
-@query()
+@query(f"WITH {_PLACED} SELECT row_id, round(33 + hit / 200, 6) AS lat, round(124 + hit / 150, 6) AS lon, geocode_precision FROM g", "districts", "addresses")
 def geocode_comps_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = resolve.geocode_comps(_asked(spark, sf_dir).select("row_id", "sggCd", "umdNm", "jibun", "aptNm"), bound(spark, sf_dir, "districts"), _lookup(spark, sf_dir), normalise=False)
     return _rounded(got.select("row_id", "lat", "lon", "geocode_precision"), 6, "lat", "lon")
 
 
-@query("""SELECT c_custkey AS row_id, CASE WHEN c_custkey % 3 = 0 AND s.s_suppkey IS NOT NULL THEN 'road' WHEN s.s_suppkey IS NOT NULL AND c_custkey % 2 = 0 THEN 'keyword' ELSE 'none' END AS geocode_precision FROM customer LEFT JOIN supplier s ON s_suppkey = c_custkey""")
+@query("""SELECT c_custkey AS row_id, CASE WHEN c_custkey % 3 = 0 AND s.s_suppkey IS NOT NULL THEN 'road' WHEN s.s_suppkey IS NOT NULL AND c_custkey % 2 = 0 THEN 'keyword' ELSE 'none' END AS geocode_precision, CASE WHEN c_custkey % 3 = 0 AND s.s_suppkey IS NOT NULL THEN 37.0 WHEN s.s_suppkey IS NOT NULL AND c_custkey % 2 = 0 THEN 37.5 END AS lat, CASE WHEN c_custkey % 3 = 0 AND s.s_suppkey IS NOT NULL THEN 127.0 WHEN s.s_suppkey IS NOT NULL AND c_custkey % 2 = 0 THEN 127.5 END AS lon FROM customer LEFT JOIN supplier s ON s_suppkey = c_custkey""")
 def geocode_schools_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey").cast("string")
     schools = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"), k.alias("name"), F.lit("Seoul").alias("sido"), F.concat(F.lit("Road "), k).alias("road_address"))
     s, key = _table(spark, sf_dir, "supplier"), F.col("s_suppkey").cast("string")
     road = s.where("s_suppkey % 3 = 0").select(F.lit("road").alias("method"), F.concat(F.lit("Road "), key).alias("query"), F.lit("ok").alias("status"), F.lit(37.0).alias("lat"), F.lit(127.0).alias("lon"))
     word = s.where("s_suppkey % 2 = 0").select(F.lit("keyword").alias("method"), F.concat(F.lit("Seoul "), key).alias("query"), F.lit("ok").alias("status"), F.lit(37.5).alias("lat"), F.lit(127.5).alias("lon"))
-    return resolve.geocode_schools(schools, road.union(word)).select("row_id", "geocode_precision")
+    return resolve.geocode_schools(schools, road.union(word)).select("row_id", "geocode_precision", "lat", "lon")
 
 
-@query()
+@query(f"WITH {_PLACED} SELECT sigungu_code AS \"sggCd\", geocode_precision, count(*) AS n FROM g GROUP BY ALL", "districts", "addresses")
 def geocode_distinct_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of the distinct keys of sales, joined back to every sale."""
     rows = _asked(spark, sf_dir).select("sggCd", "umdNm", "jibun", "aptNm")
@@ -351,7 +365,7 @@ def geocode_distinct_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.groupBy("sggCd", "geocode_precision").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(f"WITH {_PLACED} SELECT geocode_precision, count(*) AS n_rows, avg(CASE WHEN hit IS NULL THEN 0.0 ELSE 1.0 END) AS resolved FROM g GROUP BY ALL", "districts", "addresses")
 def precision_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.precision_tally(geocode_comps_cascade(spark, sf_dir))
 

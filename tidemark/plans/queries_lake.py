@@ -10,7 +10,7 @@ from tidemark.operators import asof, enrich, evaluate, features, lake, regulator
 from tidemark.sources import files
 
 from .bindings import bound
-from .queries import _rounded, _table, query
+from .queries import _LEDGER, _rounded, _table, query
 
 # --- validation ------------------------------------------------------------------------------------------------------
 
@@ -329,13 +329,22 @@ def scan_typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, "code string, name string")
 
 
-@query("WITH l AS (SELECT 1) SELECT feed, region, deal_key FROM seen WHERE false", "seen")
+@query(f"WITH {_LEDGER} SELECT * FROM led", "seen")
 def ledger_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ledger that was never stored is empty, with its columns."""
-    from tidemark.operators.ledger import LEDGER
+    """The ledger of the observations, stored and loaded; one that was never stored is loaded as empty and adds nothing."""
+    from tidemark.operators.ledger import LEDGER, ledger_of
 
-    have = bound(spark, sf_dir, "seen").select("feed", "region", "deal_key")
-    return files.read_or_empty(spark, files.work_folder(spark, "nothing"), LEDGER).select("feed", "region", "deal_key").join(have, ["feed", "region", "deal_key"], "left_semi")
+    path = files.work_folder(spark, "ledger")
+    ledger_of(bound(spark, sf_dir, "seen")).write.parquet(path)
+    return files.read_or_empty(spark, path, LEDGER).unionByName(files.read_or_empty(spark, files.work_folder(spark, "nothing"), LEDGER))
+
+
+@query("""SELECT o_custkey, string_agg(strftime(m, '%Y%m'), ',' ORDER BY m) AS months FROM (SELECT o_custkey, unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS m FROM orders GROUP BY o_custkey) GROUP BY o_custkey""")
+def month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months from a customer's first order to the last."""
+    month = lambda f: F.date_format(f("o_orderdate"), "yyyyMM")
+    spans = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(month(F.min).alias("a"), month(F.max).alias("b"))
+    return spans.select("o_custkey", F.array_join(amounts.month_range(F.col("a"), F.col("b")), ",").alias("months"))
 
 
 def _bodies(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

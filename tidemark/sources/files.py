@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +12,8 @@ from tidemark.functions.names import code_level
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or a local one where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    """A new folder that driver and executors share: under spark.checkpoint.dir, or where that is unset below the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
     return f"{folder}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
