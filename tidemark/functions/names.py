@@ -23,10 +23,19 @@ def nfkc(name: Column, normalise: bool = True) -> Column:
     return F.pandas_udf(_nfkc, "string")(text) if normalise else text
 
 
+# What is cut from a complex's name, in this order (brackets, block codes, phases, blocks).
+NAME_CUTS = (
+    r"\([^)]*\)",
+    r"[A-Z]{1,3}-?[0-9]+(-[0-9]+)?(?U:\s*)(블[록럭]|BL)?",
+    r"[0-9]+(?U:\s*)(단지|차|회|블[록럭]|BL)",
+    r"(블[록럭]|BL)(?U:\s*)[A-Z]?-?[0-9]*",
+)
+
+
 def base_name(name: Column, normalise: bool = True) -> Column:
     """A complex's name without brackets, block codes and phase markers, all white space removed: the key to match sources."""
     s = nfkc(name, normalise)
-    for cut in (r"\([^)]*\)", r"[A-Z]{1,3}-?[0-9]+(-[0-9]+)?(?U:\s*)(블[록럭]|BL)?", r"[0-9]+(?U:\s*)(단지|차|회|블[록럭]|BL)", r"(블[록럭]|BL)(?U:\s*)[A-Z]?-?[0-9]*"):
+    for cut in NAME_CUTS:
         s = F.regexp_replace(s, cut, " ")
     return F.regexp_replace(s, r"(?U)\s+", "")
 

@@ -12,12 +12,12 @@ FIELDS = ("price_ceiling", "jeonmae_raw", "residence_raw", "regulated_zone_raw",
 
 
 def best_document(candidates: DataFrame, least: int = LEAST_TEXT) -> DataFrame:
-    """Of a launch's candidate texts (pblanc_no, seq, text) the first with the anchor word, else the longest; texts under
-    ``least`` characters do not count."""
-    good = candidates.where((F.length("text") >= least) & (F.col("seq") < 8))
-    anchored = F.col("text").contains(rules.ANCHOR)
-    order = F.struct(anchored.alias("a"), F.when(anchored, -F.col("seq")).alias("s"), F.length("text").alias("n"), (-F.col("seq")).alias("t"))
-    return good.groupBy("pblanc_no").agg(F.max_by("text", order).alias("text"))
+    """Of a launch's candidate texts (pblanc_no, seq, text; the first eight) the first with the anchor word, else the longest.
+    Launches whose chosen text has fewer than ``least`` characters are left out."""
+    anchored = F.coalesce(F.col("text").contains(rules.ANCHOR), F.lit(False))
+    order = F.struct(anchored.alias("a"), F.when(anchored, -F.col("seq")).otherwise(F.length("text")).alias("n"), (-F.col("seq")).alias("t"))
+    chosen = candidates.where((F.col("seq") < 8) & F.col("text").isNotNull()).groupBy("pblanc_no").agg(F.max_by("text", order).alias("text"))
+    return chosen.where(F.length("text") >= least)
 
 
 def extract_text(documents: DataFrame) -> DataFrame:

@@ -275,18 +275,20 @@ def write_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_truncate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
-    name = f"contract_{uuid.uuid4().hex}"
-    n = [files.load_table(files.read_region_lake(spark, _lake(spark, sf_dir), _LAKE), name) for _ in range(2)][-1]
-    return spark.table(name).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") == n)
+    name, path = f"contract_{uuid.uuid4().hex}", files.work_folder(spark, "table")
+    n = [files.load_table(files.read_region_lake(spark, _lake(spark, sf_dir), _LAKE), name, path=path) for _ in range(2)][-1]
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") == n)
 
 
 @query("SELECT label_id, total FROM labels", "labels")
 def feature_table_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
-    name = f"features_{uuid.uuid4().hex}"
-    files.load_table(bound(spark, sf_dir, "labels").select("label_id", "total"), name)
-    return spark.table(name)
+    name, path = f"features_{uuid.uuid4().hex}", files.work_folder(spark, "table")
+    files.load_table(bound(spark, sf_dir, "labels").select("label_id", "total"), name, path=path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
 
 
 @query("SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01'")
@@ -455,10 +457,12 @@ def extract_regulatory_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.regulatory(regulatory.extract_text(_notices(spark, sf_dir))).select("pblanc_no", "price_ceiling", "jeonmae_months", "residence_months", "regulated_zone", "land_type")
 
 
-@query("""WITH c AS (SELECT doc_id % 50 AS pblanc_no, CAST(doc_id // 50 AS INT) AS seq, text FROM documents), g AS (SELECT * FROM c WHERE length(text) >= 1500 AND seq < 8)
-SELECT pblanc_no, arg_max(md5(text), (length(text), -seq)) AS body FROM g GROUP BY pblanc_no""")
+@query(f"""WITH c AS (SELECT doc_id // 8 AS pblanc_no, doc_id % 8 AS seq, coalesce(text, '') || CASE WHEN doc_id % 11 = 0 THEN ' {rules.ANCHOR}' ELSE '' END AS text FROM documents), g AS (SELECT *, contains(text, '{rules.ANCHOR}') AS a FROM c)
+SELECT pblanc_no, md5(text) AS body FROM (SELECT pblanc_no, arg_max(text, (CAST(a AS INT), CASE WHEN a THEN -seq ELSE length(text) END, -seq)) AS text FROM g GROUP BY pblanc_no) WHERE length(text) >= 1500""")
 def best_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).alias("pblanc_no"), F.floor(F.col("doc_id") / 50).cast("int").alias("seq"), "text")
+    """Every eight neighbouring documents are the candidates of one launch."""
+    text = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("doc_id") % 11 == 0, F.lit(f" {rules.ANCHOR}")).otherwise(""))
+    c = _table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 8).alias("pblanc_no"), (F.col("doc_id") % 8).alias("seq"), text.alias("text"))
     return regulatory.best_document(c).select("pblanc_no", F.md5(F.col("text").cast("binary")).alias("body"))
 
 

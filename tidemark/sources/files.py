@@ -37,9 +37,10 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def load_table(df: DataFrame, table: str, truncate: bool = True) -> int:
-    """(Re)loads a catalog table, returns its rows."""
-    df.write.mode("overwrite" if truncate else "append").saveAsTable(table)
+def load_table(df: DataFrame, table: str, truncate: bool = True, path: str | None = None) -> int:
+    """(Re)loads a catalog table, an external one if a ``path`` is given; returns its rows."""
+    writer = df.write.mode("overwrite" if truncate else "append")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.table(table).count()
 
 
