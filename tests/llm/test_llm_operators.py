@@ -300,6 +300,14 @@ def test_pieces_in_other_documents_hide_no_passage(spark):
     assert [(r["start_word"], r["end_word"]) for r in rows if (r["doc_id"], r["src_doc_id"]) == (14, 13)] == [(60, 155)]
 
 
+def test_very_common_passages(spark):
+    passage, n = " ".join(prose(3, 70)), 1200  # its seeds are common keys, which meet by broadcast
+    rows = [(i, " ".join(f"w{i}.{k}" for k in range(6)) + f" {passage} " + " ".join(f"v{i}.{k}" for k in range(6))) for i in range(n)]
+    got = fuzzy_passages.fuzzy_passages(docs_of(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["src_doc_id"]) for r in got) == [(i, 0) for i in range(1, n)]
+    assert all(r["start_word"] <= 6 and r["end_word"] >= 76 and r["n_equal"] >= 70 for r in got)
+
+
 def test_fuzzy_passages_of_repeated_ids(spark):
     p, q = prose(1800, 80), prose(1801, 80)
     rows = [(5, p + prose(1810, 50)), (5, q + prose(1811, 50)), (2, prose(1812, 30) + q), (9, prose(1813, 20) + p), (5, prose(1814, 10) + p)]
