@@ -7,11 +7,14 @@ move SPAN times its bytes; instead suffixes meet only where an equal one can exi
 
 1. Anchors. Each SPAN-byte window has an anchor: of its 16-byte strings the one of least hash. Equal windows have equal
    anchors at equal places. The windows of one anchor are neighbours and make up a block. Hashes of anchors, one for about
-   17 bytes, go to buckets; a bucket tells which of them occur in more than one text.
+   17 bytes, go to buckets; a bucket tells which of them occur in more than one text. An anchor that more than HOT_HERE texts
+   of one load of FLUSH_BYTES have is shared for certain: its bucket gets a mark only, the rest goes straight to the parts
+   of its texts. So one anchor brings a bucket at most HOT_HERE entries a load.
 2. Blocks of such anchors, the bytes of their windows, meet in buckets by anchor (each window on its own, by its hash, if an
-   anchor occurs in very many texts, so that no bucket holds a hot one). A bucket sorts the windows of its differing blocks
-   in suffix order and computes the longest previous factors from previous and next smaller documents. Blocks that are
-   equal to the last byte are one block of the sort, named by its first document.
+   anchor occurs in very many texts). Of equal blocks of a part only those of its first document do; the later ones have
+   lost their windows already. So one block, however common, brings a bucket one entry a part. A bucket sorts the windows of
+   its differing blocks in suffix order and computes the longest previous factors from previous and next smaller documents.
+   Blocks that are equal to the last byte are one block of the sort, named by its first document.
 3. The windows found go back to their texts, which drop the bytes under them.
 
 Equal texts are one text throughout: its first document is judged, later copies lose all bytes if there are SPAN of them.
@@ -39,10 +42,12 @@ SPAN = 50
 GRAM = 16
 #: Bytes of text for each part, and for each bucket of anchors.
 PART_BYTES, BUCKET_BYTES = 1 << 20, 4 << 20
-#: Texts from which an anchor's windows are dealt out one by one.
-HOT = 3000
+#: Texts from which an anchor's windows are dealt out one by one: of all, and of one load.
+HOT, HOT_HERE = 3000, 50
+#: Bytes of text whose anchors a task sends at a time.
+FLUSH_BYTES = 32 << 20
 LAST = 2**63 - 1
-_TEXT_BITS = U(36)
+_ANCHOR_BITS = U(28)
 _LETTER = mix(np.arange(1, 257, dtype=U))
 
 
@@ -51,7 +56,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     head, body = [len(arrays)], []
     for a in arrays:
         head += [a.dtype.itemsize, len(a)]
-        body.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes())
+        body.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes())
     return zstandard.ZstdCompressor(level=1).compress(np.array([len(head), *head], np.int64).tobytes() + b"".join(body))
 
 
@@ -113,7 +118,25 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _text_keys(digests: pa.Array) -> np.ndarray:
-    return np.array([int.from_bytes(d.as_py()[:8], "little") for d in digests], U) >> (U(64) - _TEXT_BITS)
+    """64 bits of each digest."""
+    return np.array([int.from_bytes(d.as_py()[:8], "little") for d in digests], U)
+
+
+def _anchor_key(h: np.ndarray) -> np.ndarray:
+    """What tells the anchors of a bucket apart; two that agree are taken for shared, which costs work but changes nothing."""
+    return h & ((U(1) << _ANCHOR_BITS) - U(1))
+
+
+def _code(bucket: np.ndarray, anchor: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return (bucket.astype(U) << (_ANCHOR_BITS + U(1))) | (anchor.astype(U) << U(1)) | hot.astype(U)
+
+
+def _by_part(text: np.ndarray, code: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
+    """Blobs of text keys and codes of shared anchors, by the part of the text."""
+    part = _bucket(text, parts)
+    order = np.lexsort((code, text, part))
+    text, code, part = text[order], code[order], part[order]
+    return [(k, pack(text[a:b], code[a:b])) for k, a, b in _runs(part)]
 
 
 def _runs(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -132,16 +155,31 @@ def _blobs(rows: list[tuple[int, bytes]]) -> pa.Table:
     return pa.table({"key": pa.array([r[0] for r in rows], pa.int32()), "blob": pa.array([r[1] for r in rows], pa.binary())})
 
 
-def _anchors(buckets: int):
-    """Entries of 28 bits of an anchor's hash and 36 of its text's digest, by bucket."""
+def _anchors(buckets: int, parts: int):
+    """By bucket: anchors and the keys of their texts, and marks for anchors that are hot here. The texts of these go by part,
+    under negative keys."""
 
     def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        if held:
-            key, entry = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((entry, key))
-            key, entry = key[order], entry[order]
-            rows = [(k, pack(np.unique(entry[a:b]))) for k, a, b in _runs(key)]
-            yield from _blobs(rows).to_batches()
+        if not held:
+            return
+        h, text = (np.concatenate(x) for x in zip(*held, strict=True))
+        if not len(h):
+            return
+        key, anchor = _bucket(h, buckets), _anchor_key(h).astype(np.uint32)
+        order = np.lexsort((text, anchor, key))
+        key, anchor, text = key[order], anchor[order], text[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (anchor[1:] != anchor[:-1]))
+        once = new | np.append(True, text[1:] != text[:-1])
+        key, anchor, text, new = key[once], anchor[once], text[once], new[once]
+        at = np.flatnonzero(new)
+        n = np.diff(np.append(at, len(key)))
+        hot = np.repeat(n > HOT_HERE, n)
+        rows = []
+        for k, a, b in _runs(key):
+            cold = ~hot[a:b]
+            rows.append((k, pack(anchor[a:b][cold], text[a:b][cold], anchor[a:b][new[a:b] & ~cold])))
+        rows += [(-1 - k, blob) for k, blob in _by_part(text[hot], _code(key[hot], anchor[hot], hot[hot]), parts)]
+        yield from _blobs(rows).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -150,10 +188,9 @@ def _anchors(buckets: int):
             batch = fresh.of(batch)
             raw, offsets = text_bytes(batch.column("text"))
             h, _, _, text = blocks(raw, offsets)
-            keys = _text_keys(batch.column("digest"))
-            held.append((_bucket(h, buckets), (h << _TEXT_BITS) | keys[text] if len(h) else h))
+            held.append((h, _text_keys(batch.column("digest"))[text]))
             size += len(raw)
-            if size > 32 << 20:
+            if size > FLUSH_BYTES:
                 yield from flush(held)
                 held, size = [], 0
         yield from flush(held)
@@ -161,22 +198,34 @@ def _anchors(buckets: int):
     return run
 
 
+def _forward(key: tuple, table: pa.Table) -> pa.Table | None:
+    """What goes past the buckets to a part."""
+    k = int(key[0].as_py())
+    return _blobs([(-1 - k, b) for b in table.column("blob").to_pylist()]) if k < 0 else None
+
+
 def _shared(parts: int):
-    """Of a bucket's entries those whose anchor is in several texts, by the part of the text: text key, anchor, is it hot."""
+    """Of a bucket's entries those whose anchor is in several texts, by the part of the text: text key, and code of the anchor."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        entry = np.unique(np.concatenate([unpack(b, U)[0] for b in table.column("blob").to_pylist()]))
-        anchor = entry >> _TEXT_BITS
-        _, back, n = np.unique(anchor, return_inverse=True, return_counts=True)
-        n = n[back]
-        keep = n > 1
-        entry, anchor, n = entry[keep], anchor[keep], n[keep]
-        text = entry & ((U(1) << _TEXT_BITS) - U(1))
-        part = ((text * U(parts)) >> _TEXT_BITS).astype(np.int64)
-        order = np.lexsort((anchor, text))
-        text, anchor, n, part = text[order], anchor[order], n[order], part[order]
-        code = (U(int(key[0].as_py())) << U(29)) | (anchor << U(1)) | (n > HOT).astype(U)
-        return _blobs([(k, pack(text[a:b], code[a:b])) for k, a, b in _runs(part)])
+        past = _forward(key, table)
+        if past is not None:
+            return past
+        got = [unpack(b, np.uint32, U, np.uint32) for b in table.column("blob").to_pylist()]
+        anchor, text, marks = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.lexsort((text, anchor))
+        anchor, text = anchor[order], text[order]
+        new = np.ones(len(anchor), bool)
+        new[1:] = anchor[1:] != anchor[:-1]
+        once = new.copy()
+        once[1:] |= text[1:] != text[:-1]
+        anchor, text, new = anchor[once], text[once], new[once]
+        n = np.diff(np.append(np.flatnonzero(new), len(anchor)))
+        n = np.repeat(n, n)
+        hot = (n > HOT) | np.isin(anchor, marks)
+        keep = hot | (n > 1)
+        anchor, text, hot = anchor[keep], text[keep], hot[keep]
+        return _blobs(_by_part(text, _code(np.full(len(anchor), int(key[0].as_py())), anchor, hot), parts))
 
     return run
 
@@ -192,8 +241,19 @@ def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return raw, offsets, table.column("doc_id").to_numpy(), _text_keys(digests), digests
 
 
+def _windows(owner: np.ndarray, start: np.ndarray, more: np.ndarray) -> bytes:
+    """Window starts of texts of a part: start and as many neighbours; those that touch are put together."""
+    order = np.lexsort((start, owner))
+    owner, start, end = owner[order], start[order], (start + more)[order]
+    new = np.append(True, (owner[1:] != owner[:-1]) | (start[1:] > end[:-1] + 1))
+    at = np.flatnonzero(new)
+    end = end[np.append(at[1:], len(end)) - 1]
+    return pack(owner[at].astype(np.uint32), start[at].astype(np.uint32), (end - start[at]).astype(np.uint32))
+
+
 def _meet(buckets: int):
-    """Blocks of shared anchors by bucket: bytes (each different block once), and who has them."""
+    """Blocks of shared anchors by bucket: bytes (each different block once), and who has them. Equal blocks of later documents
+    of the part are found already and go to the part, under a negative key."""
 
     def run(key: tuple, texts: pa.Table, lists: pa.Table) -> pa.Table:
         if not texts.num_rows or not lists.num_rows:
@@ -201,7 +261,7 @@ def _meet(buckets: int):
         raw, offsets, low, keys, _ = _distinct(texts)
         owner, code = (np.concatenate(x) for x in zip(*[unpack(b, U, U) for b in lists.column("blob").to_pylist()], strict=True))
         h, first, last, text = blocks(raw, offsets)
-        mine = (_bucket(h, buckets).astype(U) << U(28)) | (h & ((U(1) << U(28)) - U(1)))
+        mine = _code(_bucket(h, buckets), _anchor_key(h), np.zeros(len(h), U)) >> U(1)
         # Membership of (text, anchor) pairs, by a hash of both.
         wanted = mix(owner + mix(code >> U(1)))
         order = np.argsort(wanted)
@@ -221,7 +281,13 @@ def _meet(buckets: int):
         to = _bucket(h, buckets)
         order = np.lexsort((low[text], same, to))
         h, first, last, text, same, to = (x[order] for x in (h, first, last, text, same, to))
-        rows = []
+        fresh = np.ones(len(to), bool)
+        fresh[1:] = (to[1:] != to[:-1]) | (same[1:] != same[:-1])
+        at = np.flatnonzero(fresh)
+        later = low[text] > np.repeat(low[text[at]], np.diff(np.append(at, len(to))))
+        part = int(key[0].as_py())
+        rows = [(-1 - part, _windows(text[later], (first - offsets[text])[later], (last - first)[later]))] if later.any() else []
+        first, last, text, same, to, h = (x[~later] for x in (first, last, text, same, to, h))
         for k, a, b in _runs(to):
             new = np.append(True, same[a + 1 : b] != same[a : b - 1])
             at = np.flatnonzero(new) + a
@@ -229,7 +295,7 @@ def _meet(buckets: int):
             pick = np.repeat(first[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             which = np.cumsum(new) - 1
             owner = text[a:b]
-            rows.append((k, pack(np.array([int(key[0].as_py())], np.int64), size.astype(np.uint8), (h[at] & U(2**32 - 1)).astype(np.uint32), raw[pick], which.astype(np.uint32), owner.astype(np.uint32), low[owner], (first[a:b] - offsets[owner]).astype(np.uint32))))
+            rows.append((k, pack(np.array([part], np.int64), size.astype(np.uint8), (h[at] & U(2**32 - 1)).astype(np.uint32), raw[pick], which.astype(np.uint32), owner.astype(np.uint32), low[owner], (first[a:b] - offsets[owner]).astype(np.uint32))))
         return _blobs(rows)
 
     return run
@@ -286,6 +352,9 @@ def _together(rows: np.ndarray, kin: np.ndarray, weight: np.ndarray, limit: int
 
 def _found(key: tuple, table: pa.Table) -> pa.Table:
     """Window starts with an earlier document: (text of a part, from, to), by part."""
+    past = _forward(key, table)
+    if past is not None:
+        return past
     kinds = (np.int64, np.uint8, np.uint32, np.uint8, np.uint32, np.uint32, np.int64, np.uint32)
     got = [unpack(b, *kinds) for b in table.column("blob").to_pylist()]
     n = np.cumsum([0] + [len(g[1]) for g in got])
@@ -329,9 +398,9 @@ def _found(key: tuple, table: pa.Table) -> pa.Table:
         if extra:
             rows.append(tuple(np.array(x) for x in zip(*extra, strict=True)))
     part, owner, a, z = (np.concatenate(x) for x in zip(*rows, strict=True))
-    order = np.lexsort((a, owner, part))
+    order = np.argsort(part, kind="stable")
     part, owner, a, z = (x[order] for x in (part, owner, a, z))
-    return _blobs([(k, pack(owner[i:j].astype(np.uint32), a[i:j].astype(np.uint32), (z - a)[i:j].astype(np.uint32))) for k, i, j in _runs(part)])
+    return _blobs([(k, _windows(owner[i:j], a[i:j], (z - a)[i:j])) for k, i, j in _runs(part)])
 
 
 JUDGED = "digest binary, low long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -393,7 +462,7 @@ def text_parts(texts: DataFrame, parts: int) -> DataFrame:
         fresh = _Fresh()
         for batch in slices(batches, rows=4096, limit=4 << 20):
             batch = fresh.of(batch)
-            part = ((_text_keys(batch.column("digest")) * U(parts)) >> _TEXT_BITS).astype(np.int32)
+            part = _bucket(_text_keys(batch.column("digest")), parts).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *batch.columns], names=["key", *batch.schema.names])
 
     return texts.mapInArrow(run, "key int, digest binary, doc_id long, text string")
@@ -409,7 +478,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     hot = rows.groupBy("digest").agg(F.min("_id").alias("low"), F.count(F.lit(1)).alias("n")).where(many)
     once = texts_once(docs, hot)
     texts = text_parts(once, parts)
-    anchors = once.mapInArrow(_anchors(buckets), BLOBS)
+    anchors = once.mapInArrow(_anchors(buckets, parts), BLOBS)
     shared = anchors.groupBy("key").applyInArrow(_shared(parts), BLOBS)
     meeting = texts.groupBy("key").cogroup(shared.groupBy("key")).applyInArrow(_meet(buckets), BLOBS)
     found = meeting.groupBy("key").applyInArrow(_found, BLOBS)
