@@ -116,6 +116,12 @@ def test_rules(spark):
     assert len(got) == 1 and (got[0]["price_ceiling"], got[0]["jeonmae_raw"], got[0]["residence_raw"]) == ("미적용", "3년", "없음")
     cells = spark.createDataFrame([("p", 0, 0, 0, "전매제한"), ("p", 0, 1, 0, "3년"), ("p", 0, 0, 1, "분양가상한제"), ("p", 0, 1, 1, "적용")], "pblanc_no string, tab int, r int, c int, text string")
     assert regulatory.under_headers(cells).first()["jeonmae_raw"] == "3년"
+    rows = [("q", 0, 0, 0, "전매제한"), ("q", 0, 1, 0, "9년"), ("q", 1, 0, 0, "분양가\n상한제"), ("q", 1, 1, 0, " "), ("q", 1, 0, 1, "택지유형"), ("q", 1, 1, 1, "공공택지")]
+    rows += [("q", 2, 0, 0, "분양가상한제"), ("q", 2, 1, 0, "미적용"), ("q", 2, 0, 1, "택지유형"), ("q", 2, 1, 1, "민간택지"), ("q", 2, 0, 2, None), ("q", 3, 0, 0, "분양가상한제"), ("q", 3, 0, 1, "전매제한"), ("q", 3, 1, 1, "1년")]
+    fields = regulatory.under_headers(spark.createDataFrame(rows + rows, cells.schema)).collect()
+    # The table without the anchor word is left out, and so is the one after the first ceiling; repeated rows change nothing.
+    assert [(f["price_ceiling"], f["land_type_raw"], f["jeonmae_raw"]) for f in fields] == [("미적용", "공공택지", None)]
+    assert regulatory.under_headers(cells.limit(0)).count() == 0
 
 
 def test_names(spark):
@@ -159,6 +165,11 @@ def test_matrix_refuses_ratios(spark):
     labels = spark.createDataFrame([(1,)], "id int")
     with pytest.raises(ValueError, match="label"):
         features.feature_matrix(labels, "id", [labels.withColumn("premium_ratio", F.lit(1))])
+    dated = labels.withColumn("day", F.lit("2020-01-01").cast("date"))
+    part = labels.select("id", F.lit("2020-01-01").cast("date").alias("seen"), F.lit(None).cast("date").alias("never"))
+    assert features.feature_matrix(dated, "id", [part], "day", [F.col("seen"), F.col("never")]).count() == 1
+    with pytest.raises(Exception, match="younger"):
+        features.feature_matrix(dated, "id", [part], "day", [F.date_add("seen", 1)]).count()
 
 
 def test_spearman_ranks_part_by_part(spark):

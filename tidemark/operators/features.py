@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +44,9 @@ def launch_premium_rank(launches: DataFrame, predicted: str, offered: str, top:
     return best.withColumn("premium_rank", F.row_number().over(Window.orderBy(F.desc("premium"), "pblanc_no")))
 
 
-def feature_matrix(labels: DataFrame, row_id: str, parts: list[DataFrame]) -> DataFrame:
-    """Labels with the columns of each part (keyed by ``row_id``, one row each)."""
+def feature_matrix(labels: DataFrame, row_id: str, parts: list[DataFrame], on: str = "prediction_date", known: Sequence[Column] = ()) -> DataFrame:
+    """Labels with the columns of each part (keyed by ``row_id``, one row each). ``known`` are the dates since when features have
+    been public; a row with a later one than its date ``on`` ends the job with an error, so no leak can be written."""
     out = labels
     for p in parts:
         bad = [c for c in p.columns if c in FORBIDDEN]
@@ -51,4 +54,6 @@ def feature_matrix(labels: DataFrame, row_id: str, parts: list[DataFrame]) -> Da
             raise ValueError(f"features that divide by the label: {bad}")
         new = [c for c in p.columns if c not in out.columns]
         out = out.join(p.select(row_id, *new), row_id, "left")
+    for day in known:
+        out = out.where(F.when(day > F.col(on), F.raise_error(F.lit("a feature is younger than its label")).cast("boolean")).otherwise(True))
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules
@@ -28,11 +28,15 @@ def extract_text(documents: DataFrame) -> DataFrame:
 
 def under_headers(cells: DataFrame) -> DataFrame:
     """Fields from table cells (pblanc_no, tab, r, c, text): the cell directly under each header, the first one that is not
-    empty."""
-    heads = cells.select("pblanc_no", "tab", "r", "c", rules.header_label(F.col("text")).alias("field")).where("field IS NOT NULL")
-    below = cells.select("pblanc_no", "tab", (F.col("r") - 1).alias("r"), "c", F.trim("text").alias("value")).where("value <> ''")
-    first = heads.join(below, ["pblanc_no", "tab", "r", "c"]).groupBy("pblanc_no", "field").agg(F.min_by("value", F.struct("tab", "r", "c")).alias("value"))
-    return first.groupBy("pblanc_no").pivot("field", list(FIELDS)).agg(F.first("value"))
+    empty. Only tables with the anchor word in a cell count, and none after the first of them that gives ceiling or limit."""
+    text = F.regexp_replace(F.regexp_replace("text", "\n", ""), r"(?U)^\s+|\s+$", "")
+    table = Window.partitionBy("pblanc_no", "tab")
+    under = Window.partitionBy("pblanc_no", "tab", "c").orderBy("r").rangeBetween(1, 1)
+    marked = cells.select("pblanc_no", "tab", "r", "c", text.alias("text")).withColumns({"anchored": F.max(F.col("text").contains(rules.ANCHOR)).over(table), "value": F.max("text").over(under)})
+    heads = marked.where("anchored AND value <> ''").withColumn("field", rules.header_label(F.col("text"))).where("field IS NOT NULL")
+    first = heads.groupBy("pblanc_no").pivot("field", list(FIELDS)).agg(F.min(F.struct("tab", "r", "c", "value")))
+    end = F.least("price_ceiling.tab", "jeonmae_raw.tab")
+    return first.select("pblanc_no", *[F.when(end.isNull() | (F.col(f"{n}.tab") <= end), F.col(f"{n}.value")).alias(n) for n in FIELDS])
 
 
 def merge_fields(cell_fields: DataFrame, documents: DataFrame) -> DataFrame:

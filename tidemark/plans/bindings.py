@@ -28,7 +28,7 @@ VIEWS: dict[str, str] = {
         FROM {{part}} JOIN (SELECT l_partkey, CAST(min(l_shipdate) AS DATE) AS notice_date FROM {{lineitem}} GROUP BY l_partkey) f ON l_partkey = p_partkey""",
     "named_labels": """SELECT o_orderkey AS label_id, substring(p_brand, 1, 7) AS supply_region, p_name AS house_name, CAST(o_orderdate AS DATE) AS deal_date,
         CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(40 + o_orderkey % 90 AS DOUBLE) + 0.5 END AS exclusive_area_m2, o_totalprice AS total
-        FROM {orders} JOIN {part} ON p_partkey = o_orderkey % 2000 + 1""",
+        FROM (SELECT *, o_orderkey % (SELECT max(p_partkey) FROM {part}) + 1 AS k FROM {orders}) o JOIN {part} ON p_partkey = k""",
     "competition": f"""SELECT CAST(l_partkey AS STRING) AS PBLANC_NO, {_at(_AREA_CODE, 'l_partkey')} AS HOUSE_TY, CAST(l_linenumber AS STRING) AS SUBSCRPT_RANK_CODE,
         CASE WHEN l_returnflag = 'N' THEN '해당지역' ELSE '기타지역' END AS RESIDE_SENM, CAST(CAST(l_quantity AS BIGINT) * 100 AS STRING) AS REQ_CNT,
         CASE WHEN l_suppkey % 7 = 0 THEN '-' ELSE CAST(l_suppkey % 30 AS STRING) END AS SUPLY_HSHLDCO FROM {{lineitem}}""",

@@ -165,10 +165,10 @@ def macro_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_WIDE}, i AS (SELECT *, {_INDEX.format('')} AS m FROM w)
-SELECT label_id, deal_ym AS macro_ym, round(s1, 4) AS s1 FROM (SELECT label_id, year(prediction_date) * 12 + month(prediction_date) - 2 AS m FROM labels) l ASOF LEFT JOIN i USING (m)""", "observations", "labels")
+SELECT label_id, deal_ym AS macro_ym, round(s1, 4) AS s1, round(s2, 4) AS s2 FROM (SELECT label_id, year(prediction_date) * 12 + month(prediction_date) - 2 AS m FROM labels) l ASOF LEFT JOIN i USING (m)""", "observations", "labels")
 def macro_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = asof.macro_asof(bound(spark, sf_dir, "labels"), _wide(spark, sf_dir), ["s1"], on="prediction_date")
-    return _rounded(got.select("label_id", "macro_ym", "s1"), 4, "s1")
+    got = asof.macro_asof(bound(spark, sf_dir, "labels"), _wide(spark, sf_dir), ["s1", "s2"], on="prediction_date")
+    return _rounded(got.select("label_id", "macro_ym", "s1", "s2"), 4, "s1", "s2")
 
 
 _WEEK = """WITH x AS (SELECT region, CAST(date_trunc('week', deal_date) AS DATE) + 7 AS prediction_date, avg(price) AS idx FROM comps GROUP BY ALL)

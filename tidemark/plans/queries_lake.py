@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import amounts, names, rules
-from tidemark.operators import asof, enrich, evaluate, features, lake, regulatory, validate
+from tidemark.operators import asof, enrich, evaluate, features, lake, regulatory, spatial, validate
 from tidemark.sources import files
 
 from .bindings import bound
-from .queries import _LEDGER, _rounded, _table, query
+from .queries import _DEMANDS, _LEDGER, ORACLE_SQL, _matched, _rounded, _table, _wide, query, reoffer_enrich
 
 # --- validation ------------------------------------------------------------------------------------------------------
 
@@ -467,19 +467,31 @@ def best_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table of two rows for each part: headers, and the printed values under them."""
-    p = _printed(spark, sf_dir)
-    pairs = [("전매제한", "jeonmae_raw"), ("거주의무기간", "residence_raw"), ("분양가상한제", "price_ceiling"), ("규제지역여부", "regulated_zone_raw"), ("택지유형", "land_type_raw")]
-    cells = [F.struct(F.lit(r).alias("r"), F.lit(i).alias("c"), (F.lit(h) if r == 0 else F.coalesce(f, F.lit(""))).alias("text")) for i, (h, f) in enumerate(pairs) for r in (0, 1)]
-    return p.select("pblanc_no", F.lit(0).alias("tab"), F.explode(F.array(*cells)).alias("x")).select("pblanc_no", "tab", "x.*")
-
-
-@query(f"WITH {_PRINTED} SELECT * FROM f")
+    """Three tables for each part, headers over values: one without the anchor word, the printed values (for one part in nine
+    without ceiling and limit), and one more with the anchor word."""
+    p, k = _printed(spark, sf_dir), F.col("pblanc_no")
+    kept = lambda f: F.when(k % 9 == 0, "").otherwise(f)
+    tables = [
+        [("규제지역여부", F.lit("청약과열지역")), ("전매제한", F.lit("9년"))],
+        [("전매제한", kept(F.col("jeonmae_raw"))), ("거주의무기간", F.col("residence_raw")), (" 분양가\n상한제 ", kept(F.col("price_ceiling"))), ("규제지역여부", F.col("regulated_zone_raw")), ("택지유형", F.col("land_type_raw"))],
+        [("분양가상한제", F.lit(" ")), ("전매제한", F.lit("2년")), ("규제지역여부", F.lit("청약과열지역"))],
+    ]
+    cells = [F.struct(F.lit(t).alias("tab"), F.lit(r).alias("r"), F.lit(c).alias("c"), (F.coalesce(f, F.lit("")) if r else F.lit(h)).alias("text")) for t, table in enumerate(tables) for c, (h, f) in enumerate(table) for r in (0, 1)]
+    return p.select("pblanc_no", F.explode(F.array(*cells)).alias("x")).select("pblanc_no", "x.*")
+
+
+@query(f"""WITH {_PRINTED} SELECT pblanc_no, CASE WHEN pblanc_no % 9 = 0 THEN 24 ELSE jeonmae_months END AS jeonmae_months, residence_months, CASE WHEN pblanc_no % 9 <> 0 THEN price_ceiling END AS price_ceiling,
+CASE WHEN pblanc_no % 9 = 0 THEN coalesce(regulated_zone, '청약과열') ELSE regulated_zone END AS regulated_zone, land_type FROM f""")
 def under_header_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.regulatory(regulatory.under_headers(_cells(spark, sf_dir))).select("pblanc_no", "jeonmae_months", "residence_months", "price_ceiling", "regulated_zone", "land_type")
 
 
-@query()
+@query("""WITH d AS (SELECT doc_id AS k, p_partkey IS NOT NULL AS cells, doc_id % 5 <> 0 AS clause FROM documents LEFT JOIN part ON p_partkey = doc_id)
+SELECT k AS pblanc_no, CASE WHEN NOT cells OR k % 9 <> 0 THEN CASE WHEN k % 2 = 0 THEN '적용' WHEN NOT cells OR k % 7 = 0 THEN '미적용' END END AS price_ceiling,
+CASE WHEN NOT cells THEN (k % 4 + 1) || '년' WHEN k % 9 = 0 THEN '2년' ELSE CASE k % 6 WHEN 0 THEN '없음' WHEN 1 THEN (k % 5) || '년' WHEN 2 THEN (k % 5) || '년 6개월' WHEN 3 THEN (k % 5) || ' 개월' WHEN 4 THEN '콜센터 3년' ELSE '미적용' END END AS jeonmae_raw,
+CASE WHEN NOT cells THEN (k % 3) || '년' WHEN k % 3 = 0 THEN '3년' ELSE '없음' END AS residence_raw,
+CASE WHEN cells AND k % 4 = 0 THEN '비 투기과열지구' WHEN cells AND k % 4 = 1 THEN '투기과열지구' WHEN cells AND k % 4 = 2 THEN '조정대상지역' WHEN cells AND k % 9 = 0 THEN '청약과열지역' WHEN clause THEN '투기과열지구 민간택지' END AS regulated_zone_raw,
+CASE WHEN NOT cells THEN '민간택지' WHEN k % 2 = 0 THEN '민간택지(공공택지 외)' ELSE '공공주택지구' END AS land_type_raw FROM d WHERE cells OR clause""")
 def regulatory_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regulatory.merge_fields(regulatory.under_headers(_cells(spark, sf_dir)), _notices(spark, sf_dir))
 
@@ -559,16 +571,31 @@ def launch_premium_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.launch_premium_rank(rows, "predicted", "supply_price_manwon", 20).select("pblanc_no", "premium", "premium_rank")
 
 
-@query()
-def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels with trailing comps, the last macro month, the best launch with its demand, and the split."""
-    from tidemark.operators.enrich import best_match, competition_metrics, with_competition
+def _matrix_sql() -> str:
+    parts = "comp_window_stats macro_asof enrich_best_match enrich_competition reoffer_enrich comp_matrix_expand time_split".split()
+    joined = "".join(f" LEFT JOIN ({ORACLE_SQL[p]}) {p} USING (label_id)" for p in parts)
+    return f"""SELECT l.*, n.exclusive_area_m2, comp_window_stats.* EXCLUDE (label_id), macro_asof.* EXCLUDE (label_id), enrich_best_match.* EXCLUDE (label_id), enrich_competition.* EXCLUDE (label_id, ah_pblanc_no), reoffer_enrich.* EXCLUDE (label_id),
+comp_matrix_expand.* EXCLUDE (label_id), split, near.* EXCLUDE (point_id), around.* EXCLUDE (point_id), year(n.deal_date) - 1990 AS age_years, round(n.exclusive_area_m2 / (n.exclusive_area_m2 + 20), 6) AS usable_share,
+round(ln(ah_total_units), 6) AS log_units, CASE WHEN ah_builder = 'SMALL' THEN 1 WHEN n.deal_date IS NOT NULL THEN 2 END AS builder_tier
+FROM labels l LEFT JOIN named_labels n USING (label_id){joined} JOIN orders ON o_orderkey = label_id JOIN ({ORACLE_SQL["nearest_neighbor"]}) near ON near.point_id = o_custkey JOIN ({ORACLE_SQL["radius_count"]}) around ON around.point_id = o_custkey"""
 
-    from .queries import _wide
 
-    labels = bound(spark, sf_dir, "labels")
+@query(_matrix_sql(), "labels", "named_labels")
+def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels with trailing comps, the comparison matrix, what is near, the last macro month, the best launch with its demand
+    and reoffers, property features, and the split; no launch or month may be younger than its label."""
+    labels, named, points = bound(spark, sf_dir, "labels"), bound(spark, sf_dir, "named_labels"), bound(spark, sf_dir, "points")
     comps = asof.comp_window_stats(labels, bound(spark, sf_dir, "comps")).select("label_id", "n_comps", "comp_avg", "comp_median")
     macro = asof.macro_asof(labels, _wide(spark, sf_dir), ["s1", "s2"], on="prediction_date").select("label_id", "macro_ym", "s1", "s2")
-    matched = with_competition(best_match(bound(spark, sf_dir, "named_labels"), bound(spark, sf_dir, "launches"), ["supply_region", "house_name"], "label_id"), competition_metrics(bound(spark, sf_dir, "competition")))
+    matched = enrich.with_competition(_matched(spark, sf_dir), enrich.competition_metrics(bound(spark, sf_dir, "competition")))
+    homes = matched.select("label_id", "deal_date", F.lit(1990).alias("built_year"), "exclusive_area_m2", (F.col("exclusive_area_m2") + 20).alias("supply_area_m2"), F.col("ah_total_units").alias("total_units"), F.col("ah_builder").alias("builder"))
+    homes = features.property_features(homes, spark.createDataFrame([("SMALL", 1)], "builder string, tier int")).select("label_id", "age_years", "usable_share", "log_units", "builder_tier")
+    near = spatial.transit_features(points, bound(spark, sf_dir, "places"), "point_id", "place_id", [20000, 50000], "n_place").drop("lat", "lon")
+    near = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("label_id"), F.col("o_custkey").alias("point_id")).join(near, "point_id").drop("point_id")
+    matrix = spatial.comp_matrix(bound(spark, sf_dir, "placed_labels"), bound(spark, sf_dir, "placed_comps"), "label_id", [20000, 50000], [60, 90], 30).drop("lat", "lon")
     split = evaluate.time_split(labels, "prediction_date").select("label_id", "split")
-    return features.feature_matrix(labels, "label_id", [comps, macro, matched.drop("supply_region", "house_name", "deal_date", "total"), split])
+    parts = [comps, macro, matched.drop("ah_area", *(c for c in named.columns if c not in ("label_id", "exclusive_area_m2"))), homes, reoffer_enrich(spark, sf_dir), near, matrix, split]
+    known = [F.col("ah_notice_date"), F.add_months(F.to_date(F.concat("macro_ym", F.lit("01")), "yyyyMMdd"), 1)]
+    got = features.feature_matrix(labels, "label_id", parts, "prediction_date", known)
+    got = _rounded(got, 6, "comp_avg", "comp_median", "ah_supply_price_per_m2", *_DEMANDS, "usable_share", "log_units")
+    return _rounded(_rounded(got, 4, "s1", "s2", *(c for c in matrix.columns if "price" in c)), 2, "nearest_dist_m")
