@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.amounts import month_index, month_name, report_date
 
-DAY0 = "1970-01-01"
+#: Frames in a stretch of days; the days that a stretch gets twice are about one in this many.
+STRETCH = 4
 
 
 def _day(c: Column) -> Column:
@@ -50,29 +51,27 @@ def _middle(prices: Column) -> Column:
 
 def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int, median: bool = False) -> DataFrame:
     """n_comps and comp_avg of each (region, prediction_date), by a range frame over daily sums; with ``median`` also
-    comp_median, from daily arrays of prices."""
+    comp_median, from daily arrays of prices.
+
+    The days of a region are cut into stretches of a few frames, and each stretch also gets the days before it that its frames
+    reach, so a large region is many tasks.
+    """
+    span = STRETCH * max(1, window_days - lag_days + 1)
+    day = _day(F.col("day"))
+    own = F.floor(day / span)
     prices = [F.collect_list("price").alias("p")] if median else []
-    daily = comps.where(F.col("price").isNotNull()).groupBy("region", F.col("deal_date").alias("day")).agg(F.count("price").alias("n"), F.sum("price").alias("s"), *prices)
-    asked = keys.select("region", F.col("prediction_date").alias("day"), F.lit(True).alias("asked")).distinct()
-    rows = daily.withColumn("asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
-    frame = Window.partitionBy("region").orderBy(_day(F.col("day"))).rangeBetween(-window_days, -lag_days)
+    sold = comps.where(F.col("price").isNotNull()).select("region", F.col("deal_date").alias("day"), "price", F.lit(False).alias("asked"))
+    asked = keys.select("region", F.col("prediction_date").alias("day"), F.lit(True).alias("asked"))
+    daily = sold.unionByName(asked, allowMissingColumns=True).groupBy("region", "day").agg(F.count("price").alias("n"), F.sum("price").alias("s"), F.max("asked").alias("asked"), *prices)
+    reached = F.sequence(F.floor((day + lag_days) / span), F.floor((day + window_days) / span))
+    rows = daily.withColumn("_stretch", F.explode_outer(F.array_union(reached, F.array(own)))).withColumn("asked", F.col("asked") & F.col("_stretch").eqNullSafe(own)).where("asked OR n > 0")
+    frame = Window.partitionBy("region", "_stretch").orderBy(day).rangeBetween(-window_days, -lag_days)
     lists = [F.collect_list("p").over(frame).alias("_p")] if median else []
     got = rows.select("region", "day", "asked", F.coalesce(F.sum("n").over(frame), F.lit(0)).alias("n_comps"), F.sum("s").over(frame).alias("_s"), *lists)
     middle = [_middle(F.flatten("_p")).alias("comp_median")] if median else []
     return got.where("asked").select("region", F.col("day").alias("prediction_date"), "n_comps", F.try_divide("_s", "n_comps").alias("comp_avg"), *middle)
 
 
-def window_pairs(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int) -> DataFrame:
-    """Each (region, prediction_date) with its usable sales: an equi-join on stretches of days, then the exact bounds."""
-    span = max(1, window_days - lag_days + 1)
-    day = _day(F.col("prediction_date"))
-    stretches = F.sequence(F.floor((day - window_days) / span), F.floor((day - lag_days) / span))
-    left = keys.select("region", "prediction_date", F.explode(stretches).alias("_stretch"))
-    right = comps.select("region", "deal_date", "price", F.floor(_day(F.col("deal_date")) / span).alias("_stretch"))
-    pairs = left.join(right, ["region", "_stretch"])
-    return pairs.where((F.date_add("deal_date", lag_days) <= F.col("prediction_date")) & (F.col("deal_date") >= F.date_sub("prediction_date", window_days))).drop("_stretch")
-
-
 def comp_window_plain(labels: DataFrame, comps: DataFrame, lag_days: int, window_days: int) -> DataFrame:
     """The pairs of the plain range join, as the feature SQL states it: for small tables and as a check of the others."""
     usable = (F.date_add("c.deal_date", lag_days) <= F.col("l.prediction_date")) & (F.col("c.deal_date") >= F.date_sub("l.prediction_date", window_days))

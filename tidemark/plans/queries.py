@@ -63,9 +63,8 @@ FROM labels l LEFT JOIN comps c ON c.region = l.region AND c.deal_date + 30 <= l
 def comp_stats_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By label values, as the feature SQL groups: equal labels fall together and their comps count for each."""
     labels = bound(spark, sf_dir, "labels").groupBy("region", "prediction_date").agg(F.count(F.lit(1)).alias("times"))
-    pairs = asof.window_pairs(labels, bound(spark, sf_dir, "comps"), 30, 60)
-    got = labels.join(asof.comp_stats_agg(pairs, ["region", "prediction_date"]), ["region", "prediction_date"], "left")
-    return _rounded(got.select("region", "prediction_date", (F.coalesce("n_comps", F.lit(0)) * F.col("times")).cast("long").alias("n_comps"), "comp_avg", "comp_median"), 6, "comp_avg", "comp_median")
+    got = labels.join(asof.comp_window_frame(labels, bound(spark, sf_dir, "comps"), 30, 60, median=True), ["region", "prediction_date"])
+    return _rounded(got.select("region", "prediction_date", (F.col("n_comps") * F.col("times")).cast("long").alias("n_comps"), "comp_avg", "comp_median"), 6, "comp_avg", "comp_median")
 
 
 @query("""WITH led AS (SELECT feed, region, deal_key, min(run_date) AS first_seen, min(run_date) FILTER (is_cancelled) AS gone FROM seen GROUP BY ALL),
