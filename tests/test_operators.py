@@ -190,9 +190,9 @@ def test_spearman_ranks_part_by_part(spark):
 
 
 def test_trailing_frames_across_stretches(spark):
-    days = [datetime.date(2019, 12, 1) + datetime.timedelta(days=k * k % 997) for k in range(300)]
+    days = [dt.date(2019, 12, 1) + dt.timedelta(days=k * k % 997) for k in range(300)]
     comps = [("a" if i % 3 else "b", d, float(i % 50) if i % 11 else None) for i, d in enumerate(days)] + [("a", None, 1.0)]
-    asked = [("a" if i % 2 else "b", d + datetime.timedelta(days=i % 40)) for i, d in enumerate(days[:120])]
+    asked = [("a" if i % 2 else "b", d + dt.timedelta(days=i % 40)) for i, d in enumerate(days[:120])]
     got = asof.comp_window_frame(spark.createDataFrame(asked + [("a", None)], "region string, prediction_date date"), spark.createDataFrame(comps, "region string, deal_date date, price double"), 30, 90, median=True)
     want = {(r, t): sorted(p for s, d, p in comps if d and s == r and p is not None and 30 <= (t - d).days <= 90) for r, t in asked}
     rows = {(x["region"], x["prediction_date"]): x for x in got.collect()}
