@@ -60,7 +60,7 @@ def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_d
     day = _day(F.col("day"))
     own = F.floor(day / span)
     prices = [F.collect_list("price").alias("p")] if median else []
-    sold = comps.where(F.col("price").isNotNull()).select("region", F.col("deal_date").alias("day"), "price", F.lit(False).alias("asked"))
+    sold = comps.where(F.col("price").isNotNull() & F.col("deal_date").isNotNull()).select("region", F.col("deal_date").alias("day"), "price", F.lit(False).alias("asked"))
     asked = keys.select("region", F.col("prediction_date").alias("day"), F.lit(True).alias("asked"))
     daily = sold.unionByName(asked, allowMissingColumns=True).groupBy("region", "day").agg(F.count("price").alias("n"), F.sum("price").alias("s"), F.max("asked").alias("asked"), *prices)
     reached = F.sequence(F.floor((day + lag_days) / span), F.floor((day + window_days) / span))
