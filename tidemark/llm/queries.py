@@ -14,6 +14,7 @@ from .common import table
 from .decontaminate import find_benchmark_items
 from .fuzzy_passages import fuzzy_passages
 from .near_dup import near_duplicates
+from .periodic import periodic_runs, report, with_planted_runs
 from .pii import scan_pii
 from .secret_scan import scan_secrets
 from .sharding import shard_documents
@@ -65,6 +66,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii": op2_pii,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_near_dup": op9_near_dup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 _SECRETS = """
