@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import quality, toxicity
+from .alignment import align_tokens
 from .bpe import encode_digests
 from .common import table
 from .decontaminate import find_benchmark_items
@@ -70,6 +71,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii": op2_pii,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dup": op9_near_dup,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 _SECRETS = """
