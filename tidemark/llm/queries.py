@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import kernel_quality, quality, toxicity
 from .alignment import align_tokens
 from .bpe import encode_digests
 from .common import table
@@ -75,6 +75,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).drop("groups")
 
 
+def op13_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = kernel_quality.measured(table(spark, sf_dir, "documents"))
+    return kernel_quality.score_documents(stats, kernel_quality.fit(stats, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii": op2_pii,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_token_alignment": op12_token_alignment,
+    "op13_kernel_quality": op13_kernel_quality,
 }
 
 _SECRETS = """
