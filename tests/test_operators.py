@@ -48,12 +48,12 @@ def test_best_match(spark):
     launches = spark.createDataFrame(LAUNCHES, "pblanc_no string, house_name string, supply_region string, exclusive_area_m2 double, supply_price_manwon int, notice_date date, move_in_ym string, total_units int, builder string, house_type string")
     rows = [(1, "단지", "서울", 84.94, D("2020-04-01")), (2, "단지", "서울", 59.75, D("2020-04-01")), (3, "other", "서울", 59.0, D("2020-04-01")), (4, "단지", "서울", None, D("2023-06-01"))]
     labels = spark.createDataFrame(rows, "id int, house_name string, supply_region string, exclusive_area_m2 double, deal_date date")
-    got = {r["id"]: r for r in enrich.best_match(labels, launches, ["supply_region", "house_name"], "id").collect()}
+    got = {r["id"]: r for r in enrich.best_match(labels, launches, ["supply_region", "house_name"]).collect()}
     assert got[1]["ah_supply_price_per_m2"] == pytest.approx(90000 / 84.9) and got[1]["ah_months_to_completion"] == 21
     assert got[2]["ah_supply_price_per_m2"] == pytest.approx(60000 / 59.9)
     assert not got[3]["ah_matched"] and got[3]["ah_pblanc_no"] is None
     assert got[4]["ah_pblanc_no"] == "A2"
-    assert evaluate.leakage_audit(enrich.best_match(labels, launches, ["supply_region", "house_name"], "id")).first()["n_violations"] == 0
+    assert evaluate.leakage_audit(enrich.best_match(labels, launches, ["supply_region", "house_name"])).first()["n_violations"] == 0
 
 
 def test_competition(spark):

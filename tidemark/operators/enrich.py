@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from tidemark.functions.amounts import leading_number, months_to_completion, number
 from tidemark.functions.names import squeezed
 
+from .asof import asof
+
 # The word for local residents, and the kinds of selective schools.
 LOCAL = "해당지역"
 SELECTIVE = ("특수목적고등학교", "자율고등학교")
 
+#: Different questions of one key that one task answers, about.
+SALT_ROWS = 1_000_000
+
 DEMAND = ("ah_competition_rate", "ah_undersubscribed", "ah_rank1_local_rate", "ah_local_demand_share")
 
 
@@ -37,25 +42,64 @@ def competition_metrics(raw: DataFrame) -> DataFrame:
     return g.select("pblanc_no", "area", rate.alias(DEMAND[0]), (rate < 1).alias(DEMAND[1]), (F.col("f") / F.col("s")).alias(DEMAND[2]), F.when(F.col("t") > 0, F.col("l") / F.col("t")).alias(DEMAND[3]))
 
 
-def best_match(labels: DataFrame, launches: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+def nearest_known_area(asked: DataFrame, launches: DataFrame, keys: list[str]) -> DataFrame:
+    """``asked`` (keys, deal_date, asked; all different) with ``area``: of the areas that launches (keys, notice_date, area) of the
+    keys had announced on or before the date the one nearest to ``asked``, or both where one below and one above are as near.
+
+    The areas of a key are ranked by their first notice, so a date knows a prefix of them, and a prefix of n is put together from
+    one block of 2^k ranks for each bit k of n. Launches go to the blocks that hold them, questions to those that make up their
+    prefix, and in each block, ordered by area, a question's neighbours are the last area before and the first after it. So
+    there are as many rows as launches and questions, times the bits of the number of areas; no pair of both is formed. A key
+    with more than SALT_ROWS questions is several tasks for each block, each with all areas of it.
+    """
+    first = launches.groupBy(*keys, "area").agg(F.min("notice_date").alias("_since"))
+    per_key = Window.partitionBy(*keys)
+    ranked = first.withColumns({"_rank": F.row_number().over(per_key.orderBy("_since", "area")) - 1, "_all": F.count(F.lit(1)).over(per_key)})
+    salts = asked.groupBy(*keys).agg((1 + F.floor(F.count(F.lit(1)) / SALT_ROWS)).cast("int").alias("_salts"))
+    ranked = ranked.join(salts, keys)
+    until = ranked.groupBy(*keys, "_since").agg((F.max("_rank") + 1).alias("_upto"), F.max("_salts").alias("_salts"))
+    known = asof(asked, until, keys, "deal_date", "_since", ["_upto", "_salts"]).where("_upto IS NOT NULL")
+    bits = "filter(sequence(0, 30), k -> shiftright(_upto, k) % 2 = 1)"
+    questions = known.withColumn("_k", F.explode(F.expr(bits))).select(*keys, "_k", F.expr("shiftright(_upto, _k) - 1").alias("_block"), F.pmod(F.xxhash64("deal_date", "asked"), "_salts").cast("int").alias("_salt"), F.col("asked").alias("_at"), "deal_date", "asked")
+    blocks = "filter(sequence(0, 30), k -> shiftright(_rank, k) % 2 = 0 AND shiftleft(CAST(shiftright(_rank, k) + 1 AS BIGINT), k) <= _all)"
+    answers = ranked.withColumn("_k", F.explode(F.expr(blocks))).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    answers = answers.select(*keys, "_k", F.expr("shiftright(_rank, _k)").alias("_block"), "_salt", F.col("area").alias("_at"), F.col("area").alias("_known"))
+    both = questions.unionByName(answers, allowMissingColumns=True)
+    block = Window.partitionBy(*keys, "_k", "_block", "_salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = lambda order: F.last("_known", ignorenulls=True).over(block.orderBy(order, F.col("_known").isNull()))
+    met = both.withColumns({"_low": near(F.col("_at")), "_high": near(F.col("_at").desc())}).where("asked IS NOT NULL")
+    best = met.groupBy(*keys, "deal_date", "asked").agg(F.max("_low").alias("_low"), F.min("_high").alias("_high"))
+    below, above = F.col("asked") - F.col("_low"), F.col("_high") - F.col("asked")
+    chosen = F.when(above.isNull() | (below < above), F.array("_low")).when(below.isNull() | (above < below), F.array("_high")).otherwise(F.array_distinct(F.array("_low", "_high")))
+    return best.select(*keys, "deal_date", "asked", F.explode(chosen).alias("area"))
+
+
+def best_match(labels: DataFrame, launches: DataFrame, keys: list[str]) -> DataFrame:
     """Labels with the launch of the same keys that was announced on or before the deal: the closest area, then the latest
-    notice; if the label has no area, the latest notice. A launch without an area counts as area 0.
+    notice; if the label has no area, the latest notice; then the least number and type. A launch without an area counts as area
+    0. Blank keys match nothing.
 
-    One pass: the best candidate is a minimum over (gap, notice, number, type), no sort by group. ``row_id`` tells labels
-    apart. Blank keys match nothing.
+    What is asked is made different first: labels of one complex, date and area get one answer. The nearest area comes from
+    :func:`nearest_known_area`, the latest notice of that area from an as-of look-up.
     """
-    area = _number(F.col("exclusive_area_m2"))
     fields = ["pblanc_no", "notice_date", "supply_price_manwon", "move_in_ym", "total_units", "builder", "house_type"]
-    c = launches.select(*keys, *fields, area.alias("_area"))
-    c = c.where(F.col("notice_date").isNotNull())
+    own = _number(F.col("exclusive_area_m2"))
+    c = launches.where(F.col("notice_date").isNotNull()).select(*keys, *fields, own.alias("_own"), F.coalesce(own, F.lit(0.0)).alias("area"))
     for k in keys:
         c = c.where(F.length(F.col(k).cast("string")) > 0)
-    asked = labels.select(row_id, *keys, "deal_date", area.alias("_asked"))
-    gap = F.when(F.col("_asked").isNotNull(), F.abs(F.coalesce("_area", F.lit(0.0)) - F.col("_asked")))
-    order = F.struct(gap.alias("gap"), (-F.unix_date("notice_date")).alias("late"), "pblanc_no", "house_type")
-    met = asked.join(c, keys).where(F.col("notice_date") <= F.col("deal_date"))
-    best = met.groupBy(row_id).agg(F.min_by(F.struct(*fields, F.col("_area").alias("area")), order).alias("_b"))
-    out = labels.join(best, row_id, "left")
+    asked = labels.select(*keys, "deal_date", own.alias("asked")).distinct().where(F.col("deal_date").isNotNull())
+    row, order = F.struct(*fields, F.col("_own").alias("area")), F.struct("pblanc_no", "house_type")
+    latest = lambda by: c.groupBy(*by, "notice_date").agg(F.min_by(row, order).alias("_b"))
+    near = nearest_known_area(asked.where("asked IS NOT NULL"), c, keys)
+    near = asof(near, latest([*keys, "area"]), [*keys, "area"], "deal_date", "notice_date", ["_b"])
+    late = F.struct((-F.unix_date("_b.notice_date")).alias("late"), "_b.pblanc_no", "_b.house_type")
+    near = near.groupBy(*keys, "deal_date", "asked").agg(F.min_by("_b", late).alias("_b"))
+    any_area = asof(asked.where("asked IS NULL"), latest(keys), keys, "deal_date", "notice_date", ["_b"]).where("_b IS NOT NULL")
+    found = near.unionByName(any_area).withColumnsRenamed({n: f"_of_{n}" for n in [*keys, "deal_date", "asked"]})
+    same = own.eqNullSafe(F.col("_of_asked"))
+    for n in [*keys, "deal_date"]:
+        same = same & (F.col(n) == F.col(f"_of_{n}"))
+    out = labels.join(found, same, "left").drop(*(f"_of_{n}" for n in [*keys, "deal_date", "asked"]))
     b = F.col("_b")
     price = F.when(F.coalesce(b["area"], F.lit(0.0)) != 0, b["supply_price_manwon"] / b["area"])
     return out.withColumns({
@@ -97,11 +141,26 @@ def selective_schools(outcomes: DataFrame, places: DataFrame, kinds: tuple[str,
     return outcomes.where(F.col("hs_type").isin(*kinds)).withColumn("_k", squeezed(F.col("name"))).join(first, "_k").select("name", "hs_type", "grad_rate", "p.lat", "p.lon")
 
 
-def reoffers(labels: DataFrame, notices: DataFrame, keys: list[str], row_id: str) -> DataFrame:
-    """Whether and how often a label's complex was offered again by its date, and the ratio of units offered again."""
-    met = labels.select(row_id, *keys, "deal_date").join(notices.select(*keys, "notice_date", "units", "total_units"), keys).where(F.col("notice_date") <= F.col("deal_date"))
-    seen = met.groupBy(row_id).agg(F.count(F.lit(1)).alias("n_reoffers"), (F.sum("units") / F.max("total_units")).alias("reoffer_ratio"))
-    out = labels.join(seen, row_id, "left").withColumn("n_reoffers", F.coalesce("n_reoffers", F.lit(0).cast("long")))
+def reoffers(labels: DataFrame, notices: DataFrame, keys: list[str], within_m2: float = 0.5) -> DataFrame:
+    """Whether and how often units of a label's complex and area (at most ``within_m2`` apart) were offered again by its date, and
+    the ratio of units offered again to the complex's largest number of units among these notices.
+
+    ``notices`` has keys, area, notice_date, units and total_units. For each area of a complex they become running totals by date.
+    The different areas of labels meet those of notices in bins as wide as the distance, each in its own and the two beside
+    it, and each label's date then looks up the totals of the few areas that are near; no label meets a notice.
+    """
+    area = _number(F.col("exclusive_area_m2"))
+    asked = labels.select(*keys, "deal_date", area.alias("asked")).distinct().where("asked IS NOT NULL AND deal_date IS NOT NULL")
+    daily = notices.where("area IS NOT NULL AND notice_date IS NOT NULL").groupBy(*keys, "area", "notice_date").agg(F.count(F.lit(1)).alias("_n"), F.sum("units").alias("_units"), F.max("total_units").alias("_all"))
+    so_far = Window.partitionBy(*keys, "area").orderBy("notice_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = daily.select(*keys, "area", "notice_date", *[f(c).over(so_far).alias(c) for f, c in ((F.sum, "_n"), (F.sum, "_units"), (F.max, "_all"))])
+    cell = lambda c: F.floor(F.col(c) / within_m2)
+    beside = asked.select(*keys, "asked").distinct().withColumn("_bin", F.explode(F.sequence(cell("asked") - 1, cell("asked") + 1)))
+    offered = daily.select(*keys, "area").distinct().withColumn("_bin", cell("area"))
+    near = beside.join(offered, [*keys, "_bin"]).where(F.abs(F.col("area") - F.col("asked")) <= within_m2).drop("_bin")
+    met = asof(asked.join(near, [*keys, "asked"]), running, [*keys, "area"], "deal_date", "notice_date", ["_n", "_units", "_all"])
+    seen = met.groupBy(*keys, "deal_date", "asked").agg(F.sum("_n").alias("n_reoffers"), (F.sum("_units") / F.max("_all")).alias("reoffer_ratio"))
+    out = labels.withColumn("asked", area).join(seen, [*keys, "deal_date", "asked"], "left").drop("asked").withColumn("n_reoffers", F.coalesce("n_reoffers", F.lit(0).cast("long")))
     return out.withColumn("is_reoffered", F.col("n_reoffers") > 0)
 
 

@@ -82,7 +82,18 @@ b AS (SELECT * FROM c WHERE rn = 1)"""
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.best_match(bound(spark, sf_dir, "named_labels"), bound(spark, sf_dir, "launches"), ["supply_region", "house_name"], "label_id")
+    return enrich.best_match(_named(spark, sf_dir), _based(bound(spark, sf_dir, "launches")), ["supply_region", "base"]).drop("base")
+
+
+def _based(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("base", names.base_name(F.col("house_name")))
+
+
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels whose names have marks of phases, blocks and brackets, wide digits too, that the base name does without."""
+    marks = F.array(*map(F.lit, ("", " ２차", " (north)", " A-3블록", " 1단지")))
+    labels = bound(spark, sf_dir, "named_labels")
+    return _based(labels.withColumn("house_name", F.concat("house_name", F.get(marks, (F.col("label_id") % 5).cast("int")))))
 
 
 @query(_MATCH + """SELECT l.label_id, b.pblanc_no AS ah_pblanc_no, b.notice_date AS ah_notice_date, round(b.supply_price_manwon / b.exclusive_area_m2, 6) AS ah_supply_price_per_m2,
@@ -130,13 +141,16 @@ def launch_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.launch_universe(bound(spark, sf_dir, "launches"), 1996)
 
 
-@query("""WITH n AS (SELECT p_name AS house_name, substring(p_brand, 1, 7) AS supply_region, CAST(l_shipdate AS DATE) AS notice_date, sum(l_quantity) AS units, 1000.0 AS total_units FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R' AND l_linenumber = 1 GROUP BY ALL),
-s AS (SELECT l.label_id, count(*) AS n_reoffers, round(sum(units) / max(total_units), 6) AS reoffer_ratio FROM named_labels l JOIN n ON n.house_name = l.house_name AND n.supply_region = l.supply_region AND n.notice_date <= l.deal_date GROUP BY l.label_id)
+@query("""WITH n AS (SELECT p_name AS house_name, substring(p_brand, 1, 7) AS supply_region, 40 + p_partkey % 80 + CAST(p_partkey * 37 % 10000 AS DOUBLE) / 10000 AS area, CAST(l_shipdate AS DATE) AS notice_date, sum(l_quantity) AS units, 1000.0 AS total_units FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R' GROUP BY ALL),
+s AS (SELECT l.label_id, count(*) AS n_reoffers, round(sum(units) / max(total_units), 6) AS reoffer_ratio FROM named_labels l JOIN n ON n.house_name = l.house_name AND n.supply_region = l.supply_region AND abs(area - exclusive_area_m2) <= 0.5 AND n.notice_date <= l.deal_date GROUP BY l.label_id)
 SELECT l.label_id, coalesce(n_reoffers, 0) AS n_reoffers, reoffer_ratio, coalesce(n_reoffers, 0) > 0 AS is_reoffered FROM named_labels l LEFT JOIN s USING (label_id)""", "named_labels")
 def reoffer_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    again = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_linenumber = 1").join(_table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    notices = again.groupBy(F.col("p_name").alias("house_name"), F.substring("p_brand", 1, 7).alias("supply_region"), F.col("l_shipdate").cast("date").alias("notice_date")).agg(F.sum("l_quantity").alias("units")).withColumn("total_units", F.lit(1000.0))
-    got = enrich.reoffers(bound(spark, sf_dir, "named_labels"), notices, ["supply_region", "house_name"], "label_id")
+    """Every returned lineitem is a notice of its part's area."""
+    k = F.col("p_partkey")
+    part = _table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("house_name"), F.substring("p_brand", 1, 7).alias("supply_region"), (40 + k % 80 + (k * 37 % 10000).cast("double") / 10000).alias("area"))
+    again = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").join(part, F.col("p_partkey") == F.col("l_partkey"))
+    notices = again.groupBy("house_name", "supply_region", "area", F.col("l_shipdate").cast("date").alias("notice_date")).agg(F.sum("l_quantity").alias("units")).withColumn("total_units", F.lit(1000.0))
+    got = enrich.reoffers(_named(spark, sf_dir), _based(notices), ["supply_region", "base"])
     return _rounded(got.select("label_id", "n_reoffers", "reoffer_ratio", "is_reoffered"), 6, "reoffer_ratio")
 
 
