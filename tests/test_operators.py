@@ -64,16 +64,14 @@ def test_competition(spark):
     assert got[60.0]["ah_undersubscribed"]
 
 
-def test_nearest_and_counts_on_grid_and_broadcast(spark):
+def test_nearest_and_counts(spark):
     step = 300 / spatial.EARTH_M * 57.29577951308232
     points = spark.createDataFrame([(1, 37.5, 127.0), (2, None, 127.0), (3, 37.9, 127.0)], "id int, lat double, lon double")
     ref = spark.createDataFrame([("a", 37.5, 127.0), ("b", 37.5 + 2 * step, 127.0), ("c", 37.5 + 3 * step, 127.0)], "ref string, lat double, lon double")
     counts = {r["id"]: r for r in spatial.radius_count(points, ref, [500, 1000], "id", "n").collect()}
     assert (counts[1]["n_within_500m"], counts[1]["n_within_1000m"]) == (1, 3)
     assert counts[2]["n_within_500m"] is None and counts[3]["n_within_1000m"] == 0
-    few = values(spatial.nearest(points, ref, "id", "ref"), "id", "nearest_ref")
-    grid = values(spatial.nearest(points, ref, "id", "ref", small=0), "id", "nearest_ref")
-    assert few == grid == [(1, "a"), (2, None), (3, "c")]
+    assert values(spatial.nearest(points, ref, "id", "ref"), "id", "nearest_ref") == [(1, "a"), (2, None), (3, "c")]
 
 
 def test_ledger_transitions(spark):

@@ -1,19 +1,28 @@
-"""Neighbours and counts on the globe, by a grid of cells.
+"""Neighbours and counts on the globe, exact at every latitude and across the 180th meridian.
 
-Points meet in an equi-join on cells of at least the radius wide, one side in its cell, the other in its nine cells, and
-then by the exact haversine distance. A row without coordinates gets nulls, one with coordinates and no hit gets 0.
+Counts within a radius: points meet in an equi-join on cells, one side in its cell, the other in its own and the neighbouring ones,
+and then by the exact haversine distance. Cells are bands of latitude at least a radius high, each cut into as many equal parts as
+are at least a radius wide anywhere in the band or beside it. A row without coordinates gets nulls, one with coordinates and
+no hit gets 0.
+
+Nearest neighbours: a tree of cubes about the globe, searched level by level with bounds of the distance (:func:`nearest`).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import kept
+
 EARTH_M = 6_371_000.0
-#: Rows of reference points up to which they are broadcast and compared one by one.
-SMALL = 20_000
+#: Halvings of the cube about the globe: the last cubes are some 12 m wide.
+DEPTH = 20
+#: Cubes of a level up to which the level is broadcast (they are counted), and cubes with which a search begins at most.
+BROADCAST_CUBES, FIRST_CUBES = 100_000, 64
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -22,43 +31,53 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.lit(2 * EARTH_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-def _steps(radius_m: float, max_lat: float) -> tuple[float, float]:
-    """Cell sizes in degrees that hold the radius at every latitude up to ``max_lat``."""
-    step = math.degrees(radius_m / EARTH_M) * 1.0001
-    shrink = math.cos(math.radians(min(89.0, max_lat + step)))
-    return step, step / shrink
+def _placed(df: DataFrame) -> DataFrame:
+    return df.where("lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)")
+
 
+def _cells(df: DataFrame, radius_m: float, around: bool) -> DataFrame:
+    """Rows with their cell (_y, _x), or once for each cell that may hold what is within the radius."""
+    step = math.degrees(radius_m / EARTH_M) * 1.0001 + 1e-9
+    sine = math.sin(math.radians(min(step, 90.0)))
 
-def _cells(df: DataFrame, steps: tuple[float, float], around: bool) -> DataFrame:
-    y, x = F.floor(F.col("lat") / steps[0]), F.floor(F.col("lon") / steps[1])
+    def parts(y: Column) -> Column:
+        """The cells of a band: an arc of a radius spans the most degrees at the far edge of the band beside it."""
+        far = F.greatest(F.abs(y - 1), F.abs(y + 2)) * step
+        wide = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(sine) / F.cos(F.radians(F.least(far, F.lit(90.0)))))))
+        n = F.when(far + step >= 90, 1).otherwise(F.floor(360 / wide))
+        return F.when(n < 3, 1).otherwise(n)
+
+    own = lambda n: F.least(F.floor(F.pmod(F.col("lon"), F.lit(360.0)) / 360 * n), n - 1)
+    y = F.floor(F.col("lat") / step)
     if not around:
-        return df.withColumns({"_y": y, "_x": x})
-    near = F.sequence(F.lit(-1), F.lit(1))
-    return df.withColumn("_dy", F.explode(near)).withColumn("_dx", F.explode(near)).withColumns({"_y": y + F.col("_dy"), "_x": x + F.col("_dx")}).drop("_dy", "_dx")
+        return df.withColumn("_y", y).withColumn("_x", own(parts(F.col("_y"))))
+    banded = df.withColumn("_y", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: y + d))).withColumn("_parts", parts(F.col("_y")))
+    n = F.col("_parts")
+    beside = F.when(n == 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.pmod(own(n) + d, n)))
+    return banded.withColumn("_x", F.explode(beside)).drop("_parts")
 
 
-def within(points: DataFrame, ref: DataFrame, radius_m: float, point_id: str, values: list[str], max_lat: float = 66.0) -> DataFrame:
-    """point_id, the values of each reference point within the radius, and dist_m. ``max_lat`` bounds |lat| of the points."""
-    steps = _steps(radius_m, max_lat)
-    p = _cells(points.where("lat IS NOT NULL AND lon IS NOT NULL").select(point_id, "lat", "lon"), steps, around=True)
-    r = _cells(ref.where("lat IS NOT NULL AND lon IS NOT NULL").select(*values, F.col("lat").alias("lat"), F.col("lon").alias("lon")), steps, around=False)
+def within(points: DataFrame, ref: DataFrame, radius_m: float, point_id: str, values: list[str]) -> DataFrame:
+    """point_id, the values of each reference point within the radius, and dist_m."""
+    p = _cells(_placed(points).select(point_id, "lat", "lon"), radius_m, around=True)
+    r = _cells(_placed(ref).select(*values, F.col("lat").alias("lat"), F.col("lon").alias("lon")), radius_m, around=False)
     r = r.withColumnsRenamed({"lat": "_lat", "lon": "_lon"})
     met = p.join(r, ["_y", "_x"]).withColumn("dist_m", haversine_m(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
     return met.where(F.col("dist_m") <= radius_m).select(point_id, *values, "dist_m")
 
 
-def sales_near(rows: DataFrame, comps: DataFrame, radius_m: float, row_id: str, lag_days: int, window_days: int, max_lat: float = 66.0) -> DataFrame:
+def sales_near(rows: DataFrame, comps: DataFrame, radius_m: float, row_id: str, lag_days: int, window_days: int) -> DataFrame:
     """row_id with, for each place and day of usable sales within radius and window, their number n, sum s, dist_m and age.
 
     Sales are first summed up by place and day, as distance and age hang on those alone. Both sides meet in an equi-join on
     cell and stretch of days, so that no sale of another time is compared.
     """
-    steps, span = _steps(radius_m, max_lat), max(1, window_days - lag_days + 1)
+    span = max(1, window_days - lag_days + 1)
     day = F.unix_date("prediction_date")
-    p = _cells(rows.where("lat IS NOT NULL AND lon IS NOT NULL").select(row_id, "lat", "lon", "prediction_date"), steps, around=True)
+    p = _cells(_placed(rows).select(row_id, "lat", "lon", "prediction_date"), radius_m, around=True)
     p = p.withColumn("_t", F.explode(F.sequence(F.floor((day - window_days) / span), F.floor((day - lag_days) / span))))
-    daily = comps.where("lat IS NOT NULL AND lon IS NOT NULL AND price IS NOT NULL").groupBy("lat", "lon", "deal_date").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("s"))
-    r = _cells(daily, steps, around=False).withColumnsRenamed({"lat": "_lat", "lon": "_lon"}).withColumn("_t", F.floor(F.unix_date("deal_date") / span))
+    daily = _placed(comps).where("price IS NOT NULL").groupBy("lat", "lon", "deal_date").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("s"))
+    r = _cells(daily, radius_m, around=False).withColumnsRenamed({"lat": "_lat", "lon": "_lon"}).withColumn("_t", F.floor(F.unix_date("deal_date") / span))
     met = p.join(r, ["_y", "_x", "_t"]).withColumn("age", F.datediff("prediction_date", "deal_date")).where((F.col("age") >= lag_days) & (F.col("age") <= window_days))
     near = met.withColumn("dist_m", haversine_m(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))).where(F.col("dist_m") <= radius_m)
     return near.select(row_id, "n", "s", "dist_m", "age")
@@ -72,30 +91,86 @@ def radius_count(points: DataFrame, ref: DataFrame, radii_m: list[int], point_id
     return out.withColumns({c: F.when(placed, F.coalesce(c, F.lit(0).cast("long"))) for c in (f"{prefix}_within_{r}m" for r in radii_m)})
 
 
-def nearest(points: DataFrame, ref: DataFrame, point_id: str, ref_id: str, first_ring_m: float = 2000.0, rings: int = 4, small: int = SMALL) -> DataFrame:
+def _cubes(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Rows with their place on the unit sphere (_p) and their cube of the last level (_c)."""
+    up, around = F.radians(lat), F.radians(lon)
+    df = df.withColumn("_p", F.array(F.cos(up) * F.cos(around), F.cos(up) * F.sin(around), F.sin(up)))
+    last = 1 << DEPTH
+    return df.withColumn("_c", F.transform("_p", lambda v: F.greatest(F.lit(0), F.least(F.lit(last - 1), F.floor((v + 1) / 2 * last).cast("int")))))
+
+
+def _cube(level: int) -> Column:
+    """The name of the cube of a level that holds a cube of the last level."""
+    return F.expr(f"transform(_c, i -> shiftright(i, {DEPTH - level}))")
+
+
+def _bounds(level: int, cube: str) -> tuple[Column, Column]:
+    """The distances (as chords of the unit sphere) of a place _p to a cube and to the reference place _q in it."""
+    wide = 2.0 / (1 << level)
+    apart = lambda p, i: F.greatest(F.lit(0.0), i * wide - 1 - p, p - ((i + 1) * wide - 1))
+    length = lambda parts: F.sqrt(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x * x))
+    return length(F.zip_with("_p", cube, apart)), length(F.zip_with("_p", "_q", lambda a, b: a - b))
+
+
+def _levels(counts: dict[int, int], alone: int) -> Iterator[int]:
+    """The levels of a search: the last one of few cubes, and every one after it until there are as many cubes as places."""
+    begun = max([level for level, n in counts.items() if n <= FIRST_CUBES], default=min(counts))
+    for level in sorted(counts):
+        if level >= begun:
+            yield level
+            if counts[level] == alone:
+                return
+
+
+def nearest(points: DataFrame, ref: DataFrame, point_id: str, ref_id: str, broadcast_cubes: int = BROADCAST_CUBES) -> DataFrame:
     """Points with the nearest reference point and its distance; of equally near ones the least ``ref_id``.
 
-    Few reference points (counted) are broadcast. Otherwise rings of growing radius are searched: a neighbour within the
-    ring's radius is final, what has none goes on to a ring four times as wide, and what the last ring leaves (points far
-    from everything) to a comparison with the reference points nearest to the middle of their wide cell.
+    The different places of ``ref`` are counted in the cubes of every second level of a tree about the globe, each with one place
+    that it holds. The different places of ``points`` go down the tree together: each keeps the cubes that may hold its nearest
+    place, those no farther than the nearest of the places shown by all its cubes, and replaces them by their parts of the next
+    level. So a point keeps a few cubes on each level however dense the places are, and no point meets all places. Levels of few
+    cubes are broadcast; below them cubes and points shuffle, and a cube with one place is not searched further. Cubes know neither
+    poles nor meridians.
     """
-    ref = ref.where("lat IS NOT NULL AND lon IS NOT NULL").select(ref_id, "lat", "lon")
-    open_points = points.where("lat IS NOT NULL AND lon IS NOT NULL").select(point_id, "lat", "lon")
-    pick = F.min(F.struct("dist_m", ref_id)).alias("_n")
-    if ref.limit(small + 1).count() <= small:
-        r = F.broadcast(ref.withColumnsRenamed({"lat": "_lat", "lon": "_lon"}))
-        met = open_points.join(r, how="cross").withColumn("dist_m", haversine_m(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
-        found = met.groupBy(point_id).agg(pick)
-    else:
-        found, radius = None, first_ring_m
-        for _ in range(rings):
-            near = within(open_points, ref, radius, point_id, [ref_id], max_lat=85.0).groupBy(point_id).agg(pick)
-            found = near if found is None else found.unionByName(near)
-            open_points = open_points.join(near, point_id, "left_anti")
-            radius *= 4
-        far = within(open_points, ref, 20_037_508.0, point_id, [ref_id], max_lat=85.0).groupBy(point_id).agg(pick)
-        found = found.unionByName(far)
-    return points.join(found.select(point_id, F.col(f"_n.{ref_id}").alias(f"nearest_{ref_id}"), F.col("_n.dist_m").alias("nearest_dist_m")), point_id, "left")
+    places = _placed(ref).groupBy("lat", "lon").agg(F.min(ref_id).alias("_id"))
+    places = kept(_cubes(places, "lat", "lon").select(F.struct("_id", "lat", "lon").alias("_r"), F.col("_p").alias("_q"), "_c"), "places")
+    every = list(range(2, DEPTH + 1, 2))
+    tree = places.withColumn("level", F.explode(F.array(*map(F.lit, every)))).withColumn("cube", F.expr(f"transform(_c, i -> shiftright(i, {DEPTH} - level))"))
+    tree = kept(tree.groupBy("level", "cube").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_r", "_q")).alias("_one")), "cubes")
+    rows = tree.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.sum("_n").alias("places")).collect()  # a row a level
+    counts = {r["level"]: r["n"] for r in rows}
+    asked = _placed(points).select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct()
+    answer = [F.col("_found._id").alias(f"nearest_{ref_id}"), F.col("_found.dist_m").alias("nearest_dist_m")]
+    if not counts:
+        kinds = f"CAST(NULL AS {dict(ref.dtypes)[ref_id]})", "CAST(NULL AS DOUBLE)"
+        return points.withColumns({f"nearest_{ref_id}": F.expr(kinds[0]), "nearest_dist_m": F.expr(kinds[1])})
+    open_ = _cubes(asked, "_lat", "_lon").withColumn("_up", F.transform("_c", lambda i: F.shiftright(i, DEPTH))).select("_lat", "_lon", "_p", F.col("_up").alias("_in"), F.lit(None).cast(tree.schema["_one"].dataType["_r"].dataType).alias("_r"), F.lit(2).cast("long").alias("_n"), F.lit(0.0).alias("_low"), F.lit(2.0).alias("_shown"))
+    above = 0
+    for level in _levels(counts, rows[0]["places"]):
+        parts = tree.where(F.col("level") == level).select(F.transform("cube", lambda i: F.shiftright(i, level - above)).alias("_in"), "cube", F.col("_n").alias("_parts"), F.col("_one._r").alias("_new"), F.col("_one._q").alias("_q"))
+        low, shown = _bounds(level, "cube")
+        replace = F.col("_parts").isNotNull()
+        if counts[level] <= broadcast_cubes:
+            met = open_.join(F.broadcast(parts), "_in", "left")
+        else:
+            # Only cubes of several places go on; those of one place wait beside, so that the join has no key that all of them share.
+            open_ = kept(open_, f"search-{level}")
+            met = open_.where("_n > 1").join(parts, "_in", "left").unionByName(open_.where("_n = 1"), allowMissingColumns=True)
+        best = lambda new, old: F.when(replace, new).otherwise(F.col(old)).alias(old)  # noqa: E731, B023
+        met = met.select("_lat", "_lon", "_p", best(F.col("_new"), "_r"), best(low, "_low"), best(shown, "_shown"), F.when(replace, F.when(F.col("_parts") > 1, F.col("cube"))).alias("_in"), best(F.col("_parts"), "_n"))
+        least = F.min("_shown").over(Window.partitionBy("_lat", "_lon"))
+        open_ = met.withColumn("_least", least).where(F.col("_low") <= F.col("_least") * (1 + 1e-9) + 1e-12).drop("_least")
+        above = level
+    if counts[above] < rows[0]["places"]:
+        # Places closer than the last cubes are wide.
+        open_ = kept(open_, "search-last")
+        close = places.select(_cube(above).alias("_in"), F.col("_r").alias("_new"))
+        rest = open_.where("_n > 1").join(close, "_in").select("_lat", "_lon", F.col("_new").alias("_r"))
+        open_ = open_.where("_n = 1").select("_lat", "_lon", "_r").unionByName(rest)
+    dist = haversine_m(F.col("_lat"), F.col("_lon"), F.col("_r.lat"), F.col("_r.lon"))
+    found = open_.groupBy("_lat", "_lon").agg(F.min(F.struct(dist.alias("dist_m"), F.col("_r._id").alias("_id"))).alias("_found"))
+    same = (F.col("lat") == F.col("_lat")) & (F.col("lon") == F.col("_lon"))
+    return points.join(found, same, "left").select(*[points[c] for c in points.columns], *answer)
 
 
 def transit_features(points: DataFrame, ref: DataFrame, point_id: str, ref_id: str, radii_m: list[int], prefix: str) -> DataFrame:

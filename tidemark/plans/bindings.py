@@ -37,6 +37,7 @@ VIEWS: dict[str, str] = {
         event_type = 'error' AS is_cancelled, event_type = 'purchase' AS has_rgst, CAST(ts AS DATE) AS run_date FROM {events}""",
     "points": f"SELECT c_custkey AS point_id, CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE {_at(_LAT, 'c_custkey')} END AS lat, {_at(_LON, 'c_custkey')} AS lon FROM {{customer}}",
     "places": f"SELECT s_suppkey AS place_id, {_at(_LAT, 's_suppkey * 31')} AS lat, {_at(_LON, 's_suppkey * 31')} AS lon FROM {{supplier}}",
+    "sold_places": f"SELECT o_orderkey AS sale_id, {_at(_LAT, 'o_orderkey * 13')} AS lat, {_at(_LON, 'o_orderkey * 13')} AS lon FROM {{orders}}",
     "placed_comps": f"""SELECT CAST(s_nationkey AS STRING) AS region, {_at(_LAT, 's_suppkey * 31')} AS lat, {_at(_LON, 's_suppkey * 31')} AS lon, CAST(l_shipdate AS DATE) AS deal_date, CASE WHEN l_quantity > 0 THEN l_extendedprice / (l_quantity * CAST(3.3058 AS DOUBLE)) END AS price
         FROM {{lineitem}} JOIN {{supplier}} ON s_suppkey = l_suppkey""",
     "placed_labels": f"""SELECT o_orderkey AS label_id, CAST(c_nationkey AS STRING) AS region, {_at(_LAT, 'c_custkey')} AS lat, {_at(_LON, 'c_custkey')} AS lon, CAST(o_orderdate AS DATE) AS prediction_date

@@ -215,6 +215,14 @@ def nearest_neighbor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(got.select("point_id", "nearest_place_id", "nearest_dist_m"), 2, "nearest_dist_m")
 
 
+@query(f"""WITH d AS (SELECT point_id, sale_id, {_DIST.format(a='p', b='r')} AS m FROM points p CROSS JOIN sold_places r WHERE p.lat IS NOT NULL)
+SELECT point_id, arg_min(sale_id, (m, sale_id)) AS nearest_sale_id, round(min(m), 2) AS nearest_dist_m FROM points LEFT JOIN d USING (point_id) GROUP BY point_id""", "points", "sold_places")
+def nearest_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest sale of each point: the reference side is ten times as long as the points."""
+    got = spatial.nearest(bound(spark, sf_dir, "points"), bound(spark, sf_dir, "sold_places"), "point_id", "sale_id")
+    return _rounded(got.select("point_id", "nearest_sale_id", "nearest_dist_m"), 2, "nearest_dist_m")
+
+
 _COUNTS = ", ".join(f"CASE WHEN any_value(p.lat) IS NOT NULL THEN count(*) FILTER (m <= {r}) END AS n_place_within_{r}m" for r in (20000, 50000))
 
 

@@ -12,9 +12,23 @@ from tidemark.functions.names import code_level
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or where that is unset below the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
-    return f"{folder}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share, under spark.checkpoint.dir. Where that is unset, a local session, all in
+    one process, takes one below its warehouse; on a cluster there is no such folder, and it is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
+    return f"{folder.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written to a work folder and read again: lost executors cost no recomputation, and what reads them twice
+    computes them once."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
