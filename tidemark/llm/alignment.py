@@ -27,6 +27,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,11 @@ from pyspark.sql import functions as F
 from .common import arrow_map, slices, stored, texts_of
 
 #: Bytes of text in a block, about; a longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Bytes of text that a task encodes at a time.
+SLICE = 1 << 19
 #: Different pieces of text whose tokens a task keeps.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -51,6 +54,11 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _body(strings: pa.LargeBinaryArray) -> bytes:
+    """All strings of a new array, one after the other."""
+    return strings.buffers()[2].to_pybytes() if len(strings) else b""
+
+
 class Side:
     """The bytes of each id, and texts' ids one after the other."""
 
@@ -62,10 +70,10 @@ class Side:
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = self.encode(texts)
         sizes = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter((i for ids in got for i in ids), np.int64, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
+        return np.fromiter(chain.from_iterable(got), np.int64, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
 
     def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(self.pieces.take(pa.array(ids)).to_pylist())
+        return _body(self.pieces.take(pa.array(ids)))
 
 
 def byte_level(path: str) -> Side:
@@ -122,7 +130,7 @@ class Pieces:
         self.known: dict[str, int] = {}
         self.groups: list[bytes] = []
         self.counts, self.good = np.zeros((4, 0), np.int64), np.zeros(0, bool)
-        self.codes, self.begin = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.codes, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def learn(self, pieces: list[str]) -> None:
         """Encodes pieces that are new, all at once."""
@@ -139,9 +147,9 @@ class Pieces:
         (a, a_at), (b, b_at) = coded
         a_end, b_end = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
         last = last_tokens(a_end, b_end)
-        ends = np.concatenate([a_end, b_end])[last]
-        borders = np.unique(ends)
-        group = np.searchsorted(borders, ends)
+        ends = np.concatenate([a_end, b_end])
+        borders = ends[np.flatnonzero(last == np.arange(len(last)))]  # tokens that point to themselves, by their ends
+        group = np.searchsorted(borders, ends[last])
         # Tokens by group, A before B, and what stands behind each: , | or ;
         key = 2 * group + (np.arange(len(last)) >= len(a))
         order = np.argsort(key, kind="stable")
@@ -150,7 +158,7 @@ class Pieces:
         ids = np.concatenate([a, b + len(self.a.sizes)])[order]
         text = self.names.take(pa.array(ids + behind * (len(self.names) // 3)))
         at = np.frombuffer(text.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
-        body = text.buffers()[2].to_pybytes() if len(ids) else b""
+        body = _body(text)
         cut = at[a_at + b_at]
         # Links: of each token of A all tokens of B from the one that holds its first byte to the one that holds its last.
         first = np.searchsorted(b_end, a_end - self.a.sizes[a], side="right")
@@ -165,7 +173,7 @@ class Pieces:
         self.counts = np.concatenate([self.counts, np.stack([np.diff(a_at), np.diff(b_at), n_groups, np.diff(links[a_at])])], 1)
         self.good = np.concatenate([self.good, good])
         self.begin = np.concatenate([self.begin, self.begin[-1] + links[a_at[1:]]])
-        self.codes = np.concatenate([self.codes, codes])
+        self.codes = np.concatenate([self.codes, codes.astype(np.uint32)])
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
         """Of texts: numbers of tokens of A, of B, groups and links; the groups; and the codes of all links with bounds by text."""
@@ -196,18 +204,20 @@ CODED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sh
 
 def _by_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Values with the number of their text in the upper half, sorted."""
-    return np.sort(values | np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) << 32)
+    return np.sort(values.astype(np.int64) | np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) << 32)
 
 
 def _encode(a_path: str, b_path: str, with_groups: bool, block_bytes: int):
     def of_block(parts: list[tuple], block: int) -> Iterator[pa.RecordBatch]:
         """Rows of a block; its different pairs and how many texts hold them are in its first row."""
-        distinct = [np.unique(_by_text(codes, bounds)) & (2**32 - 1) for *_, codes, bounds in parts]
-        pairs, holders = np.unique(np.concatenate(distinct), return_counts=True)
+        held = [_by_text(codes, bounds) for *_, codes, bounds in parts]
+        held = np.sort(np.concatenate([x[np.append(True, x[1:] != x[:-1])[: len(x)]].astype(np.uint32) for x in held]))  # once a text
+        first = np.flatnonzero(np.append(True, held[1:] != held[:-1])[: len(held)])
+        pairs, holders = held[first].astype(np.int64), np.diff(np.append(first, len(held)))
         usual = np.argsort(-holders, kind="stable")
         number = np.empty(len(pairs), np.int64)
         number[usual] = np.arange(len(pairs))
-        for k, (doc_id, counts, text, codes, bounds) in enumerate(parts):
+        for k, (doc_id, sha, shown, counts, codes, bounds) in enumerate(parts):
             # The sorted numbers of a text's links, each less the one before: small, so that they take little space.
             numbers = _by_text(number[np.searchsorted(pairs, codes)], bounds) & (2**32 - 1)
             steps = np.diff(numbers, prepend=0)
@@ -215,22 +225,22 @@ def _encode(a_path: str, b_path: str, with_groups: bool, block_bytes: int):
             steps[begins] = numbers[begins]
             rows = len(doc_id)
             mine = [not k and not i for i in range(rows)]
-            sha = [hashlib.sha256(t).hexdigest() if t else "" for t in text]
-            shown = pa.array([t.decode() for t in text] if with_groups else [None] * rows, pa.string())
             once = lambda x, kind: pa.array([x if m else None for m in mine], pa.list_(kind))  # noqa: E731, B023
             links = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(steps, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [doc_id, *map(pa.array, counts), pa.array(sha, pa.string()), shown, pa.array([block] * rows, pa.int64()), links, once(pairs[usual], pa.int64()), once(holders[usual].astype(np.int32), pa.int32())],
+                [doc_id, *map(pa.array, counts), sha, shown, pa.array([block] * rows, pa.int64()), links, once(pairs[usual], pa.int64()), once(holders[usual].astype(np.int32), pa.int32())],
                 names=[c.split()[0] for c in CODED.split(", ")],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, parts, size = _pieces(a_path, b_path), [], 0
         block = TaskContext.get().partitionId() << 32
-        for batch in slices(batches, rows=4096):
-            texts = texts_of(batch)
-            parts.append((batch.column("doc_id").cast(pa.int64()), *known.of(texts)))
-            size += sum(map(len, texts))
+        for batch in slices(batches, rows=4096, limit=SLICE):
+            counts, text, codes, bounds = known.of(texts_of(batch))
+            sha = pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in text], pa.string())
+            shown = pa.array([t.decode() for t in text] if with_groups else [None] * len(text), pa.string())
+            parts.append((batch.column("doc_id").cast(pa.int64()), sha, shown, counts, codes, bounds))
+            size += batch.column("text").nbytes
             if size >= block_bytes:
                 yield from of_block(parts, block)
                 parts, size, block = [], 0, block + 1
