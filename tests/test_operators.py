@@ -137,7 +137,6 @@ def test_lake(spark):
     months = spark.createDataFrame([("a", "202401"), ("a", "202402")], "region string, deal_ym string")
     new = spark.createDataFrame([("a", "202401", 9)], old.schema)
     assert values(lake.replace_refetched(old, new, months), "region", "v") == [("a", 9), ("b", 3)]
-    assert values(lake.row_counts(spark.createDataFrame([("x",)], "source string"), ["x", "y"]), "source", "n_rows") == [("x", 1), ("y", 0)]
     seen = spark.createDataFrame([("a", "202401")], "region string, deal_ym string")
     plan = lake.pending_fetch_plan(spark.createDataFrame([("a",)], "region string"), seen, "202312", "202402", trailing=1)
     assert values(plan, "deal_ym") == [("202312",), ("202402",)]

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.amounts import leading_number, months_to_completion, number
-from tidemark.functions.names import squeezed
+from tidemark.functions.names import base_name, squeezed
+
+from tidemark.sources.files import kept
 
 from .asof import asof
 
@@ -42,6 +44,12 @@ def competition_metrics(raw: DataFrame) -> DataFrame:
     return g.select("pblanc_no", "area", rate.alias(DEMAND[0]), (rate < 1).alias(DEMAND[1]), (F.col("f") / F.col("s")).alias(DEMAND[2]), F.when(F.col("t") > 0, F.col("l") / F.col("t")).alias(DEMAND[3]))
 
 
+def with_base(rows: DataFrame, name: str, base: str = "base") -> DataFrame:
+    """Rows with the base of a name (null for none). Every different name is reduced once."""
+    bases = kept(rows.select(F.col(name).alias("_name")).distinct().withColumn(base, base_name(F.col("_name"))), "bases")
+    return rows.join(bases, F.col(name) == F.col("_name"), "left").drop("_name")
+
+
 def nearest_known_area(asked: DataFrame, launches: DataFrame, keys: list[str]) -> DataFrame:
     """``asked`` (keys, deal_date, asked; all different) with ``area``: of the areas that launches (keys, notice_date, area) of the
     keys had announced on or before the date the one nearest to ``asked``, or both where one below and one above are as near.
@@ -56,7 +64,7 @@ def nearest_known_area(asked: DataFrame, launches: DataFrame, keys: list[str]) -
     per_key = Window.partitionBy(*keys)
     ranked = first.withColumns({"_rank": F.row_number().over(per_key.orderBy("_since", "area")) - 1, "_all": F.count(F.lit(1)).over(per_key)})
     salts = asked.groupBy(*keys).agg((1 + F.floor(F.count(F.lit(1)) / SALT_ROWS)).cast("int").alias("_salts"))
-    ranked = ranked.join(salts, keys)
+    ranked = kept(ranked.join(salts, keys), "ranked")
     until = ranked.groupBy(*keys, "_since").agg((F.max("_rank") + 1).alias("_upto"), F.max("_salts").alias("_salts"))
     known = asof(asked, until, keys, "deal_date", "_since", ["_upto", "_salts"]).where("_upto IS NOT NULL")
     bits = "filter(sequence(0, 30), k -> shiftright(_upto, k) % 2 = 1)"
@@ -87,19 +95,23 @@ def best_match(labels: DataFrame, launches: DataFrame, keys: list[str]) -> DataF
     c = launches.where(F.col("notice_date").isNotNull()).select(*keys, *fields, own.alias("_own"), F.coalesce(own, F.lit(0.0)).alias("area"))
     for k in keys:
         c = c.where(F.length(F.col(k).cast("string")) > 0)
-    asked = labels.select(*keys, "deal_date", own.alias("asked")).distinct().where(F.col("deal_date").isNotNull())
+    c = kept(c, "launches")
+    # Keys are numbered, so that what is sorted and sent about is short; stored, the numbers don't change.
+    ids = kept(c.select(*[F.col(k).alias(f"_of_{k}") for k in keys]).distinct().withColumn("_key", F.monotonically_increasing_id()), "keys")
+    numbered = lambda rows, how: rows.join(ids, [rows[k] == ids[f"_of_{k}"] for k in keys], how).drop(*(f"_of_{k}" for k in keys))
+    c = numbered(c, "inner").drop(*keys)
+    asked = numbered(labels.select(*keys, "deal_date", own.alias("asked")), "inner").where(F.col("deal_date").isNotNull())
+    asked = kept(asked.select("_key", "deal_date", "asked").distinct(), "asked")
     row, order = F.struct(*fields, F.col("_own").alias("area")), F.struct("pblanc_no", "house_type")
     latest = lambda by: c.groupBy(*by, "notice_date").agg(F.min_by(row, order).alias("_b"))
-    near = nearest_known_area(asked.where("asked IS NOT NULL"), c, keys)
-    near = asof(near, latest([*keys, "area"]), [*keys, "area"], "deal_date", "notice_date", ["_b"])
+    near = kept(nearest_known_area(asked.where("asked IS NOT NULL"), c, ["_key"]), "nearest-areas")
+    near = asof(near, latest(["_key", "area"]), ["_key", "area"], "deal_date", "notice_date", ["_b"])
     late = F.struct((-F.unix_date("_b.notice_date")).alias("late"), "_b.pblanc_no", "_b.house_type")
-    near = near.groupBy(*keys, "deal_date", "asked").agg(F.min_by("_b", late).alias("_b"))
-    any_area = asof(asked.where("asked IS NULL"), latest(keys), keys, "deal_date", "notice_date", ["_b"]).where("_b IS NOT NULL")
-    found = near.unionByName(any_area).withColumnsRenamed({n: f"_of_{n}" for n in [*keys, "deal_date", "asked"]})
-    same = own.eqNullSafe(F.col("_of_asked"))
-    for n in [*keys, "deal_date"]:
-        same = same & (F.col(n) == F.col(f"_of_{n}"))
-    out = labels.join(found, same, "left").drop(*(f"_of_{n}" for n in [*keys, "deal_date", "asked"]))
+    near = near.groupBy("_key", "deal_date", "asked").agg(F.min_by("_b", late).alias("_b"))
+    any_area = asof(asked.where("asked IS NULL"), latest(["_key"]), ["_key"], "deal_date", "notice_date", ["_b"]).where("_b IS NOT NULL")
+    found = near.unionByName(any_area).withColumnsRenamed({"_key": "_of_key", "deal_date": "_of_date", "asked": "_of_asked"})
+    same = (F.col("_key") == F.col("_of_key")) & (F.col("deal_date") == F.col("_of_date")) & own.eqNullSafe(F.col("_of_asked"))
+    out = numbered(labels, "left").join(found, same, "left").drop("_key", "_of_key", "_of_date", "_of_asked")
     b = F.col("_b")
     price = F.when(F.coalesce(b["area"], F.lit(0.0)) != 0, b["supply_price_manwon"] / b["area"])
     return out.withColumns({

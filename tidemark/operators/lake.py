@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,26 +30,6 @@ def replace_refetched(existing: DataFrame, fetched: DataFrame, refetched: DataFr
     return kept.unionByName(fetched, allowMissingColumns=True)
 
 
-def row_counts(lake: DataFrame, sources: list[str]) -> DataFrame:
-    """Rows of each wanted source; a source without rows counts 0."""
-    wanted = lake.sparkSession.createDataFrame([(s,) for s in sources], "source string")
-    counts = lake.where(F.col("source").isin(sources)).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
-    return wanted.join(counts, "source", "left").select("source", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
-
-
-def nonempty_sources(counts: DataFrame) -> DataFrame:
-    return counts.where("n_rows > 0")
-
-
-def map_regions(lake: DataFrame, transform: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """All regions transformed in one job, and a summary: regions, rows in, rows out."""
-    out = transform(lake)
-    a = lake.groupBy("region").agg(F.count(F.lit(1)).alias("i"))
-    b = out.groupBy("region").agg(F.count(F.lit(1)).alias("o"))
-    both = a.join(b, "region", "left").agg(F.count(F.lit(1)).alias("regions"), F.coalesce(F.sum("i"), F.lit(0)).alias("rows_in"), F.coalesce(F.sum("o"), F.lit(0)).alias("rows_out"))
-    return out, both
-
-
 def backfill_summary(rows: DataFrame, top: int = 5) -> DataFrame:
     """The ``top`` regions by rows, with their first and last deal."""
     g = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"), F.min("deal_date").alias("first_deal"), F.max("deal_date").alias("last_deal"))

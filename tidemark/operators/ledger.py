@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.amounts import real_date
 from tidemark.functions.names import deal_key, nonblank
 
+KEYS = ("feed", "region", "deal_key")
 STAMPS = ("first_seen_date", "last_seen_date", "cancelled_date", "rgst_filled_date")
 OBSERVATION = "feed string, region string, deal_key string, deal_date date, is_cancelled boolean, has_rgst boolean, run_date date"
 LEDGER = "feed string, region string, deal_key string, first_seen_date date, last_seen_date date, cancelled_date date, rgst_filled_date date"
@@ -47,12 +48,14 @@ def ledger_of(observations: DataFrame) -> DataFrame:
     )
 
 
+def merged(records: DataFrame) -> DataFrame:
+    """One record for each deal, of any number of partial ones."""
+    return records.groupBy(*KEYS).agg(*[(F.max if c == "last_seen_date" else F.min)(c).alias(c) for c in STAMPS])
+
+
 def update(ledger: DataFrame, observations: DataFrame) -> DataFrame:
     """The ledger after further runs."""
-    new = ledger_of(observations)
-    keys = ["feed", "region", "deal_key"]
-    both = ledger.select(*keys, *STAMPS).unionByName(new)
-    return both.groupBy(*keys).agg(*[(F.max if c == "last_seen_date" else F.min)(c).alias(c) for c in STAMPS])
+    return merged(ledger.select(*KEYS, *STAMPS).unionByName(ledger_of(observations)))
 
 
 def deltas(ledger: DataFrame, observations: DataFrame) -> DataFrame:

@@ -82,18 +82,14 @@ b AS (SELECT * FROM c WHERE rn = 1)"""
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.best_match(_named(spark, sf_dir), _based(bound(spark, sf_dir, "launches")), ["supply_region", "base"]).drop("base")
-
-
-def _based(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("base", names.base_name(F.col("house_name")))
+    return enrich.best_match(_named(spark, sf_dir), enrich.with_base(bound(spark, sf_dir, "launches"), "house_name"), ["supply_region", "base"]).drop("base")
 
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels whose names have marks of phases, blocks and brackets, wide digits too, that the base name does without."""
     marks = F.array(*map(F.lit, ("", " ２차", " (north)", " A-3블록", " 1단지")))
     labels = bound(spark, sf_dir, "named_labels")
-    return _based(labels.withColumn("house_name", F.concat("house_name", F.get(marks, (F.col("label_id") % 5).cast("int")))))
+    return enrich.with_base(labels.withColumn("house_name", F.concat("house_name", F.get(marks, (F.col("label_id") % 5).cast("int")))), "house_name")
 
 
 @query(_MATCH + """SELECT l.label_id, b.pblanc_no AS ah_pblanc_no, b.notice_date AS ah_notice_date, round(b.supply_price_manwon / b.exclusive_area_m2, 6) AS ah_supply_price_per_m2,
@@ -150,7 +146,7 @@ def reoffer_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("house_name"), F.substring("p_brand", 1, 7).alias("supply_region"), (40 + k % 80 + (k * 37 % 10000).cast("double") / 10000).alias("area"))
     again = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").join(part, F.col("p_partkey") == F.col("l_partkey"))
     notices = again.groupBy("house_name", "supply_region", "area", F.col("l_shipdate").cast("date").alias("notice_date")).agg(F.sum("l_quantity").alias("units")).withColumn("total_units", F.lit(1000.0))
-    got = enrich.reoffers(_named(spark, sf_dir), _based(notices), ["supply_region", "base"])
+    got = enrich.reoffers(_named(spark, sf_dir), enrich.with_base(notices, "house_name"), ["supply_region", "base"])
     return _rounded(got.select("label_id", "n_reoffers", "reoffer_ratio", "is_reoffered"), 6, "reoffer_ratio")
 
 
@@ -417,18 +413,36 @@ def cancellation_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ledger.cancellation_rate(ledger.ledger_of(seen), str(day)), 6, "cancel_rate")
 
 
+_LATER = "2024-01-21"
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """A ledger kept by a stream: the first twenty days land and are folded, and then the others, from the same checkpoint."""
+    from tidemark.streaming.ledger import keep_ledger
+
+    root, seen = files.work_folder(spark, "stream"), bound(spark, sf_dir, "seen")
+    for landed in (F.col("run_date") < _LATER, F.col("run_date") >= _LATER):
+        seen.where(landed).write.mode("append").parquet(f"{root}/in")
+        keep_ledger(spark.readStream.schema(seen.schema).parquet(f"{root}/in"), f"{root}/ledger", f"{root}/state").awaitTermination()
+    return f"{root}/ledger"
+
+
 @query(f"WITH {_LEDGER} SELECT * FROM led", "seen")
 def ledger_update_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger of the observations as a stream of daily files, folded batch by batch."""
-    from tidemark.streaming.ledger import keep_ledger
+    """The ledger of the observations as a stream that lands in two parts."""
+    from tidemark.streaming.ledger import read_ledger
+
+    return read_ledger(spark, _streamed(spark, sf_dir))
+
+
+@query(f"""WITH b AS (SELECT *, CAST(run_date >= DATE '{_LATER}' AS BIGINT) AS epoch FROM seen),
+k AS (SELECT feed, min(epoch) AS n, min(epoch) FILTER (is_cancelled) AS c, min(epoch) FILTER (has_rgst) AS r FROM b GROUP BY feed, region, deal_key)
+SELECT epoch, feed, max(run_date) AS run_date, count(DISTINCT region || '/' || deal_key) AS n_window, (SELECT count(*) FROM k WHERE n = epoch) AS n_new, (SELECT count(*) FROM k WHERE c = epoch) AS n_cancelled_new, (SELECT count(*) FROM k WHERE r = epoch) AS n_rgst_new FROM b GROUP BY epoch, feed""", "seen")
+def ledger_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch of the stream made known."""
+    from tidemark.streaming.ledger import read_audit
 
-    root = files.work_folder(spark, "stream")
-    bound(spark, sf_dir, "seen").repartition(4, "run_date").write.parquet(f"{root}/in")
-    schema = spark.read.parquet(f"{root}/in").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
-    keep_ledger(stream, f"{root}/ledger", f"{root}/audit", f"{root}/state").awaitTermination()
-    last = spark.read.parquet(f"{root}/ledger").agg(F.max("v")).first()[0]
-    return spark.read.schema(ledger.LEDGER).parquet(f"{root}/ledger/v={last}")
+    return read_audit(spark, _streamed(spark, sf_dir)).select("epoch", "feed", "run_date", "n_window", "n_new", "n_cancelled_new", "n_rgst_new")
 
 
 @query(f"""WITH {_LEDGER}, w AS (SELECT feed, run_date, count(DISTINCT region || '/' || deal_key) AS n_window FROM seen GROUP BY ALL)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import amounts, names, rules
 from tidemark.operators import asof, enrich, evaluate, features, lake, regulatory, spatial, validate
-from tidemark.sources import files
+from tidemark.sources import files, months
 
 from .bindings import bound
 from .queries import _DEMANDS, _LEDGER, ORACLE_SQL, _matched, _rounded, _table, _wide, query, reoffer_enrich
@@ -151,33 +151,62 @@ def pending_fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT region, deal_ym, deal_id, CASE WHEN deal_ym >= '200101' AND CAST(region AS INT) < 10 THEN price + 1 ELSE price END AS price FROM months
-WHERE NOT (deal_ym >= '200101' AND CAST(region AS INT) < 10 AND deal_id % 5 = 0)""", "months")
+WHERE NOT (deal_ym >= '200101' AND CAST(region AS INT) < 10 AND (deal_id % 5 = 0 OR deal_ym = '200103'))""", "months")
 def replace_refetched_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = bound(spark, sf_dir, "months")
-    new = old.where("deal_ym >= '200101' AND CAST(region AS INT) < 10")
-    return lake.replace_refetched(old, new.where("deal_id % 5 <> 0").withColumn("price", F.col("price") + 1), new)
-
-
-def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("source"))
+    """A lake is written; some of its months, read from it, are fetched again, twice over, one of them empty."""
+    root, all_of = files.work_folder(spark, "months"), bound(spark, sf_dir, "months")
+    months.replace_months(all_of, all_of, root)
+    held = lambda: months.read_months(spark, root, _LAKE)
+    again = held().where("deal_ym >= '200101' AND CAST(region AS INT) < 10")
+    fetched = again.where("deal_id % 5 <> 0 AND deal_ym <> '200103'").withColumn("price", F.col("price") + 1)
+    asked = again.select("region", "deal_ym").distinct()
+    fetched, asked = files.kept(fetched, "fetched"), files.kept(asked, "asked")
+    for _ in range(2):
+        months.replace_months(fetched, asked, root)
+    return held()
 
 
-_COUNTED = "c AS (SELECT s AS source, (SELECT count(*) FROM orders WHERE o_orderpriority = s) AS n_rows FROM (VALUES ('1-URGENT'), ('5-LOW'), ('absent')) v(s))"
+def _raw_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A raw lake of several datasets: single files, files by region, and one dataset without rows."""
+    root = files.work_folder(spark, "raw")
+    _table(spark, sf_dir, "orders").write.partitionBy("o_orderpriority").parquet(f"{root}/orders")
+    bound(spark, sf_dir, "months").write.partitionBy("region").parquet(f"{root}/months")
+    _table(spark, sf_dir, "customer").write.parquet(f"{root}/customers")
+    _table(spark, sf_dir, "supplier").where(F.lit(False)).write.parquet(f"{root}/suppliers")
+    return root
 
 
-@query(f"WITH {_COUNTED} SELECT * FROM c")
+@query("SELECT 'orders' AS source, count(*) AS n_rows FROM orders UNION ALL SELECT 'months', count(*) FROM months UNION ALL SELECT 'customers', count(*) FROM customer UNION ALL SELECT 'suppliers', 0 UNION ALL SELECT 'absent', 0", "months")
 def lake_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.row_counts(_sources(spark, sf_dir), ["1-URGENT", "5-LOW", "absent"])
+    return files.lake_row_counts(spark, _raw_lake(spark, sf_dir), ["orders", "months", "customers", "suppliers", "absent"])
 
 
-@query(f"WITH {_COUNTED} SELECT * FROM c WHERE n_rows > 0")
+@query("SELECT 'orders' AS source, count(*) AS n_rows FROM orders UNION ALL SELECT 'customers', count(*) FROM customer UNION ALL SELECT 'suppliers', count(*) FROM supplier")
 def nonempty_sources_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.nonempty_sources(lake.row_counts(_sources(spark, sf_dir), ["1-URGENT", "5-LOW", "absent"]))
+    """Tables are loaded from an old lake and reloaded from a new one: those with rows are replaced, the empty one stays."""
+    import uuid
+
+    sources = ("orders", "customers", "suppliers")
+    tables, root = {s: f"{s}_{uuid.uuid4().hex}" for s in sources}, files.work_folder(spark, "tables")
+    paths = {s: f"{root}/{s}" for s in sources}
+    old = files.work_folder(spark, "old")
+    _table(spark, sf_dir, "orders").union(_table(spark, sf_dir, "orders")).write.parquet(f"{old}/orders")
+    _table(spark, sf_dir, "supplier").write.parquet(f"{old}/suppliers")
+    files.reload_nonempty(spark, old, tables, paths)
+    files.reload_nonempty(spark, _raw_lake(spark, sf_dir), tables, paths)
+    for t in tables.values():
+        spark.sql(f"DROP TABLE {t}")  # external tables: their files stay
+    return files.lake_row_counts(spark, root, list(sources))
 
 
-@query("SELECT count(DISTINCT region) AS regions, count(*) AS rows_in, count(*) FILTER (price > 100000) AS rows_out FROM months", "months")
+@query("SELECT count(DISTINCT region) AS regions, count(*) AS rows_in, count(*) FILTER (price > 100000 AND region <> '3') AS rows_out, count(*) FILTER (price > 100000 AND region <> '3') AS rows_there, round(sum(price) FILTER (price > 100000 AND region <> '3') * 2, 2) AS total_there FROM months", "months")
 def map_region_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.map_regions(bound(spark, sf_dir, "months"), lambda df: df.where("price > 100000"))[1].withColumns({"rows_in": F.col("rows_in").cast("long"), "rows_out": F.col("rows_out").cast("long")})
+    """A lake filtered and doubled in one pass, written over an older state of the target, with all of one region gone."""
+    out = files.work_folder(spark, "mapped")
+    files.write_regions(bound(spark, sf_dir, "months").where("region IN ('3', '4')"), out)
+    n = files.map_region_lake(spark, _lake(spark, sf_dir), out, _LAKE, lambda df: df.where("price > 100000 AND region <> '3'").withColumn("price", F.col("price") * 2))
+    there = files.read_region_lake(spark, out, _LAKE).agg(F.count(F.lit(1)).alias("rows_there"), F.round(F.sum("price"), 2).alias("total_there"))
+    return there.select(*[F.lit(v).cast("long").alias(k) for k, v in n.items()], "rows_there", "total_there")
 
 
 @query("SELECT region, count(*) AS n_rows, min(prediction_date) AS first_deal, max(prediction_date) AS last_deal FROM labels GROUP BY region ORDER BY n_rows DESC, region LIMIT 5", "labels")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,6 +37,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def complete(spark: SparkSession, path: str, key: str, kind: type = int) -> list:
+    """The values of the folders ``<path>/<key>=<value>`` whose writing has ended."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith(f"{key}=")]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return [kind(f.getName().partition("=")[2]) for f in found if fs.exists(done(f, "_SUCCESS"))]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        fs, p = _folder(spark, path)
+        fs.delete(p, True)
+
+
 def read_region_lake(spark: SparkSession, root: str, schema: StructType | str, columns: list[str] | None = None) -> DataFrame:
     """All regions of ``<root>/region=<code>/``; the region comes from the path, as a string by the given schema."""
     df = spark.read.schema(schema).option("basePath", root).parquet(root)
@@ -51,6 +73,38 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def map_region_lake(spark: SparkSession, source: str, target: str, schema: StructType | str, transform: Callable[[DataFrame], DataFrame], columns: list[str] | None = None) -> dict[str, int]:
+    """Reads all regions of ``source`` (or some columns of them), transforms them in one job and replaces these regions in
+    ``target``. Returns regions, rows_in and rows_out, which the write itself has counted: no other pass is made. A region whose
+    rows all go is removed from ``target``, as no rows of it could replace the old ones."""
+    read, written = Observation(), Observation()
+    some = lambda: (F.count(F.lit(1)).alias("n"), F.collect_set("region").alias("regions"))  # noqa: E731  a name each, as many as partitions
+    rows = read_region_lake(spark, source, schema, columns).observe(read, *some())
+    write_regions(transform(rows).observe(written, *some()), target)
+    remove(spark, [f"{target}/region={r}" for r in set(read.get["regions"]) - set(written.get["regions"])])
+    return {"regions": len(read.get["regions"]), "rows_in": read.get["n"], "rows_out": written.get["n"]}
+
+
+def lake_row_counts(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
+    """Rows of each wanted source, a folder below ``root`` with Parquet files at any depth; a missing or empty one counts 0. One
+    scan of all sources that reads no column: rows come from the files' footers, sources from their paths."""
+    wanted = spark.createDataFrame([(s,) for s in sources], "source string")
+    if not exists(spark, root):
+        return wanted.withColumn("n_rows", F.lit(0).cast("long"))
+    length = len(_folder(spark, root)[1].toUri().getPath().rstrip("/"))
+    path = F.parse_url(F.col("_metadata.file_path"), F.lit("PATH"))
+    rows = spark.read.schema(StructType([])).option("recursiveFileLookup", True).parquet(root)
+    counts = rows.select(F.split_part(F.substring(path, length + 2, 10_000), F.lit("/"), F.lit(1)).alias("source")).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return wanted.join(counts, "source", "left").select("source", F.coalesce("n", F.lit(0).cast("long")).alias("n_rows"))
+
+
+def reload_nonempty(spark: SparkSession, root: str, tables: dict[str, str], paths: dict[str, str] | None = None) -> dict[str, int]:
+    """(Re)loads the table of each source (source -> table) that has rows, and returns the rows loaded; a source without rows leaves
+    its table alone. ``paths`` names folders of external tables."""
+    have = {r["source"] for r in lake_row_counts(spark, root, list(tables)).where("n_rows > 0").collect()}  # a row a source
+    return {s: load_table(spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{s}"), t, path=(paths or {}).get(s)) for s, t in tables.items() if s in have}
+
+
 def load_table(df: DataFrame, table: str, truncate: bool = True, path: str | None = None) -> int:
     """(Re)loads a catalog table, an external one if a ``path`` is given; returns its rows."""
     writer = df.write.mode("overwrite" if truncate else "append")
