@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.amounts import month_index, month_name, report_date
+from tidemark.functions.amounts import month_index, report_date
+from tidemark.sources.files import kept
 
 #: Frames in a stretch of days; the days that a stretch gets twice are about one in this many.
 STRETCH = 4
+#: Prices of a frame that one row holds at most, and the prices at which a range of them is cut where there are more.
+HELD_PRICES, PRICE_CUTS = 10_000, 15
 
 
 def _day(c: Column) -> Column:
@@ -34,9 +37,8 @@ def comp_window_stats(labels: DataFrame, comps: DataFrame, lag_days: int = 30, w
     """Labels (region, prediction_date, ...) with n_comps, comp_avg and comp_median of the sales (region, deal_date, price) of
     their region from window_days to lag_days before.
 
-    The statistics hang on (region, prediction_date) alone and are computed once for each, by a frame over the days of a region:
-    count and average from daily sums, the median from daily arrays of prices (a frame holds those of window_days - lag_days
-    + 1 days). No pair of a date and a sale is formed. ``median`` is exact or None.
+    The statistics hang on (region, prediction_date) alone and are computed once for each, by a frame over the days of a region.
+    No pair of a date and a sale is formed. ``median`` is exact, or None for none.
     """
     stats = comp_window_frame(labels.select("region", "prediction_date"), comps, lag_days, window_days, median is not None)
     return labels.join(stats, ["region", "prediction_date"], "left").withColumn("n_comps", F.coalesce("n_comps", F.lit(0).cast("long")))
@@ -49,27 +51,102 @@ def _middle(prices: Column) -> Column:
     return (F.get(ordered, F.floor((n - 1) / 2).cast("int")) * 0.5 + F.get(ordered, F.floor(n / 2).cast("int")) * 0.5)
 
 
-def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int, median: bool = False) -> DataFrame:
-    """n_comps and comp_avg of each (region, prediction_date), by a range frame over daily sums; with ``median`` also
-    comp_median, from daily arrays of prices.
+def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int, median: bool = False, held: int = HELD_PRICES) -> DataFrame:
+    """n_comps and comp_avg of each (region, prediction_date), by a range frame over daily sums, of which a region has one a day;
+    with ``median`` also comp_median, exact.
 
-    The days of a region are cut into stretches of a few frames, and each stretch also gets the days before it that its frames
-    reach, so a large region is many tasks.
+    Medians come from daily arrays of prices if no frame has more than ``held`` of them (the frames' counts tell), else from
+    :func:`_medians_by_ranks`. So a row holds at most ``held`` prices, whatever the tables.
     """
-    span = STRETCH * max(1, window_days - lag_days + 1)
-    day = _day(F.col("day"))
-    own = F.floor(day / span)
-    prices = [F.collect_list("price").alias("p")] if median else []
-    sold = comps.where(F.col("price").isNotNull() & F.col("deal_date").isNotNull()).select("region", F.col("deal_date").alias("day"), "price", F.lit(False).alias("asked"))
+    day = F.unix_date("day")
+    sold = comps.where(F.col("price").isNotNull() & F.col("deal_date").isNotNull()).select("region", F.col("deal_date").alias("day"), "price")
     asked = keys.select("region", F.col("prediction_date").alias("day"), F.lit(True).alias("asked"))
-    daily = sold.unionByName(asked, allowMissingColumns=True).groupBy("region", "day").agg(F.count("price").alias("n"), F.sum("price").alias("s"), F.max("asked").alias("asked"), *prices)
+    daily = sold.unionByName(asked, allowMissingColumns=True).groupBy("region", "day").agg(F.count("price").alias("n"), F.sum("price").alias("s"), F.max("asked").alias("asked"))
+    frame = Window.partitionBy("region").orderBy(day).rangeBetween(-window_days, -lag_days)
+    got = daily.select("region", "day", "asked", F.coalesce(F.sum("n").over(frame), F.lit(0)).alias("n_comps"), F.sum("s").over(frame).alias("_s")).where("asked")
+    got = got.select("region", F.col("day").alias("prediction_date"), "n_comps", F.try_divide("_s", "n_comps").alias("comp_avg"))
+    if not median:
+        return got
+    got, sold = kept(got, "frames"), kept(sold, "sold")
+    some = got.where("n_comps > 0")
+    few = (got.agg(F.max("n_comps").alias("n")).first()["n"] or 0) <= held
+    return got.join(_medians_by_arrays(some, sold, lag_days, window_days) if few else _medians_by_ranks(some, sold, lag_days, window_days, held), ["region", "prediction_date"], "left")
+
+
+def _medians_by_arrays(asked: DataFrame, sold: DataFrame, lag_days: int, window_days: int) -> DataFrame:
+    """region, prediction_date and comp_median, from a frame over daily arrays of prices. The days of a region are cut into stretches
+    of a few frames, and each also gets the days before it that its frames reach, so a large region is many tasks."""
+    span, day = STRETCH * max(1, window_days - lag_days + 1), F.unix_date("day")
+    own = F.floor(day / span)
+    prices = sold.groupBy("region", "day").agg(F.collect_list("price").alias("p"))
+    both = prices.unionByName(asked.select("region", F.col("prediction_date").alias("day"), F.lit(True).alias("asked")), allowMissingColumns=True)
     reached = F.sequence(F.floor((day + lag_days) / span), F.floor((day + window_days) / span))
-    rows = daily.withColumn("_stretch", F.explode_outer(F.array_union(reached, F.array(own)))).withColumn("asked", F.col("asked") & F.col("_stretch").eqNullSafe(own)).where("asked OR n > 0")
+    rows = both.withColumn("_stretch", F.explode(F.when(F.col("asked"), F.array(own)).otherwise(reached)))
     frame = Window.partitionBy("region", "_stretch").orderBy(day).rangeBetween(-window_days, -lag_days)
-    lists = [F.collect_list("p").over(frame).alias("_p")] if median else []
-    got = rows.select("region", "day", "asked", F.coalesce(F.sum("n").over(frame), F.lit(0)).alias("n_comps"), F.sum("s").over(frame).alias("_s"), *lists)
-    middle = [_middle(F.flatten("_p")).alias("comp_median")] if median else []
-    return got.where("asked").select("region", F.col("day").alias("prediction_date"), "n_comps", F.try_divide("_s", "n_comps").alias("comp_avg"), *middle)
+    got = rows.select("region", "day", "asked", F.collect_list("p").over(frame).alias("_p")).where("asked")
+    return got.select("region", F.col("day").alias("prediction_date"), _middle(F.flatten("_p")).alias("comp_median"))
+
+
+def _medians_by_ranks(asked: DataFrame, sold: DataFrame, lag_days: int, window_days: int, held: int) -> DataFrame:
+    """region, prediction_date and comp_median of frames of any size (asked: region, prediction_date, n_comps).
+
+    A frame asks for its middle prices by rank. The prices of a region are cut at PRICE_CUTS quantiles, into parts between them and
+    parts equal to one, daily counts of each part are added up over frames, and the counts tell which part holds a rank and
+    which rank it is there. That part is cut again, until no part has more than ``held`` prices of a frame, or only equal ones; then
+    the rank is looked up among those. All that is approximate is where the cuts lie.
+    """
+    cuts_at, n_parts = [i / (PRICE_CUTS + 1) for i in range(1, PRICE_CUTS + 1)], 2 * PRICE_CUTS + 1
+    frame = lambda *by: Window.partitionBy("region", *by).orderBy(F.unix_date("day")).rangeBetween(-window_days, -lag_days)
+    middle = F.array_distinct(F.array(F.floor((F.col("n_comps") + 1) / 2), F.ceil((F.col("n_comps") + 1) / 2)))
+    ranks = asked.select("region", F.col("prediction_date").alias("day"), F.lit(0).cast("long").alias("part"), F.explode(middle).alias("of")).withColumn("rank", F.col("of"))
+    prices = sold.withColumn("part", F.lit(0).cast("long"))
+    while True:
+        cuts = prices.groupBy("region", "part").agg(F.percentile_approx("price", cuts_at, 1000).alias("_cuts"), (F.min("price") < F.max("price")).alias("_more"))
+        finer = F.when(F.col("_more"), F.size(F.filter("_cuts", lambda c: c < F.col("price"))) + F.size(F.filter("_cuts", lambda c: c <= F.col("price")))).otherwise(0)
+        prices = kept(prices.join(cuts, ["region", "part"]).select("region", "day", "price", (F.col("part") * n_parts + finer).alias("part")), "prices")
+        spread = prices.groupBy("region", "part").agg((F.min("price") < F.max("price")).alias("_more"))
+        parts = ranks.select("region", "day", "part").distinct().withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+        questions = parts.select("region", "day", (F.col("part") * n_parts + F.col("_i")).alias("part"), F.lit(True).alias("asked"))
+        daily = prices.groupBy("region", "part", "day").agg(F.count(F.lit(1)).alias("_n")).unionByName(questions, allowMissingColumns=True)
+        counted = daily.withColumn("_in", F.coalesce(F.sum("_n").over(frame("part")), F.lit(0))).where("asked")
+        before = Window.partitionBy("region", "day", "_up").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_up", F.floor(F.col("part") / n_parts)).withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+        counted = counted.select("region", "day", "_up", F.col("part").alias("_part"), "_in", "_before")
+        met = ranks.withColumnRenamed("part", "_up").join(counted, ["region", "day", "_up"]).where("rank > _before AND rank <= _before + _in")
+        ranks = kept(met.select("region", "day", "of", F.col("_part").alias("part"), (F.col("rank") - F.col("_before")).alias("rank"), "_in"), "ranks")
+        most = ranks.join(spread.where("_more"), ["region", "part"]).agg(F.max("_in").alias("n")).first()["n"]
+        if (most or 0) <= held:
+            break
+        ranks = ranks.drop("_in")
+    # Equal prices of a day count as one, so that a part of equal prices is short whatever its number.
+    priced = prices.groupBy("region", "part", "day", "price").agg(F.count(F.lit(1)).alias("n")).groupBy("region", "part", "day").agg(F.collect_list(F.struct("price", "n")).alias("_p"))
+    both = priced.unionByName(ranks.select("region", "part", "day", "of", "rank"), allowMissingColumns=True)
+    found = both.withColumn("_all", F.array_sort(F.flatten(F.collect_list("_p").over(frame("part"))))).where("rank IS NOT NULL")
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("price"))
+    pick = F.aggregate("_all", start, lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), F.when(a["n"] < F.col("rank"), x["price"].cast("double")).otherwise(a["price"]).alias("price")))
+    return found.select("region", F.col("day").alias("prediction_date"), pick["price"].alias("_price")).groupBy("region", "prediction_date").agg((F.min("_price") * 0.5 + F.max("_price") * 0.5).alias("comp_median"))
+
+
+def comp_window_sketch(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int, k: int = 800) -> DataFrame:
+    """n_comps, comp_avg and comp_median of each (region, prediction_date), the median by mergeable quantile sketches: an element whose
+    rank is off by about 2 / ``k`` of the frame at most, exact in frames of fewer than ``k`` prices.
+
+    Sketches of days are merged to sketches of blocks of 2, 4, ... days, and a frame is put together from a few blocks, two of each
+    size at most. So a price is sketched once, and no row holds prices.
+    """
+    days = max(1, window_days - lag_days + 1)
+    levels = days.bit_length()
+    sold = comps.where(F.col("price").isNotNull() & F.col("deal_date").isNotNull())
+    daily = sold.groupBy("region", F.unix_date("deal_date").cast("long").alias("_day")).agg(F.kll_sketch_agg_double(F.col("price").cast("double"), F.lit(k)).alias("_sketch"))
+    blocks = kept(daily, "daily-sketches").withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).groupBy("region", "_k", F.expr("shiftright(_day, _k)").alias("_block"))
+    blocks = blocks.agg(F.kll_merge_agg_double("_sketch").alias("_sketch"))
+    frames = kept(comp_window_frame(keys, comps, lag_days, window_days), "frames")
+    ends = frames.where("n_comps > 0").withColumns({"_from": F.unix_date("prediction_date").cast("long") - window_days, "_to": F.unix_date("prediction_date").cast("long") - lag_days + 1})
+    first, last = "shiftright(_from + shiftleft(CAST(1 AS BIGINT), k) - 1, k)", "shiftright(_to, k)"  # whole blocks of size 2^k inside
+    own = f"transform(sequence(0, {levels - 1}), k -> filter(array(IF({first} % 2 <> 0, struct(k, {first} AS b), NULL), IF({last} % 2 <> 0, struct(k, {last} - 1 AS b), NULL)), x -> x IS NOT NULL AND {first} < {last}))"
+    wanted = ends.select("region", "prediction_date", F.explode(F.expr(f"flatten({own})")).alias("_w")).select("region", "prediction_date", F.col("_w.k").alias("_k"), F.col("_w.b").alias("_block"))
+    merged = wanted.join(blocks, ["region", "_k", "_block"]).groupBy("region", "prediction_date").agg(F.kll_merge_agg_double("_sketch").alias("_sketch"))
+    return frames.join(merged.select("region", "prediction_date", F.kll_sketch_get_quantile_double("_sketch", F.lit(0.5)).alias("comp_median")), ["region", "prediction_date"], "left")
 
 
 def comp_window_plain(labels: DataFrame, comps: DataFrame, lag_days: int, window_days: int) -> DataFrame:
@@ -115,7 +192,3 @@ def macro_asof(rows: DataFrame, monthly: DataFrame, values: list[str], on: str =
     index = F.year(on) * 12 + F.month(on) - 1 - lag_months
     known = monthly.select(month_index(F.col("deal_ym")).alias("_month"), F.col("deal_ym").alias("macro_ym"), *values).where("_month IS NOT NULL")
     return asof(rows.withColumn("_ask", index), known, [], "_ask", "_month", ["macro_ym", *values]).drop("_ask")
-
-
-def month_of_lag(day: Column, lag_months: int) -> Column:
-    return month_name(F.year(day) * 12 + F.month(day) - 1 - lag_months)

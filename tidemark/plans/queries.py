@@ -67,6 +67,13 @@ def comp_stats_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(got.select("region", "prediction_date", (F.col("n_comps") * F.col("times")).cast("long").alias("n_comps"), "comp_avg", "comp_median"), 6, "comp_avg", "comp_median")
 
 
+@query("""SELECT l.region, l.prediction_date, count(c.price) AS n_comps, round(avg(c.price), 6) AS comp_avg, round(quantile_disc(c.price, 0.5), 6) AS comp_median
+FROM (SELECT DISTINCT region, prediction_date FROM labels) l LEFT JOIN comps c ON c.region = l.region AND c.deal_date + 30 <= l.prediction_date AND c.deal_date >= l.prediction_date - 60 GROUP BY ALL""", "labels", "comps")
+def comp_stats_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by quantile sketches, which are exact for frames as small as these."""
+    return _rounded(asof.comp_window_sketch(bound(spark, sf_dir, "labels"), bound(spark, sf_dir, "comps"), 30, 60), 6, "comp_avg", "comp_median")
+
+
 @query("""WITH led AS (SELECT feed, region, deal_key, min(run_date) AS first_seen, min(run_date) FILTER (is_cancelled) AS gone FROM seen GROUP BY ALL),
 ok AS (SELECT * FROM led WHERE first_seen <= (SELECT max(run_date) - 10 FROM seen) AND (gone IS NULL OR gone > (SELECT max(run_date) - 10 FROM seen)))
 SELECT s.region, count(*) AS n FROM seen s SEMI JOIN ok USING (feed, deal_key) GROUP BY s.region""", "seen")
