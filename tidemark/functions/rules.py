@@ -29,8 +29,14 @@ def _found(c: Column, pattern: str, group: int) -> Column:
     return F.when(c.rlike(pattern), F.trim(F.regexp_extract(c, pattern, group)))
 
 
+def _plain_digits(c: Column) -> Column:
+    """Full-width digits as plain ones."""
+    return F.translate(c, "０１２３４５６７８９", "0123456789")
+
+
 def period_months(raw: Column) -> Column:
     """Months of a period: 0 if it says none, years and months added; null if there is neither."""
+    raw = _plain_digits(raw)
     unit = lambda p: F.coalesce(F.regexp_extract(raw, p, 1).try_cast("int"), F.lit(0))
     total = unit(r"([0-9]+)(?U:\s*)년") * 12 + unit(r"([0-9]+)(?U:\s*)개(?U:\s*)월")
     return F.when(_has(raw, *NO_PERIOD), 0).otherwise(F.nullif(total, F.lit(0)))
@@ -39,7 +45,7 @@ def period_months(raw: Column) -> Column:
 def clean_period(raw: Column) -> Column:
     """A genuine period string, trimmed; null for prose, boilerplate and strings without a period."""
     s = F.trim(raw)
-    return F.when((F.length(s) <= 50) & ~_has(s, *BOILERPLATE) & s.rlike(PERIOD_TOKEN), s)
+    return F.when((F.length(s) <= 50) & ~_has(s, *BOILERPLATE) & _plain_digits(s).rlike(PERIOD_TOKEN), s)
 
 
 def zone(raw: Column) -> Column:

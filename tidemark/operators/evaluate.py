@@ -22,13 +22,31 @@ def leakage_audit(enriched: DataFrame) -> DataFrame:
     return enriched.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("ah_notice_date") > F.col("deal_date")).alias("n_violations"))
 
 
-def regression_metrics(rows: DataFrame, actual: str, predicted: str, by: str) -> DataFrame:
-    """n, RMSE, MAPE and R2 by slice and in all (slice null), in one pass. Rows without a prediction are left out."""
-    y, p = F.col(actual), F.col(predicted)
-    good = rows.where(y.isNotNull() & p.isNotNull())
-    sse = F.sum(F.pow(y - p, 2))
-    r2 = 1 - F.try_divide(sse, F.var_pop(y) * F.count(F.lit(1)))
-    return good.rollup(by).agg(F.count(F.lit(1)).alias("n"), F.sqrt(sse / F.count(F.lit(1))).alias("rmse"), F.avg(F.when(y != 0, F.abs((y - p) / y))).alias("mape"), r2.alias("r2")).withColumnRenamed(by, "slice")
+def price_band(rows: DataFrame, price: str, shares: list[float], rows_a_part: int = 20_000) -> DataFrame:
+    """Rows with ``price_band``: how many of the quantiles of ``price`` (elements of it, by rank) are below theirs; null without one."""
+    good = rows.where(F.col(price).isNotNull())
+    n = good.count()
+    below = _ranked(good.select(price), price, rows_a_part)
+    wanted = F.array(*[F.lit(max(1, -(-int(n * s * 10**6) // 10**6))) for s in sorted(shares)])
+    held = F.filter(wanted, lambda k: (k > F.col("_below")) & (k <= F.col("_below") + F.col("_n")))
+    cuts = sorted(r[price] for r in below.select(price, F.explode(held)).collect()) if n else []  # a row for each share
+    return rows.withColumn("price_band", F.when(F.col(price).isNotNull(), sum([(F.col(price) > c).cast("int") for c in cuts], F.lit(0))))
+
+
+def regression_metrics(rows: DataFrame, targets: dict[str, tuple[str, str]], strata: list[str]) -> DataFrame:
+    """Of each target (name -> actual, predicted) n, RMSE, MAPE and R2: in all, and by each column of ``strata`` (stratum, slice), in one
+    pass. A row without a value or prediction of a target is left out of that target. The rows are those held out."""
+    stacked = F.array(*[F.struct(F.lit(t).alias("target"), F.col(y).cast("double").alias("y"), F.col(p).cast("double").alias("p")) for t, (y, p) in targets.items()])
+    good = rows.select(*[F.col(c).cast("string").alias(c) for c in strata], F.explode(stacked).alias("t")).select(*strata, "t.*").where("y IS NOT NULL AND p IS NOT NULL")
+    y, p = F.col("y"), F.col("p")
+    sse, n = F.sum(F.pow(y - p, 2)), F.count(F.lit(1))
+    measures = [n.alias("n"), F.sqrt(sse / n).alias("rmse"), F.avg(F.when(y != 0, F.abs((y - p) / y))).alias("mape"), (1 - F.try_divide(sse, F.var_pop(y) * n)).alias("r2")]
+    sets = [[F.col("target")], *[[F.col("target"), F.col(c)] for c in strata]]
+    by = good.groupingSets(sets, "target", *strata).agg(*measures, *[F.grouping(c).alias(f"_all_{c}") for c in strata])
+    stratum, value = F.lit("all"), F.lit(None).cast("string")
+    for c in strata:
+        stratum, value = F.when(F.col(f"_all_{c}") == 0, c).otherwise(stratum), F.when(F.col(f"_all_{c}") == 0, F.col(c)).otherwise(value)
+    return by.select("target", stratum.alias("stratum"), value.alias("slice"), "n", "rmse", "mape", "r2")
 
 
 def premium_by_bucket(rows: DataFrame, rate: str, ratio: str, edges: list[float]) -> DataFrame:
@@ -38,8 +56,8 @@ def premium_by_bucket(rows: DataFrame, rate: str, ratio: str, edges: list[float]
     return good.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.percentile(ratio, 0.5).alias("median_ratio"))
 
 
-def _mean_ranks(values: DataFrame, c: str, rows_a_part: int) -> DataFrame:
-    """Mean rank of each distinct value: they are cut into parts by approximate quantiles, at most RANK_PARTS, and ranked in
+def _ranked(values: DataFrame, c: str, rows_a_part: int) -> DataFrame:
+    """Each distinct value with its number _n and how many are _below it: they are cut into parts by approximate quantiles, at most RANK_PARTS, and ranked in
     each part from where its predecessors end, so that no task holds all of them."""
     n = values.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
     cuts = n.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(c, [i / RANK_PARTS for i in range(1, RANK_PARTS)], 10 * RANK_PARTS).alias("at")).first()
@@ -50,7 +68,11 @@ def _mean_ranks(values: DataFrame, c: str, rows_a_part: int) -> DataFrame:
     ahead = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     begin = cut.groupBy("_part").agg(F.sum("_n").alias("_n")).select("_part", ahead(Window.orderBy("_part")).alias("_from"))
     inside = cut.withColumn("_before", ahead(Window.partitionBy("_part").orderBy(c)))
-    return inside.join(F.broadcast(begin), "_part").select(c, (F.col("_from") + F.col("_before") + (F.col("_n") + 1) / 2).alias(f"_r_{c}"))
+    return inside.join(F.broadcast(begin), "_part").select(c, "_n", (F.col("_from") + F.col("_before")).alias("_below"))
+
+
+def _mean_ranks(values: DataFrame, c: str, rows_a_part: int) -> DataFrame:
+    return _ranked(values, c, rows_a_part).select(c, (F.col("_below") + (F.col("_n") + 1) / 2).alias(f"_r_{c}"))
 
 
 def spearman(rows: DataFrame, a: str, b: str, rows_a_part: int = 20_000) -> DataFrame:

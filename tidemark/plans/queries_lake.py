@@ -108,10 +108,32 @@ def parent_code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.parent_codes(_table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("code")), "code", parents)
 
 
-@query("""WITH x AS (SELECT label_id, exclusive_area_m2, deal_date FROM named_labels) SELECT 'labels' AS table_name, (SELECT count(*) FROM x) AS n_rows, (SELECT count(*) - count(DISTINCT (label_id, exclusive_area_m2, deal_date)) FROM x) AS n_repeated, c AS column_name, t AS column_type, n AS n_null
-FROM (VALUES ('label_id', 'bigint', 0), ('exclusive_area_m2', 'double', (SELECT count(*) FROM x WHERE exclusive_area_m2 IS NULL)), ('deal_date', 'date', 0)) v(c, t, n)""", "named_labels")
+# The columns of the given tables that the SQL of the profile counts: i int, l bigint, d double, t timestamp_ntz, f array<float>, others string.
+_TABLES = {
+    "benchmark": "item_id:l text", "conversations": "conv_id:l turn:l role text", "customer": "c_custkey:l c_name c_nationkey:i c_acctbal:d c_mktsegment", "documents": "doc_id:l text lang source n_chars:l",
+    "embeddings": "vec_id:l embedding:f label:i", "events": "event_id:l ts:t user_id:l event_type value:d props", "labels": "doc_id:l quality:i toxic:i",
+    "lineitem": "l_orderkey:l l_partkey:l l_suppkey:l l_linenumber:i l_quantity:d l_extendedprice:d l_discount:d l_tax:d l_returnflag l_linestatus l_shipdate:t", "nation": "n_nationkey:i n_name n_regionkey:i",
+    "orders": "o_orderkey:l o_custkey:l o_orderstatus o_totalprice:d o_orderdate:t o_orderpriority", "pages": "page_id:l url html", "part": "p_partkey:l p_name p_brand p_type p_size:i p_retailprice:d", "region": "r_regionkey:i r_name", "supplier": "s_suppkey:l s_name s_nationkey:i s_acctbal:d",
+}
+_KINDS = {"i": "int", "l": "bigint", "d": "double", "t": "timestamp_ntz", "f": "array<float>", "": "string"}
+
+
+def _profile_sql() -> str:
+    one = lambda t, c, k: f"SELECT '{t}' AS table_name, count(*) AS n_rows, (SELECT count(*) FROM {t}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS n_repeated, '{c}' AS column_name, '{_KINDS[k]}' AS column_type, count(*) - count({c}) AS n_null, true AS near FROM {t}"
+    return " UNION ALL ".join(one(t, *c.partition(":")[::2]) for t, columns in _TABLES.items() for c in columns.split())
+
+
+@query(_profile_sql())
 def data_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.quality_profile(bound(spark, sf_dir, "named_labels").select("label_id", "exclusive_area_m2", "deal_date"), "labels")
+    """Every column of every given table; ``near`` tells that the sketch of its different values is as near as it promises."""
+    out = None
+    for name in _TABLES:
+        df = _table(spark, sf_dir, name)
+        exact = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_n")) for c in df.columns])).alias("e")).select("e.*")
+        got = validate.quality_profile(df, name).join(exact, F.col("column_name") == F.col("_c"))
+        got = got.withColumn("near", F.abs(F.col("n_distinct") - F.col("_n")) <= 2 + 0.05 * F.col("_n")).select("table_name", "n_rows", "n_repeated", "column_name", "column_type", "n_null", "near")
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 @query("SELECT c_custkey, c_custkey % 3 = 1 AS flag FROM customer")
@@ -378,36 +400,58 @@ def month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("o_custkey", F.array_join(amounts.month_range(F.col("a"), F.col("b")), ",").alias("months"))
 
 
-def _bodies(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Landed responses by customer: its orders as items, an error for some, no item for others."""
-    item = "'<item><id>', o_orderkey, '</id><nm>', o_orderpriority, '</nm></item>'" if kind == "xml" else "'{\"id\":', o_orderkey, ',\"nm\":\"', o_orderpriority, '\"}'"
-    rows = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list(F.expr(f"concat({item})"))), "" if kind == "xml" else ",").alias("items"))
-    bad = F.when(F.col("o_custkey") % 10 == 0, "ERR").otherwise("000")
-    body = F.concat(F.lit("<response><header><resultCode>"), bad, F.lit("</resultCode></header><body><items>"), "items", F.lit("</items></body></response>")) if kind == "xml" else F.concat(F.lit('{"code":"'), bad, F.lit('","data":{"row":['), "items", F.lit("]}}"))
+def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses by customer: its orders as items, an error for some."""
+    item = "'{\"id\":', o_orderkey, ',\"nm\":\"', o_orderpriority, '\"}'"
+    rows = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list(F.expr(f"concat({item})"))), ",").alias("items"))
+    body = F.concat(F.lit('{"code":"'), F.when(F.col("o_custkey") % 10 == 0, "ERR").otherwise("000"), F.lit('","data":{"row":['), "items", F.lit("]}}"))
     return rows.select(F.col("o_custkey").alias("payload_id"), body.alias("body"))
 
 
-_ITEMS = "SELECT o_custkey AS payload_id, o_orderkey AS id, o_orderpriority AS nm FROM orders WHERE o_custkey % 10 <> 0"
+_DAY_CODE = "CASE CAST(substring(day, 9, 2) AS INT) % 10 WHEN 0 THEN 'ERR' WHEN 1 THEN '00' ELSE '000' END"
+_BY_DAY = f"o AS (SELECT *, substring(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 1, 10) AS day FROM orders), p AS (SELECT *, {_DAY_CODE} AS code FROM o)"
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Responses landed as files, one for each day of orders: good ones in two spellings and two encodings, errors, and for some days one
+    without items or an empty one beside it."""
+    path, day = files.work_folder(spark, "responses"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    rows = _table(spark, sf_dir, "orders").withColumn("day", day).groupBy("day").agg(F.array_join(F.array_sort(F.collect_list(F.expr("concat('<item><id>', o_orderkey, '</id><nm>아파트', o_orderpriority, '</nm></item>')"))), "").alias("items"))
+    code = F.expr(_DAY_CODE)
+    response = lambda code, items: F.concat(F.lit("<response><header><resultCode>"), code, F.lit("</resultCode><resultMsg>m</resultMsg></header><body><items>"), items, F.lit("</items></body></response>"))
+    n = F.substring("day", 9, 2).cast("int")
+    all_of = F.array(F.struct(F.lit("full").alias("kind"), response(code, F.col("items")).alias("value")), F.struct(F.when(n == 7, "none").alias("kind"), response(F.lit("000"), F.lit("")).alias("value")), F.struct(F.when(n == 8, "broken").alias("kind"), F.lit("<html>down").alias("value")))
+    landed = rows.withColumn("e", F.explode(all_of)).select("day", "e.*").where("kind IS NOT NULL").repartition("day")
+    for charset, half in (("UTF-8", n % 2 == 0), ("EUC-KR", n % 2 == 1)):
+        landed.where(half).write.mode("append").partitionBy("day", "kind").option("encoding", charset).text(path)
+    return path
 
 
-@query(_ITEMS)
+@query(f"WITH {_BY_DAY} SELECT day, o_orderkey AS id, '아파트' || o_orderpriority AS nm FROM p WHERE code <> 'ERR'")
 def payload_xml_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.xml_rows(_bodies(spark, sf_dir, "xml"), "id: long, nm: string")
+    """The items of landed files."""
+    got = files.xml_rows(files.payloads(spark, _landed(spark, sf_dir)), "id: long, nm: string")
+    return got.select(F.regexp_extract("payload_id", "day=([0-9-]+)", 1).alias("day"), "id", "nm")
 
 
-@query(_ITEMS)
+@query(f"WITH {_BY_DAY} SELECT DISTINCT day, 'full' AS kind, code, 'm' AS message FROM p WHERE code = 'ERR' UNION ALL SELECT DISTINCT day, 'broken', NULL, NULL FROM p WHERE substring(day, 9, 2) = '08'")
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files that gave no rows, and why."""
+    got = files.xml_rejects(files.payloads(spark, _landed(spark, sf_dir)))
+    return got.select(F.regexp_extract("payload_id", "day=([0-9-]+)", 1).alias("day"), F.regexp_extract("payload_id", "kind=([a-z]+)", 1).alias("kind"), "code", "message")
+
+
+@query("SELECT o_custkey AS payload_id, o_orderkey AS id, o_orderpriority AS nm FROM orders WHERE o_custkey % 10 <> 0")
 def payload_json_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.json_rows(_bodies(spark, sf_dir, "json"), "id: long, nm: string", "$.data.row", "$.code", "000")
+    return files.json_rows(_bodies(spark, sf_dir), "id: long, nm: string", "$.data.row", "$.code", "000")
 
 
-@query("SELECT c_custkey AS id, '아파트' || CAST(c_custkey AS VARCHAR) AS nm FROM customer")
+@query(f"WITH {_BY_DAY} SELECT day, count(*) AS n_items FROM p GROUP BY day")
 def payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """XML files in two encodings, read as one table."""
-    path = files.work_folder(spark, "xml")
-    rows = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("아파트"), F.col("c_custkey").cast("string")).alias("nm"))
-    for part, charset in ((0, "UTF-8"), (1, "EUC-KR")):
-        rows.where(F.col("id") % 2 == part).write.format("xml").options(rowTag="item", rootTag="items", encoding=charset).mode("append").save(path)
-    return files.xml_files(spark, path, "id long, nm string")
+    """Korean words in files of two encodings."""
+    bodies = files.payloads(spark, _landed(spark, sf_dir))
+    n = F.size(F.regexp_extract_all("body", F.lit("<nm>아파트[0-9A-Z]"), F.lit(0)))
+    return bodies.where(F.col("payload_id").contains("kind=full")).select(F.regexp_extract("payload_id", "day=([0-9-]+)", 1).alias("day"), n.cast("long").alias("n_items"))
 
 
 # --- scalar functions ------------------------------------------------------------------------------------------------
@@ -541,16 +585,31 @@ def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = asof.comp_window_stats(bound(spark, sf_dir, "labels"), bound(spark, sf_dir, "comps"), median=None)
-    return stats.select("label_id", "region", F.col("total").alias("actual"), F.col("comp_avg").alias("predicted"))
-
-
-_PREDICTED = "p AS (SELECT l.label_id, l.region, l.total AS y, avg(c.price) AS p FROM labels l LEFT JOIN comps c ON c.region = l.region AND c.deal_date + 30 <= l.prediction_date AND c.deal_date >= l.prediction_date - 90 GROUP BY ALL)"
-
-
-@query(f"WITH {_PREDICTED}, g AS (SELECT * FROM p WHERE p IS NOT NULL) SELECT region AS slice, count(*) AS n, round(sqrt(sum((y - p) ** 2) / count(*)), 3) AS rmse, round(avg(abs((y - p) / y)), 6) AS mape, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 6) AS r2 FROM g GROUP BY ROLLUP (region)", "labels", "comps")
+    """The rows held out, with their price, the trailing mean price as a guess of it, and both by the offer price: the mean price of
+    the region's training rows."""
+    labels = bound(spark, sf_dir, "labels")
+    split = files.kept(evaluate.time_split(labels, "prediction_date").select("label_id", "region", "prediction_date", "total", "split"), "split")
+    offered = split.where("split = 'train'").groupBy("region").agg(F.avg("total").alias("offer"))
+    # The guess: the mean price of the region's labels of the 60 days that end 30 days before.
+    seen = labels.select("region", F.col("prediction_date").alias("deal_date"), F.col("total").alias("price"))
+    held = asof.comp_window_stats(split.where("split = 'test'"), seen, median=None).withColumn("guess", F.col("comp_avg")).join(offered, "region", "left")
+    return held.select("label_id", "region", "total", "guess", (F.col("total") / F.col("offer")).alias("premium"), (F.col("guess") / F.col("offer")).alias("guessed_premium"))
+
+
+_PREDICTED = """d AS (SELECT prediction_date, count(*) AS n FROM labels GROUP BY 1), s AS (SELECT prediction_date, coalesce(sum(n) OVER (ORDER BY prediction_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(n) OVER () AS b FROM d),
+offer AS (SELECT region, avg(total) AS offer FROM labels JOIN s USING (prediction_date) WHERE b < 1 - 0.15 - 0.15 GROUP BY region),
+p AS (SELECT l.label_id, l.region, l.total AS y, avg(c.total) AS g FROM labels l JOIN s ON s.prediction_date = l.prediction_date AND b >= 1 - 0.15 LEFT JOIN labels c ON c.region = l.region AND c.prediction_date + 30 <= l.prediction_date AND c.prediction_date >= l.prediction_date - 90 GROUP BY ALL),
+q AS (SELECT quantile_disc(y, 0.25) AS a, quantile_disc(y, 0.5) AS b, quantile_disc(y, 0.75) AS c FROM p),
+h AS (SELECT region, CAST(CAST(y > a AS INT) + CAST(y > b AS INT) + CAST(y > c AS INT) AS VARCHAR) AS price_band, y, g, offer FROM p LEFT JOIN offer USING (region), q),
+t AS (SELECT 'price' AS target, region, price_band, y, g AS p FROM h UNION ALL SELECT 'premium', region, price_band, y / offer, g / offer FROM h),
+k AS (SELECT * FROM t WHERE y IS NOT NULL AND p IS NOT NULL)"""
+
+
+@query(f"""WITH {_PREDICTED} SELECT target, CASE WHEN grouping(region) = 0 THEN 'region' WHEN grouping(price_band) = 0 THEN 'price_band' ELSE 'all' END AS stratum, coalesce(region, price_band) AS slice,
+count(*) AS n, round(sqrt(sum((y - p) ** 2) / count(*)), 3) AS rmse, round(avg(abs((y - p) / y)), 6) AS mape, round(1 - sum((y - p) ** 2) / nullif(var_pop(y) * count(*), 0), 6) AS r2 FROM k GROUP BY GROUPING SETS ((target), (target, region), (target, price_band))""", "labels")
 def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = evaluate.regression_metrics(_predicted(spark, sf_dir), "actual", "predicted", "region")
+    rows = evaluate.price_band(_predicted(spark, sf_dir), "total", [0.25, 0.5, 0.75])
+    got = evaluate.regression_metrics(rows, {"price": ("total", "guess"), "premium": ("premium", "guessed_premium")}, ["region", "price_band"])
     return got.withColumns({"rmse": F.round("rmse", 3), "mape": F.round("mape", 6), "r2": F.round("r2", 6)})
 
 

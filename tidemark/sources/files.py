@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -129,25 +130,44 @@ def read_district_reference(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("code", F.trim("name").alias("name"), "status", (F.trim("status") == "존재").alias("is_active"), F.substring(code, 1, 2).alias("sido_code"), F.substring(code, 1, 5).alias("sigungu_code"), F.substring(code, 6, 5).alias("emd_code"), code_level(code).alias("level"))
 
 
-def xml_rows(payloads: DataFrame, item_schema: str, code: str = "resultCode", good: tuple[str, ...] = ("000", "00")) -> DataFrame:
-    """Items of landed XML responses (payload_id, body): one row an item; error responses and empty bodies give none."""
-    schema = f"header struct<{code}: string>, body struct<items: struct<item: array<struct<{item_schema}>>>>"
-    parsed = payloads.select("payload_id", F.from_xml("body", schema).alias("x"))
-    return parsed.where(F.col(f"x.header.{code}").isin(*good)).select("payload_id", F.explode("x.body.items.item").alias("i")).select("payload_id", "i.*")
+def payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """payload_id (the file) and body of landed responses, a file each. Bytes that are not UTF-8 are read as EUC-KR, and those that are
+    neither as UTF-8 with replacement marks. Files are listed, read and decoded by tasks; a response must fit in one."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return raw.select(F.col("path").alias("payload_id"), F.pandas_udf(_decoded, "string")("content").alias("body"))
+
+
+def _decoded(contents: pd.Series) -> pd.Series:
+    def text(raw: bytes) -> str:
+        for charset in ("utf-8", "euc-kr"):
+            try:
+                return raw.decode(charset)
+            except UnicodeDecodeError:
+                continue
+        return raw.decode("utf-8", errors="replace")
+
+    return contents.map(text)
+
+
+def _envelopes(bodies: DataFrame, item_schema: str, code: str) -> DataFrame:
+    schema = f"header struct<{code}: string, resultMsg: string>, body struct<items: struct<item: array<struct<{item_schema}>>>>"
+    parsed = bodies.select("payload_id", F.from_xml("body", schema).alias("x"))
+    return parsed.select("payload_id", F.col(f"x.header.{code}").alias("code"), F.col("x.header.resultMsg").alias("message"), F.col("x.body.items.item").alias("items"))
+
+
+def xml_rows(bodies: DataFrame, item_schema: str, code: str = "resultCode", good: tuple[str, ...] = ("000", "00")) -> DataFrame:
+    """Items of XML responses (payload_id, body), a row an item, also of a single one; error responses and empty bodies give none."""
+    read = _envelopes(bodies, item_schema, code).where(F.col("code").isin(*good))
+    return read.select("payload_id", F.explode("items").alias("i")).select("payload_id", "i.*")
+
+
+def xml_rejects(bodies: DataFrame, code: str = "resultCode", good: tuple[str, ...] = ("000", "00")) -> DataFrame:
+    """payload_id, code and message of responses that are errors, or that have no header (code null): empty and broken ones."""
+    read = _envelopes(bodies, "id: string", code)
+    return read.where(F.col("code").isNull() | ~F.col("code").isin(*good)).select("payload_id", "code", "message")
 
 
 def json_rows(payloads: DataFrame, item_schema: str, path: str, code: str, good: str) -> DataFrame:
     """Items of landed JSON responses (payload_id, body) whose status, the JSON path ``code``, is ``good``."""
     items = F.from_json(F.get_json_object("body", path), f"array<struct<{item_schema}>>")
     return payloads.where(F.get_json_object("body", code) == good).select("payload_id", F.explode(items).alias("i")).select("payload_id", "i.*")
-
-
-def xml_files(spark: SparkSession, folder: str, schema: str, row_tag: str = "item") -> DataFrame:
-    """Rows of XML files in UTF-8 or EUC-KR: a file whose bytes are not UTF-8 is read as EUC-KR, each class in one scan."""
-    kinds = spark.read.format("binaryFile").load(folder).select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"))
-    by = {r["utf8"]: r["paths"] for r in kinds.groupBy("utf8").agg(F.collect_list("path").alias("paths")).collect()}
-    read = lambda charset, paths: spark.read.format("xml").schema(schema).options(rowTag=row_tag, encoding=charset).load(paths)
-    parts = [read(charset, by[k]) for k, charset in ((True, "UTF-8"), (False, "EUC-KR")) if by.get(k)]
-    if not parts:
-        return spark.createDataFrame([], schema)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
