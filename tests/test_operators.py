@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import amounts, names, rules
 from tidemark.operators import asof, enrich, evaluate, features, lake, ledger, regulatory, resolve, spatial, validate
+from tidemark.sources import files
 
 D = dt.date.fromisoformat
 
@@ -99,7 +100,7 @@ def test_validation(spark):
     assert [(r["lat"], r["bizesNm"]) for r in validate.prep_pois(poi).collect()] == [(37.5, None)]
 
 
-@pytest.mark.parametrize(("raw", "want"), [("3년", 36), ("6개월", 6), ("1년 6개월", 18), ("없음", 0), ("등기", None), (None, None)])
+@pytest.mark.parametrize(("raw", "want"), [("3년", 36), ("6개월", 6), ("1년 6개월", 18), ("없음", 0), ("등기", None), (None, None), ("３년", 36), ("１년 ６개월", 18)])
 def test_period(spark, raw, want):
     assert one(spark, rules.period_months(F.lit(raw).cast("string"))) == want
 
@@ -199,3 +200,40 @@ def test_trailing_frames_across_stretches(spark):
         assert x["n_comps"] == n
         if n:
             assert abs(x["comp_avg"] - sum(prices) / n) < 1e-9 and x["comp_median"] == (prices[(n - 1) // 2] + prices[n // 2]) / 2
+
+
+def test_landed_files(spark, tmp_path):
+    head = "<response><header><resultCode>{}</resultCode><resultMsg>m</resultMsg></header><body><items>{}</items></body></response>"
+    item = "<item><id>{}</id><nm>{}</nm></item>"
+    bodies = {"two.xml": head.format("000", item.format(1, "가") + item.format(2, "나")), "one.xml": head.format("00", item.format(3, "다")), "none.xml": head.format("000", ""), "error.xml": head.format("99", ""), "blank.xml": " \n", "broken.xml": "<html>"}
+    (tmp_path / "deep").mkdir()
+    for name, body in bodies.items():
+        (tmp_path / ("deep" if name[0] == "o" else "") / name).write_bytes(body.encode("euc-kr" if name[0] in "to" else "utf-8"))
+    (tmp_path / "odd.xml").write_bytes(head.format("000", item.format(4, "x")).encode().replace(b"x", b"\xff"))
+    got = files.payloads(spark, f"file://{tmp_path}")
+    assert values(files.xml_rows(got, "id: long, nm: string"), "id", "nm") == [(1, "가"), (2, "나"), (3, "다"), (4, "�")]
+    rejects = {r["payload_id"].rsplit("/", 1)[1]: (r["code"], r["message"]) for r in files.xml_rejects(got).collect()}
+    assert rejects == {"error.xml": ("99", "m"), "blank.xml": (None, None), "broken.xml": (None, None)}
+
+
+def test_metrics_by_band(spark):
+    rows = [("a" if i % 2 else None, float(i), i + 1.0 if i % 5 else None, i / 10.0, i / 10.0) for i in range(1, 41)]
+    df = spark.createDataFrame(rows, "region string, y double, p double, r double, q double")
+    for part in (20_000, 3):
+        banded = evaluate.price_band(df, "y", [0.25, 0.5, 0.75], part)
+        assert values(banded.groupBy("price_band").count(), "price_band", "count") == [(b, 10) for b in range(4)]
+    got = {(r["target"], r["stratum"], r["slice"]): r for r in evaluate.regression_metrics(banded, {"price": ("y", "p"), "premium": ("r", "q")}, ["region", "price_band"]).collect()}
+    assert len(got) == 2 * (1 + 2 + 4) and got["price", "all", None]["n"] == 32 and got["premium", "all", None]["n"] == 40
+    assert got["price", "price_band", "0"]["rmse"] == pytest.approx(1) and got["premium", "region", "a"]["r2"] == 1
+    assert got["price", "region", None]["n"] == 16
+    assert evaluate.price_band(df.limit(0), "y", [0.5]).count() == 0
+
+
+def test_profile_of_any_table(spark):
+    rows = [(1, "x", [1.0], None), (1, "x", [1.0], None), (2, None, None, None), (2, "", None, None)] + [(i, "y", [float(i)], i) for i in range(10, 60)]
+    df = spark.createDataFrame(rows, "a int, `b c` string, v array<double>, n_rows int")
+    got = {r["column_name"]: r for r in validate.quality_profile(df, "t").collect()}
+    assert {(r["n_rows"], r["n_repeated"]) for r in got.values()} == {(54, 1)}
+    assert [got[c]["n_null"] for c in df.columns] == [0, 1, 2, 4] and got["b c"]["frequent"][0].asDict() == {"value": "y", "n": 50}
+    assert got["a"]["n_distinct"] == 52 and got["v"]["column_type"] == "array<double>" and got["b c"]["n_distinct"] == 3
+    assert [r["n_rows"] for r in validate.quality_profile(df.limit(0), "t").collect()] == [0] * 4

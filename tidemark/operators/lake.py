@@ -45,6 +45,12 @@ def source_profile(rows: DataFrame, key: str, day: str, value: str) -> DataFrame
     return rows.groupBy(F.year(day).alias("year")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"), F.min(value).alias("low"), F.percentile(value, 0.5).alias("median"), F.max(value).alias("high"))
 
 
+def value_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """column_name, value and n_rows for every value of some columns, nulls too, in one pass."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    return rows.select(F.explode(cells).alias("c")).groupBy("c.column_name", "c.value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def precision_tally(placed: DataFrame) -> DataFrame:
     """Rows of each precision and their share with coordinates."""
     return placed.groupBy("geocode_precision").agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.col("lat").isNotNull().cast("double")).alias("resolved"))
@@ -84,7 +90,7 @@ def region_select(scope_codes: DataFrame, scope: str, named: dict[str, list[str]
     return scope_codes.where(keep)
 
 
-def parent_codes(rows: DataFrame, code: str, parents: dict[str, str]) -> DataFrame:
-    """Distinct codes, merged ones replaced by their parent."""
-    table = F.create_map(*[F.lit(x) for kv in parents.items() for x in kv])
-    return rows.select(F.coalesce(F.try_element_at(table, F.col(code)), F.col(code)).alias(code)).distinct()
+def parent_codes(rows: DataFrame, code: str, parents: DataFrame) -> DataFrame:
+    """Distinct codes, merged ones replaced by their parent (``parents``: code, parent; a code once)."""
+    table = parents.select(F.col("code").alias("_merged"), F.col("parent").alias("_parent"))
+    return rows.select(code).distinct().join(table, F.col(code) == F.col("_merged"), "left").select(F.coalesce("_parent", code).alias(code)).distinct()

@@ -21,10 +21,10 @@ def district_layers(ref: DataFrame) -> DataFrame:
     return keyed.groupBy("sigungu_code", "layer", "key").agg(F.min("code").alias("code"), F.max("code").alias("_most")).where("code = _most").drop("_most")
 
 
-def resolve_districts(rows: DataFrame, ref: DataFrame, code: str = "sigungu_code", name: str = "dong", parents: dict[str, str] | None = None) -> DataFrame:
+def resolve_districts(rows: DataFrame, ref: DataFrame, code: str = "sigungu_code", name: str = "dong", parents: DataFrame | None = None) -> DataFrame:
     """Rows with ``legal_code``: the district's code by the first layer that is unique, else null; never drops a row.
 
-    ``parents`` maps merged city districts to the parent under which the reference files them; it is tried second. The
+    ``parents`` (code, parent) has merged city districts with the parent under which the reference files them; it is tried second. The
     distinct (code, name) pairs are resolved once and joined back.
     """
     layers = district_layers(ref)
@@ -32,9 +32,8 @@ def resolve_districts(rows: DataFrame, ref: DataFrame, code: str = "sigungu_code
     asked = rows.select(F.col(code).alias("_c"), F.col(name).alias("_n"), text.alias("_t")).distinct().where("_t <> ''")
     keys = F.array(*[F.struct(F.lit(i).alias("layer"), k.alias("key")) for i, k in ((1, F.col("_t")), (2, last_token(F.col("_t"))), (3, district_stem(F.col("_t"))))])
     tried = asked.withColumn("_try", F.array(F.col("_c")))
-    if parents:
-        table = F.create_map(*[F.lit(x) for kv in parents.items() for x in kv])
-        tried = asked.withColumn("_try", F.filter(F.array(F.col("_c"), F.try_element_at(table, F.col("_c"))), lambda x: x.isNotNull()))
+    if parents is not None:
+        tried = asked.join(parents.select(F.col("code").alias("_c"), F.col("parent").alias("_parent")), "_c", "left").withColumn("_try", F.array_compact(F.array("_c", "_parent")))
     tried = tried.select("_c", "_n", F.posexplode("_try").alias("_turn", "sigungu_code"), keys.alias("_k")).select("_c", "_n", "_turn", "sigungu_code", F.explode("_k").alias("k")).select("_c", "_n", "_turn", "sigungu_code", "k.layer", "k.key")
     best = tried.join(layers, ["sigungu_code", "layer", "key"]).groupBy("_c", "_n").agg(F.min_by("code", F.struct("_turn", "layer")).alias("legal_code"))
     same = rows[code].eqNullSafe(best["_c"]) & rows[name].eqNullSafe(best["_n"])

@@ -199,10 +199,12 @@ def index_asof_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(got.select("label_id", "idx"), 6, "idx")
 
 
-@query("""WITH x AS (SELECT deal_date AS prediction_date, avg(price) AS rate FROM comps WHERE day(deal_date) % 3 = 0 GROUP BY ALL)
+@query("""WITH x AS (SELECT deal_date + CAST((30000 - (deal_date - DATE '1970-01-01')) % 3 AS INT) AS prediction_date, avg(price) AS rate FROM comps GROUP BY ALL)
 SELECT label_id, round(rate, 6) AS rate FROM labels ASOF LEFT JOIN x USING (prediction_date)""", "labels", "comps")
 def daily_rate_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = bound(spark, sf_dir, "comps").where(F.day("deal_date") % 3 == 0).groupBy("deal_date").agg(F.avg("price").alias("rate"))
+    """A rate of all sales that is published on every third day."""
+    published = F.date_add("deal_date", (30000 - F.unix_date("deal_date")) % 3)
+    daily = bound(spark, sf_dir, "comps").groupBy(published.alias("deal_date")).agg(F.avg("price").alias("rate"))
     return _rounded(asof.asof(bound(spark, sf_dir, "labels"), daily, [], "prediction_date", "deal_date", ["rate"]).select("label_id", "rate"), 6, "rate")
 
 
@@ -292,10 +294,10 @@ def legal_dong_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.resolve_districts(bound(spark, sf_dir, "addresses"), bound(spark, sf_dir, "districts")).select("row_id", "legal_code")
 
 
-def _parents(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged districts (three digits from 900 on) and their parents: one for each nation."""
-    rows = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey").collect()
-    return {f"{10 + r.n_regionkey}{900 + r.n_nationkey + 1}": f"{10 + r.n_regionkey}{r.n_nationkey + 1:03d}" for r in rows}
+    n, head = F.col("n_nationkey") + 1, (10 + F.col("n_regionkey")).cast("string")
+    return _table(spark, sf_dir, "nation").select(F.concat(head, (900 + n).cast("string")).alias("code"), F.concat(head, F.lpad(n.cast("string"), 3, "0")).alias("parent"))
 
 
 _PARENT = "CASE WHEN CAST(substring(own, 3, 3) AS INT) >= 900 THEN substring(own, 1, 2) || lpad(CAST(CAST(substring(own, 3, 3) AS INT) - 900 AS VARCHAR), 3, '0') END"

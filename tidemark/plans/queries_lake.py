@@ -67,7 +67,7 @@ def _printed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Printed rules by part: periods, zones and land types that vary with the key."""
     k = F.col("p_partkey")
     n = (k % 5).cast("string")
-    limit = F.when(k % 6 == 0, "없음").when(k % 6 == 1, F.concat(n, F.lit("년"))).when(k % 6 == 2, F.concat(n, F.lit("년 6개월"))).when(k % 6 == 3, F.concat(n, F.lit(" 개월"))).when(k % 6 == 4, "콜센터 3년").otherwise("미적용")
+    limit = F.when(k % 6 == 0, "없음").when(k % 6 == 1, F.concat(F.translate(n, "01234", "０１２３４"), F.lit("년"))).when(k % 6 == 2, F.concat(n, F.lit("년 6개월"))).when(k % 6 == 3, F.concat(n, F.lit(" 개월"))).when(k % 6 == 4, "콜센터 3년").otherwise("미적용")
     zone = F.when(k % 4 == 0, "비 투기과열지구").when(k % 4 == 1, "투기과열지구").when(k % 4 == 2, "조정대상지역")
     return _table(spark, sf_dir, "part").select(k.alias("pblanc_no"), limit.alias("jeonmae_raw"), F.when(k % 3 == 0, "3년").otherwise("없음").alias("residence_raw"), F.when(k % 2 == 0, "적용").when(k % 7 == 0, "미적용").alias("price_ceiling"), zone.alias("regulated_zone_raw"), F.when(k % 2 == 0, "민간택지(공공택지 외)").otherwise("공공주택지구").alias("land_type_raw"))
 
@@ -103,8 +103,7 @@ def prep_pois(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT DISTINCT CASE WHEN n_nationkey % 5 = 1 THEN 'P' || CAST(n_regionkey AS VARCHAR) ELSE CAST(n_nationkey AS VARCHAR) END AS code FROM nation JOIN customer ON c_nationkey = n_nationkey")
 def parent_code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _table(spark, sf_dir, "nation")
-    parents = {str(r.n_nationkey): f"P{r.n_regionkey}" for r in nation.where("n_nationkey % 5 = 1").collect()}
+    parents = _table(spark, sf_dir, "nation").where("n_nationkey % 5 = 1").select(F.col("n_nationkey").cast("string").alias("code"), F.concat(F.lit("P"), F.col("n_regionkey").cast("string")).alias("parent"))
     return lake.parent_codes(_table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("code")), "code", parents)
 
 
@@ -142,14 +141,14 @@ def nonblank_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "customer").select("c_custkey", names.nonblank(F.when(k % 3 == 0, "  ").when(k % 3 == 1, " x ")).alias("flag"))
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer")
 def all_string_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.all_strings(_table(spark, sf_dir, "nation"))
+    return validate.all_strings(_table(spark, sf_dir, "customer"))
 
 
-@query("SELECT n_nationkey AS school_code, n_name AS name FROM nation")
+@query("SELECT c_custkey AS school_code, c_name AS name FROM customer")
 def rename_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.renamed(_table(spark, sf_dir, "nation"), {"school_code": "n_nationkey", "name": "n_name"})
+    return validate.renamed(_table(spark, sf_dir, "customer"), {"school_code": "c_custkey", "name": "c_name"})
 
 
 # --- lakes -----------------------------------------------------------------------------------------------------------
@@ -246,6 +245,11 @@ def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(lake.source_profile(bound(spark, sf_dir, "launches"), "builder", "notice_date", "exclusive_area_m2"), 6, "median").withColumn("year", F.col("year").cast("long"))
 
 
+@query("SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n_rows FROM orders GROUP BY ALL UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY ALL")
+def source_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.value_counts(_table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
+
+
 @query("SELECT count(DISTINCT (house_name, supply_region)) AS n_distinct FROM launches", "launches")
 def distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.distinct_count(bound(spark, sf_dir, "launches"), ["house_name", "supply_region"])
@@ -314,11 +318,12 @@ def write_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_region(files.read_region_lake(spark, out, _LAKE))
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def write_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = files.work_folder(spark, "snapshot")
-    for _ in range(2):
-        files.write_snapshot(_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), path)
+    """A snapshot of all orders over one of half of them."""
+    path, orders = files.work_folder(spark, "snapshot"), _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    for rows in (orders.where("o_orderkey % 2 = 0"), orders):
+        files.write_snapshot(rows, path)
     return spark.read.parquet(path)
 
 
@@ -375,11 +380,11 @@ def reference_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("code", "name", "is_active", "sigungu_code", "level")
 
 
-@query("SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS code, n_name AS name FROM nation")
+@query("SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS code, c_name AS name, c_acctbal AS balance FROM customer")
 def scan_typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = files.work_folder(spark, "csv")
-    _table(spark, sf_dir, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("code"), F.col("n_name").alias("name")).write.csv(path, header=True)
-    return files.read_csv(spark, path, "code string, name string")
+    _table(spark, sf_dir, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("code"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")).write.csv(path, header=True)
+    return files.read_csv(spark, path, "code string, name string, balance double")
 
 
 @query(f"WITH {_LEDGER} SELECT * FROM led", "seen")
@@ -494,10 +499,11 @@ def hierarchy_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bound(spark, sf_dir, "districts").select("code", names.code_level(F.col("code")).alias("lvl"))
 
 
-@query("SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN '11' WHEN 1 THEN '41' WHEN 2 THEN '36' END AS code FROM nation")
+@query("SELECT c_custkey, list_extract(['11', '41', '28', '26', '27', '30', '29', '31', '36', NULL], CAST(c_custkey % 10 + 1 AS INT)) AS code FROM customer")
 def region_name_to_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("n_nationkey") % 4
-    return _table(spark, sf_dir, "nation").select("n_nationkey", names.region_prefix(F.when(k == 0, "서울").when(k == 1, "경기").when(k == 2, "세종").otherwise("제주")).alias("code"))
+    """All names that have a code, and one without."""
+    given = F.array(*map(F.lit, ("서울", "경기", "인천", "부산", "대구", "대전", "광주", "울산", "세종", "제주")))
+    return _table(spark, sf_dir, "customer").select("c_custkey", names.region_prefix(F.get(given, (F.col("c_custkey") % 10).cast("int"))).alias("code"))
 
 
 @query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) + 30 AS reported, CAST((1995 + o_orderkey % 9 - year(o_orderdate)) * 12 + (o_orderkey % 15) - month(o_orderdate) AS INT) AS ahead, floor(o_totalprice / 7 * 100) / 100 AS area,
@@ -561,7 +567,7 @@ def under_header_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH d AS (SELECT doc_id AS k, p_partkey IS NOT NULL AS cells, doc_id % 5 <> 0 AS clause FROM documents LEFT JOIN part ON p_partkey = doc_id)
 SELECT k AS pblanc_no, CASE WHEN NOT cells OR k % 9 <> 0 THEN CASE WHEN k % 2 = 0 THEN '적용' WHEN NOT cells OR k % 7 = 0 THEN '미적용' END END AS price_ceiling,
-CASE WHEN NOT cells THEN (k % 4 + 1) || '년' WHEN k % 9 = 0 THEN '2년' ELSE CASE k % 6 WHEN 0 THEN '없음' WHEN 1 THEN (k % 5) || '년' WHEN 2 THEN (k % 5) || '년 6개월' WHEN 3 THEN (k % 5) || ' 개월' WHEN 4 THEN '콜센터 3년' ELSE '미적용' END END AS jeonmae_raw,
+CASE WHEN NOT cells THEN (k % 4 + 1) || '년' WHEN k % 9 = 0 THEN '2년' ELSE CASE k % 6 WHEN 0 THEN '없음' WHEN 1 THEN translate(CAST(k % 5 AS VARCHAR), '01234', '０１２３４') || '년' WHEN 2 THEN (k % 5) || '년 6개월' WHEN 3 THEN (k % 5) || ' 개월' WHEN 4 THEN '콜센터 3년' ELSE '미적용' END END AS jeonmae_raw,
 CASE WHEN NOT cells THEN (k % 3) || '년' WHEN k % 3 = 0 THEN '3년' ELSE '없음' END AS residence_raw,
 CASE WHEN cells AND k % 4 = 0 THEN '비 투기과열지구' WHEN cells AND k % 4 = 1 THEN '투기과열지구' WHEN cells AND k % 4 = 2 THEN '조정대상지역' WHEN cells AND k % 9 = 0 THEN '청약과열지역' WHEN clause THEN '투기과열지구 민간택지' END AS regulated_zone_raw,
 CASE WHEN NOT cells THEN '민간택지' WHEN k % 2 = 0 THEN '민간택지(공공택지 외)' ELSE '공공주택지구' END AS land_type_raw FROM d WHERE cells OR clause""")

@@ -132,7 +132,7 @@ def read_district_reference(spark: SparkSession, path: str) -> DataFrame:
 
 def payloads(spark: SparkSession, folder: str) -> DataFrame:
     """payload_id (the file) and body of landed responses, a file each. Bytes that are not UTF-8 are read as EUC-KR, and those that are
-    neither as UTF-8 with replacement marks. Files are listed, read and decoded by tasks; a response must fit in one."""
+    neither as UTF-8 with replacement marks. Files are read and decoded by tasks; a response must fit in one. A file of no bytes is no response and is not seen."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     return raw.select(F.col("path").alias("payload_id"), F.pandas_udf(_decoded, "string")("content").alias("body"))
 
