@@ -66,21 +66,26 @@ def within(points: DataFrame, ref: DataFrame, radius_m: float, point_id: str, va
     return met.where(F.col("dist_m") <= radius_m).select(point_id, *values, "dist_m")
 
 
-def sales_near(rows: DataFrame, comps: DataFrame, radius_m: float, row_id: str, lag_days: int, window_days: int) -> DataFrame:
-    """row_id with, for each place and day of usable sales within radius and window, their number n, sum s, dist_m and age.
+def sales_near(rows: DataFrame, comps: DataFrame, radius_m: float, lag_days: int, windows: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Homes (lat, lon, _home) of ``rows``, and for each home and prediction date (_home, prediction_date) the places of sales within the
+    radius: dist_m, and for each window the number n_<days> and sum s_<days> of the place's usable sales.
 
-    Sales are first summed up by place and day, as distance and age hang on those alone. Both sides meet in an equi-join on
-    cell and stretch of days, so that no sale of another time is compared.
+    Distance hangs on the two places alone, and what a place has sold on place and date: different homes meet different places once, in
+    cells; sales become daily sums by place, and frames over these give the sums of each window for the (place, date) that some home asks
+    for. So rows follow different (home, date) times the places near, whatever the number of sales and labels.
     """
-    span = max(1, window_days - lag_days + 1)
-    day = F.unix_date("prediction_date")
-    p = _cells(_placed(rows).select(row_id, "lat", "lon", "prediction_date"), radius_m, around=True)
-    p = p.withColumn("_t", F.explode(F.sequence(F.floor((day - window_days) / span), F.floor((day - lag_days) / span))))
-    daily = _placed(comps).where("price IS NOT NULL").groupBy("lat", "lon", "deal_date").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("s"))
-    r = _cells(daily, radius_m, around=False).withColumnsRenamed({"lat": "_lat", "lon": "_lon"}).withColumn("_t", F.floor(F.unix_date("deal_date") / span))
-    met = p.join(r, ["_y", "_x", "_t"]).withColumn("age", F.datediff("prediction_date", "deal_date")).where((F.col("age") >= lag_days) & (F.col("age") <= window_days))
-    near = met.withColumn("dist_m", haversine_m(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))).where(F.col("dist_m") <= radius_m)
-    return near.select(row_id, "n", "s", "dist_m", "age")
+    asked = _placed(rows).where("prediction_date IS NOT NULL").select("lat", "lon", "prediction_date").distinct()
+    sold = _placed(comps).where("price IS NOT NULL AND deal_date IS NOT NULL").groupBy("lat", "lon", "deal_date").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("s"))
+    # Numbered and stored, so that the numbers don't change.
+    homes, spots = (kept(df.select("lat", "lon").distinct().withColumn(name, F.monotonically_increasing_id()), name[1:]) for df, name in ((asked, "_home"), (sold, "_spot")))
+    near = kept(within(homes, spots, radius_m, "_home", ["_spot"]), "near")
+    met = kept(asked.join(homes, ["lat", "lon"]).select("_home", "prediction_date").join(near, "_home"), "met")
+    daily = sold.join(spots, ["lat", "lon"]).select("_spot", F.col("deal_date").alias("day"), "n", "s")
+    both = daily.unionByName(met.select("_spot", F.col("prediction_date").alias("day"), F.lit(True).alias("asked")).distinct(), allowMissingColumns=True)
+    frame = lambda w: Window.partitionBy("_spot").orderBy(F.unix_date("day")).rangeBetween(-w, -lag_days)
+    sums = [f.over(frame(w)).alias(f"{c}_{w}") for w in windows for c, f in (("n", F.sum("n")), ("s", F.sum("s")))]
+    found = both.select("_spot", F.col("day").alias("prediction_date"), "asked", *sums).where(F.col("asked") & (F.col(f"n_{max(windows)}") > 0)).drop("asked")
+    return homes, met.join(found, ["_spot", "prediction_date"]).drop("_spot")
 
 
 def radius_count(points: DataFrame, ref: DataFrame, radii_m: list[int], point_id: str, prefix: str) -> DataFrame:
@@ -177,21 +182,26 @@ def transit_features(points: DataFrame, ref: DataFrame, point_id: str, ref_id: s
     return radius_count(nearest(points, ref, point_id, ref_id), ref, radii_m, point_id, prefix)
 
 
-def comp_matrix(rows: DataFrame, comps: DataFrame, row_id: str, radii_m: list[int], windows: list[int], lag_days: int, min_comps: int = 3) -> DataFrame:
-    """Rows (row_id, region, lat, lon, prediction_date) with, for each radius and window, the number of usable sales and their
-    mean price weighted by 1 / (distance + 1 m); and ``comp_price``: that of the widest window in the smallest radius that
-    has ``min_comps``, else the mean of the region's usable sales of that window.
+def _joined(rows: DataFrame, homes: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with what was ``found`` for their home and date."""
+    found = found.join(homes, "_home").drop("_home")
+    return rows.join(found, ["lat", "lon", "prediction_date"], "left").select(*rows.columns, *[c for c in found.columns if c not in ("lat", "lon", "prediction_date")])
 
-    One join at the widest radius and window; all other cells of the matrix are conditional sums over it.
+
+def comp_matrix(rows: DataFrame, comps: DataFrame, radii_m: list[int], windows: list[int], lag_days: int, min_comps: int = 3) -> DataFrame:
+    """Rows (region, lat, lon, prediction_date) with, for each radius and window, the number of usable sales and their mean price
+    weighted by 1 / (distance + 1 m); and ``comp_price``: that of the widest window in the smallest radius that has ``min_comps``,
+    else the mean of the region's usable sales of that window.
+
+    The cells of the matrix are conditional sums over the places near; labels of one home and date are computed once.
     """
-    met = sales_near(rows, comps, max(radii_m), row_id, lag_days, max(windows))
-    weight = 1 / (F.col("dist_m") + 1)
-    cells = []
+    homes, met = sales_near(rows, comps, max(radii_m), lag_days, windows)
+    weight, cells = 1 / (F.col("dist_m") + 1), []
     for r in radii_m:
         for w in windows:
-            here = (F.col("dist_m") <= r) & (F.col("age") <= w)
-            cells += [F.sum(F.when(here, F.col("n"))).alias(f"n_{r}m_{w}d"), F.try_divide(F.sum(F.when(here, F.col("s") * weight)), F.sum(F.when(here, F.col("n") * weight))).alias(f"price_{r}m_{w}d")]
-    out = rows.join(met.groupBy(row_id).agg(*cells), row_id, "left")
+            here = lambda c: F.sum(F.when(F.col("dist_m") <= r, c))  # noqa: E731, B023
+            cells += [here(F.col(f"n_{w}")).alias(f"n_{r}m_{w}d"), F.try_divide(here(F.col(f"s_{w}") * weight), here(F.col(f"n_{w}") * weight)).alias(f"price_{r}m_{w}d")]
+    out = _joined(rows, homes, met.groupBy("_home", "prediction_date").agg(*cells))
     counts = [f"n_{r}m_{w}d" for r in radii_m for w in windows]
     out = out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
     from .asof import comp_window_frame
@@ -202,8 +212,9 @@ def comp_matrix(rows: DataFrame, comps: DataFrame, row_id: str, radii_m: list[in
     return out.join(district, ["region", "prediction_date"], "left").withColumn("comp_price", F.coalesce(*tiers, "_district")).drop("_district")
 
 
-def weighted_comp_price(rows: DataFrame, comps: DataFrame, row_id: str, radius_m: int, window_days: int, lag_days: int) -> DataFrame:
+def weighted_comp_price(rows: DataFrame, comps: DataFrame, radius_m: int, window_days: int, lag_days: int) -> DataFrame:
     """Rows with comp_price: the mean price of usable sales within radius and window, weighted by 1 / (distance + 1 m)."""
-    met = sales_near(rows, comps, radius_m, row_id, lag_days, window_days)
+    homes, met = sales_near(rows, comps, radius_m, lag_days, [window_days])
     weight = 1 / (F.col("dist_m") + 1)
-    return rows.join(met.groupBy(row_id).agg((F.sum(F.col("s") * weight) / F.sum(F.col("n") * weight)).alias("comp_price")), row_id, "left")
+    price = F.sum(F.col(f"s_{window_days}") * weight) / F.sum(F.col(f"n_{window_days}") * weight)
+    return _joined(rows, homes, met.groupBy("_home", "prediction_date").agg(price.alias("comp_price")))

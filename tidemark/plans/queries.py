@@ -262,18 +262,19 @@ _NEAR = f"""n AS (SELECT label_id, prediction_date, c.deal_date, c.price, {_DIST
 
 @query(f"WITH {_NEAR} SELECT l.label_id, round(sum(price / (m + 1)) / sum(1 / (m + 1)), 4) AS comp_price FROM placed_labels l LEFT JOIN (SELECT * FROM n WHERE m <= 50000) n USING (label_id) GROUP BY l.label_id", "placed_labels", "placed_comps")
 def weighted_comp_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = spatial.weighted_comp_price(bound(spark, sf_dir, "placed_labels"), bound(spark, sf_dir, "placed_comps"), "label_id", 50000, 90, 30)
+    got = spatial.weighted_comp_price(bound(spark, sf_dir, "placed_labels"), bound(spark, sf_dir, "placed_comps"), 50000, 90, 30)
     return _rounded(got.select("label_id", "comp_price"), 4, "comp_price")
 
 
-_CELLS = ", ".join(f"count(*) FILTER (m <= {r} AND age <= {w}) AS n_{r}m_{w}d, round(sum(price / (m + 1)) FILTER (m <= {r} AND age <= {w}) / sum(1 / (m + 1)) FILTER (m <= {r} AND age <= {w}), 4) AS price_{r}m_{w}d" for r in (20000, 50000) for w in (60, 90))
+RADII, WINDOWS = [10000, 20000, 50000], [60, 75, 90]
+_CELLS = ", ".join(f"count(*) FILTER (m <= {r} AND age <= {w}) AS n_{r}m_{w}d, round(sum(price / (m + 1)) FILTER (m <= {r} AND age <= {w}) / sum(1 / (m + 1)) FILTER (m <= {r} AND age <= {w}), 4) AS price_{r}m_{w}d" for r in RADII for w in WINDOWS)
 
 
 @query(f"""WITH {_NEAR}, a AS (SELECT l.label_id, {_CELLS} FROM placed_labels l LEFT JOIN (SELECT *, prediction_date - deal_date AS age FROM n) n USING (label_id) GROUP BY l.label_id),
 d AS (SELECT l.label_id, avg(c.price) AS p FROM placed_labels l LEFT JOIN placed_comps c ON c.region = l.region AND c.deal_date + 30 <= l.prediction_date AND c.deal_date >= l.prediction_date - 90 GROUP BY l.label_id)
-SELECT a.*, CASE WHEN n_20000m_90d >= 3 THEN price_20000m_90d WHEN n_50000m_90d >= 3 THEN price_50000m_90d ELSE round(d.p, 4) END AS comp_price FROM a JOIN d USING (label_id)""", "placed_labels", "placed_comps")
+SELECT a.*, CASE WHEN n_10000m_90d >= 3 THEN price_10000m_90d WHEN n_20000m_90d >= 3 THEN price_20000m_90d WHEN n_50000m_90d >= 3 THEN price_50000m_90d ELSE round(d.p, 4) END AS comp_price FROM a JOIN d USING (label_id)""", "placed_labels", "placed_comps")
 def comp_matrix_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = spatial.comp_matrix(bound(spark, sf_dir, "placed_labels"), bound(spark, sf_dir, "placed_comps"), "label_id", [20000, 50000], [60, 90], 30)
+    got = spatial.comp_matrix(bound(spark, sf_dir, "placed_labels"), bound(spark, sf_dir, "placed_comps"), RADII, WINDOWS, 30)
     prices = [c for c in got.columns if "price" in c]
     return _rounded(got.drop("region", "lat", "lon", "prediction_date"), 4, *prices)
 

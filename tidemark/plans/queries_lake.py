@@ -10,7 +10,7 @@ from tidemark.operators import asof, enrich, evaluate, features, lake, regulator
 from tidemark.sources import files, months
 
 from .bindings import bound
-from .queries import _DEMANDS, _LEDGER, ORACLE_SQL, _matched, _rounded, _table, _wide, query, reoffer_enrich
+from .queries import _DEMANDS, _LEDGER, ORACLE_SQL, RADII, WINDOWS, _matched, _rounded, _table, _wide, query, reoffer_enrich
 
 # --- validation ------------------------------------------------------------------------------------------------------
 
@@ -686,7 +686,7 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     homes = features.property_features(homes, spark.createDataFrame([("SMALL", 1)], "builder string, tier int")).select("label_id", "age_years", "usable_share", "log_units", "builder_tier")
     near = spatial.transit_features(points, bound(spark, sf_dir, "places"), "point_id", "place_id", [20000, 50000], "n_place").drop("lat", "lon")
     near = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("label_id"), F.col("o_custkey").alias("point_id")).join(near, "point_id").drop("point_id")
-    matrix = spatial.comp_matrix(bound(spark, sf_dir, "placed_labels"), bound(spark, sf_dir, "placed_comps"), "label_id", [20000, 50000], [60, 90], 30).drop("lat", "lon")
+    matrix = spatial.comp_matrix(bound(spark, sf_dir, "placed_labels"), bound(spark, sf_dir, "placed_comps"), RADII, WINDOWS, 30).drop("lat", "lon")
     split = evaluate.time_split(labels, "prediction_date").select("label_id", "split")
     parts = [comps, macro, matched.drop("ah_area", *(c for c in named.columns if c not in ("label_id", "exclusive_area_m2"))), homes, reoffer_enrich(spark, sf_dir), near, matrix, split]
     known = [F.col("ah_notice_date"), F.add_months(F.to_date(F.concat("macro_ym", F.lit("01")), "yyyyMMdd"), 1)]
