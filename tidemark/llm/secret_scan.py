@@ -96,11 +96,12 @@ def update_ledger(spark: SparkSession, versions: DataFrame, content: Column, led
 
 
 def findings_of(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """blob, findings under the current rule versions, sorted by start and rule; blobs without findings have no row."""
+    """blob, findings under the current rule versions, sorted by start and rule; blobs without findings have no row. What two runs have
+    both appended, as they ran at once or one was tried again, counts once."""
     rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))])
     kept = F.filter("findings", lambda f: f["key"].isin([r.key for r in rules]))
     rows = spark.read.schema(LEDGER).parquet(ledger).where(F.size("findings") > 0).select("blob", kept.alias("f")).where(F.size("f") > 0)
-    merged = rows.groupBy("blob").agg(F.flatten(F.collect_list("f")).alias("f"))
+    merged = rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("f"))).alias("f"))
     named = F.transform("f", lambda f: F.struct(f["start"].alias("start"), F.element_at(rank, f["key"]).alias("rule"), f["stop"].alias("stop")))
     return merged.select("blob", F.sort_array(named).alias("findings"))
 
