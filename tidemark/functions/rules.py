@@ -14,6 +14,10 @@ CEILING_TEXT = r"분양가(?U:\s*)상한제[^가-힣]{0,10}(미?적용)"
 LIMIT_TEXT = r"전매제한[^\n]{0,40}?([0-9]+(?U:\s*)년|[0-9]+(?U:\s*)개월|없음)"
 RESIDENCE_TEXT = r"(?:거주의무|실거주)[^\n]{0,40}?([0-9]+(?U:\s*)년|[0-9]+(?U:\s*)개월|없음)"
 ZONE_TEXT = r"(비규제(?U:\s*)지역|비투기과열지구[^\n]{0,20}|투기과열지구[^\n]{0,12}|조정대상지역|청약과열지역)"
+ZONES = (("비규제", ("비규제", "비투기과열")), ("조정대상", ("조정대상",)), ("투기과열", ("투기과열",)), ("청약과열", ("청약과열",)))
+LAND_TYPES = (("민간택지", ("민간택지", "민영")), ("공공택지", ("공공택지", "공공주택", "대규모택지", "대규모 택지")))
+CEILINGS = ((False, ("미적용",)), (True, ("적용",)))
+HEADER_LIMIT, HEADER_RESIDENCE, HEADER_LAND, HEADER_ZONE = ("전매제한",), ("거주의무", "거주 의무"), ("택지", "유형"), ("투기과열", "청약과열", "조정대상", "규제지역")
 LAND_TEXT = r"(민간택지[^\n]{0,15}|공공택지[^\n]{0,20}|공공주택지구)"
 
 
@@ -24,6 +28,14 @@ def _has(c: Column, *words: str) -> Column:
     return found
 
 
+def _first(c: Column, words: tuple) -> Column:
+    """The first name of ``words`` (name, its words) of which the text has a word, null if there is none."""
+    out = F
+    for name, of in words:
+        out = out.when(_has(c, *of), F.lit(name))
+    return out
+
+
 def _found(c: Column, pattern: str, group: int) -> Column:
     """A group of the first match, null where nothing matches."""
     return F.when(c.rlike(pattern), F.trim(F.regexp_extract(c, pattern, group)))
@@ -50,28 +62,27 @@ def clean_period(raw: Column) -> Column:
 
 def zone(raw: Column) -> Column:
     """The regulation zone; negated forms are looked for first."""
-    s = F.regexp_replace(raw, r"(?U)\s+", "")
-    return F.when(_has(s, "비규제", "비투기과열"), "비규제").when(_has(s, "조정대상"), "조정대상").when(_has(s, "투기과열"), "투기과열").when(_has(s, "청약과열"), "청약과열")
+    return _first(F.regexp_replace(raw, r"(?U)\s+", ""), ZONES)
 
 
 def land_type(raw: Column) -> Column:
     """Private or public land; private is looked for first."""
-    return F.when(_has(raw, "민간택지", "민영"), "민간택지").when(_has(raw, "공공택지", "공공주택", "대규모택지", "대규모 택지"), "공공택지")
+    return _first(raw, LAND_TYPES)
 
 
 def price_ceiling(raw: Column) -> Column:
     """False for not applied, true for applied, else null."""
-    return F.when(raw.contains("미적용"), False).when(raw.contains("적용"), True)
+    return _first(raw, CEILINGS)
 
 
 def header_label(cell: Column) -> Column:
     """The field that a header cell names, null if it names none."""
     return (
-        F.when(cell.contains("전매제한"), "jeonmae_raw")
-        .when(_has(cell, "거주의무", "거주 의무"), "residence_raw")
+        F.when(_has(cell, *HEADER_LIMIT), "jeonmae_raw")
+        .when(_has(cell, *HEADER_RESIDENCE), "residence_raw")
         .when(cell.contains(ANCHOR), "price_ceiling")
-        .when(cell.contains("택지") & cell.contains("유형"), "land_type_raw")
-        .when(_has(cell, "투기과열", "청약과열", "조정대상", "규제지역"), "regulated_zone_raw")
+        .when(cell.contains(HEADER_LAND[0]) & cell.contains(HEADER_LAND[1]), "land_type_raw")
+        .when(_has(cell, *HEADER_ZONE), "regulated_zone_raw")
     )
 
 
