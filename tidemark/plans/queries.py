@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import names
-from tidemark.operators import asof, enrich, lake, ledger, resolve, spatial
+from tidemark.operators import asof, enrich, evaluate, lake, ledger, resolve, spatial
 from tidemark.sources import files
 
 from .bindings import bound, with_views
