@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -420,6 +421,55 @@ def test_best_fit_takes_the_tightest_bin():
         want[name] = s
     assert sharding.best_fit_decreasing(items, 3, 60) == want
 
+def test_every_group_is_packed_by_best_fit(spark):
+    rows = [(i, "x" * (i * i * 37 % 5000) + str(i % 400)) for i in range(1200)] + [(5000 + i % 3, "often") for i in range(40)]
+    got = sharding.shard_documents(docs_of(spark, rows), 6).collect()
+    bytes_of: dict = {}
+    for _, text in rows:
+        bytes_of[text] = bytes_of.get(text, 0) + len(text) + 16
+    groups = sorted(bytes_of.values(), reverse=True)
+    mean, slack = -(-sum(groups) // 6), 0
+    while True:  # item by item
+        room, packed = [mean + slack] * 6, [[] for _ in range(6)]
+        for size in groups:
+            fits = [(r, s) for s, r in enumerate(room) if r >= size]
+            s = min(fits)[1] if fits else max((r, s) for s, r in enumerate(room))[1]
+            room[s] -= size
+            packed[s].append(size)
+        if min(room) >= 0:
+            break
+        slack = max(2 * slack, mean // 100_000, 1)
+    crcs = {zlib.crc32(t.encode()): t for t in bytes_of}
+    texts: dict = {}
+    for r in got:
+        texts.setdefault(r["shard"], set()).add(crcs[r["text_crc32"]])
+    assert {s: sorted((bytes_of[t] for t in ts), reverse=True) for s, ts in texts.items()} == dict(enumerate(packed))
+    assert sum(map(len, texts.values())) == len(bytes_of)
+
+
+def test_repeats_of_one_row_have_slots_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 10)
+    rows = [(1, "hot")] * 95 + [(i, f"text {i % 30}") for i in range(200)]
+    got = sharding.shard_documents(docs_of(spark, rows), 3).collect()
+    assert len(got) == len(rows)
+    for s in range(3):
+        slots = sorted(r["slot"] for r in got if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+
+
+def test_packing_always_finds_room():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        classes = [(int(s), int(rng.integers(1, 9))) for s in set(rng.integers(16, 3000, rng.integers(1, 60)).tolist())]
+        shards = int(rng.integers(1, 9))
+        placed = sharding.level(classes, shards)
+        assert {s: sum(k for k, _ in runs) for s, runs in placed.items()} == dict(classes)
+        load = [0] * shards
+        for size, runs in placed.items():
+            for k, s in runs:
+                load[s] += k * size
+        assert max(load) <= max(-(-sum(s * n for s, n in classes) // shards), 1) + 2 * max(s for s, _ in classes)
+
 
 def test_one_is_kept_of_rows_with_ties(spark):
     rows = [(1, "same text here", 5), (1, "same text here", 3), (2, "same text here", 1), (None, "", 0), (None, None, 1), (7, "b", 2), (7, "b", 2)]

@@ -16,15 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one below the warehouse, which
-    they share as well."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session, all in one process,
+    takes one below its warehouse; on a cluster it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
-        spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

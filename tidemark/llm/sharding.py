@@ -1,10 +1,11 @@
 """Best-fit-decreasing packing of indivisible groups into shards, with gapless slots.
 
-Groups (rows of equal text) stay whole. The number of items that the sequential packing sees is bounded whatever the
-corpus: groups of at least ``1 / (shards * FINE)`` of all bytes are items of their own (there can be at most shards * FINE
-of them), and the smaller ones are first dealt by hash into shards * BUNDLES bundles, each an item. Items in decreasing
-size enter the tightest bin that still has room for them; bins are kept in a balanced tree ordered by remaining capacity.
-Where an item fits no bin (a single group larger than the capacity) it takes the emptiest bin.
+Groups (rows of equal text) stay whole, and every group is an item of the packing. Groups of equal size are interchangeable, so
+the sequential part sees a row (size, number) for each different size: D different sizes take at least D * D / 2 bytes, so a
+corpus of T bytes has at most sqrt(2 * T) of them (250,000 at 30 GB). Items in decreasing size enter the tightest bin that
+still has room for them; bins are kept in a balanced tree ordered by remaining capacity. The tightest bin stays the tightest
+while items of one size enter it, so a run of them goes in at a time. A job then numbers the groups of each size and hands
+out the places.
 
 A null text has 0 bytes and is of one group with empty ones. Repeated rows are rows like any other, with slots of their own. Texts
 of any length count whole. Rows equal in doc_id and text are alike in all that is returned, so ties have no effect. An empty
@@ -13,15 +14,18 @@ table gives no rows. Only doc_id and text are read, so other columns may have an
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import digest, stored, whole_text
 
-FINE = 500
-BUNDLES = 250
 #: Rows that one task numbers, about.
 SLOT_ROWS = 50_000
+#: Different sizes up to which their table is broadcast.
+BROADCAST_ROWS = 200_000
 
 
 class Bins:
@@ -75,78 +79,99 @@ class Bins:
         return best
 
 
-def best_fit_decreasing(items: list[tuple[int, str]], shards: int, capacity: int) -> dict[str, int]:
-    """item -> shard. Items are (size, name)."""
+def fill(classes: list[tuple[int, int]], shards: int, capacity: int) -> tuple[dict[int, list[tuple[int, int]]], int]:
+    """Best fit decreasing of ``classes`` (size, number of items): for each size its runs (number, shard), and the fullest bin's load."""
     bins = Bins()
     for s in range(shards):
         bins.add(capacity, s)
-    out = {}
-    for size, name in sorted(items, key=lambda x: (-x[0], x[1])):
-        room, shard = bins.take(size)
-        out[name] = shard
-        bins.add(room - size, shard)
-    return out
+    out: dict[int, list[tuple[int, int]]] = {}
+    load = [0] * shards
+    for size, n in sorted(classes, reverse=True):
+        runs = out[size] = []
+        while n:
+            room, shard = bins.take(size)
+            k = min(n, max(1, room // max(size, 1)))
+            runs.append((k, shard))
+            load[shard] += k * size
+            bins.add(room - k * size, shard)
+            n -= k
+    return out, max(load)
+
+
+def best_fit_decreasing(items: list[tuple[int, str]], shards: int, capacity: int) -> dict[str, int]:
+    """item -> shard. Items are (size, name); those of one size go in the order of their names."""
+    names: dict[int, list[str]] = {}
+    for size, name in sorted(items):
+        names.setdefault(size, []).append(name)
+    runs, _ = fill([(size, len(of)) for size, of in names.items()], shards, capacity)
+    return {name: shard for size, of in names.items() for name, shard in zip(of, (s for k, s in runs[size] for _ in range(k)), strict=True)}
 
 
-def level(items: list[tuple[int, str]], shards: int) -> dict[str, int]:
-    """The packing at the least capacity, in steps of a thousandth of the mean, that holds all items in ``shards`` bins.
+def level(classes: list[tuple[int, int]], shards: int) -> dict[int, list[tuple[int, int]]]:
+    """The packing of ``classes`` (size, number) at the mean and the least slack, doubled from a hundred-thousandth of the mean,
+    at which all items have room: at the latest the largest size, as then no bin can be too full for an item.
 
     Groups above the mean get bins of their own; the mean is then taken over the rest.
     """
-    total, left = sum(s for s, _ in items), shards
-    for size, _ in sorted(items, reverse=True):
-        if left > 1 and size * left > total:
-            total, left = total - size, left - 1
-        else:
-            break
+    total, left = sum(s * n for s, n in classes), shards
+    own: dict[int, list[tuple[int, int]]] = {}
+    rest = []
+    for size, n in sorted(classes, reverse=True):
+        while n and left > 1 and size * left > total:
+            own.setdefault(size, []).append((1, shards - left))
+            total, left, n = total - size, left - 1, n - 1
+        if n:
+            rest.append((size, n))
     mean = max(1, -(-total // left))
-    own = [x for x in sorted(items, reverse=True)[: shards - left]]
-    rest = sorted(items, reverse=True)[shards - left :]
-    fixed = {name: i for i, (_, name) in enumerate(own)}
-
-    def packed(capacity: int) -> tuple[dict[str, int], int]:
-        got = best_fit_decreasing(rest, left, capacity)
-        load = [0] * left
-        for size, name in rest:
-            load[got[name]] += size
-        return got, max(load, default=0)
-
-    step = max(1, mean // 1000)
-    for k in (0, 1, 2, 5, 10, 20, 50):
-        got, most = packed(mean + k * step)
-        if most <= mean + k * step:
+    slack = 0
+    while True:
+        got, most = fill(rest, left, mean + slack)
+        if most <= mean + slack:
             break
-    return fixed | {name: shards - left + s for name, s in got.items()}
+        slack = max(2 * slack, mean // 100_000, 1)
+    for size, runs in got.items():
+        own.setdefault(size, []).extend((k, shards - left + s) for k, s in runs)
+    return own
+
+
+def numbered(rows: DataFrame, by: str, order: list[Column], parts: Column, weight: Column, name: str) -> DataFrame:
+    """Adds ``name``: the sum of the weights of the rows before each one of the same ``by``. The rows of each are cut by hash
+    into ``parts``, summed up, and numbered from where the part's predecessors end, so that no task holds all of them."""
+    cut = rows.withColumn("_part", F.pmod(F.xxhash64(*order), parts)).withColumn("_weight", weight.cast("long"))
+    counts = cut.groupBy(by, "_part").agg(F.sum("_weight").alias("_sum"))
+    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begin = counts.select(by, "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_from"))
+    inside = F.sum("_weight").over(Window.partitionBy(by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return cut.withColumn("_to", inside).join(begin, [by, "_part"]).withColumn(name, F.col("_from") + F.col("_to") - F.col("_weight")).drop("_part", "_weight", "_to", "_from")
 
 
-def numbered(rows: DataFrame, shard: str, order: list[Column], total: int, shards: int) -> DataFrame:
-    """Adds ``slot``: 0, 1, ... in each shard. Rows are cut by hash into parts of about SLOT_ROWS, counted, and numbered
-    from where the part's predecessors end, so that no task holds a whole shard."""
-    parts = max(1, -(-total // (shards * SLOT_ROWS)))
-    cut = rows.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)))
-    counts = cut.groupBy(shard, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    begin = counts.select(shard, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
-    inside = F.row_number().over(Window.partitionBy(shard, "_part").orderBy(*order))
-    return cut.withColumn("_nth", inside).join(begin, [shard, "_part"]).withColumn("slot", (F.col("_from") + F.col("_nth") - 1).cast("long")).drop("_part", "_nth", "_from")
+def _repeated(rows: DataFrame, most: int) -> DataFrame:
+    """Each row ``_n`` times, with slots that count on; copies of one row are dealt to many tasks if they are ``most`` > SLOT_ROWS."""
+    rows = rows.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1L) div {SLOT_ROWS}L)")))
+    if most > SLOT_ROWS:
+        rows = rows.repartition("doc_id", "_text", "_chunk")
+    nth = F.expr(f"sequence(_chunk * {SLOT_ROWS}L, least((_chunk + 1L) * {SLOT_ROWS}L, _n) - 1L)")
+    return rows.withColumn("_nth", F.explode(nth)).withColumn("slot", F.col("slot") + F.col("_nth"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     """doc_id, size, text_crc32, law (``bytes``), shard, slot and grown_shard (null) for every row of ``docs``."""
     text = whole_text()
     rows = docs.select("doc_id", digest(text).alias("_text"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    groups = rows.groupBy("_text").agg(F.sum("size").alias("bytes"))
-    sums = rows.agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    total, n = sums["b"] or 0, sums["n"]
-    large = F.col("bytes") * (shards * FINE) >= total
-    bundle = F.pmod(F.xxhash64("_text"), F.lit(shards * BUNDLES)).cast("string")
-    name = F.when(large, F.concat(F.lit("g"), F.hex("_text"))).otherwise(F.concat(F.lit("b"), bundle))
-    # At most shards * (FINE + BUNDLES) rows, whatever the table.
-    items = groups.groupBy(name.alias("item")).agg(F.sum("bytes").alias("bytes")).collect()
-    placed = level([(i["bytes"], i["item"]) for i in items], shards)
-    spark = docs.sparkSession
-    bins = spark.createDataFrame(sorted(placed.items()), "item string, shard int")
+    rows = stored(rows.groupBy("doc_id", "_text", "size", "text_crc32").agg(F.count(F.lit(1)).alias("_n")), "rows")
+    groups = stored(rows.groupBy("_text").agg(F.sum(F.col("size") * F.col("_n")).alias("bytes")), "groups")
+    sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.max("_n").alias("most")).first()
+    # At most sqrt(2 * bytes of the corpus) rows.
+    classes = [(r["bytes"], r["count"]) for r in groups.groupBy("bytes").count().collect()]
+    placed = sorted(level(classes, shards).items()) if classes else []
+    columns = [[s for s, _ in placed], [list(accumulate(k for k, _ in runs)) for _, runs in placed], [[s for _, s in runs] for _, runs in placed]]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    bins = docs.sparkSession.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["bytes", "_ends", "_shards"]))
+    bins = F.broadcast(bins) if len(placed) <= BROADCAST_ROWS else bins
+    of_size = numbered(groups.join(bins, "bytes"), "bytes", [F.col("_text")], F.expr(f"1 + element_at(_ends, -1) div {SLOT_ROWS}"), F.lit(1), "_rank")
+    place = F.element_at("_shards", F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))) + 1)
     # Stored, so that both sides of the next join are plain exchanges and adaptive execution can split a hot text.
-    homes = stored(groups.select("_text", name.alias("item")).join(F.broadcast(bins), "item").select("_text", "shard"), "homes")
-    out = numbered(rows.join(homes, "_text"), "shard", [F.col("doc_id"), F.col("_text")], n, shards)
+    homes = stored(of_size.select("_text", place.alias("shard")), "homes")
+    parts = F.lit(1 + sizes["n"] // (shards * SLOT_ROWS))
+    out = _repeated(numbered(rows.join(homes, "_text"), "shard", [F.col("doc_id"), F.col("_text")], parts, F.col("_n"), "slot"), sizes["most"] or 0)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
