@@ -301,6 +301,42 @@ def test_pieces_in_other_documents_hide_no_passage(spark):
     assert [(r["start_word"], r["end_word"]) for r in rows if (r["doc_id"], r["src_doc_id"]) == (14, 13)] == [(60, 155)]
 
 
+def with_pieces(n: int):
+    """Texts with n passages of 120 words, each twice with an edit every 25 words, after and between texts with pieces of them."""
+    before, first, between, second = [], [], [], []
+    for k in range(n):
+        p = prose(3000 + k, 120)
+        before += [prose(3100 + 10 * k + j, 40) + p[30 * j : 30 * j + 30] + prose(3500 + 10 * k + j, 40) for j in range(4)]
+        first.append(prose(3900 + k, 50) + p + prose(4000 + k, 30))
+        between.append(prose(4100 + k, 30) + p[20:50] + prose(4200 + k, 60) + p[70:100])
+        second.append(prose(4300 + k, 60) + [f"e{k}x{i}" if i % 25 == 12 else w for i, w in enumerate(p)] + prose(4400 + k, 20))
+    return before + first, between, second
+
+
+@pytest.mark.parametrize("common_keys", [100_000, 1e-9, 1e12])
+def test_pieces_in_other_documents_hide_no_fuzzy_passage(spark, monkeypatch, common_keys):
+    monkeypatch.setattr(fuzzy_passages, "COMMON_KEYS", common_keys)
+    n = 20
+    one, between, two = with_pieces(n)
+    texts = one + between + two
+    rows = fuzzy_passages.fuzzy_passages(docs_of(spark, enumerate(map(" ".join, texts)))).collect()
+    for k in range(n):
+        low, src = len(one) + n + k, len(one) - n + k
+        assert any((r["doc_id"], r["src_doc_id"]) == (low, src) and r["end_word"] - r["start_word"] >= 115 for r in rows), k
+    assert all(r["src_doc_id"] < r["doc_id"] for r in rows)
+
+
+def test_previous_places_of_common_seeds(spark, monkeypatch):
+    """Parts of a common seed give the same last place as an order of all its places."""
+    monkeypatch.setattr(fuzzy_passages, "PREVIOUS", 1)
+    places = spark.createDataFrame([(low, seed, low % 7, low % 3 > 0) for seed in (1, 2) for low in range(seed, 3000, seed)] + [(5, 9, 1, True), (6, 8, 1, False), (7, 8, 2, False)], fuzzy_passages.OPEN)
+    plain = lambda: sorted((r["low"], r["seed"], r["x"], [tuple(p) for p in r["last"]]) for r in fuzzy_passages._with_previous(places).collect())
+    monkeypatch.setattr(fuzzy_passages, "COMMON_KEYS", 1e-9)
+    want = plain()
+    monkeypatch.setattr(fuzzy_passages, "COMMON_KEYS", 1e9)
+    assert plain() == want and (2999, 1, 3, [(2998, 2)]) in want and {s for _, s, _, _ in want} == {1, 2}
+
+
 def test_very_common_passages(spark, monkeypatch):
     passage, n = " ".join(prose(3, 70)), 1200  # its seeds are common keys, which meet by broadcast
     rows = [(i, " ".join(f"w{i}.{k}" for k in range(6)) + f" {passage} " + " ".join(f"v{i}.{k}" for k in range(6))) for i in range(n)]
