@@ -1,9 +1,11 @@
 """Toxicity: a linear-chain conditional random field over words, its marginals summed up to a document score.
 
 1. A Spark job counts, over a bounded sample of labelled documents (:data:`TRAIN_ROWS`), in how many documents of each
-   label a word or a word's beginning occurs. What toxic documents hold far more often makes the bounded lexicon of features.
-2. Words of toxic documents that have a lexicon feature are labelled toxic, all others clean: labelled tokens. Windows of
-   tokens (a bounded number for each document) train the field: two states, feature weights, a bias and transitions.
+   label a word or a word's beginning occurs. What toxic documents hold far more often makes the lexicon of features; thresholds
+   alone decide.
+2. Words of toxic documents that have a lexicon feature are labelled toxic, all others clean: labelled tokens. A window
+   about each word with a feature, and one in each text's middle, train the field: two states, feature weights, a bias and
+   transitions. Spark counts equal windows; the driver trains on the different ones of the sample, weighed by their numbers.
 3. Every whole text is scored where it is read. Stretches of words without a feature share one transfer matrix, whose
    power is taken in closed form, so that forward-backward steps only from one word with a feature to the next; the
    marginals are those of the whole chain.
@@ -31,9 +33,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, labelled, slices, texts_of
 
 TRAIN_ROWS = 10_000
-LEXICON = 3000
 WINDOW = 16
-WINDOWS_A_TEXT = 6
 FLAG_AT = 0.3
 _WORD = re.compile(r"\w+")
 _NEAR = -15.0
@@ -63,14 +63,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lexicon_of(rows: DataFrame) -> list[str]:
-    """Features that toxic documents hold at least eight times as often, at most LEXICON of them."""
+    """Features of some toxic documents that hold them at least eight times as often as clean ones do."""
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
         return []
     counts = arrow_map(rows.select("text", "label"), _count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log(((F.col("toxic") + 0.1) / (n[1] + 1)) / ((F.col("clean") + 0.5) / (n[0] + 1)))
-    best = counts.where(F.col("toxic") >= max(3, n[1] // 400)).select("feature", (odds * F.sqrt("toxic")).alias("gain"), odds.alias("odds")).where(F.col("odds") >= math.log(8))
-    return [r["feature"] for r in best.orderBy(F.desc("gain"), "feature").limit(LEXICON).collect()]
+    best = counts.where(F.col("toxic") >= max(3, n[1] // 400)).select("feature", odds.alias("odds")).where(F.col("odds") >= math.log(8))
+    return [r["feature"] for r in best.orderBy("feature").collect()]
 
 
 @dataclass
@@ -186,8 +186,7 @@ def _windows(index: dict[str, int]):
             for text, y in zip(texts_of(batch), batch.column("label").to_pylist(), strict=True):
                 words = tokens(text)
                 ids = {i: got for i, w in enumerate(words) if (got := [index[f] for f in features(w) if f in index])}
-                centres = sorted(ids)[:: max(1, -(-len(ids) // (WINDOWS_A_TEXT - 1)))] + [len(words) // 2]
-                for c in centres if words else []:
+                for c in [*ids, len(words) // 2] if words else []:
                     low = max(0, min(c - half, len(words) - WINDOW))
                     here = [(i - low, f) for i in range(low, min(low + WINDOW, len(words))) for f in ids.get(i, ())]
                     rows.append((y, min(WINDOW, len(words)), [a for a, _ in here], [f for _, f in here]))
@@ -198,9 +197,10 @@ def _windows(index: dict[str, int]):
 
 
 def train_field(windows: list, n_features: int, rounds: int = 150) -> tuple[np.ndarray, float, tuple[float, float, float]]:
-    """Weights, bias and moves that maximise the penalised likelihood of the labelled windows, by Adam."""
+    """Weights, bias and moves that maximise the penalised likelihood of the labelled windows, each as often as ``times`` says, by Adam."""
     n = len(windows)
     sizes = np.array([w["n"] for w in windows])
+    times = np.array([w["times"] for w in windows], float)[:, None]
     at = np.concatenate([np.asarray(w["at"], np.int64) + i * WINDOW for i, w in enumerate(windows)])
     ids = np.concatenate([np.asarray(w["ids"], np.int64) for w in windows])
     toxic = np.repeat([w["y"] for w in windows], [len(w["at"]) for w in windows])
@@ -209,7 +209,7 @@ def train_field(windows: list, n_features: int, rounds: int = 150) -> tuple[np.n
     gold = gold.reshape(n, WINDOW)
     live = np.arange(WINDOW) < sizes[:, None]
     a, b = gold[:, :-1], gold[:, 1:]
-    both = live[:, 1:]
+    both = live[:, 1:] * times
     seen = np.array([((1 - a) * b * both).sum(), (a * (1 - b) * both).sum(), (a * b * both).sum()])
     theta = np.zeros(n_features + 4)
     theta[-4] = -4.0
@@ -235,12 +235,12 @@ def train_field(windows: list, n_features: int, rounds: int = 150) -> tuple[np.n
                 nxt = back * np.stack([np.ones(n), phi[:, j]], 1)
                 joint = f[j - 1][:, :, None] * t[None] * nxt[:, None, :]
                 joint /= joint.sum((1, 2), keepdims=True)
-                joint *= live[:, j, None, None]
+                joint *= (live[:, j, None] * times)[:, :, None]
                 pair += [joint[:, 0, 1].sum(), joint[:, 1, 0].sum(), joint[:, 1, 1].sum()]
                 before = nxt @ t.T
                 before /= before.sum(1, keepdims=True)
                 back = np.where(live[:, j, None], before, 1.0)
-        diff = (gold - p1) * live
+        diff = (gold - p1) * live * times
         grad = np.concatenate([np.bincount(ids, diff.reshape(-1)[at], minlength=n_features) - 0.5 * w, [diff.sum() - 0.1 * bias], seen - pair - 0.5 * moves])
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta + 0.15 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
@@ -266,8 +266,9 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, chosen: Col
         if not lexicon:
             return None
         index = {f: i for i, f in enumerate(lexicon)}
-        # At most bound * WINDOWS_A_TEXT small rows.
-        windows = rows.mapInArrow(_windows(index), "y int, n int, at array<int>, ids array<int>").collect()
+        # The different windows of at most ``bound`` rows.
+        windows = rows.mapInArrow(_windows(index), "y int, n int, at array<int>, ids array<int>")
+        windows = windows.groupBy("y", "n", "at", "ids").agg(F.count(F.lit(1)).alias("times")).orderBy("y", "n", "at", "ids").collect()
         weights, bias, moves = train_field(windows, len(lexicon))
         model = Field(index, weights, bias, moves).prepare()
         got = rows.mapInArrow(_evidence(model), "y int, a double, b double, c double").collect()
