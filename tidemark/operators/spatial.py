@@ -13,6 +13,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,10 @@ EARTH_M = 6_371_000.0
 DEPTH = 20
 #: Cubes of a level up to which the level is broadcast (they are counted), and cubes with which a search begins at most.
 BROADCAST_CUBES, FIRST_CUBES = 100_000, 64
+#: Frames in a stretch of dates; daily sums and questions of a cell and stretch that one task holds, about.
+STRETCH, PART_SALES, PART_ASKED = 3, 1_000_000, 100_000
+#: Homes and places of a block of distances.
+HOMES, PLACES = 256, 1024
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -66,26 +72,107 @@ def within(points: DataFrame, ref: DataFrame, radius_m: float, point_id: str, va
     return met.where(F.col("dist_m") <= radius_m).select(point_id, *values, "dist_m")
 
 
-def sales_near(rows: DataFrame, comps: DataFrame, radius_m: float, lag_days: int, windows: list[int]) -> tuple[DataFrame, DataFrame]:
-    """Homes (lat, lon, _home) of ``rows``, and for each home and prediction date (_home, prediction_date) the places of sales within the
-    radius: dist_m, and for each window the number n_<days> and sum s_<days> of the place's usable sales.
+def sales_near(rows: DataFrame, comps: DataFrame, radii_m: list[int], lag_days: int, windows: list[int]) -> DataFrame:
+    """lat, lon and prediction_date of ``rows`` with sales within the largest radius and window; for each radius and window the number
+    n_<radius>_<days> of usable sales, and the sums q_... of 1 / (distance + 1 m) and s_... of price / (distance + 1 m).
 
-    Distance hangs on the two places alone, and what a place has sold on place and date: different homes meet different places once, in
-    cells; sales become daily sums by place, and frames over these give the sums of each window for the (place, date) that some home asks
-    for. So rows follow different (home, date) times the places near, whatever the number of sales and labels.
+    Sales become daily sums by place, rows different places and dates. Both meet by cell and by stretch of dates, places that sold in
+    all cells around and all stretches that reach them; there the sums are products of matrices: weights of (home, place) times what
+    a place has sold in the frame of a date. So no row for a home, a date and a place near is formed, and what is stored and sent
+    about follows places and days. Cells of many sales or questions are cut into parts, whose sums add up.
     """
-    asked = _placed(rows).where("prediction_date IS NOT NULL").select("lat", "lon", "prediction_date").distinct()
-    sold = _placed(comps).where("price IS NOT NULL AND deal_date IS NOT NULL").groupBy("lat", "lon", "deal_date").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("s"))
-    # Numbered and stored, so that the numbers don't change.
-    homes, spots = (kept(df.select("lat", "lon").distinct().withColumn(name, F.monotonically_increasing_id()), name[1:]) for df, name in ((asked, "_home"), (sold, "_spot")))
-    near = kept(within(homes, spots, radius_m, "_home", ["_spot"]), "near")
-    met = kept(asked.join(homes, ["lat", "lon"]).select("_home", "prediction_date").join(near, "_home"), "met")
-    daily = sold.join(spots, ["lat", "lon"]).select("_spot", F.col("deal_date").alias("day"), "n", "s")
-    both = daily.unionByName(met.select("_spot", F.col("prediction_date").alias("day"), F.lit(True).alias("asked")).distinct(), allowMissingColumns=True)
-    frame = lambda w: Window.partitionBy("_spot").orderBy(F.unix_date("day")).rangeBetween(-w, -lag_days)
-    sums = [f.over(frame(w)).alias(f"{c}_{w}") for w in windows for c, f in (("n", F.sum("n")), ("s", F.sum("s")))]
-    found = both.select("_spot", F.col("day").alias("prediction_date"), "asked", *sums).where(F.col("asked") & (F.col(f"n_{max(windows)}") > 0)).drop("asked")
-    return homes, met.join(found, ["_spot", "prediction_date"]).drop("_spot")
+    first, length = max(windows), STRETCH * max(1, max(windows) - lag_days + 1)
+    day, key, radius = F.col("day"), ["_y", "_x", "_t"], max(radii_m)
+    asked = _placed(rows).where("prediction_date IS NOT NULL").select("lat", "lon", F.unix_date("prediction_date").alias("day")).distinct()
+    asked = kept(_cells(asked.withColumn("_t", F.floor(day / length)), radius, around=False), "asked")
+    daily = _placed(comps).where("price IS NOT NULL AND deal_date IS NOT NULL").groupBy("lat", "lon", F.unix_date("deal_date").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("double")).alias("s"))
+    reached = F.sequence(F.floor((day + lag_days) / length), F.floor((day + first) / length))
+    sold = kept(daily.withColumn("_t", F.explode(reached)).groupBy("lat", "lon", "_t").agg(F.collect_list(F.struct("day", "n", "s")).alias("sales")), "sold")
+    around = lambda df: _cells(df, radius, around=True)
+    parts = around(sold.select("lat", "lon", "_t", F.size("sales").alias("_n"))).groupBy(*key).agg((1 + F.floor(F.sum("_n") / PART_SALES)).alias("_parts"))
+    slices = asked.groupBy(*key).agg((1 + F.floor(F.count(F.lit(1)) / PART_ASKED)).alias("_slices"))
+    cuts = kept(parts.join(slices, key), "cuts")
+    one = lambda n: F.pmod(F.xxhash64("lat", "lon"), F.col(n))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    mine = asked.join(cuts, key).withColumn("_slice", one("_slices")).withColumn("_part", all_of("_parts")).drop("_parts", "_slices")
+    near = around(sold).join(cuts, key).withColumn("_part", one("_parts")).withColumn("_slice", all_of("_slices")).drop("_parts", "_slices")
+    names = [f"{c}_{r}_{w}" for c in "nqs" for r in radii_m for w in windows]
+    schema = "lat double, lon double, day int, " + ", ".join(f"{c} {'long' if c[0] == 'n' else 'double'}" for c in names)
+    by = [*key, "_part", "_slice"]
+    got = mine.groupBy(*by).cogroup(near.groupBy(*by)).applyInArrow(_near_sums(radii_m, windows, lag_days, length), schema)
+    return got.groupBy("lat", "lon", F.date_from_unix_date("day").alias("prediction_date")).agg(*[F.sum(c).alias(c) for c in names])
+
+
+def _meters(lat: np.ndarray, lon: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    """The distances of all places to all others."""
+    a, b = np.radians(lat)[:, None], np.radians(lat2)[None, :]
+    h = np.sin((b - a) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin((np.radians(lon2)[None, :] - np.radians(lon)[:, None]) / 2) ** 2
+    return 2 * EARTH_M * np.arcsin(np.sqrt(np.minimum(h, 1.0)))
+
+
+def _near_sums(radii_m: list[int], windows: list[int], lag_days: int, length: int):
+    """The sums of a cell and stretch of dates for its questions (lat, lon, day), in blocks of homes and places."""
+    first, odd = max(windows), (np.isnan, np.isposinf, np.isneginf)
+
+    def frames(daily: np.ndarray) -> np.ndarray:
+        """Sums over the frame of each date of the stretch, the windows one after the other."""
+        run = np.concatenate([np.zeros((len(daily), 1)), np.cumsum(daily, axis=1)], axis=1)
+        j = np.arange(length)
+        return np.stack([run[:, j + first - lag_days + 1] - run[:, j + first - w] for w in windows], axis=1)
+
+    def sums(key: tuple[pa.Scalar, ...], asked: pa.Table, near: pa.Table) -> pa.Table:
+        begin = key[2].as_py() * length
+        lat, lon, day = (asked.column(c).to_numpy() for c in ("lat", "lon", "day"))
+        out: list[list[np.ndarray]] = []
+        if len(lat) and near.num_rows:
+            sales = near.column("sales").combine_chunks()
+            flat, ends = sales.flatten(), np.concatenate([[0], np.cumsum(sales.value_lengths().to_numpy(zero_copy_only=False))])
+            at, n, s = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("day", "n", "s"))
+            at, y, x = at - (begin - first), near.column("lat").to_numpy(), near.column("lon").to_numpy()
+            homes, home = np.unique(np.stack([lat, lon], axis=1), axis=0, return_inverse=True)
+            order = np.argsort(home.ravel(), kind="stable")
+            home, lat, lon, day = home.ravel()[order], lat[order], lon[order], day[order]
+            for i in range(0, len(homes), HOMES):
+                mine = slice(*np.searchsorted(home, (i, min(i + HOMES, len(homes)))))
+                dates, date = np.unique(day[mine] - begin, return_inverse=True)
+                block = homes[i : i + HOMES]
+                shape = (len(radii_m), len(block), len(windows), len(dates))
+                total = {c: np.zeros(shape) for c in "nqs"}
+                for j in range(0, len(y), PLACES):
+                    m = _meters(block[:, 0], block[:, 1], y[j : j + PLACES], x[j : j + PLACES])
+                    e = ends[j : j + PLACES + 1]
+                    mid = slice(e[0], e[-1])
+                    place, k = np.repeat(np.arange(len(e) - 1), np.diff(e)), len(e) - 1
+                    daily = np.zeros((2, k, length + first - lag_days))
+                    fine = np.isfinite(s[mid])
+                    daily[0, place, at[mid]], daily[1, place, at[mid]] = n[mid], np.where(fine, s[mid], 0.0)
+                    flatly = lambda f: f[:, :, dates].reshape(k, -1)  # noqa: E731, B023
+                    num, price = frames(daily[0]), frames(daily[1])
+                    price[num == 0] = 0.0  # not what is left of differences
+                    num, price = flatly(num), flatly(price)
+                    wrong = []
+                    if not fine.all():
+                        for test in odd:
+                            marks = np.zeros(daily.shape[1:])
+                            marks[place, at[mid]] = test(s[mid])
+                            wrong.append(flatly(frames(marks)))
+                    for r, radius in enumerate(radii_m):
+                        inside = (m <= radius).astype(float)
+                        weight = inside / (m + 1)
+                        total["n"][r] += (inside @ num).reshape(shape[1:])
+                        total["q"][r] += (weight @ num).reshape(shape[1:])
+                        total["s"][r] += (weight @ price).reshape(shape[1:])
+                        for value, marks in zip((np.nan, np.inf, -np.inf), wrong):
+                            total["s"][r] += np.where((inside @ marks).reshape(shape[1:]) > 0, value, 0.0)
+                found = {c: t[:, home[mine] - i, :, date.ravel()] for c, t in total.items()}  # a row a question, then radii and windows
+                some = np.rint(found["n"]).astype(np.int64).reshape(len(home[mine]), -1).max(axis=1) > 0
+                cells = [(np.rint(v).astype(np.int64) if c == "n" else v)[some, r, w] for c, v in found.items() for r in range(len(radii_m)) for w in range(len(windows))]
+                out.append([lat[mine][some], lon[mine][some], day[mine][some].astype(np.int32), *cells])
+        names = ["lat", "lon", "day", *(f"{c}_{r}_{w}" for c in "nqs" for r in radii_m for w in windows)]
+        kinds = [pa.float64(), pa.float64(), pa.int32(), *(pa.int64() if c[0] == "n" else pa.float64() for c in names[3:])]
+        return pa.table([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], t) for t in kinds], names=names)
+
+    return sums
 
 
 def radius_count(points: DataFrame, ref: DataFrame, radii_m: list[int], point_id: str, prefix: str) -> DataFrame:
@@ -182,26 +269,17 @@ def transit_features(points: DataFrame, ref: DataFrame, point_id: str, ref_id: s
     return radius_count(nearest(points, ref, point_id, ref_id), ref, radii_m, point_id, prefix)
 
 
-def _joined(rows: DataFrame, homes: DataFrame, found: DataFrame) -> DataFrame:
-    """``rows`` with what was ``found`` for their home and date."""
-    found = found.join(homes, "_home").drop("_home")
-    return rows.join(found, ["lat", "lon", "prediction_date"], "left").select(*rows.columns, *[c for c in found.columns if c not in ("lat", "lon", "prediction_date")])
-
-
 def comp_matrix(rows: DataFrame, comps: DataFrame, radii_m: list[int], windows: list[int], lag_days: int, min_comps: int = 3) -> DataFrame:
     """Rows (region, lat, lon, prediction_date) with, for each radius and window, the number of usable sales and their mean price
     weighted by 1 / (distance + 1 m); and ``comp_price``: that of the widest window in the smallest radius that has ``min_comps``,
     else the mean of the region's usable sales of that window.
 
-    The cells of the matrix are conditional sums over the places near; labels of one home and date are computed once.
+    The cells of the matrix are computed once for the labels of one home and date.
     """
-    homes, met = sales_near(rows, comps, max(radii_m), lag_days, windows)
-    weight, cells = 1 / (F.col("dist_m") + 1), []
-    for r in radii_m:
-        for w in windows:
-            here = lambda c: F.sum(F.when(F.col("dist_m") <= r, c))  # noqa: E731, B023
-            cells += [here(F.col(f"n_{w}")).alias(f"n_{r}m_{w}d"), F.try_divide(here(F.col(f"s_{w}") * weight), here(F.col(f"n_{w}") * weight)).alias(f"price_{r}m_{w}d")]
-    out = _joined(rows, homes, met.groupBy("_home", "prediction_date").agg(*cells))
+    found, by = sales_near(rows, comps, radii_m, lag_days, windows), ["lat", "lon", "prediction_date"]
+    cells = [c for r in radii_m for w in windows for c in (F.col(f"n_{r}_{w}").alias(f"n_{r}m_{w}d"), F.try_divide(f"s_{r}_{w}", f"q_{r}_{w}").alias(f"price_{r}m_{w}d"))]
+    names = [f"{c}_{r}m_{w}d" for r in radii_m for w in windows for c in ("n", "price")]
+    out = rows.join(found.select(*by, *cells), by, "left").select(*rows.columns, *names)
     counts = [f"n_{r}m_{w}d" for r in radii_m for w in windows]
     out = out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
     from .asof import comp_window_frame
@@ -214,7 +292,6 @@ def comp_matrix(rows: DataFrame, comps: DataFrame, radii_m: list[int], windows:
 
 def weighted_comp_price(rows: DataFrame, comps: DataFrame, radius_m: int, window_days: int, lag_days: int) -> DataFrame:
     """Rows with comp_price: the mean price of usable sales within radius and window, weighted by 1 / (distance + 1 m)."""
-    homes, met = sales_near(rows, comps, radius_m, lag_days, [window_days])
-    weight = 1 / (F.col("dist_m") + 1)
-    price = F.sum(F.col(f"s_{window_days}") * weight) / F.sum(F.col(f"n_{window_days}") * weight)
-    return _joined(rows, homes, met.groupBy("_home", "prediction_date").agg(price.alias("comp_price")))
+    found, by = sales_near(rows, comps, [radius_m], lag_days, [window_days]), ["lat", "lon", "prediction_date"]
+    price = F.try_divide(f"s_{radius_m}_{window_days}", f"q_{radius_m}_{window_days}")
+    return rows.join(found.select(*by, price.alias("comp_price")), by, "left").select(*rows.columns, "comp_price")
