@@ -49,3 +49,18 @@ def test_sketched_medians(tables, k):
             assert m == prices[-(-n // 2) - 1]
         elif n:
             assert sum(p < m for p in prices) / n - 4 / k <= 0.5 <= sum(p <= m for p in prices) / n + 4 / k
+
+
+def test_sketches_pick_the_very_median(tables):
+    left, right, want = tables
+    rows = asof.comp_window_sketch(left, right, 10, 70, k=16).where("region IS NOT NULL AND n_comps > 0").collect()
+    assert max(r["n_comps"] for r in rows) > 300
+    for r in rows:
+        prices = want[r["region"], r["prediction_date"]]
+        assert r["comp_median"] == prices[-(-len(prices) // 2) - 1]
+
+
+def test_middles_outside_their_bounds_are_seen(tables, monkeypatch):
+    left, right, want = tables
+    monkeypatch.setattr(asof, "ROOM", 1e-9)
+    test_sketches_pick_the_very_median(tables)

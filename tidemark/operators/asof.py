@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from tidemark.sources.files import kept
 
 #: Frames in a stretch of days; the days that a stretch gets twice are about one in this many.
 STRETCH = 4
-#: Prices of a frame that one row holds at most, and the prices at which a range of them is cut where there are more.
-HELD_PRICES, PRICE_CUTS = 10_000, 15
+#: Prices of a frame that one row holds at most.
+HELD_PRICES = 10_000
+#: The size of quantile sketches, and the room about the middle, in shares 1 / size: some four times what 99 of 100 sketches are off.
+SKETCH, ROOM = 800, 12
 
 
 def _day(c: Column) -> Column:
@@ -56,7 +60,7 @@ def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_d
     with ``median`` also comp_median, exact.
 
     Medians come from daily arrays of prices if no frame has more than ``held`` of them (the frames' counts tell), else from
-    :func:`_medians_by_ranks`. So a row holds at most ``held`` prices, whatever the tables.
+    :func:`_middle_prices`. So a row holds at most ``held`` prices, whatever the tables.
     """
     day = F.unix_date("day")
     sold = comps.where(F.col("price").isNotNull() & F.col("deal_date").isNotNull()).select("region", F.col("deal_date").alias("day"), "price")
@@ -70,7 +74,12 @@ def comp_window_frame(keys: DataFrame, comps: DataFrame, lag_days: int, window_d
     got, sold = kept(got, "frames"), kept(sold, "sold")
     some = got.where("n_comps > 0")
     few = (got.agg(F.max("n_comps").alias("n")).first()["n"] or 0) <= held
-    return got.join(_medians_by_arrays(some, sold, lag_days, window_days) if few else _medians_by_ranks(some, sold, lag_days, window_days, held), ["region", "prediction_date"], "left")
+    if few:
+        medians = _medians_by_arrays(some, sold, lag_days, window_days)
+    else:
+        middle = _middle_prices(some.select("region", "prediction_date", "n_comps"), sold, lag_days, window_days)
+        medians = middle.select("region", "prediction_date", (F.col("_low") * 0.5 + F.col("_high") * 0.5).alias("comp_median"))
+    return got.join(medians, ["region", "prediction_date"], "left")
 
 
 def _medians_by_arrays(asked: DataFrame, sold: DataFrame, lag_days: int, window_days: int) -> DataFrame:
@@ -87,66 +96,101 @@ def _medians_by_arrays(asked: DataFrame, sold: DataFrame, lag_days: int, window_
     return got.select("region", F.col("day").alias("prediction_date"), _middle(F.flatten("_p")).alias("comp_median"))
 
 
-def _medians_by_ranks(asked: DataFrame, sold: DataFrame, lag_days: int, window_days: int, held: int) -> DataFrame:
-    """region, prediction_date and comp_median of frames of any size (asked: region, prediction_date, n_comps).
-
-    A frame asks for its middle prices by rank. The prices of a region are cut at PRICE_CUTS quantiles, into parts between them and
-    parts equal to one, daily counts of each part are added up over frames, and the counts tell which part holds a rank and
-    which rank it is there. That part is cut again, until no part has more than ``held`` prices of a frame, or only equal ones; then
-    the rank is looked up among those. All that is approximate is where the cuts lie.
-    """
-    cuts_at, n_parts = [i / (PRICE_CUTS + 1) for i in range(1, PRICE_CUTS + 1)], 2 * PRICE_CUTS + 1
-    frame = lambda *by: Window.partitionBy("region", *by).orderBy(F.unix_date("day")).rangeBetween(-window_days, -lag_days)
-    middle = F.array_distinct(F.array(F.floor((F.col("n_comps") + 1) / 2), F.ceil((F.col("n_comps") + 1) / 2)))
-    ranks = asked.select("region", F.col("prediction_date").alias("day"), F.lit(0).cast("long").alias("part"), F.explode(middle).alias("of")).withColumn("rank", F.col("of"))
-    prices = sold.withColumn("part", F.lit(0).cast("long"))
-    while True:
-        cuts = prices.groupBy("region", "part").agg(F.percentile_approx("price", cuts_at, 1000).alias("_cuts"), (F.min("price") < F.max("price")).alias("_more"))
-        finer = F.when(F.col("_more"), F.size(F.filter("_cuts", lambda c: c < F.col("price"))) + F.size(F.filter("_cuts", lambda c: c <= F.col("price")))).otherwise(0)
-        prices = kept(prices.join(cuts, ["region", "part"]).select("region", "day", "price", (F.col("part") * n_parts + finer).alias("part")), "prices")
-        spread = prices.groupBy("region", "part").agg((F.min("price") < F.max("price")).alias("_more"))
-        parts = ranks.select("region", "day", "part").distinct().withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
-        questions = parts.select("region", "day", (F.col("part") * n_parts + F.col("_i")).alias("part"), F.lit(True).alias("asked"))
-        daily = prices.groupBy("region", "part", "day").agg(F.count(F.lit(1)).alias("_n")).unionByName(questions, allowMissingColumns=True)
-        counted = daily.withColumn("_in", F.coalesce(F.sum("_n").over(frame("part")), F.lit(0))).where("asked")
-        before = Window.partitionBy("region", "day", "_up").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        counted = counted.withColumn("_up", F.floor(F.col("part") / n_parts)).withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
-        counted = counted.select("region", "day", "_up", F.col("part").alias("_part"), "_in", "_before")
-        met = ranks.withColumnRenamed("part", "_up").join(counted, ["region", "day", "_up"]).where("rank > _before AND rank <= _before + _in")
-        ranks = kept(met.select("region", "day", "of", F.col("_part").alias("part"), (F.col("rank") - F.col("_before")).alias("rank"), "_in"), "ranks")
-        most = ranks.join(spread.where("_more"), ["region", "part"]).agg(F.max("_in").alias("n")).first()["n"]
-        if (most or 0) <= held:
-            break
-        ranks = ranks.drop("_in")
-    # Equal prices of a day count as one, so that a part of equal prices is short whatever its number.
-    priced = prices.groupBy("region", "part", "day", "price").agg(F.count(F.lit(1)).alias("n")).groupBy("region", "part", "day").agg(F.collect_list(F.struct("price", "n")).alias("_p"))
-    both = priced.unionByName(ranks.select("region", "part", "day", "of", "rank"), allowMissingColumns=True)
-    found = both.withColumn("_all", F.array_sort(F.flatten(F.collect_list("_p").over(frame("part"))))).where("rank IS NOT NULL")
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("price"))
-    pick = F.aggregate("_all", start, lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), F.when(a["n"] < F.col("rank"), x["price"].cast("double")).otherwise(a["price"]).alias("price")))
-    return found.select("region", F.col("day").alias("prediction_date"), pick["price"].alias("_price")).groupBy("region", "prediction_date").agg((F.min("_price") * 0.5 + F.max("_price") * 0.5).alias("comp_median"))
-
-
-def comp_window_sketch(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int, k: int = 800) -> DataFrame:
-    """n_comps, comp_avg and comp_median of each (region, prediction_date), the median by mergeable quantile sketches: an element whose
-    rank is off by about 2 / ``k`` of the frame at most, exact in frames of fewer than ``k`` prices.
+def _frame_sketches(asked: DataFrame, sold: DataFrame, lag_days: int, window_days: int, k: int) -> DataFrame:
+    """``asked`` (region, prediction_date, n_comps) with a mergeable quantile sketch of the prices of its frame.
 
     Sketches of days are merged to sketches of blocks of 2, 4, ... days, and a frame is put together from a few blocks, two of each
     size at most. So a price is sketched once, and no row holds prices.
     """
     days = max(1, window_days - lag_days + 1)
     levels = days.bit_length()
-    sold = comps.where(F.col("price").isNotNull() & F.col("deal_date").isNotNull())
-    daily = sold.groupBy("region", F.unix_date("deal_date").cast("long").alias("_day")).agg(F.kll_sketch_agg_double(F.col("price").cast("double"), F.lit(k)).alias("_sketch"))
+    daily = sold.groupBy("region", F.unix_date("day").cast("long").alias("_day")).agg(F.kll_sketch_agg_double(F.col("price").cast("double"), F.lit(k)).alias("_sketch"))
     blocks = kept(daily, "daily-sketches").withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).groupBy("region", "_k", F.expr("shiftright(_day, _k)").alias("_block"))
     blocks = blocks.agg(F.kll_merge_agg_double("_sketch").alias("_sketch"))
-    frames = kept(comp_window_frame(keys, comps, lag_days, window_days), "frames")
-    ends = frames.where("n_comps > 0").withColumns({"_from": F.unix_date("prediction_date").cast("long") - window_days, "_to": F.unix_date("prediction_date").cast("long") - lag_days + 1})
+    ends = asked.withColumns({"_from": F.unix_date("prediction_date").cast("long") - window_days, "_to": F.unix_date("prediction_date").cast("long") - lag_days + 1})
     first, last = "shiftright(_from + shiftleft(CAST(1 AS BIGINT), k) - 1, k)", "shiftright(_to, k)"  # whole blocks of size 2^k inside
     own = f"transform(sequence(0, {levels - 1}), k -> filter(array(IF({first} % 2 <> 0, struct(k, {first} AS b), NULL), IF({last} % 2 <> 0, struct(k, {last} - 1 AS b), NULL)), x -> x IS NOT NULL AND {first} < {last}))"
-    wanted = ends.select("region", "prediction_date", F.explode(F.expr(f"flatten({own})")).alias("_w")).select("region", "prediction_date", F.col("_w.k").alias("_k"), F.col("_w.b").alias("_block"))
-    merged = wanted.join(blocks, ["region", "_k", "_block"]).groupBy("region", "prediction_date").agg(F.kll_merge_agg_double("_sketch").alias("_sketch"))
-    return frames.join(merged.select("region", "prediction_date", F.kll_sketch_get_quantile_double("_sketch", F.lit(0.5)).alias("comp_median")), ["region", "prediction_date"], "left")
+    wanted = ends.select("region", "prediction_date", "n_comps", F.explode(F.expr(f"flatten({own})")).alias("_w")).select("region", "prediction_date", "n_comps", F.col("_w.k").alias("_k"), F.col("_w.b").alias("_block"))
+    return wanted.join(blocks, ["region", "_k", "_block"]).groupBy("region", "prediction_date", "n_comps").agg(F.kll_merge_agg_double("_sketch").alias("_sketch"))
+
+
+def _middle_prices(asked: DataFrame, sold: DataFrame, lag_days: int, window_days: int, k: int = SKETCH) -> DataFrame:
+    """region, prediction_date and the middle two prices _low and _high (the same one of an odd number), exact, of frames of any size
+    (asked: region, prediction_date, n_comps > 0; sold: region, day, price).
+
+    Sketches tell between which prices the middle of a frame lies, with some room. Of the prices of a stretch of frames those between
+    the bounds are sorted by a task, and the others only counted by day: they tell which rank the middle has among the sorted ones. So
+    a task holds a few hundredths of a stretch's prices. The counts are exact, so a frame whose middle is not between its bounds is
+    seen, and all is done again with more room.
+    """
+    sketches = kept(_frame_sketches(asked, sold, lag_days, window_days, k), "frame-sketches")
+    share = ROOM / k
+    while True:
+        everything = share >= 0.5
+        bound = lambda q, end: F.lit(float(end)) if everything else F.kll_sketch_get_quantile_double("_sketch", F.lit(q))  # noqa: E731, B023
+        open_ = sketches.select("region", "prediction_date", "n_comps", bound(0.5 - share, "-inf").alias("_from"), bound(0.5 + share, "inf").alias("_to"))
+        got = kept(_between(open_, sold, lag_days, window_days), "middle-prices")
+        if everything or got.where("_low IS NULL OR _high IS NULL").isEmpty():
+            nan = F.lit(float("nan"))  # after all other prices
+            return got.withColumns({"_low": F.coalesce("_low", nan), "_high": F.coalesce("_high", nan)})
+        share *= 4
+
+
+def _between(asked: DataFrame, sold: DataFrame, lag_days: int, window_days: int) -> DataFrame:
+    """region, prediction_date, _low and _high of ``asked`` (with bounds _from and _to); null where they are not within the bounds."""
+    span, day, by = STRETCH * max(1, window_days - lag_days + 1), F.unix_date("day"), ["region", "_stretch"]
+    asked = asked.withColumn("_stretch", F.floor(F.unix_date("prediction_date") / span))
+    bounds = kept(asked.groupBy(*by).agg(F.min("_from").alias("_from"), F.max("_to").alias("_to")), "bounds")
+    reached = F.sequence(F.floor((day + lag_days) / span), F.floor((day + window_days) / span))
+    p = F.col("price")
+    near = sold.select("region", day.alias("day"), p.cast("double").alias("price"), F.explode(reached).alias("_stretch")).join(bounds, by)
+    inside = (p > F.col("_from")) & (p < F.col("_to"))
+    below, least, most = p < F.col("_from"), p == F.col("_from"), (p == F.col("_to")) & (p > F.col("_from"))
+    counts = near.groupBy(*by, "day", F.when(inside, p).alias("price")).agg(*[F.count_if(c).alias(n) for n, c in (("below", below), ("least", least), ("inside", inside), ("most", most))])
+    asked = asked.select(*by, F.unix_date("prediction_date").alias("at"), "n_comps", "_from", "_to")
+    schema = f"region {dict(asked.dtypes)['region']}, at int, _low double, _high double"
+    got = asked.groupBy(*by).cogroup(counts.groupBy(*by)).applyInArrow(_ranked_between(lag_days, window_days), schema)
+    return got.select("region", F.date_from_unix_date("at").alias("prediction_date"), "_low", "_high")
+
+
+def _ranked_between(lag_days: int, window_days: int):
+    def ranked(key: tuple[pa.Scalar, ...], asked: pa.Table, counts: pa.Table) -> pa.Table:
+        at, n, low, high = asked.column("at").to_numpy(), asked.column("n_comps").to_numpy(), [], []
+        if len(at):
+            least, most = asked.column("_from").to_numpy().min(), asked.column("_to").to_numpy().max()
+            day = counts.column("day").to_numpy()
+            order = np.argsort(day, kind="stable")
+            day = day[order]
+            column = lambda c: counts.column(c).to_numpy()[order]
+            price, inside = column("price").astype(float), column("inside")
+            before = {c: np.concatenate([[0], np.cumsum(column(c))]) for c in ("below", "least", "most")}
+            for t, size in zip(at.tolist(), n.tolist(), strict=True):
+                i, j = np.searchsorted(day, (t - window_days, t - lag_days + 1))
+                mine = np.flatnonzero(inside[i:j]) + i
+                mine = mine[np.argsort(price[mine])]
+                run = np.cumsum(inside[mine])
+                below, lows, highs = (int(before[c][j] - before[c][i]) for c in ("below", "least", "most"))
+                held = int(run[-1]) if len(run) else 0
+                for rank, to in (((size + 1) // 2 - below, low), (size // 2 + 1 - below, high)):
+                    if 0 < rank <= lows:
+                        to.append(float(least))
+                    elif 0 < rank - lows <= held:
+                        to.append(float(price[mine[np.searchsorted(run, rank - lows)]]))
+                    else:
+                        to.append(float(most) if 0 < rank - lows - held <= highs else None)
+        region = asked.schema.field("region").type
+        return pa.table({"region": pa.array([key[0].as_py()] * len(at), region), "at": pa.array(at, pa.int32()), "_low": pa.array(low, pa.float64()), "_high": pa.array(high, pa.float64())})
+
+    return ranked
+
+
+def comp_window_sketch(keys: DataFrame, comps: DataFrame, lag_days: int, window_days: int, k: int = SKETCH) -> DataFrame:
+    """n_comps, comp_avg and comp_median of each (region, prediction_date), the median an element of the frame, the lower of two: by
+    mergeable quantile sketches, exact in frames of any size (:func:`_middle_prices`)."""
+    sold = kept(comps.where(F.col("price").isNotNull() & F.col("deal_date").isNotNull()).select("region", F.col("deal_date").alias("day"), "price"), "sold")
+    frames = kept(comp_window_frame(keys, comps, lag_days, window_days), "frames")
+    middle = _middle_prices(frames.where("n_comps > 0").select("region", "prediction_date", "n_comps"), sold, lag_days, window_days, k)
+    return frames.join(middle.select("region", "prediction_date", F.col("_low").alias("comp_median")), ["region", "prediction_date"], "left")
 
 
 def comp_window_plain(labels: DataFrame, comps: DataFrame, lag_days: int, window_days: int) -> DataFrame:
