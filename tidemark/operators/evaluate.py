@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import kept
+
 RANK_PARTS = 1000
 
 def time_split(rows: DataFrame, day: str, val: float = 0.15, test: float = 0.15) -> DataFrame:
@@ -76,7 +78,8 @@ def _mean_ranks(values: DataFrame, c: str, rows_a_part: int) -> DataFrame:
 
 
 def spearman(rows: DataFrame, a: str, b: str, rows_a_part: int = 20_000) -> DataFrame:
-    """Rank correlation; equal values share their mean rank. Ranks come from counts of distinct values, part by part."""
-    good = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    """Rank correlation; equal values share their mean rank. Ranks come from counts of distinct values, part by part. Values are
+    stored first: computed again, a sum could end in another last digit and then meet no rank."""
+    good = kept(rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b), "ranked")
     ranks = [_mean_ranks(good, c, rows_a_part) for c in (a, b)]
     return good.join(ranks[0], a).join(ranks[1], b).agg(F.count(F.lit(1)).alias("n"), F.corr(f"_r_{a}", f"_r_{b}").alias("spearman"))
