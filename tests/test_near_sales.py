@@ -44,3 +44,13 @@ def test_sums_of_sales_near(spark, monkeypatch):
                 assert got[i][f"price_{radius}m_{window}d"] == (pytest.approx(mean, nan_ok=True) if near else None)
     # A row for each home, date and place near would be some thousands.
     assert max(df.count() for df in stored) < 1500
+
+
+def test_places_are_counted_once(spark, monkeypatch):
+    met, within = [], spatial.within
+    monkeypatch.setattr(spatial, "within", lambda p, r, *more: met.append((p.count(), r.count())) or within(p, r, *more))
+    points = spark.createDataFrame([(i, 37.0 + i % 2, 127.0) for i in range(60)] + [(60, None, 127.0), (61, 10.0, 10.0)], "id int, lat double, lon double")
+    ref = spark.createDataFrame([(37.0 + i % 2 / 1000, 127.0) for i in range(90)], "lat double, lon double")
+    got = {r["id"]: (r["n_within_50m"], r["n_within_500m"]) for r in spatial.radius_count(points, ref, [50, 500], "id", "n").collect()}
+    assert got == {i: (0, 0) if i % 2 else (45, 90) for i in range(60)} | {60: (None, None), 61: (0, 0)}
+    assert met == [(3, 2)]

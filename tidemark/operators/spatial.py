@@ -176,11 +176,16 @@ def _near_sums(radii_m: list[int], windows: list[int], lag_days: int, length: in
 
 
 def radius_count(points: DataFrame, ref: DataFrame, radii_m: list[int], point_id: str, prefix: str) -> DataFrame:
-    """Points with the number of reference points within each radius, the edge included."""
-    hits = within(points, ref, max(radii_m), point_id, []).groupBy(point_id).agg(*[F.count_if(F.col("dist_m") <= r).alias(f"{prefix}_within_{r}m") for r in radii_m])
+    """Points with the number of reference points within each radius, the edge included. Different places meet different places
+    once, however many points and reference points stand at them."""
+    spots = _placed(ref).groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("_n"))
+    # Numbered and stored, so that the numbers don't change.
+    asked = kept(_placed(points).select("lat", "lon").distinct().withColumn("_at", F.monotonically_increasing_id()), "asked")
+    names = [f"{prefix}_within_{r}m" for r in radii_m]
+    hits = within(asked, spots, max(radii_m), "_at", ["_n"]).groupBy("_at").agg(*[F.sum(F.when(F.col("dist_m") <= r, F.col("_n")).otherwise(0)).alias(c) for r, c in zip(radii_m, names, strict=True)])
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    out = points.join(hits, point_id, "left")
-    return out.withColumns({c: F.when(placed, F.coalesce(c, F.lit(0).cast("long"))) for c in (f"{prefix}_within_{r}m" for r in radii_m)})
+    out = points.join(asked.join(hits, "_at").drop("_at"), ["lat", "lon"], "left").select(*points.columns, *names)
+    return out.withColumns({c: F.when(placed, F.coalesce(c, F.lit(0).cast("long"))) for c in names})
 
 
 def _cubes(df: DataFrame, lat: str, lon: str) -> DataFrame:
