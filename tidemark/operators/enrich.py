@@ -157,21 +157,24 @@ def reoffers(labels: DataFrame, notices: DataFrame, keys: list[str], within_m2:
     """Whether and how often units of a label's complex and area (at most ``within_m2`` apart) were offered again by its date, and
     the ratio of units offered again to the complex's largest number of units among these notices.
 
-    ``notices`` has keys, area, notice_date, units and total_units. For each area of a complex they become running totals by date.
-    The different areas of labels meet those of notices in bins as wide as the distance, each in its own and the two beside
-    it, and each label's date then looks up the totals of the few areas that are near; no label meets a notice.
+    ``notices`` has keys, area, notice_date, units and total_units. The different areas of labels meet those of notices in bins as
+    wide as the distance, each in its own and the two beside it. What the areas near an asked one offer again becomes running
+    totals by date, and each different date of the labels looks up the last. So no label meets an area or a notice: rows follow
+    the labels, and the notices times the asked areas near.
     """
     area = _number(F.col("exclusive_area_m2"))
     asked = labels.select(*keys, "deal_date", area.alias("asked")).distinct().where("asked IS NOT NULL AND deal_date IS NOT NULL")
     daily = notices.where("area IS NOT NULL AND notice_date IS NOT NULL").groupBy(*keys, "area", "notice_date").agg(F.count(F.lit(1)).alias("_n"), F.sum("units").alias("_units"), F.max("total_units").alias("_all"))
-    so_far = Window.partitionBy(*keys, "area").orderBy("notice_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = daily.select(*keys, "area", "notice_date", *[f(c).over(so_far).alias(c) for f, c in ((F.sum, "_n"), (F.sum, "_units"), (F.max, "_all"))])
+    asked, daily = kept(asked, "asked"), kept(daily, "notices")
     cell = lambda c: F.floor(F.col(c) / within_m2)
     beside = asked.select(*keys, "asked").distinct().withColumn("_bin", F.explode(F.sequence(cell("asked") - 1, cell("asked") + 1)))
     offered = daily.select(*keys, "area").distinct().withColumn("_bin", cell("area"))
     near = beside.join(offered, [*keys, "_bin"]).where(F.abs(F.col("area") - F.col("asked")) <= within_m2).drop("_bin")
-    met = asof(asked.join(near, [*keys, "asked"]), running, [*keys, "area"], "deal_date", "notice_date", ["_n", "_units", "_all"])
-    seen = met.groupBy(*keys, "deal_date", "asked").agg(F.sum("_n").alias("n_reoffers"), (F.sum("_units") / F.max("_all")).alias("reoffer_ratio"))
+    by_asked = near.join(daily, [*keys, "area"]).groupBy(*keys, "asked", "notice_date").agg(F.sum("_n").alias("_n"), F.sum("_units").alias("_units"), F.max("_all").alias("_all"))
+    so_far = Window.partitionBy(*keys, "asked").orderBy("notice_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = by_asked.select(*keys, "asked", "notice_date", *[f(c).over(so_far).alias(c) for f, c in ((F.sum, "_n"), (F.sum, "_units"), (F.max, "_all"))])
+    met = asof(asked, running, [*keys, "asked"], "deal_date", "notice_date", ["_n", "_units", "_all"]).where("_n IS NOT NULL")
+    seen = met.select(*keys, "deal_date", "asked", F.col("_n").alias("n_reoffers"), (F.col("_units") / F.col("_all")).alias("reoffer_ratio"))
     out = labels.withColumn("asked", area).join(seen, [*keys, "deal_date", "asked"], "left").drop("asked").withColumn("n_reoffers", F.coalesce("n_reoffers", F.lit(0).cast("long")))
     return out.withColumn("is_reoffered", F.col("n_reoffers") > 0)
 
