@@ -93,3 +93,20 @@ def test_reoffers_equal_all_pairs(spark):
         assert (r["n_reoffers"], r["is_reoffered"]) == (len(mine), bool(mine))
         assert r["reoffer_ratio"] == (pytest.approx(sum(n[4] for n in mine) / max(n[5] for n in mine)) if mine else None)
     assert len(rows) == got.count() == len(labels)
+
+
+def test_asked_rows_follow_notices(spark, monkeypatch):
+    """Labels on many days between the same notices ask the same: what is looked up follows notices and areas, not days."""
+    rows, kept = {}, enrich.kept
+
+    def counted(df, name):
+        out = kept(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(enrich, "kept", counted)
+    launches = spark.range(4).selectExpr("CAST(id AS STRING) pblanc_no", "'r' supply_region", "'hot' base", "40.0 + id exclusive_area_m2", "date_add(DATE'2020-01-01', CAST(id * 100 AS INT)) notice_date", "id supply_price_manwon", "'202301' move_in_ym", "id total_units", "'x' builder", "'t' house_type")
+    labels = spark.range(2000).selectExpr("id", "'r' supply_region", "'hot' base", "40.0 + id % 5 exclusive_area_m2", "date_add(DATE'2019-12-01', CAST(id % 600 AS INT)) deal_date")
+    got = enrich.best_match(labels, launches, KEYS)
+    assert rows["asked"] <= 4 * 5 and got.count() == 2000
+    assert got.where("ah_notice_date > deal_date OR ah_matched <> (deal_date >= DATE'2020-01-01')").count() == 0

@@ -87,7 +87,9 @@ def best_match(labels: DataFrame, launches: DataFrame, keys: list[str]) -> DataF
     notice; if the label has no area, the latest notice; then the least number and type. A launch without an area counts as area
     0. Blank keys match nothing.
 
-    What is asked is made different first: labels of one complex, date and area get one answer. The nearest area comes from
+    What a label can be told hangs on the last notice of its complex on or before the deal, not on the day itself. So each
+    different complex and day looks up that notice, and what is asked is made different by complex, notice and area: these rows
+    follow the launches' dates and the areas, however many labels there are. The nearest area comes from
     :func:`nearest_known_area`, the latest notice of that area from an as-of look-up.
     """
     fields = ["pblanc_no", "notice_date", "supply_price_manwon", "move_in_ym", "total_units", "builder", "house_type"]
@@ -100,8 +102,11 @@ def best_match(labels: DataFrame, launches: DataFrame, keys: list[str]) -> DataF
     ids = kept(c.select(*[F.col(k).alias(f"_of_{k}") for k in keys]).distinct().withColumn("_key", F.monotonically_increasing_id()), "keys")
     numbered = lambda rows, how: rows.join(ids, [rows[k] == ids[f"_of_{k}"] for k in keys], how).drop(*(f"_of_{k}" for k in keys))
     c = numbered(c, "inner").drop(*keys)
-    asked = numbered(labels.select(*keys, "deal_date", own.alias("asked")), "inner").where(F.col("deal_date").isNotNull())
-    asked = kept(asked.select("_key", "deal_date", "asked").distinct(), "asked")
+    days = numbered(labels.select(*keys, "deal_date"), "inner").where(F.col("deal_date").isNotNull()).select("_key", "deal_date").distinct()
+    notices = c.select("_key", "notice_date").distinct().withColumn("_told", F.col("notice_date"))
+    told = kept(asof(days, notices, ["_key"], "deal_date", "notice_date", ["_told"]).where("_told IS NOT NULL"), "last-notices")
+    asked = numbered(labels.select(*keys, "deal_date", own.alias("asked")), "inner").join(told, ["_key", "deal_date"])
+    asked = kept(asked.select("_key", F.col("_told").alias("deal_date"), "asked").distinct(), "asked")
     row, order = F.struct(*fields, F.col("_own").alias("area")), F.struct("pblanc_no", "house_type")
     latest = lambda by: c.groupBy(*by, "notice_date").agg(F.min_by(row, order).alias("_b"))
     near = kept(nearest_known_area(asked.where("asked IS NOT NULL"), c, ["_key"]), "nearest-areas")
@@ -110,8 +115,10 @@ def best_match(labels: DataFrame, launches: DataFrame, keys: list[str]) -> DataF
     near = near.groupBy("_key", "deal_date", "asked").agg(F.min_by("_b", late).alias("_b"))
     any_area = asof(asked.where("asked IS NULL"), latest(["_key"]), ["_key"], "deal_date", "notice_date", ["_b"]).where("_b IS NOT NULL")
     found = near.unionByName(any_area).withColumnsRenamed({"_key": "_of_key", "deal_date": "_of_date", "asked": "_of_asked"})
-    same = (F.col("_key") == F.col("_of_key")) & (F.col("deal_date") == F.col("_of_date")) & own.eqNullSafe(F.col("_of_asked"))
-    out = numbered(labels, "left").join(found, same, "left").drop("_key", "_of_key", "_of_date", "_of_asked")
+    same = (F.col("_key") == F.col("_of_key")) & (F.col("_told") == F.col("_of_date")) & own.eqNullSafe(F.col("_of_asked"))
+    day = told.withColumnsRenamed({"_key": "_at_key", "deal_date": "_at_date"})
+    out = numbered(labels, "left").join(day, (F.col("_key") == F.col("_at_key")) & (F.col("deal_date") == F.col("_at_date")), "left")
+    out = out.join(found, same, "left").drop("_key", "_at_key", "_at_date", "_told", "_of_key", "_of_date", "_of_asked")
     b = F.col("_b")
     price = F.when(F.coalesce(b["area"], F.lit(0.0)) != 0, b["supply_price_manwon"] / b["area"])
     return out.withColumns({
