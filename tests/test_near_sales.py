@@ -54,3 +54,18 @@ def test_places_are_counted_once(spark, monkeypatch):
     got = {r["id"]: (r["n_within_50m"], r["n_within_500m"]) for r in spatial.radius_count(points, ref, [50, 500], "id", "n").collect()}
     assert got == {i: (0, 0) if i % 2 else (45, 90) for i in range(60)} | {60: (None, None), 61: (0, 0)}
     assert met == [(3, 2)]
+
+
+def test_places_go_to_four_cells(spark):
+    """A place is sent to the four cells that a radius may reach, and to each that holds something as near."""
+    rng = random.Random(9)
+    at = [(rng.choice([-89.9, -45.0, 0.0, 37.0, 89.0]) + rng.randrange(80) / 1000, rng.choice([-180.0, 0.0, 127.0, 179.9]) + rng.randrange(90) / 1000) for _ in range(120)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(at)], "id int, lat double, lon double")
+    for radius in (2000, 30000):
+        own = {r["id"]: (r["_y"], r["_x"]) for r in spatial._cells(df, 2 * radius, around=False).collect()}
+        cells = {i: set() for i in own}
+        rows = spatial._cells_reached(df, radius).collect()
+        for r in rows:
+            cells[r["id"]].add((r["_y"], r["_x"]))
+        assert len(rows) == sum(map(len, cells.values())) and max(map(len, cells.values())) <= 4
+        assert all(own[j] in cells[i] for i, a in enumerate(at) for j, b in enumerate(at) if _distance(a, b) <= radius)

@@ -216,7 +216,7 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], left_on: str, right
     order = Window.partitionBy(*keys).orderBy("_at", "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = known.unionByName(asked, allowMissingColumns=True).withColumn("_last", F.last("_row", ignorenulls=True).over(order))
     found = both.where("_asked").select(*keys, F.col("_at").alias(left_on), *[F.col(f"_last.{v}").alias(v) for v in values])
-    return left.join(found, [*keys, left_on], "left")
+    return left.join(found if keys else F.broadcast(found), [*keys, left_on], "left")  # without keys a row a date
 
 
 def macro_pivot(observations: DataFrame, series: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ def time_split(rows: DataFrame, day: str, val: float = 0.15, test: float = 0.15)
     w = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)  # one row a day
     shares = days.select(day, (F.coalesce(F.sum("_n").over(w), F.lit(0)) / F.sum("_n").over(Window.partitionBy())).alias("_before"))
     part = F.when(F.col("_before") >= 1 - test, "test").when(F.col("_before") >= 1 - test - val, "val").otherwise("train")
-    return rows.join(shares.select(day, part.alias("split")), day)
+    return rows.join(F.broadcast(shares.select(day, part.alias("split"))), day)
 
 
 def leakage_audit(enriched: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.where("lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)")
 
 
-def _cells(df: DataFrame, radius_m: float, around: bool) -> DataFrame:
+def _cells(df: DataFrame, radius_m: float, around: bool, parts_too: bool = False) -> DataFrame:
     """Rows with their cell (_y, _x), or once for each cell that may hold what is within the radius."""
     step = math.degrees(radius_m / EARTH_M) * 1.0001 + 1e-9
     sine = math.sin(math.radians(min(step, 90.0)))
@@ -60,7 +60,22 @@ def _cells(df: DataFrame, radius_m: float, around: bool) -> DataFrame:
     banded = df.withColumn("_y", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: y + d))).withColumn("_parts", parts(F.col("_y")))
     n = F.col("_parts")
     beside = F.when(n == 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.pmod(own(n) + d, n)))
-    return banded.withColumn("_x", F.explode(beside)).drop("_parts")
+    out = banded.withColumn("_x", F.explode(beside))
+    return out if parts_too else out.drop("_parts")
+
+
+def _cells_reached(df: DataFrame, radius_m: float) -> DataFrame:
+    """Rows once for each cell of twice the radius that has something within the radius of theirs: of the bands and of the cells of
+    a band the own one and the nearer neighbour. An arc half as long spans at most half the degrees, so the other one is too far."""
+    step = math.degrees(2 * radius_m / EARTH_M) * 1.0001 + 1e-9
+    rest = F.col("lat") / step - F.floor(F.col("lat") / step)
+    lon = F.pmod(F.col("lon"), F.lit(360.0)) / 360 * F.col("_parts")
+    far = lambda steps, rest: ((steps == -1) & (rest > 0.5 + 1e-6)) | ((steps == 1) & (rest < 0.5 - 1e-6))
+    y = F.floor(F.col("lat") / step)
+    banded = _cells(df, 2 * radius_m, around=True, parts_too=True).where(~far(F.col("_y") - y, rest))
+    own = F.least(F.floor(lon), F.col("_parts") - 1)
+    steps = F.when(F.col("_x") == own, 0).when(F.col("_x") == F.pmod(own + 1, F.col("_parts")), 1).otherwise(-1)
+    return banded.where((F.col("_parts") == 1) | ~far(steps, lon - own)).drop("_parts")
 
 
 def within(points: DataFrame, ref: DataFrame, radius_m: float, point_id: str, values: list[str]) -> DataFrame:
@@ -77,18 +92,18 @@ def sales_near(rows: DataFrame, comps: DataFrame, radii_m: list[int], lag_days:
     n_<radius>_<days> of usable sales, and the sums q_... of 1 / (distance + 1 m) and s_... of price / (distance + 1 m).
 
     Sales become daily sums by place, rows different places and dates. Both meet by cell and by stretch of dates, places that sold in
-    all cells around and all stretches that reach them; there the sums are products of matrices: weights of (home, place) times what
+    the four cells that the radius may reach (:func:`_cells_reached`) and all stretches that reach them; there the sums are products of matrices: weights of (home, place) times what
     a place has sold in the frame of a date. So no row for a home, a date and a place near is formed, and what is stored and sent
     about follows places and days. Cells of many sales or questions are cut into parts, whose sums add up.
     """
     first, length = max(windows), STRETCH * max(1, max(windows) - lag_days + 1)
     day, key, radius = F.col("day"), ["_y", "_x", "_t"], max(radii_m)
     asked = _placed(rows).where("prediction_date IS NOT NULL").select("lat", "lon", F.unix_date("prediction_date").alias("day")).distinct()
-    asked = kept(_cells(asked.withColumn("_t", F.floor(day / length)), radius, around=False), "asked")
+    asked = kept(_cells(asked.withColumn("_t", F.floor(day / length)), 2 * radius, around=False), "asked")
     daily = _placed(comps).where("price IS NOT NULL AND deal_date IS NOT NULL").groupBy("lat", "lon", F.unix_date("deal_date").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("double")).alias("s"))
     reached = F.sequence(F.floor((day + lag_days) / length), F.floor((day + first) / length))
     sold = kept(daily.withColumn("_t", F.explode(reached)).groupBy("lat", "lon", "_t").agg(F.collect_list(F.struct("day", "n", "s")).alias("sales")), "sold")
-    around = lambda df: _cells(df, radius, around=True)
+    around = lambda df: _cells_reached(df, radius)
     parts = around(sold.select("lat", "lon", "_t", F.size("sales").alias("_n"))).groupBy(*key).agg((1 + F.floor(F.sum("_n") / PART_SALES)).alias("_parts"))
     slices = asked.groupBy(*key).agg((1 + F.floor(F.count(F.lit(1)) / PART_ASKED)).alias("_slices"))
     cuts = kept(parts.join(slices, key), "cuts")
@@ -100,7 +115,10 @@ def sales_near(rows: DataFrame, comps: DataFrame, radii_m: list[int], lag_days:
     schema = "lat double, lon double, day int, " + ", ".join(f"{c} {'long' if c[0] == 'n' else 'double'}" for c in names)
     by = [*key, "_part", "_slice"]
     got = mine.groupBy(*by).cogroup(near.groupBy(*by)).applyInArrow(_near_sums(radii_m, windows, lag_days, length), schema)
-    return got.groupBy("lat", "lon", F.date_from_unix_date("day").alias("prediction_date")).agg(*[F.sum(c).alias(c) for c in names])
+    got = got.select("lat", "lon", F.date_from_unix_date("day").alias("prediction_date"), *names)
+    if (cuts.agg(F.max("_parts").alias("n")).first()["n"] or 1) == 1:
+        return got  # a question is in one slice of one cell, so its sums are whole
+    return got.groupBy("lat", "lon", "prediction_date").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def _meters(lat: np.ndarray, lon: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
@@ -284,15 +302,16 @@ def comp_matrix(rows: DataFrame, comps: DataFrame, radii_m: list[int], windows:
     found, by = sales_near(rows, comps, radii_m, lag_days, windows), ["lat", "lon", "prediction_date"]
     cells = [c for r in radii_m for w in windows for c in (F.col(f"n_{r}_{w}").alias(f"n_{r}m_{w}d"), F.try_divide(f"s_{r}_{w}", f"q_{r}_{w}").alias(f"price_{r}m_{w}d"))]
     names = [f"{c}_{r}m_{w}d" for r in radii_m for w in windows for c in ("n", "price")]
-    out = rows.join(found.select(*by, *cells), by, "left").select(*rows.columns, *names)
-    counts = [f"n_{r}m_{w}d" for r in radii_m for w in windows]
-    out = out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
     from .asof import comp_window_frame
 
     w = max(windows)
     district = comp_window_frame(rows.select("region", "prediction_date"), comps, lag_days, w).select("region", "prediction_date", F.col("comp_avg").alias("_district"))
+    # The district's mean comes first, so that the many cells of the matrix are not sent about once more.
+    out = rows.join(district, ["region", "prediction_date"], "left").join(found.select(*by, *cells), by, "left").select(*rows.columns, "_district", *names)
+    counts = [f"n_{r}m_{w}d" for r in radii_m for w in windows]
+    out = out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
     tiers = [F.when(F.col(f"n_{r}m_{w}d") >= min_comps, F.col(f"price_{r}m_{w}d")) for r in sorted(radii_m)]
-    return out.join(district, ["region", "prediction_date"], "left").withColumn("comp_price", F.coalesce(*tiers, "_district")).drop("_district")
+    return out.withColumn("comp_price", F.coalesce(*tiers, "_district")).drop("_district")
 
 
 def weighted_comp_price(rows: DataFrame, comps: DataFrame, radius_m: int, window_days: int, lag_days: int) -> DataFrame:
