@@ -111,19 +111,20 @@ def quality_profile(df: DataFrame, table: str, frequent: int = 3) -> DataFrame:
     """A row for each column: its type, the table's rows and how many of them repeat another one, the column's nulls, about how many
     different values it has (off by 2 percent or so), and its most frequent values with about their counts.
 
-    All columns take part in one map-side pass of mergeable sketches. Repeats are counted by two 64-bit hashes of the whole row, so what
+    All columns take part in one map-side pass of mergeable sketches, each one value of the aggregate's row. Repeats are counted by two 64-bit hashes of the whole row, so what
     is shuffled for them are 16 bytes a row.
     """
     types, names = dict(df.dtypes), df.columns
     cell = lambda c: F.col(f"`{c}`")
     shown = lambda c: cell(c).cast("string") if not types[c].startswith(("array", "struct", "map", "binary")) else F.hex(F.xxhash64(F.to_json(F.struct(cell(c)))))
+    hashed = lambda c: shown(c) if "map<" in types[c] else cell(c)  # noqa: E731  all other types hash as they are
     sketches = [f(i, c) for i, c in enumerate(names) for f in (
         lambda i, c: F.count_if(cell(c).isNull()).alias(f"null{i}"),
-        lambda i, c: F.approx_count_distinct(shown(c), 0.01).alias(f"distinct{i}"),
+        lambda i, c: F.hll_sketch_estimate(F.hll_sketch_agg(F.when(cell(c).isNotNull(), F.xxhash64(hashed(c))), 14)).alias(f"distinct{i}"),
         lambda i, c: F.call_function("approx_top_k", F.when(cell(c).isNotNull(), F.substring(shown(c), 1, 100)), F.lit(frequent)).alias(f"top{i}"),
     )]
     one = df.agg(F.count(F.lit(1)).alias("n_rows"), *sketches)
-    keys = [F.xxhash64(F.lit(seed), *[F.struct(cell(c).isNull(), shown(c)) for c in names]) for seed in (1, 2)]
+    keys = [F.xxhash64(F.lit(seed), *[F.struct(cell(c).isNull(), hashed(c)) for c in names]) for seed in (1, 2)]
     different = df.select(keys[0].alias("a"), keys[1].alias("b")).groupBy("a", "b").agg(F.lit(1)).agg(F.count(F.lit(1)).alias("n_different"))
     # Both have one row, and meet on a constant of the data, not of the plan.
     both = one.withColumn("_k", F.col("n_rows") >= 0).join(different.withColumn("_k", F.col("n_different") >= 0), "_k")
@@ -131,6 +132,23 @@ def quality_profile(df: DataFrame, table: str, frequent: int = 3) -> DataFrame:
     return both.select(F.lit(table).alias("table_name"), "n_rows", (F.col("n_rows") - F.col("n_different")).alias("n_repeated"), F.explode(rows).alias("r")).select("table_name", "n_rows", "n_repeated", "r.*")
 
 
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """column_name and n_distinct, exact, of every column. Columns of one type are stacked and grouped by column and value, so a row of
+    the table is no row of all its columns for each of them, and values that repeat are counted before they are sent about."""
+    types: dict[str, list[str]] = {}
+    for c, kind in df.dtypes:
+        types.setdefault(kind, []).append(c)
+    counts = None
+    for columns in types.values():
+        cells = F.array(*[F.struct(F.lit(df.columns.index(c)).alias("i"), F.col(f"`{c}`").alias("v")) for c in columns])
+        different = df.select(F.explode(cells).alias("e")).select("e.i", "e.v").where("v IS NOT NULL").groupBy("i", "v").agg(F.lit(1).alias("_"))
+        got = different.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+        counts = got if counts is None else counts.unionByName(got)
+    names = F.array(*map(F.lit, df.columns))
+    all_of = df.sparkSession.range(len(df.columns)).join(counts, F.col("id") == F.col("i"), "left")
+    return all_of.select(F.get(names, F.col("id").cast("int")).alias("column_name"), F.coalesce("n", F.lit(0).cast("long")).alias("n_distinct"))
+
+
 def all_strings(df: DataFrame) -> DataFrame:
     return df.select([F.col(c).cast("string").alias(c) for c in df.columns])
 
