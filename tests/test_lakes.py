@@ -110,3 +110,21 @@ def test_stream_writes_what_changed(spark, root, tmp_path):
     run(spark, root, [("l", "2", "k2", True, False, day(9))])
     assert stream.compact(spark, f"{root}/ledger") == 4 and sorted(files.complete(spark, f"{root}/ledger/changes", "epoch")) == [4]
     assert sorted(files.complete(spark, f"{root}/ledger/snapshots", "v")) == [3, 4]
+
+
+def test_months_have_few_files_and_one_listing(spark, root, tmp_path):
+    """Each task used to write a file to every month that it had rows of, and each region was listed by a job of its own."""
+    months_of = F.concat(F.lit("20240"), (F.col("id") % 5 + 1).cast("string"))
+    old = spark.range(20_000, numPartitions=40).select(F.col("id").alias("deal_id"), F.lit(1.0).alias("price"), (F.col("id") % 3).cast("string").alias("region"), months_of.alias("deal_ym"))
+    months.replace_months(old, old.limit(0), root)
+    written = [n for _, _, names in os.walk(tmp_path / "rows") for n in names if n.endswith(".parquet")]
+    assert len(written) <= 15 + 4 * spark.sparkContext.defaultParallelism  # 600 before
+    held = months.read_months(spark, root, SCHEMA)
+    assert rows(held) == rows(old.select(*held.columns))
+    # Months of many rows, rows of one month and a lake that loses all its months.
+    one = old.withColumns({"region": F.lit("a=b/*"), "deal_ym": F.lit("202401")})
+    months.replace_months(one, old, root)
+    held = months.read_months(spark, root, SCHEMA)
+    assert rows(held) == rows(one.select(*held.columns)) and len(held.inputFiles()) > 1
+    months.replace_months(one.limit(0), one, root)
+    assert months.read_months(spark, root, SCHEMA).count() == 0
