@@ -326,6 +326,28 @@ def test_pieces_in_other_documents_hide_no_fuzzy_passage(spark, monkeypatch, com
     assert all(r["src_doc_id"] < r["doc_id"] for r in rows)
 
 
+@pytest.mark.parametrize("crowd", [256, 1])
+def test_pieces_in_many_documents_hide_no_fuzzy_passage(spark, monkeypatch, crowd):
+    """All neighbouring seeds of a passage stand in still earlier texts, and again in many texts between the two."""
+    monkeypatch.setattr(fuzzy_passages, "CROWD", crowd)
+    monkeypatch.setattr(fuzzy_passages, "CROWD_BLOCK", 5)
+    n, texts, first, last = 6, [], [], []
+    for k in range(n):
+        p = prose(5000 + k, 120)
+        pieces = lambda at, tag: [prose(tag + 7 * j, 40) + p[i : i + 36] + prose(tag + 7 * j + 3, 40) for j, i in enumerate(at)]  # noqa: B023, E731
+        texts += pieces(range(0, 90, 6), 20_000 + 1000 * k)
+        first.append(len(texts))
+        texts.append(prose(5100 + k, 50) + p + prose(5200 + k, 30))
+        for again in range(4):
+            texts += pieces(range(again, 90, 12), 30_000 + 1000 * k + 200 * again)
+        last.append(len(texts))
+        texts.append(prose(5300 + k, 60) + [f"e{k}x{i}" if i % 25 == 12 else w for i, w in enumerate(p)] + prose(5400 + k, 20))
+    rows = fuzzy_passages.fuzzy_passages(docs_of(spark, enumerate(map(" ".join, texts)))).collect()
+    for low, src in zip(last, first, strict=True):
+        assert any((r["doc_id"], r["src_doc_id"]) == (low, src) and r["end_word"] - r["start_word"] >= 115 for r in rows), low
+    assert all(r["src_doc_id"] < r["doc_id"] for r in rows)
+
+
 def test_previous_places_of_common_seeds(spark, monkeypatch):
     """Parts of a common seed give the same last place as an order of all its places."""
     monkeypatch.setattr(fuzzy_passages, "PREVIOUS", 1)
