@@ -348,6 +348,23 @@ def test_pieces_in_many_documents_hide_no_fuzzy_passage(spark, monkeypatch, crow
     assert all(r["src_doc_id"] < r["doc_id"] for r in rows)
 
 
+def test_pieces_in_the_same_text_hide_no_fuzzy_passage(spark):
+    """Seeds of a passage stand before it in either of the two texts, passages come several times, and periodic stretches again."""
+    edit = lambda p, tag: [f"e{tag}x{i}" if i % 17 == 8 else w for i, w in enumerate(p)]
+    pieces = lambda p, tag: [w for k in range(0, len(p), 30) for w in prose(tag + k, 25) + p[k : k + 30]]
+    p, q, r = prose(7000, 120), prose(7100, 120), prose(7200, 80)
+    texts = [prose(7300, 30) + p, pieces(p, 7400) + prose(7600, 40) + edit(p, 1) + prose(7601, 20)]
+    texts += [pieces(q, 7700) + prose(7900, 40) + q + prose(7901, 20), edit(q, 2) + prose(7902, 40)]
+    texts += [r + prose(7903, 10), prose(7904, 20) + r + prose(7905, 60) + edit(r, 3) + prose(7906, 60) + r + prose(7907, 5)]
+    texts += [prose(7908, 20) + ["w"] * 80 + prose(7909, 30), ["w"] * 300 + prose(7910, 70) + ["w"] * 60 + prose(7911, 5)]
+    rows = fuzzy_passages.fuzzy_passages(docs_of(spark, enumerate(map(" ".join, texts)))).collect()
+    mine = lambda low: [x for x in rows if x["doc_id"] == low]
+    assert covered(mine(1), 260, 380) and covered(mine(3), 0, 120)
+    assert covered(mine(5), 20, 100) and covered(mine(5), 160, 240) and covered(mine(5), 300, 380)
+    assert covered(mine(7), 0, 285) and covered(mine(7), 370, 415)
+    assert all(x["src_doc_id"] < x["doc_id"] for x in rows)
+
+
 def test_previous_places_of_common_seeds(spark, monkeypatch):
     """Parts of a common seed give the same last place as an order of all its places."""
     monkeypatch.setattr(fuzzy_passages, "PREVIOUS", 1)
